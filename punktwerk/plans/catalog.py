@@ -181,3 +181,54 @@ def q_tile_name_glob(spark, sf):
     p = X.pts(spark, sf, with_source=True)
     return p.filter(F.col("source_file").like("3dm_32_283%")).groupBy("source_file").agg(
         F.count(F.lit(1)).alias("n"))
+
+
+# --------------------------------------------------------------------------
+# coordinate transforms and geohash
+# --------------------------------------------------------------------------
+
+from punktwerk.functions import crs as CRS  # noqa: E402
+from punktwerk.functions import geohash as GH  # noqa: E402
+from punktwerk.plans.oracle_sql import geohash_sql, tm_forward_sql, tm_inverse_sql  # noqa: E402
+
+_LON, _LAT = tm_inverse_sql("x", "y", 25832)
+_LL_SITES = f"select pid, {_LON} as lon, {_LAT} as lat from sites"
+
+
+@query("utm_to_lonlat", X.with_ctes(
+    "select pid, round(lon, 6) as lon, round(lat, 6) as lat from ll",
+    sites=X.SITES_SQL, ll=_LL_SITES))
+def q_utm_to_lonlat(spark, sf):
+    ll = CRS.st_transform("x", "y", 25832, 4326)
+    return X.sites(spark, sf).select("pid", F.round(ll.x, 6).alias("lon"), F.round(ll.y, 6).alias("lat"))
+
+
+_E2180, _N2180 = tm_forward_sql("lon", "lat", 2180)
+
+
+@query("lonlat_to_2180", X.with_ctes(
+    f"select pid, round({_E2180}, 3) as e2180, round({_N2180}, 3) as n2180 from ll",
+    sites=X.SITES_SQL, ll=_LL_SITES))
+def q_lonlat_to_2180(spark, sf):
+    ll = X.sites(spark, sf).select("pid", CRS.st_transform("x", "y", 25832, 4326).alias("ll"))
+    p = CRS.st_transform("ll.x", "ll.y", 4326, 2180)
+    return ll.select("pid", F.round(p.x, 3).alias("e2180"), F.round(p.y, 3).alias("n2180"))
+
+
+_PTS_LL = f"select {_LON} as lon, {_LAT} as lat from pts"
+
+
+@query("geohash_points", X.with_ctes(
+    f"select 6 as precision, {geohash_sql('lon', 'lat', 6)} as geohash, count(*) as n from ll group by 2 "
+    f"union all select 7 as precision, {geohash_sql('lon', 'lat', 7)} as geohash, count(*) as n from ll group by 2",
+    **PTS, ll=_PTS_LL))
+def q_geohash_points(spark, sf):
+    """Points per geohash cell at precision 6 and 7 (UTM 32N -> lon/lat ->
+    geohash, all Column math). Both precisions come from one scan: the two
+    codes are computed per row and exploded before the grouped count."""
+    p = X.pts(spark, sf)
+    ll = CRS.st_transform("x", "y", 25832, 4326)
+    codes = p.select(ll.alias("ll")).select(GH.geohash("ll.x", "ll.y", 6).alias("g6"),
+                                            GH.geohash("ll.x", "ll.y", 7).alias("g7"))
+    return codes.selectExpr("stack(2, 6, g6, 7, g7) as (precision, geohash)").groupBy(
+        "precision", "geohash").agg(F.count(F.lit(1)).alias("n"))

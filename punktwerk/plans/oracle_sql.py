@@ -35,3 +35,57 @@ def point_in_polys_sql(points_view: str, polys: dict[int, str], key: str) -> str
         f"sum(case when {CROSS_SQL} then 1 else 0 end) % 2 = 1 as odd, "
         f"bool_or({ON_SQL}) as on_edge "
         f"from {points_view} p, ({edges_values(polys)}) e group by e.poly_id, p.{key}")
+
+
+# ---- transverse Mercator and geohash as SQL text (oracle side) ----------
+
+def tm_inverse_sql(e: str, n: str, srid: int) -> tuple[str, str]:
+    from punktwerk.functions.crs import BETA, DELTA, PROJECTIONS, RECT_RADIUS
+    p = PROJECTIONS[srid]
+    k = p.k0 * RECT_RADIUS
+    xi = f"(({n}) - {d(p.fn)}) / {d(k)}"
+    eta = f"(({e}) - {d(p.fe)}) / {d(k)}"
+    xi1 = xi + "".join(f" - {d(b)} * sin({xi} * {2 * j}) * cosh({eta} * {2 * j})"
+                       for j, b in enumerate(BETA, start=1))
+    eta1 = eta + "".join(f" - {d(b)} * cos({xi} * {2 * j}) * sinh({eta} * {2 * j})"
+                         for j, b in enumerate(BETA, start=1))
+    chi = f"asin(sin({xi1}) / cosh({eta1}))"
+    phi = chi + "".join(f" + {d(dd)} * sin({chi} * {2 * j})" for j, dd in enumerate(DELTA, start=1))
+    lam = f"{d(p.lon0)} + degrees(atan2(sinh({eta1}), cos({xi1})))"
+    return lam, f"degrees({phi})"
+
+
+def tm_forward_sql(lon: str, lat: str, srid: int) -> tuple[str, str]:
+    from punktwerk.functions.crs import ALPHA, ECC, PROJECTIONS, RECT_RADIUS
+    p = PROJECTIONS[srid]
+    phi = f"radians({lat})"
+    dlam = f"radians(({lon}) - {d(p.lon0)})"
+    s = f"sin({phi})"
+    t = f"sinh(atanh({s}) - {d(ECC)} * atanh({d(ECC)} * {s}))"
+    xi = f"atan2({t}, cos({dlam}))"
+    eta = f"atanh(sin({dlam}) / sqrt({d(1.0)} + {t} * {t}))"
+    es = eta + "".join(f" + {d(a)} * cos({xi} * {2 * j}) * sinh({eta} * {2 * j})"
+                       for j, a in enumerate(ALPHA, start=1))
+    ns = xi + "".join(f" + {d(a)} * sin({xi} * {2 * j}) * cosh({eta} * {2 * j})"
+                      for j, a in enumerate(ALPHA, start=1))
+    k = p.k0 * RECT_RADIUS
+    return f"{d(p.fe)} + {d(k)} * ({es})", f"{d(p.fn)} + {d(k)} * ({ns})"
+
+
+def geohash_sql(lon: str, lat: str, precision: int) -> str:
+    """Geohash text from lon/lat column names (the columns should be plain
+    names: the expression repeats them)."""
+    from punktwerk.functions.geohash import BASE32
+    nbits = 5 * precision
+    nlon, nlat = (nbits + 1) // 2, nbits // 2
+    ilon = f"greatest(cast(ceil(({lon} + 180) / 360.0 * {float(1 << nlon)!r}) as bigint) - 1, 0)"
+    ilat = f"greatest(cast(ceil(({lat} + 90) / 180.0 * {float(1 << nlat)!r}) as bigint) - 1, 0)"
+    chars = []
+    for k in range(precision):
+        terms = []
+        for m in range(5):
+            j = 5 * k + m
+            src, nb = (ilon, nlon) if j % 2 == 0 else (ilat, nlat)
+            terms.append(f"(((({src}) >> {nb - 1 - j // 2}) & 1) << {4 - m})")
+        chars.append(f"substring('{BASE32}', cast(({' | '.join(terms)}) + 1 as integer), 1)")
+    return "concat(" + ", ".join(chars) + ")"
