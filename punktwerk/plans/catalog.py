@@ -232,3 +232,134 @@ def q_geohash_points(spark, sf):
                                             GH.geohash("ll.x", "ll.y", 7).alias("g7"))
     return codes.selectExpr("stack(2, 6, g6, 7, g7) as (precision, geohash)").groupBy(
         "precision", "geohash").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --------------------------------------------------------------------------
+# shapes: WKT / GeoJSON text, vertices, bbox, area, distance, predicates
+# --------------------------------------------------------------------------
+
+from punktwerk.functions import geojson as GJ  # noqa: E402
+
+RECTS = {"rects": X.RECTS_SQL}
+LINES = {"lines": X.LINES_SQL}
+
+
+def _num_sql(c: str) -> str:
+    return f"regexp_replace(cast({c} as varchar), '\\.0$', '')"
+
+
+def _pt_sql(x: str, y: str) -> str:
+    return f"{_num_sql(x)} || ' ' || {_num_sql(y)}"
+
+
+_RECT_WKT_SQL = ("'POLYGON ((' || " + " || ', ' || ".join(
+    _pt_sql(a, b) for a, b in (("minx", "miny"), ("maxx", "miny"), ("maxx", "maxy"),
+                               ("minx", "maxy"), ("minx", "miny"))) + " || '))'")
+_RECT_VERTS_SQL = " union all ".join(
+    f"select rect_id, {i} as vertex_index, {a} as x, {b} as y from rects"
+    for i, (a, b) in enumerate((("minx", "miny"), ("maxx", "miny"), ("maxx", "maxy"),
+                                ("minx", "maxy"), ("minx", "miny"))))
+
+
+def rect_shapes(spark, sf):
+    r = X.rects(spark, sf)
+    return r.withColumn("geom", G.st_rect("minx", "miny", "maxx", "maxy"))
+
+
+def line_shapes(spark, sf):
+    ln = X.lines(spark, sf)
+    return ln.withColumn("geom", G.st_linestring("x1", "y1", "x2", "y2"))
+
+
+@query("st_point", X.with_ctes(
+    f"select pid, 'POINT (' || {_pt_sql('x', 'y')} || ')' as wkt from sites", sites=X.SITES_SQL))
+def q_st_point(spark, sf):
+    s = X.sites(spark, sf)
+    return s.select("pid", G.st_astext(G.st_point("x", "y")).alias("wkt"))
+
+
+@query("rect_wkt", X.with_ctes(f"select rect_id, {_RECT_WKT_SQL} as wkt from rects", **RECTS))
+def q_rect_wkt(spark, sf):
+    return rect_shapes(spark, sf).select("rect_id", G.st_astext("geom").alias("wkt"))
+
+
+@query("wkt_vertices", X.with_ctes(_RECT_VERTS_SQL, **RECTS))
+def q_wkt_vertices(spark, sf):
+    """WKT text -> shape -> one row per vertex (text built from rects)."""
+    txt = rect_shapes(spark, sf).select("rect_id", G.st_astext("geom").alias("wkt"))
+    g = txt.select("rect_id", G.st_geomfromtext("wkt").alias("g"))
+    return g.select("rect_id", F.posexplode(F.get(F.get("g.parts", 0), 0)).alias("vertex_index", "v")) \
+        .select("rect_id", "vertex_index", "v.x", "v.y")
+
+
+@query("geojson_vertices", X.with_ctes(_RECT_VERTS_SQL, **RECTS))
+def q_geojson_vertices(spark, sf):
+    """GeoJSON geometry text -> shape -> one row per vertex."""
+    txt = rect_shapes(spark, sf).select("rect_id", GJ.st_asgeojson("geom").alias("js"))
+    g = txt.select("rect_id", GJ.st_geomfromgeojson("js").alias("g"))
+    return g.select("rect_id", F.posexplode(F.get(F.get("g.parts", 0), 0)).alias("vertex_index", "v")) \
+        .select("rect_id", "vertex_index", "v.x", "v.y")
+
+
+@query("shape_bbox", X.with_ctes(
+    "select line_id, least(x1, x2) as minx, least(y1, y2) as miny, greatest(x1, x2) as maxx, "
+    "greatest(y1, y2) as maxy from lines", **LINES))
+def q_shape_bbox(spark, sf):
+    e = line_shapes(spark, sf).select("line_id", G.st_envelope("geom").alias("e"))
+    return e.select("line_id", "e.minx", "e.miny", "e.maxx", "e.maxy")
+
+
+@query("polygon_area", X.with_ctes(
+    "select rect_id, round((maxx - minx) * (maxy - miny), 6) as area from rects", **RECTS))
+def q_polygon_area(spark, sf):
+    return rect_shapes(spark, sf).select("rect_id", F.round(G.st_area("geom"), 6).alias("area"))
+
+
+@query("shape_vertices", X.with_ctes(
+    "select line_id, 'LINESTRING' as gtype, false as is_empty, 2 as n_vertices, x1 as first_x, y1 as first_y "
+    "from lines", **LINES))
+def q_shape_vertices(spark, sf):
+    g = line_shapes(spark, sf)
+    return g.select("line_id", F.col("geom.gtype").alias("gtype"), G.st_isempty("geom").alias("is_empty"),
+                    G.st_numpoints("geom").alias("n_vertices"),
+                    F.get(F.get(F.get("geom.parts", 0), 0), 0).x.alias("first_x"),
+                    F.get(F.get(F.get("geom.parts", 0), 0), 0).y.alias("first_y"))
+
+
+_PX, _PY = 284000.0, 5654000.0
+_SEG_T = (f"greatest(0.0, least(1.0, ((({d(_PX)} - x1) * (x2 - x1) + ({d(_PY)} - y1) * (y2 - y1)) "
+          f"/ ((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)))))")
+
+
+@query("distance_point_line", X.with_ctes(
+    f"select line_id, round(sqrt(({d(_PX)} - (x1 + t * (x2 - x1))) * ({d(_PX)} - (x1 + t * (x2 - x1))) "
+    f"+ ({d(_PY)} - (y1 + t * (y2 - y1))) * ({d(_PY)} - (y1 + t * (y2 - y1)))), 6) as dist "
+    f"from (select *, {_SEG_T} as t from lines)", **LINES))
+def q_distance_point_line(spark, sf):
+    """Distance from every linestring to a fixed point (point-segment)."""
+    g = line_shapes(spark, sf)
+    return g.select("line_id", F.round(G.st_distance_xy("geom", F.lit(_PX), F.lit(_PY)), 6).alias("dist"))
+
+
+# the query window of the range/intersection queries
+WIN = (281000.0, 5653000.0, 285000.0, 5655000.0)
+_CORNERS = ((WIN[0], WIN[1]), (WIN[2], WIN[1]), (WIN[2], WIN[3]), (WIN[0], WIN[3]))
+
+
+def _side_sql(cx, cy):
+    return f"sign((x2 - x1) * ({d(cy)} - y1) - (y2 - y1) * ({d(cx)} - x1))"
+
+
+@query("lines_intersect_rect", X.with_ctes(
+    f"select line_id from lines where greatest(x1, x2) >= {d(WIN[0])} and least(x1, x2) <= {d(WIN[2])} "
+    f"and greatest(y1, y2) >= {d(WIN[1])} and least(y1, y2) <= {d(WIN[3])} "
+    f"and not ({' and '.join(_side_sql(cx, cy) + ' > 0' for cx, cy in _CORNERS)}) "
+    f"and not ({' and '.join(_side_sql(cx, cy) + ' < 0' for cx, cy in _CORNERS)})", **LINES))
+def q_lines_intersect_rect(spark, sf):
+    """Exact closed intersection of every linestring with a window polygon:
+    bbox predicates first (cheap, prune), then the edge test."""
+    win = G.st_rect(F.lit(WIN[0]), F.lit(WIN[1]), F.lit(WIN[2]), F.lit(WIN[3]))
+    g = line_shapes(spark, sf)
+    pre = g.filter((F.greatest("x1", "x2") >= WIN[0]) & (F.least("x1", "x2") <= WIN[2])
+                   & (F.greatest("y1", "y2") >= WIN[1]) & (F.least("y1", "y2") <= WIN[3]))
+    return pre.filter(G.st_intersects("geom", win)).select("line_id")
