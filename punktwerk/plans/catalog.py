@@ -363,3 +363,158 @@ def q_lines_intersect_rect(spark, sf):
     pre = g.filter((F.greatest("x1", "x2") >= WIN[0]) & (F.least("x1", "x2") <= WIN[2])
                    & (F.greatest("y1", "y2") >= WIN[1]) & (F.least("y1", "y2") <= WIN[3]))
     return pre.filter(G.st_intersects("geom", win)).select("line_id")
+
+
+# --------------------------------------------------------------------------
+# spatial joins
+# --------------------------------------------------------------------------
+
+from punktwerk.operators import joins as J  # noqa: E402
+
+_PTS_COLS = ["x", "y", "z", "intensity", "return_num", "classification"]
+_RECT_CELL = 250.0   # base grid cell (m) for rectangle/point joins
+
+
+@query("spatial_join_flat", X.with_ctes(
+    "select r.rect_id, p.* from rects r join pts p on p.x between r.minx and r.maxx "
+    "and p.y between r.miny and r.maxy", **RECTS, **PTS))
+def q_spatial_join_flat(spark, sf):
+    """(rectangle, point) pairs, closed boundary, as a grid equi-join."""
+    out = J.spatial_join(X.rects(spark, sf), X.pts(spark, sf), "covers", cell=_RECT_CELL)
+    return out.select("rect_id", *_PTS_COLS)
+
+
+@query("spatial_join_covered", X.with_ctes(
+    "select r.rect_id, p.* from rects r join pts p on p.x > r.minx and p.x < r.maxx "
+    "and p.y > r.miny and p.y < r.maxy", **RECTS, **PTS))
+def q_spatial_join_covered(spark, sf):
+    """Same join with boundary=False: only points in the interior."""
+    out = J.spatial_join(X.rects(spark, sf), X.pts(spark, sf), "contains", cell=_RECT_CELL)
+    return out.select("rect_id", *_PTS_COLS)
+
+
+@query("points_per_rect", X.with_ctes(
+    "select r.rect_id, count(*) as n from rects r join pts p on p.x between r.minx and r.maxx "
+    "and p.y between r.miny and r.maxy group by r.rect_id", **RECTS, **PTS))
+def q_points_per_rect(spark, sf):
+    out = J.spatial_join(X.rects(spark, sf), X.pts(spark, sf).select("x", "y"), "covers", cell=_RECT_CELL)
+    return out.groupBy("rect_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("points_in_rect_list", X.with_ctes(
+    "select r.rect_id, 0 as chunk, count(*) as n, 'MULTIPOINT (' || string_agg('(' || "
+    f"{_pt_sql('p.x', 'p.y')} || ')', ', ' order by p.x, p.y) || ')' as points "
+    "from rects r join pts p on p.x between r.minx and r.maxx and p.y between r.miny and r.maxy "
+    "group by r.rect_id", **RECTS, **PTS))
+def q_points_in_rect_list(spark, sf):
+    """Grouped join: each rectangle with the list of its points (as
+    MULTIPOINT text), in bounded chunks."""
+    g = J.spatial_join_grouped(X.rects(spark, sf), X.pts(spark, sf).select("x", "y"), "rect_id",
+                               cell=_RECT_CELL)
+    txt = F.concat(F.lit("MULTIPOINT ("), F.array_join(F.transform("points", lambda v: F.concat(
+        F.lit("("), G._num_text(v.x), F.lit(" "), G._num_text(v.y), F.lit(")"))), ", "), F.lit(")"))
+    return g.select("rect_id", "chunk", "n", txt.alias("points"))
+
+
+SITES = {"sites": X.SITES_SQL}
+_DJ_SQL = ("select a.pid as pid_a, b.pid as pid_b, round(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)), 6) as dist "
+           "from sites a join sites b on abs(a.x - b.x) < 50 and abs(a.y - b.y) < 50 "
+           "and sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) < 50")
+
+
+@query("distance_join", X.with_ctes(_DJ_SQL, **SITES))
+def q_distance_join(spark, sf):
+    """Self distance join, strict < 50: identity pairs and both orders."""
+    s = X.sites(spark, sf)
+    j = J.distance_join(s, s, 50.0)
+    return j.select("pid_a", "pid_b", F.round(G.dist_xy("x_a", "y_a", "x_b", "y_b"), 6).alias("dist"))
+
+
+@query("distance_join_grouped", X.with_ctes(
+    f"select pid_a as pid, count(*) as n_neighbours from ({_DJ_SQL}) group by pid_a", **SITES))
+def q_distance_join_grouped(spark, sf):
+    s = X.sites(spark, sf)
+    j = J.distance_join(s, s, 50.0)
+    return j.groupBy(F.col("pid_a").alias("pid")).agg(F.count(F.lit(1)).alias("n_neighbours"))
+
+
+@query("range_points", X.with_ctes(
+    f"select * from pts where x between {d(WIN[0])} and {d(WIN[2])} and y between {d(WIN[1])} and {d(WIN[3])}",
+    **PTS))
+def q_range_points(spark, sf):
+    return J.range_query(X.pts(spark, sf), WIN, boundary=True)
+
+
+def _line_bbox(df):
+    return df.withColumn("minx", F.least("x1", "x2")).withColumn("maxx", F.greatest("x1", "x2")) \
+        .withColumn("miny", F.least("y1", "y2")).withColumn("maxy", F.greatest("y1", "y2"))
+
+
+@query("range_covered", X.with_ctes(
+    f"select line_id from lines where least(x1, x2) >= {d(WIN[0])} and greatest(x1, x2) <= {d(WIN[2])} "
+    f"and least(y1, y2) >= {d(WIN[1])} and greatest(y1, y2) <= {d(WIN[3])}", **LINES))
+def q_range_covered(spark, sf):
+    """Range query, boundary=False: shapes fully covered by the window."""
+    g = _line_bbox(line_shapes(spark, sf))
+    return J.range_query(g, WIN, boundary=False, x=None).select("line_id")
+
+
+@query("range_intersects", X.with_ctes(
+    f"select line_id from lines where greatest(x1, x2) >= {d(WIN[0])} and least(x1, x2) <= {d(WIN[2])} "
+    f"and greatest(y1, y2) >= {d(WIN[1])} and least(y1, y2) <= {d(WIN[3])} "
+    f"and not ({' and '.join(_side_sql(cx, cy) + ' > 0' for cx, cy in _CORNERS)}) "
+    f"and not ({' and '.join(_side_sql(cx, cy) + ' < 0' for cx, cy in _CORNERS)})", **LINES))
+def q_range_intersects(spark, sf):
+    """Range query, boundary=True: shapes intersecting the window."""
+    g = _line_bbox(line_shapes(spark, sf))
+    return J.range_query(g, WIN, boundary=True, x=None, geom="geom").select("line_id")
+
+
+@query("knn_point", X.with_ctes(
+    f"select pid, round(sqrt((x - {d(_PX)}) * (x - {d(_PX)}) + (y - {d(_PY)}) * (y - {d(_PY)})), 6) as dist "
+    f"from sites order by sqrt((x - {d(_PX)}) * (x - {d(_PX)}) + (y - {d(_PY)}) * (y - {d(_PY)})), pid limit 5",
+    **SITES))
+def q_knn_point(spark, sf):
+    out = J.knn_point(X.sites(spark, sf), 5, _PX, _PY, "pid")
+    return out.select("pid", F.round("dist", 6).alias("dist"))
+
+
+def _poly_dist_sql(view: str, poly_id: int) -> str:
+    """Per point: smallest point-segment distance to the polygon's edges."""
+    from punktwerk.plans.oracle_sql import edges_values
+    t = ("greatest(0.0, least(1.0, ((p.x - e.x1) * (e.x2 - e.x1) + (p.y - e.y1) * (e.y2 - e.y1)) "
+         "/ ((e.x2 - e.x1) * (e.x2 - e.x1) + (e.y2 - e.y1) * (e.y2 - e.y1))))")
+    return (
+        "select q.pid, min(sqrt((q.x - (q.x1 + q.t * (q.x2 - q.x1))) * (q.x - (q.x1 + q.t * (q.x2 - q.x1))) "
+        "+ (q.y - (q.y1 + q.t * (q.y2 - q.y1))) * (q.y - (q.y1 + q.t * (q.y2 - q.y1))))) as dmin "
+        f"from (select p.pid, p.x, p.y, e.x1, e.y1, e.x2, e.y2, {t} as t from {view} p, "
+        f"({edges_values({poly_id: X.POLYS[poly_id]})}) e) q group by q.pid")
+
+
+@query("knn_polygon", X.with_ctes(
+    "select s.pid, round(case when l.odd or l.on_edge then 0 else m.dmin end, 6) as dist from sites s "
+    "join loc l on l.pid = s.pid join mind m on m.pid = s.pid "
+    "order by case when l.odd or l.on_edge then 0 else m.dmin end, s.pid limit 10",
+    **SITES, loc=point_in_polys_sql("sites", {2: X.POLY2_WKT}, "pid"), mind=_poly_dist_sql("sites", 2)))
+def q_knn_polygon(spark, sf):
+    """10 sites nearest to a polygon (distance 0 inside, ties by id)."""
+    out = J.knn(X.sites(spark, sf), 10, J.distance_to_literal(X.POLY2_WKT), "pid")
+    return out.select("pid", F.round("dist", 6).alias("dist"))
+
+
+_LL2180 = f"select pid, {_E2180} as x, {_N2180} as y from ll"
+
+
+@query("reprojected_neighbours", X.with_ctes(
+    "select a.pid as id_1, b.pid as id_2, round(a.x, 3) as x, round(a.y, 3) as y from p2180 a join p2180 b "
+    "on abs(a.x - b.x) < 50 and abs(a.y - b.y) < 50 "
+    "and sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) < 50",
+    **SITES, ll=_LL_SITES, p2180=_LL2180))
+def q_reprojected_neighbours(spark, sf):
+    """lon/lat points -> EPSG:2180 -> pairs closer than 50 m (ids + point)."""
+    ll = X.sites(spark, sf).select("pid", CRS.st_transform("x", "y", 25832, 4326).alias("ll"))
+    p = ll.select("pid", CRS.st_transform("ll.x", "ll.y", 4326, 2180).alias("p"))
+    p = p.select("pid", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+    j = J.distance_join(p, p, 50.0)
+    return j.select(F.col("pid_a").alias("id_1"), F.col("pid_b").alias("id_2"),
+                    F.round("x_a", 3).alias("x"), F.round("y_a", 3).alias("y"))
