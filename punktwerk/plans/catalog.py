@@ -518,3 +518,127 @@ def q_reprojected_neighbours(spark, sf):
     j = J.distance_join(p, p, 50.0)
     return j.select(F.col("pid_a").alias("id_1"), F.col("pid_b").alias("id_2"),
                     F.round("x_a", 3).alias("x"), F.round("y_a", 3).alias("y"))
+
+
+# --------------------------------------------------------------------------
+# clustering: DBSCAN, hulls, footprints, k-means
+# --------------------------------------------------------------------------
+
+from punktwerk.operators import cluster as CL  # noqa: E402
+from punktwerk.operators import hull as HU  # noqa: E402
+
+DB_EPS, DB_MIN = 60.0, 10
+_DIST = "sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))"
+_DBSCAN_CTES = (
+    f"with recursive sites as ({X.SITES_SQL}), "
+    f"nb as (select a.pid as p, b.pid as q from sites a join sites b on abs(a.x - b.x) <= {DB_EPS} "
+    f"and abs(a.y - b.y) <= {DB_EPS} and {_DIST} <= {DB_EPS}), "
+    f"core as (select p from nb group by p having count(*) >= {DB_MIN}), "
+    "ce as (select nb.p, nb.q from nb join core c1 on c1.p = nb.p join core c2 on c2.p = nb.q), "
+    "reach(p, r) as (select p, p from core union select reach.p, ce.q from reach join ce on ce.p = reach.r), "
+    "lab as (select p, min(r) as cluster from reach group by p), "
+    "brd as (select nb.p, min(lab.cluster) as cluster from nb join lab on lab.p = nb.q "
+    "where nb.p not in (select p from core) group by nb.p), "
+    "labels as (select s.pid, s.x, s.y, coalesce(lab.cluster, brd.cluster, -1) as cluster, "
+    "lab.p is not null as is_core from sites s left join lab on lab.p = s.pid left join brd on brd.p = s.pid) ")
+
+
+def _dbscan_sites(spark, sf):
+    return CL.dbscan(X.sites(spark, sf), DB_EPS, DB_MIN, id_col="pid")
+
+
+@query("dbscan_labels", _DBSCAN_CTES + "select pid, cluster, is_core from labels")
+def q_dbscan_labels(spark, sf):
+    """DBSCAN (eps 60, min 10, inclusive, self counted) on every site."""
+    return _dbscan_sites(spark, sf).select("pid", "cluster", "is_core")
+
+
+@query("dbscan_core_points", _DBSCAN_CTES + "select pid from labels where is_core")
+def q_dbscan_core_points(spark, sf):
+    return _dbscan_sites(spark, sf).filter("is_core").select("pid")
+
+
+_HULL_CTES = (
+    "m as (select pid, cluster, x, y from labels where cluster <> -1), "
+    "sz as (select cluster, count(*) as n_points, min(x) as x0, min(y) as y0 from m group by cluster), "
+    "hp as (select distinct m.cluster, m.x - sz.x0 as x, m.y - sz.y0 as y from m join sz on sz.cluster = m.cluster), "
+    "he as (select a.cluster, a.x as e_ax, a.y as e_ay, b.x as e_bx, b.y as e_by from hp a join hp b "
+    "on a.cluster = b.cluster and (a.x <> b.x or a.y <> b.y) where not exists (select 1 from hp r "
+    "where r.cluster = a.cluster and (((b.x - a.x) * (r.y - a.y) - (b.y - a.y) * (r.x - a.x)) < 0 "
+    "or (((b.x - a.x) * (r.y - a.y) - (b.y - a.y) * (r.x - a.x)) = 0 and "
+    "((r.x - a.x) * (b.x - a.x) + (r.y - a.y) * (b.y - a.y) < 0 "
+    "or (r.x - b.x) * (a.x - b.x) + (r.y - b.y) * (a.y - b.y) < 0))))), "
+    "hull as (select cluster, cast(count(*) as integer) as n_vertices, "
+    "0.5 * sum(e_ax * e_by - e_bx * e_ay) as area from he group by cluster) ")
+
+
+@query("hull_area", _DBSCAN_CTES + ", " + _HULL_CTES +
+       "select sz.cluster, coalesce(hull.n_vertices, 1) as n_vertices, round(coalesce(hull.area, 0), 3) as area "
+       "from sz left join hull on hull.cluster = sz.cluster")
+def q_hull_area(spark, sf):
+    """Convex hull (vertex count, area) of every DBSCAN cluster."""
+    lab = _dbscan_sites(spark, sf).filter(F.col("cluster") != -1)
+    h = HU.convex_hull(lab, "cluster")
+    return h.select("cluster", "n_vertices", F.round("area", 3).alias("area"))
+
+
+@query("cluster_footprints", _DBSCAN_CTES + ", " + _HULL_CTES +
+       "select sz.cluster, sz.n_points, hull.n_vertices, round(hull.area, 3) as area "
+       "from sz join hull on hull.cluster = sz.cluster where sz.n_points >= 3")
+def q_cluster_footprints(spark, sf):
+    """Footprint polygon per cluster (noise and < 3 points skipped)."""
+    fp = HU.footprints(_dbscan_sites(spark, sf))
+    return fp.select("cluster", "n_points", "n_vertices", F.round("area", 3).alias("area"))
+
+
+@query("footprint_heights", _DBSCAN_CTES + ", " + _HULL_CTES +
+       "select sz.cluster, round(hull.area * 0.05, 3) as height "
+       "from sz join hull on hull.cluster = sz.cluster where sz.n_points >= 3")
+def q_footprint_heights(spark, sf):
+    fp = HU.footprint_heights(HU.footprints(_dbscan_sites(spark, sf)), 0.05, "building")
+    return fp.select("cluster", F.round("height", 3).alias("height"))
+
+
+@query("multipoint_union", _DBSCAN_CTES +
+       "select cluster, count(distinct (x, y)) as n_points, 'MULTIPOINT (' || string_agg(distinct '(' || "
+       f"{_pt_sql('x', 'y')} || ')', ', ' order by '(' || {_pt_sql('x', 'y')} || ')') || ')' as points "
+       "from labels where cluster <> -1 group by cluster")
+def q_multipoint_union(spark, sf):
+    """st_aggr_union for points: each cluster as one MULTIPOINT (distinct)."""
+    u = A.multipoint_union(_dbscan_sites(spark, sf).filter(F.col("cluster") != -1), "cluster")
+    txt = F.array_sort(F.transform("points", lambda v: F.concat(
+        F.lit("("), G._num_text(v.x), F.lit(" "), G._num_text(v.y), F.lit(")"))))
+    return u.select("cluster", F.col("n_points").cast("bigint").alias("n_points"),
+                    F.concat(F.lit("MULTIPOINT ("), F.array_join(txt, ", "), F.lit(")")).alias("points"))
+
+
+CENTRES = [(282000.0, 5653000.0), (286000.0, 5654000.0)]
+_ASSIGN_SQL = (f"case when (x - {d(CENTRES[1][0])}) * (x - {d(CENTRES[1][0])}) + (y - {d(CENTRES[1][1])}) * (y - {d(CENTRES[1][1])}) "
+               f"< (x - {d(CENTRES[0][0])}) * (x - {d(CENTRES[0][0])}) + (y - {d(CENTRES[0][1])}) * (y - {d(CENTRES[0][1])}) "
+               "then 1 else 0 end")
+
+
+@query("kmeans_assign", X.with_ctes(f"select pid, {_ASSIGN_SQL} as label from sites", **SITES))
+def q_kmeans_assign(spark, sf):
+    """Nearest of two given centres for every site."""
+    return CL.kmeans_assign(X.sites(spark, sf), CENTRES).select("pid", "label")
+
+
+@query("label_join_back", X.with_ctes(
+    f"select s.pid, smp.label from sites s left join (select pid, {_ASSIGN_SQL} as label from sites "
+    "order by md5(concat_ws('|', cast(pid as varchar), '0')) limit 1000) smp on smp.pid = s.pid", **SITES))
+def q_label_join_back(spark, sf):
+    """Labels computed on a 1000-row seeded sample, joined back to all rows
+    (null for rows outside the sample)."""
+    s = X.sites(spark, sf)
+    smp = CL.kmeans_assign(A.sample_points(s, 1000, seed=0, key="pid"), CENTRES)
+    return CL.label_join_back(s, smp, "pid").select("pid", "label")
+
+
+@query("kmeans_fit")
+def q_kmeans_fit(spark, sf):
+    """k-means (k=2, seed 0) fitted on a 100,000-row sample in float32;
+    labels on the sample, null elsewhere."""
+    s = X.sites(spark, sf)
+    _, labelled = CL.kmeans_fit(s, k=2, seed=0, sample_rows=100_000, id_col="pid")
+    return CL.label_join_back(s, labelled, "pid").select("pid", "label")
