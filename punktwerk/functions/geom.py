@@ -458,6 +458,32 @@ def bbox_filter_literal(shape: Shape, px, py, boundary: bool) -> Column:
     return (px > minx) & (px < maxx) & (py > miny) & (py < maxy)
 
 
+def is_axis_rectangle(shape: Shape) -> bool:
+    """A single-ring polygon that is exactly its bounding box."""
+    if shape.gtype != "POLYGON" or len(shape.parts) != 1 or len(shape.parts[0]) != 1:
+        return False
+    ring = shape.parts[0][0]
+    if len(ring) != 5 or ring[0] != ring[-1]:
+        return False
+    minx, miny, maxx, maxy = shape.bbox
+    corners = {(minx, miny), (minx, maxy), (maxx, miny), (maxx, maxy)}
+    edges_axis = all(x1 == x2 or y1 == y2 for x1, y1, x2, y2 in shape.edges)
+    return set(ring[:4]) == corners and edges_axis
+
+
+def exact_literal(shape: Shape | str, px="x", py="y", boundary: bool = False) -> Column:
+    """The exact point-in-polygon part of ``contains_literal`` without the
+    bbox pre-filter (for use where the bbox is already applied)."""
+    if isinstance(shape, str):
+        shape = parse_wkt_literal(shape)
+    px, py = _c(px), _c(py)
+    if is_axis_rectangle(shape):
+        return bbox_filter_literal(shape, px, py, boundary)
+    odd = (crossings_literal(shape, px, py) % 2) == 1
+    on = on_boundary_literal(shape, px, py)
+    return (odd | on) if boundary else (odd & ~on)
+
+
 def contains_literal(shape: Shape | str, px="x", py="y", boundary: bool = False) -> Column:
     """Point-in-polygon against a driver-side polygon, unrolled into plain
     arithmetic (one term per edge) behind a bbox pre-filter.
@@ -469,7 +495,7 @@ def contains_literal(shape: Shape | str, px="x", py="y", boundary: bool = False)
     if shape.gtype not in ("POLYGON", "MULTIPOLYGON"):
         raise ValueError("contains_literal needs a polygon")
     px, py = _c(px), _c(py)
-    odd = (crossings_literal(shape, px, py) % 2) == 1
-    on = on_boundary_literal(shape, px, py)
-    exact = (odd | on) if boundary else (odd & ~on)
-    return bbox_filter_literal(shape, px, py, boundary) & exact
+    bb = bbox_filter_literal(shape, px, py, boundary)
+    if is_axis_rectangle(shape):
+        return bb
+    return bb & exact_literal(shape, px, py, boundary)

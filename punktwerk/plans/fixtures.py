@@ -67,19 +67,39 @@ TILE_META_LITERALS = {
 }
 
 
+SMALL_TABLE_BYTES = 256 * 1024 * 1024
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _spread(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
+    """The test tables are single files with one row group, which Spark
+    reads in one task. A small table is spread over the cores once (a
+    shuffle of a few columns) so the per-row geometry work downstream runs
+    in parallel; a large table already arrives in many splits and is left
+    as it is."""
+    import os
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    try:
+        size = os.path.getsize(path)
+    except OSError:
+        return df
+    if size > SMALL_TABLE_BYTES:
+        return df
+    return df.repartition(spark.sparkContext.defaultParallelism)
+
+
 def pts(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
-    df = table(spark, sf_dir, "lineitem").selectExpr(*PTS_EXPRS)
+    df = _spread(spark, sf_dir, "lineitem", table(spark, sf_dir, "lineitem").selectExpr(*PTS_EXPRS))
     if with_source:
         df = df.selectExpr("*", f"{SOURCE_FILE_EXPR} as source_file")
     return df
 
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").selectExpr(*SITES_EXPRS)
+    return _spread(spark, sf_dir, "orders", table(spark, sf_dir, "orders").selectExpr(*SITES_EXPRS))
 
 
 def rects(spark: SparkSession, sf_dir: str) -> DataFrame:
