@@ -642,3 +642,256 @@ def q_kmeans_fit(spark, sf):
     s = X.sites(spark, sf)
     _, labelled = CL.kmeans_fit(s, k=2, seed=0, sample_rows=100_000, id_col="pid")
     return CL.label_join_back(s, labelled, "pid").select("pid", "label")
+
+
+# --------------------------------------------------------------------------
+# sources and sinks (data derived from the tables, written to the shared
+# checkpoint folder, read back through the reader under test)
+# --------------------------------------------------------------------------
+
+from punktwerk.functions import wkb as WKB  # noqa: E402
+from punktwerk.session import scratch_path  # noqa: E402
+from punktwerk.sources import metadata as MD  # noqa: E402
+from punktwerk.sources import points as SP  # noqa: E402
+from punktwerk.sources import shapes as SS  # noqa: E402
+from punktwerk.sources import sinks as SK  # noqa: E402
+
+
+@query("scan_points_csv", X.with_ctes("select * from pts", **PTS))
+def q_scan_points_csv(spark, sf):
+    """Points written as CSV with a header, read back with the fixed schema."""
+    path = scratch_path(spark, "points-csv")
+    SK.write_points_csv(X.pts(spark, sf), path)
+    return SP.read_points_csv(spark, path)
+
+
+@query("source_file_basename", X.with_ctes(
+    "select source_file, count(*) as n from pts group by source_file", **PTS_SRC))
+def q_source_file_basename(spark, sf):
+    """Lineage column from the file path of every row (tile directory)."""
+    path = scratch_path(spark, "points-by-tile")
+    X.pts(spark, sf, with_source=True).write.partitionBy("source_file").option("header", True).csv(path)
+    df = SP.read_points_csv(spark, path).drop("source_file")
+    return SP.with_source_file(df, level="dir").groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("scan_headerless", X.with_ctes(
+    "select cast(pid as varchar) as _c0, cast(x as varchar) as _c1, cast(y as varchar) as _c2 from sites",
+    **SITES))
+def q_scan_headerless(spark, sf):
+    """Headerless CSV -> positional string columns."""
+    path = scratch_path(spark, "sites-headerless")
+    X.sites(spark, sf).write.option("header", False).csv(path)
+    return SP.read_headerless(spark, path)
+
+
+@query("read_typed_points", X.with_ctes(
+    "select x, y, cast(pid as varchar) as attr1, 'abc' as attr2 from sites", **SITES))
+def q_read_typed_points(spark, sf):
+    """Point text with the coordinates at offset 1 and carried attributes."""
+    path = scratch_path(spark, "typed-points")
+    X.sites(spark, sf).select(F.concat_ws(",", F.col("pid").cast("string"), F.col("x").cast("string"),
+                                          F.col("y").cast("string"), F.lit("abc")).alias("value")) \
+        .write.text(path)
+    return SP.read_typed_points(spark, path, offset=1, sep=",", carry_attributes=True)
+
+
+_RECT_SHAPE_SQL = ("select rect_id, 'POLYGON' as gtype, 5 as n_vertices, "
+                   "round((maxx - minx) * (maxy - miny), 6) as area, minx, miny, maxx, maxy from rects")
+
+
+@query("read_wkt", X.with_ctes(_RECT_SHAPE_SQL, **RECTS))
+def q_read_wkt(spark, sf):
+    """TSV with WKT in column 0 and attributes after it."""
+    path = scratch_path(spark, "rects-wkt")
+    rect_shapes(spark, sf).select(G.st_astext("geom").alias("wkt"), "rect_id") \
+        .write.option("sep", "\t").csv(path)
+    df = SS.read_wkt(spark, path, sep="\t")
+    return df.select(F.col("_c1").cast("bigint").alias("rect_id"), F.col("geom.gtype").alias("gtype"),
+                     G.st_numpoints("geom").alias("n_vertices"), F.round(G.st_area("geom"), 6).alias("area"),
+                     "minx", "miny", "maxx", "maxy")
+
+
+@query("read_wkb", X.with_ctes(_RECT_SHAPE_SQL, **RECTS))
+def q_read_wkb(spark, sf):
+    """TSV with hex WKB in column 0 (encode and decode are Arrow UDFs)."""
+    path = scratch_path(spark, "rects-wkb")
+    rect_shapes(spark, sf).select(F.hex(WKB.st_asbinary("geom")).alias("wkb"), "rect_id") \
+        .write.option("sep", "\t").csv(path)
+    df = SS.read_wkb(spark, path, sep="\t")
+    return df.select(F.col("_c1").cast("bigint").alias("rect_id"), F.col("geom.gtype").alias("gtype"),
+                     G.st_numpoints("geom").alias("n_vertices"), F.round(G.st_area("geom"), 6).alias("area"),
+                     "minx", "miny", "maxx", "maxy")
+
+
+@query("read_geojson", X.with_ctes(_RECT_SHAPE_SQL, **RECTS))
+def q_read_geojson(spark, sf):
+    """GeoJSON Features one per line with trailing commas; properties become
+    columns."""
+    path = scratch_path(spark, "rects-geojson")
+    rect_shapes(spark, sf).select(F.concat(GJ.feature("geom", F.struct("rect_id")), F.lit(",")).alias("value")) \
+        .write.text(path)
+    df = SS.read_geojson(spark, path, properties_schema="rect_id bigint")
+    return df.select("rect_id", F.col("geom.gtype").alias("gtype"), G.st_numpoints("geom").alias("n_vertices"),
+                     F.round(G.st_area("geom"), 6).alias("area"), "minx", "miny", "maxx", "maxy")
+
+
+def _jpt(x, y):
+    return f"'[' || cast({x} as varchar) || ',' || cast({y} as varchar) || ']'"
+
+
+@query("features_geojson", X.with_ctes(
+    "select rect_id, '{\"type\":\"Feature\",\"properties\":{\"rect_id\":' || cast(rect_id as varchar) || "
+    "'},\"geometry\":{\"type\":\"Polygon\",\"coordinates\":[[' || "
+    + " || ',' || ".join(_jpt(a, b) for a, b in (("minx", "miny"), ("maxx", "miny"), ("maxx", "maxy"),
+                                                  ("minx", "maxy"), ("minx", "miny")))
+    + " || ']]}}' as feature from rects", **RECTS))
+def q_features_geojson(spark, sf):
+    """Shapes -> GeoJSON Feature text (the form written by write_geojson)."""
+    return rect_shapes(spark, sf).select("rect_id", GJ.feature("geom", F.struct("rect_id")).alias("feature"))
+
+
+@query("ingest_roundtrip", X.with_ctes(
+    "select source_file, count(*) as n, round(sum(z), 6) as sum_z from pts group by source_file", **PTS_SRC))
+def q_ingest_roundtrip(spark, sf):
+    """Append the points to a table partitioned by tile, append them again
+    with tile replacement (idempotent re-ingest), read back per tile."""
+    path = scratch_path(spark, "point-table")
+    p = X.pts(spark, sf, with_source=True)
+    SK.append_points(p, path=path)
+    SK.append_points(p, path=path)          # re-ingest: same tiles replaced, no duplicates
+    back = spark.read.parquet(path)
+    return back.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("z"), 6).alias("sum_z"))
+
+
+@query("scan_table", X.with_ctes(
+    f"select * from pts where source_file like '3dm_32_28%' and x < {d(283500)} and y >= {d(5653000)}",
+    **PTS_SRC))
+def q_scan_table(spark, sf):
+    """Catalog table (CREATE TABLE … PARTITIONED BY) scanned with a tile
+    predicate (partition pruning) and coordinate predicates (pushed to the
+    Parquet reader)."""
+    import uuid
+    name = f"punktwerk_points_{uuid.uuid4().hex[:8]}"
+    SK.create_point_table(spark, name, location=scratch_path(spark, "catalog-table"))
+    SK.append_points(X.pts(spark, sf, with_source=True), table=name)
+    t = spark.table(name)
+    return t.filter(F.col("source_file").like("3dm_32_28%") & (F.col("x") < 283500.0) & (F.col("y") >= 5653000.0))
+
+
+# Fixed value: the base address used to build download URLs in the queries.
+TILE_BASE_URL = "https://example.org/tiles/3dm_l_las"
+_TM = {"pts": X.PTS_SRC_SQL, "tm": None}
+
+
+def _tile_ctes(**extra):
+    return dict(pts=X.PTS_SRC_SQL, tm=X.tile_meta_sql(), **extra)
+
+
+@query("tile_urls", X.with_ctes(
+    f"select Kachelname || '.laz' as name, '{TILE_BASE_URL}/' || Kachelname || '.laz' as url, "
+    "Kachelname || '.laz' as laz_file from tm", **_tile_ctes()))
+def q_tile_urls(spark, sf):
+    tm = X.tile_meta(spark, sf).select(F.concat("Kachelname", F.lit(".laz")).alias("name"))
+    return MD.tile_urls(tm, TILE_BASE_URL)
+
+
+@query("xml_listing", X.with_ctes(
+    "select source_file as name, count(*) as size from pts group by source_file", **PTS_SRC))
+def q_xml_listing(spark, sf):
+    """Tile listing as XML elements, read back with the XML source."""
+    path = scratch_path(spark, "tile-index-xml")
+    sizes = X.pts(spark, sf, with_source=True).groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+    elems = sizes.select(F.pmod(F.xxhash64("source_file"), F.lit(4)).alias("grp"), F.concat(
+        F.lit('<file name="'), F.col("source_file"), F.lit('" size="'), F.col("n").cast("string"),
+        F.lit('"/>')).alias("value"))
+    SK.write_text_files(elems, path, "grp", header=["<files>"], footer=["</files>"])
+    df = MD.read_tile_index_xml(spark, path)
+    return df.select("name", F.col("_size").cast("bigint").alias("size"))
+
+
+@query("xml_xpath", X.with_ctes(
+    "select Kachelname || '.laz' as name from tm", **_tile_ctes()))
+def q_xml_xpath(spark, sf):
+    """In-column XPath over XML text (one listing document per tile)."""
+    tm = X.tile_meta(spark, sf)
+    xml = F.concat(F.lit('<files><file name="'), F.col("Kachelname"), F.lit('.laz"/></files>'))
+    return tm.select(F.explode(MD.xml_names(xml)).alias("name"))
+
+
+_META_SQL = "select * from tm"
+
+
+@query("tile_metadata_scan", X.with_ctes(_META_SQL, **_tile_ctes()))
+def q_tile_metadata_scan(spark, sf):
+    """';'-separated metadata files with a 7-line preamble per file."""
+    path = scratch_path(spark, "tile-metadata")
+    tm = X.tile_meta(spark, sf)
+    body = tm.select(F.pmod(F.xxhash64("Kachelname"), F.lit(4)).alias("grp"),
+                     F.concat_ws(";", *[F.col(c).cast("string") for c in MD.RAW_META_COLUMNS]).alias("value"))
+    SK.write_text_files(body, path, "grp", header=[f"# preamble line {i}" for i in range(7)])
+    return MD.read_tile_metadata(spark, path, skip=7)
+
+
+CURATION_DATE = "2024-01-01"
+
+
+@query("tile_metadata_curated", X.with_ctes(
+    f"select '{MD.CURATED_DEFAULTS['Land']}' as Land, '{MD.CURATED_DEFAULTS['Eigentuemer']}' as Eigentuemer, "
+    f"date '{CURATION_DATE}' as Aktualitaet_Kachelinformationen, "
+    f"'{MD.CURATED_DEFAULTS['Version_Standard']}' as Version_Standard, "
+    f"'{MD.CURATED_DEFAULTS['Punktklassenbelegung']}' as Punktklassenbelegung, "
+    "Kachelname || '.laz' as Kachelname, " + ", ".join(MD.RAW_META_COLUMNS[1:]) + " from tm", **_tile_ctes()))
+def q_tile_metadata_curated(spark, sf):
+    """Curation insert: constants, curation date (a parameter here),
+    suffixed tile name, raw columns."""
+    return MD.curate_tile_metadata(X.tile_meta(spark, sf), as_of=CURATION_DATE)
+
+
+@query("tile_join", X.with_ctes(
+    "select p.source_file, m.Land as land, m.Aufloesung as aufloesung, count(*) as n from pts p "
+    "join (select Kachelname || '.laz' as k, 'Nordrhein-Westfalen' as Land, Aufloesung from tm) m "
+    "on p.source_file = m.k group by 1, 2, 3", **_tile_ctes()))
+def q_tile_join(spark, sf):
+    """Points joined with their tile's metadata by file name."""
+    cur = MD.curate_tile_metadata(X.tile_meta(spark, sf), as_of=CURATION_DATE)
+    j = MD.tile_join(X.pts(spark, sf, with_source=True), cur)
+    return j.groupBy("source_file", F.col("Land").alias("land"), F.col("Aufloesung").alias("aufloesung")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("tile_geohash_counts", X.with_ctes(
+    f"select m.Land as land, p.source_file, {geohash_sql('p.lon', 'p.lat', 6)} as geohash, count(*) as n "
+    "from (select source_file, " + _LON + " as lon, " + _LAT + " as lat from pts) p "
+    "join (select Kachelname || '.laz' as k, 'Nordrhein-Westfalen' as Land from tm) m "
+    "on p.source_file = m.k group by 1, 2, 3", **_tile_ctes()))
+def q_tile_geohash_counts(spark, sf):
+    """Enriched point table (geohash per point) joined with the curated
+    metadata, counted per (land, tile, geohash)."""
+    pts = GH.with_geohash(X.pts(spark, sf, with_source=True), srid=25832, precision=6)
+    cur = MD.curate_tile_metadata(X.tile_meta(spark, sf), as_of=CURATION_DATE)
+    j = MD.tile_join(pts, cur)
+    return j.groupBy(F.col("Land").alias("land"), "source_file", "geohash").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("split_attributes", X.with_ctes(
+    "select cast(pid as varchar) as a0, cast(cast(floor(x) as bigint) as varchar) as a1, "
+    "cast(cast(floor(y) as bigint) as varchar) as a2 from sites", **SITES))
+def q_split_attributes(spark, sf):
+    """Tab-joined attribute text split back into columns."""
+    s = X.sites(spark, sf).select(F.concat_ws("\t", F.col("pid").cast("string"),
+                                              F.floor("x").cast("string"), F.floor("y").cast("string")).alias("ud"))
+    parts = F.split("ud", "\t")
+    return s.select(F.get(parts, 0).alias("a0"), F.get(parts, 1).alias("a1"), F.get(parts, 2).alias("a2"))
+
+
+@query("fill_missing", X.with_ctes(
+    "select classification, coalesce(m.label, '') as label, count(*) as n "
+    "from pts left join (values " + ", ".join(
+        f"({k}, '{v}')" for k, v in sorted(A.CLASS_COLOURS.items())) +
+    ") as m(code, label) on pts.classification = m.code group by 1, 2", **PTS))
+def q_fill_missing(spark, sf):
+    """Missing labels (codes outside the dictionary) replaced by ''."""
+    m = F.create_map(*[x for k, v in sorted(A.CLASS_COLOURS.items()) for x in (F.lit(k), F.lit(v))])
+    p = X.pts(spark, sf).withColumn("label", F.try_element_at(m, F.col("classification"))).fillna("", ["label"])
+    return p.groupBy("classification", "label").agg(F.count(F.lit(1)).alias("n"))
