@@ -895,3 +895,46 @@ def q_fill_missing(spark, sf):
     m = F.create_map(*[x for k, v in sorted(A.CLASS_COLOURS.items()) for x in (F.lit(k), F.lit(v))])
     p = X.pts(spark, sf).withColumn("label", F.try_element_at(m, F.col("classification"))).fillna("", ["label"])
     return p.groupBy("classification", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --------------------------------------------------------------------------
+# streaming ingest
+# --------------------------------------------------------------------------
+
+from punktwerk.streaming import ingest as ST  # noqa: E402
+
+
+@query("stream_ingest", X.with_ctes(
+    "select source_file, count(*) as n, round(sum(z), 6) as sum_z from pts group by source_file", **PTS_SRC))
+def q_stream_ingest(spark, sf):
+    """Point files arriving in a folder, ingested by a file stream
+    (availableNow, at most 8 files per micro-batch) into the table
+    partitioned by tile; a second run of the same stream finds nothing new."""
+    src, table, ckpt = (scratch_path(spark, n) for n in ("stream-src", "stream-table", "stream-ckpt"))
+    X.pts(spark, sf, with_source=True).repartition("source_file").write.partitionBy("source_file") \
+        .option("header", True).csv(src)
+    for _ in range(2):   # rerun from the checkpoint: no file is ingested twice
+        q = ST.stream_points(spark, src, table, ckpt, max_files=8)
+        q.awaitTermination()
+    back = spark.read.parquet(table)
+    return back.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("z"), 6).alias("sum_z"))
+
+
+@query("route_valid_invalid", X.with_ctes(
+    "select source_file, cast(sum(case when intensity < 65000 then 1 else 0 end) as bigint) as n_valid, "
+    "cast(sum(case when intensity >= 65000 then 1 else 0 end) as bigint) as n_invalid "
+    "from pts group by source_file", **PTS_SRC))
+def q_route_valid_invalid(spark, sf):
+    """Rows whose elevation field is not a number (here: rows with intensity
+    >= 65000 are written with 'n/a') go to the quarantine; per tile counts of
+    both sides after a streamed ingest."""
+    src, table, bad, ckpt = (scratch_path(spark, n) for n in ("route-src", "route-table", "route-bad", "route-ckpt"))
+    p = X.pts(spark, sf, with_source=True)
+    p = p.withColumn("z", F.when(F.col("intensity") >= 65000, F.lit("n/a")).otherwise(F.col("z").cast("string")))
+    p.repartition("source_file").write.partitionBy("source_file").option("header", True).csv(src)
+    ST.stream_points(spark, src, table, ckpt, quarantine_path=bad, max_files=16).awaitTermination()
+    ok = spark.read.parquet(table).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_valid"))
+    ko = spark.read.parquet(bad).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_invalid"))
+    return ok.join(ko, "source_file", "full").select(
+        "source_file", F.coalesce("n_valid", F.lit(0)).cast("bigint").alias("n_valid"),
+        F.coalesce("n_invalid", F.lit(0)).cast("bigint").alias("n_invalid"))
