@@ -938,3 +938,50 @@ def q_route_valid_invalid(spark, sf):
     return ok.join(ko, "source_file", "full").select(
         "source_file", F.coalesce("n_valid", F.lit(0)).cast("bigint").alias("n_valid"),
         F.coalesce("n_invalid", F.lit(0)).cast("bigint").alias("n_invalid"))
+
+
+# --------------------------------------------------------------------------
+# SQL strings with the registered ST_* functions
+# --------------------------------------------------------------------------
+
+from punktwerk.functions.sql import register_sql_functions  # noqa: E402
+
+
+def _temp_view(df, stem: str) -> str:
+    import uuid
+    name = f"{stem}_{uuid.uuid4().hex[:8]}"
+    df.createOrReplaceTempView(name)
+    return name
+
+
+_POLY2_COORDS = ", ".join(f"{v!r}d" for x, y in G.parse_wkt_literal(X.POLY2_WKT).parts[0][0] for v in (float(x), float(y)))
+
+
+@query("sql_contains", X.with_ctes(
+    "select cast(sum(case when odd and not on_edge then 1 else 0 end) as bigint) as n_inside, "
+    "cast(sum(case when odd or on_edge then 1 else 0 end) as bigint) as n_covered "
+    f"from ({point_in_polys_sql('p', {2: X.POLY2_WKT}, 'rid')})",
+    **PTS, p="select row_number() over () as rid, x, y from pts"))
+def q_sql_contains(spark, sf):
+    """Point-in-polygon written as a SQL string with ST_* functions, the
+    bbox spelled out so it can prune before the exact test."""
+    register_sql_functions(spark)
+    v = _temp_view(X.pts(spark, sf), "pts")
+    bx = G.parse_wkt_literal(X.POLY2_WKT).bbox
+    return spark.sql(
+        f"select count_if(st_contains(st_polygon(array({_POLY2_COORDS})), st_point(x, y))) as n_inside, "
+        f"count_if(st_covers(st_polygon(array({_POLY2_COORDS})), st_point(x, y))) as n_covered "
+        f"from {v} where x between {bx[0]}d and {bx[2]}d and y between {bx[1]}d and {bx[3]}d")
+
+
+@query("sql_distance_area", X.with_ctes(
+    f"select rect_id, round((maxx - minx) * (maxy - miny), 6) as area, "
+    f"round(sqrt((minx - {d(_PX)}) * (minx - {d(_PX)}) + (miny - {d(_PY)}) * (miny - {d(_PY)})), 6) as dist "
+    "from rects", **RECTS))
+def q_sql_distance_area(spark, sf):
+    """st_area / st_distance / st_makeenvelope inside a SQL string."""
+    register_sql_functions(spark)
+    v = _temp_view(X.rects(spark, sf), "rects")
+    return spark.sql(
+        "select rect_id, round(st_area(st_makeenvelope(minx, miny, maxx, maxy)), 6) as area, "
+        f"round(st_distance(st_point(minx, miny), st_point({_PX}d, {_PY}d)), 6) as dist from {v}")
