@@ -311,8 +311,30 @@ def distance_to_literal(shape: G.Shape | str, x: str = "x", y: str = "y") -> Col
     return d
 
 
-def grid_cell_size(extent_row, target_cells: int) -> float:
-    """Cell size splitting an extent into about ``target_cells`` squares."""
+def grid_cell_size(extent_row, rows_per_cell: int) -> float:
+    """Cell size splitting an extent into squares holding about
+    ``rows_per_cell`` rows on average (from the 'analyze' aggregate)."""
     w = max(extent_row["maxx"] - extent_row["minx"], 1e-9)
     h = max(extent_row["maxy"] - extent_row["miny"], 1e-9)
-    return math.sqrt(w * h / max(target_cells, 1))
+    target = max(math.ceil(extent_row["n"] / rows_per_cell), 1)
+    return math.sqrt(w * h / target)
+
+
+def grid_partition(df: DataFrame, rows_per_cell: int = 100_000, num_partitions: int | None = None,
+                   x: str = "x", y: str = "y", max_cell_rows: int | None = None) -> tuple[DataFrame, float]:
+    """Spatial co-partitioning: cell size from the data's extent and count,
+    rows hash-partitioned by cell so that two data sets partitioned with the
+    same cell size and partition count meet cell by cell. A cell with more
+    than ``max_cell_rows`` rows (default 4 x rows_per_cell) is spread over
+    several partitions by a salt. Returns (partitioned df with cx/cy, cell)."""
+    from punktwerk.operators.aggs import extent
+    e = extent(df, x, y).first()
+    cell = grid_cell_size(e, rows_per_cell)
+    g = with_grid(df, cell, x, y)
+    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    limit = max_cell_rows or 4 * rows_per_cell
+    hot = hot_cells(g, ["cx", "cy"], limit)
+    g = key_join(g, hot, ["cx", "cy"], "left").withColumn(
+        "_salt", F.when(F.col("_nsalt").isNull(), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64(F.col(x), F.col(y)), F.col("_nsalt")))).drop("_nsalt")
+    return g.repartition(n, "cx", "cy", "_salt").drop("_salt"), cell

@@ -985,3 +985,42 @@ def q_sql_distance_area(spark, sf):
     return spark.sql(
         "select rect_id, round(st_area(st_makeenvelope(minx, miny, maxx, maxy)), 6) as area, "
         f"round(st_distance(st_point(minx, miny), st_point({_PX}d, {_PY}d)), 6) as dist from {v}")
+
+
+@query("rects_touch", X.with_ctes(
+    "select a.rect_id as rect_id_a, b.rect_id as rect_id_b from rects a join rects b on a.rect_id < b.rect_id "
+    "and greatest(a.minx, b.minx) <= least(a.maxx, b.maxx) and greatest(a.miny, b.miny) <= least(a.maxy, b.maxy) "
+    "and (greatest(a.minx, b.minx) = least(a.maxx, b.maxx) or greatest(a.miny, b.miny) = least(a.maxy, b.maxy))",
+    **RECTS))
+def q_rects_touch(spark, sf):
+    """Rectangle pairs whose boundaries meet but interiors do not, as a
+    grid shape/shape join with reference-point deduplication."""
+    r = X.rects(spark, sf)
+    j = J.shape_join(r, r, cell=_RECT_CELL, predicate="touches")
+    return j.filter(F.col("rect_id_a") < F.col("rect_id_b")).select("rect_id_a", "rect_id_b")
+
+
+_GRID_ROWS = 500
+
+
+@query("grid_partition_counts", X.with_ctes(
+    "select cast(floor(x / c.cell) as bigint) as cx, cast(floor(y / c.cell) as bigint) as cy, count(*) as n "
+    "from pts, (select sqrt(greatest(max(x) - min(x), 1e-9) * greatest(max(y) - min(y), 1e-9) / "
+    f"greatest(ceil(count(*) / {_GRID_ROWS}), 1)) as cell from pts) c group by 1, 2", **PTS))
+def q_grid_partition_counts(spark, sf):
+    """Density-adaptive grid: cell size from extent and count, points
+    co-partitioned by cell (hot cells salted), counted per cell."""
+    g, _ = J.grid_partition(X.pts(spark, sf), rows_per_cell=_GRID_ROWS)
+    return g.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("rects_overlap", X.with_ctes(
+    "select a.rect_id as rect_id_a, b.rect_id as rect_id_b from rects a join rects b on a.rect_id <> b.rect_id "
+    "and greatest(a.minx, b.minx) <= least(a.maxx, b.maxx) and greatest(a.miny, b.miny) <= least(a.maxy, b.maxy)",
+    **RECTS))
+def q_rects_overlap(spark, sf):
+    """All ordered pairs of distinct rectangles that meet (closed): each
+    pair is emitted once although both span several shared cells."""
+    r = X.rects(spark, sf)
+    j = J.shape_join(r, r, cell=_RECT_CELL, predicate="intersects")
+    return j.filter(F.col("rect_id_a") != F.col("rect_id_b")).select("rect_id_a", "rect_id_b")
