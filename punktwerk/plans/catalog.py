@@ -1024,3 +1024,16 @@ def q_rects_overlap(spark, sf):
     r = X.rects(spark, sf)
     j = J.shape_join(r, r, cell=_RECT_CELL, predicate="intersects")
     return j.filter(F.col("rect_id_a") != F.col("rect_id_b")).select("rect_id_a", "rect_id_b")
+
+
+@query("lines_bbox_overlap", X.with_ctes(
+    "select a.line_id as line_id_a, b.line_id as line_id_b from lines a join lines b on a.line_id < b.line_id "
+    "and greatest(least(a.x1, a.x2), least(b.x1, b.x2)) <= least(greatest(a.x1, a.x2), greatest(b.x1, b.x2)) "
+    "and greatest(least(a.y1, a.y2), least(b.y1, b.y2)) <= least(greatest(a.y1, a.y2), greatest(b.y1, b.y2))",
+    **LINES))
+def q_lines_bbox_overlap(spark, sf):
+    """Pairs of linestrings whose bounding boxes meet (shape/shape grid join,
+    50 m cells, reference-point deduplication)."""
+    b = _line_bbox(X.lines(spark, sf)).select("line_id", "minx", "miny", "maxx", "maxy")
+    j = J.shape_join(b, b, cell=50.0, predicate="intersects")
+    return j.filter(F.col("line_id_a") < F.col("line_id_b")).select("line_id_a", "line_id_b")
