@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punktwerk.functions.geom import dist_xy
-from punktwerk.operators.graph import connected_components
+from punktwerk.operators.graph import blocked_components, connected_components
 from punktwerk.operators.joins import key_join, salted_equi_join
 
 _OFFS21 = [(i, j) for i in range(-2, 3) for j in range(-2, 3) if not (abs(i) == 2 and abs(j) == 2)]
@@ -43,6 +43,13 @@ def _node(cx: str, cy: str) -> F.Column:
     return F.shiftleft(F.col(cx), 32) + F.col(cy).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
+BLOCK_CELLS = 16   # components are first solved inside blocks of 16 x 16 cells
+
+
+def _block(cx, cy) -> F.Column:
+    return F.struct(F.floor(cx / BLOCK_CELLS).alias("bx"), F.floor(cy / BLOCK_CELLS).alias("by"))
+
+
 def _replicate(df: DataFrame, offs, cx="_cx", cy="_cy") -> DataFrame:
     """One row per neighbouring cell, with the target cell in (_tx, _ty)."""
     return df.withColumn("_o", F.explode(_offsets(offs))) \
@@ -78,11 +85,13 @@ def dbscan(df: DataFrame, eps: float, min_points: int, id_col: str = "pid", x: s
     # 3. certain links between cells through adjacent half-cells
     subs = core.select("_sx", "_sy", "_node").distinct()
     rep = _replicate(subs, _OFFS8, "_sx", "_sy").select(
-        F.col("_tx").alias("_sx"), F.col("_ty").alias("_sy"), F.col("_node").alias("_src"))
+        F.col("_tx").alias("_sx"), F.col("_ty").alias("_sy"), F.col("_node").alias("_src"),
+        _block(F.shiftright("_sx", 1), F.shiftright("_sy", 1)).alias("_sb"))
     links = key_join(rep, subs, ["_sx", "_sy"]).filter(F.col("_src") != F.col("_node")) \
-        .select(F.col("_src").alias("src"), F.col("_node").alias("dst")).distinct()
+        .select(F.col("_src").alias("src"), F.col("_node").alias("dst"), "_sb",
+                _block(F.shiftright("_sx", 1), F.shiftright("_sy", 1)).alias("_db")).distinct()
     cells = core.select("_node", "_cx", "_cy").distinct()
-    comp1 = connected_components(links)
+    comp1 = blocked_components(links, "_sb", "_db")
     cells = cells.join(comp1.select(F.col("node").alias("_node"), F.col("component").alias("_c1")),
                        "_node", "left").withColumn("_c1", F.coalesce("_c1", "_node")).checkpoint()
 

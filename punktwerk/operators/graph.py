@@ -10,6 +10,8 @@ executor only costs the current round.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,14 @@ def _small_star(e: DataFrame) -> DataFrame:
     return _undirected(out)
 
 
+def _is_star_forest(e: DataFrame) -> bool:
+    """Converged when every component is a star: no node has two smaller
+    neighbours, and none has both a smaller and a larger one."""
+    per = e.groupBy("src").agg(F.sum((F.col("dst") < F.col("src")).cast("int")).alias("lo"),
+                               F.sum((F.col("dst") > F.col("src")).cast("int")).alias("hi"))
+    return per.filter((F.col("lo") > 1) | ((F.col("lo") > 0) & (F.col("hi") > 0))).isEmpty()
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
                          max_rounds: int = 100) -> DataFrame:
     """(node, component) for every node that appears in ``edges``; the
@@ -45,18 +55,61 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     e = _undirected(edges.select(F.col(src).cast("bigint").alias("src"),
-                                 F.col(dst).cast("bigint").alias("dst")))
-    nodes = edges.select(F.col(src).cast("bigint").alias("node")).unionByName(
-        edges.select(F.col(dst).cast("bigint").alias("node"))).distinct()
-    e = e.checkpoint()
-    for _ in range(max_rounds):
-        nxt = _small_star(_large_star(e)).checkpoint()
-        changed = not nxt.exceptAll(e).isEmpty() or not e.exceptAll(nxt).isEmpty()
-        e = nxt
-        if not changed:
-            break
-    else:
-        raise RuntimeError("connected components did not converge")
+                                 F.col(dst).cast("bigint").alias("dst"))).checkpoint()
+    nodes = e.select(F.col("src").alias("node")).distinct()
+    if not e.isEmpty():
+        for _ in range(max_rounds):
+            if _is_star_forest(e):
+                break
+            # Large-Star then Small-Star; the reliable checkpoint cuts the lineage
+            e = _small_star(_large_star(e)).checkpoint()
+        else:
+            raise RuntimeError("connected components did not converge")
     comp = e.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("_m"))
     return nodes.join(comp, "node", "left").select(
         "node", F.least(F.col("node"), F.coalesce(F.col("_m"), F.col("node"))).alias("component"))
+
+
+def _local_components(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Union-find over the edges of one block (bounded size)."""
+    nodes = np.unique(np.concatenate([pdf["src"].to_numpy(), pdf["dst"].to_numpy()]))
+    index = {int(v): i for i, v in enumerate(nodes)}
+    parent = list(range(len(nodes)))
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+    for a, b in zip(pdf["src"].to_numpy(), pdf["dst"].to_numpy()):
+        ra, rb = find(index[int(a)]), find(index[int(b)])
+        if ra != rb:
+            parent[max(ra, rb)] = min(ra, rb)   # nodes are sorted: the root is the smallest id
+    roots = np.array([nodes[find(i)] for i in range(len(nodes))], dtype=np.int64)
+    return pd.DataFrame({"node": nodes.astype(np.int64), "local": roots})
+
+
+def blocked_components(edges: DataFrame, src_block: str, dst_block: str, src: str = "src",
+                       dst: str = "dst") -> DataFrame:
+    """Connected components when nodes come in spatial blocks of bounded
+    size: components inside each block first (one small group per block),
+    then Large-Star/Small-Star on the contracted graph of block-local
+    components linked by the cross-block edges. Same result as
+    ``connected_components``; far fewer global rounds on long chains."""
+    e = edges.select(F.col(src).cast("bigint").alias("src"), F.col(dst).cast("bigint").alias("dst"),
+                     F.col(src_block).alias("_bs"), F.col(dst_block).alias("_bd"))
+    inner = e.filter(F.col("_bs") == F.col("_bd")).select(F.col("_bs").alias("_b"), "src", "dst")
+    local = inner.groupBy("_b").applyInPandas(
+        lambda pdf: _local_components(pdf), "node bigint, local bigint").checkpoint()
+    cross = e.filter(F.col("_bs") != F.col("_bd")).select("src", "dst")
+    lmap = local.select(F.col("node").alias("_n"), F.col("local"))
+
+    def to_local(df, c):
+        return df.join(lmap, df[c] == lmap["_n"], "left").withColumn(
+            c, F.coalesce(F.col("local"), F.col(c))).drop("_n", "local")
+    contracted = to_local(to_local(cross, "src"), "dst")
+    glob = connected_components(contracted)
+    nodes = e.select(F.col("src").alias("node")).unionByName(e.select(F.col("dst").alias("node"))).distinct()
+    out = nodes.join(local, "node", "left").withColumn("local", F.coalesce("local", "node"))
+    out = out.join(glob.select(F.col("node").alias("local"), F.col("component")), "local", "left")
+    return out.select("node", F.coalesce("component", "local").alias("component"))
