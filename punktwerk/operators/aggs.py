@@ -7,6 +7,8 @@ map-side, so only one row per group and task crosses the shuffle.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,21 +71,59 @@ def class_labels(points: DataFrame, mapping: dict | None = None,
     return points.withColumn(out, F.coalesce(F.try_element_at(m, F.col(col)), F.lit(default)))
 
 
+def order_statistics(df: DataFrame, col: str, ranks: list[int]) -> dict[int, float]:
+    """Exact k-th smallest values (0-based ranks) of a column without
+    holding the column in one place: one distributed sort (range
+    partitioning), per-partition counts (one small row per partition), then
+    a filter that picks the requested positions."""
+    s = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull()).orderBy("v") \
+        .withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id()).checkpoint()
+    parts = sorted((r["_p"], r["n"], r["i0"]) for r in
+                   s.groupBy("_p").agg(F.count(F.lit(1)).alias("n"), F.min("_i").alias("i0")).collect())
+    want, start = {}, 0
+    for p, cnt, i0 in parts:
+        for r in ranks:
+            if start <= r < start + cnt:
+                want[i0 + (r - start)] = r
+        start += cnt
+    if not want:
+        return {}
+    got = s.filter(F.col("_i").isin(list(want))).select("_i", "v").collect()
+    return {want[row["_i"]]: row["v"] for row in got}
+
+
 def describe_points(points: DataFrame, cols=("x", "y", "z", "intensity")) -> DataFrame:
     """count, mean, std, min, 25%, 50%, 75%, max per column in long form.
 
-    Quartiles are exact (``percentile``, linear interpolation). Exact
-    percentiles keep every value of a column in the aggregation buffer, so
-    on very large inputs use ``describe_points_approx`` instead."""
+    Quartiles are exact with linear interpolation between order statistics
+    (the ``quantile_cont`` definition), computed by ``order_statistics``;
+    count/mean/std/min/max are one partial aggregate."""
     aggs = []
     for c in cols:
         v = F.col(c).cast("double")
         aggs += [F.count(v).cast("double").alias(f"{c}__count"), F.avg(v).alias(f"{c}__mean"),
                  F.stddev_samp(v).alias(f"{c}__std"), F.min(v).alias(f"{c}__min"),
-                 F.percentile(v, F.lit(0.25)).alias(f"{c}__p25"),
-                 F.percentile(v, F.lit(0.5)).alias(f"{c}__p50"),
-                 F.percentile(v, F.lit(0.75)).alias(f"{c}__p75"), F.max(v).alias(f"{c}__max")]
-    return _long_form(points.agg(*aggs), cols)
+                 F.max(v).alias(f"{c}__max")]
+    base = points.agg(*aggs).first()
+    spark = points.sparkSession
+    rows = []
+    for c in cols:
+        n = int(base[f"{c}__count"])
+        q = {}
+        if n > 0:
+            pos = {p: p * (n - 1) for p in (0.25, 0.5, 0.75)}
+            need = sorted({int(math.floor(x)) for x in pos.values()} | {int(math.ceil(x)) for x in pos.values()})
+            vals = order_statistics(points, c, need)
+            for p, x in pos.items():
+                lo, hi = vals[int(math.floor(x))], vals[int(math.ceil(x))]
+                q[p] = lo + (hi - lo) * (x - math.floor(x))
+        for stat, val in (("count", base[f"{c}__count"]), ("mean", base[f"{c}__mean"]),
+                          ("std", base[f"{c}__std"]), ("min", base[f"{c}__min"]),
+                          ("p25", q.get(0.25)), ("p50", q.get(0.5)), ("p75", q.get(0.75)),
+                          ("max", base[f"{c}__max"])):
+            rows.append((c, stat, None if val is None else float(val)))
+    return spark.createDataFrame(rows, "col_name string, stat string, value double") \
+        .withColumn("value", F.round("value", 6))
 
 
 def describe_points_approx(points: DataFrame, cols=("x", "y", "z", "intensity"),
@@ -132,27 +172,51 @@ def extent(df: DataFrame, minx="x", miny="y", maxx=None, maxy=None) -> DataFrame
                   F.count(F.lit(1)).alias("n"))
 
 
-def multipoint_union(df: DataFrame, by: str, x: str = "x", y: str = "y") -> DataFrame:
-    """Points of a group as one sorted distinct MULTIPOINT vertex list.
+def multipoint_union(df: DataFrame, by: str, x: str = "x", y: str = "y",
+                     chunk_points: int = 100_000) -> DataFrame:
+    """Distinct points of each group as sorted MULTIPOINT vertex lists.
 
-    The output is one row per group holding that group's distinct points, so
-    it is meant for groups of bounded size (clusters, footprints)."""
-    return df.groupBy(by).agg(
-        F.sort_array(F.collect_set(F.struct(F.col(x).alias("x"), F.col(y).alias("y")))).alias("points")
+    A group with more than ``chunk_points`` distinct points is emitted as
+    several rows (chunk 0, 1, ...; points split by a hash), so no single row
+    or task has to hold an unbounded group."""
+    pts = df.select(by, F.col(x).alias("x"), F.col(y).alias("y")).distinct()
+    sizes = pts.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+    pts = pts.join(sizes, by).withColumn(
+        "chunk", F.pmod(F.xxhash64("x", "y"), F.ceil(F.col("_n") / F.lit(chunk_points))).cast("int"))
+    return pts.groupBy(by, "chunk").agg(
+        F.sort_array(F.collect_list(F.struct("x", "y"))).alias("points")
     ).withColumn("n_points", F.size("points"))
 
 
-def sample_points(df: DataFrame, n: int, seed: int = 0, key: str | Column | None = None) -> DataFrame:
-    """Seeded sample of ``least(n, count)`` rows without replacement.
+def sample_points(df: DataFrame, n: int, seed: int = 0, key: str | Column | None = None,
+                  margin: float = 0.05) -> DataFrame:
+    """Seeded sample of ``least(n, count)`` rows without replacement: the n
+    rows with the smallest md5(key|seed).
 
-    Rows are ranked by a hash of (key, seed); ``orderBy(...).limit(n)`` plans
-    as TakeOrderedAndProject: each task keeps its own top n and only those
-    reach the final merge."""
+    For large n the rows are first cut by a threshold on the hash prefix
+    that keeps slightly more than n rows (from the total count), so only
+    about n*(1+margin) rows reach the final ordered limit instead of n rows
+    from every task. The result equals ``orderBy(md5).limit(n)``."""
     k = F.col(key) if isinstance(key, str) else key
     if k is None:
         k = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
     h = F.md5(F.concat_ws("|", k.cast("string"), F.lit(str(seed))))
-    return df.withColumn("_h", h).orderBy("_h").limit(n).drop("_h")
+    hashed = df.withColumn("_h", h)
+    if n <= 10_000:
+        return hashed.orderBy("_h").limit(n).drop("_h")
+    total = df.count()
+    if total <= n:
+        return df
+    # md5 hex is uniform: its first 15 hex digits as an integer order the
+    # rows like the full text does (up to ties resolved by the full text)
+    prefix = F.conv(F.substring("_h", 1, 15), 16, 10).cast("decimal(20,0)")
+    frac = n / total * (1 + margin)
+    while True:
+        cut = int(min(frac, 1.0) * 16 ** 15)
+        cand = hashed.filter(prefix <= F.lit(cut).cast("decimal(20,0)"))
+        if frac >= 1.0 or cand.count() >= n:
+            return cand.orderBy("_h").limit(n).drop("_h")
+        frac *= 1.5
 
 
 def head(df: DataFrame, n: int, *order) -> DataFrame:

@@ -600,7 +600,7 @@ def q_footprint_heights(spark, sf):
 
 
 @query("multipoint_union", _DBSCAN_CTES +
-       "select cluster, count(distinct (x, y)) as n_points, 'MULTIPOINT (' || string_agg(distinct '(' || "
+       "select cluster, 0 as chunk, count(distinct (x, y)) as n_points, 'MULTIPOINT (' || string_agg(distinct '(' || "
        f"{_pt_sql('x', 'y')} || ')', ', ' order by '(' || {_pt_sql('x', 'y')} || ')') || ')' as points "
        "from labels where cluster <> -1 group by cluster")
 def q_multipoint_union(spark, sf):
@@ -608,7 +608,7 @@ def q_multipoint_union(spark, sf):
     u = A.multipoint_union(_dbscan_sites(spark, sf).filter(F.col("cluster") != -1), "cluster")
     txt = F.array_sort(F.transform("points", lambda v: F.concat(
         F.lit("("), G._num_text(v.x), F.lit(" "), G._num_text(v.y), F.lit(")"))))
-    return u.select("cluster", F.col("n_points").cast("bigint").alias("n_points"),
+    return u.select("cluster", "chunk", F.col("n_points").cast("bigint").alias("n_points"),
                     F.concat(F.lit("MULTIPOINT ("), F.array_join(txt, ", "), F.lit(")")).alias("points"))
 
 

@@ -81,3 +81,28 @@ def test_kmeans_assign_and_fit(spark):
     assert all(lab[i] == i % 2 for i in range(200))
     model, sample = CL.kmeans_fit(df, k=2, seed=0, sample_rows=100, id_col="pid")
     assert sample.count() == 100 and len(model.clusterCenters()) == 2
+
+
+def test_sample_threshold_path_equals_ordered_limit(spark):
+    from pyspark.sql import functions as F
+
+    from punktwerk.operators import aggs as A
+    df = spark.range(60000).withColumnRenamed("id", "pid")
+    got = sorted(r.pid for r in A.sample_points(df, 20000, seed=3, key="pid").collect())
+    h = F.md5(F.concat_ws("|", F.col("pid").cast("string"), F.lit("3")))
+    exp = sorted(r.pid for r in df.orderBy(h).limit(20000).collect())
+    assert got == exp
+
+
+def test_describe_quartiles_exact(spark):
+    import random
+
+    from punktwerk.operators import aggs as A
+    rnd = random.Random(9)
+    vals = [rnd.uniform(0, 100) for _ in range(5001)] + [None] * 7
+    df = spark.createDataFrame([(v,) for v in vals], "z double").repartition(7)
+    out = {r.stat: r.value for r in A.describe_points(df, ("z",)).collect()}
+    arr = np.array([v for v in vals if v is not None])
+    for stat, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        assert out[stat] == pytest.approx(round(float(np.quantile(arr, q)), 6), abs=1e-6)
+    assert out["count"] == 5001.0
