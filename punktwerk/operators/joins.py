@@ -166,13 +166,19 @@ def suggest_cell(shapes: DataFrame, bbox=("minx", "miny", "maxx", "maxy")) -> fl
 def spatial_join(shapes: DataFrame, points: DataFrame, predicate: str = "covers",
                  cell: float | None = None, x: str = "x", y: str = "y",
                  bbox=("minx", "miny", "maxx", "maxy"), geom: str | None = None,
-                 max_cells: int = 64, max_cell_rows: int | None = 1_000_000) -> DataFrame:
+                 max_cells: int = 64, max_cell_rows: int | None = None) -> DataFrame:
     """All (shape, point) pairs where the shape covers (closed boundary) or
     contains (interior only) the point.
 
     ``shapes`` carries flat bbox columns; if ``geom`` names a shape column
     the exact test runs on it, otherwise the shapes are the bbox rectangles
-    themselves. The output has all shape columns and all point columns."""
+    themselves. The output has all shape columns and all point columns.
+
+    Skew: the exploded shape side is usually small, and AQE turns the join
+    into a broadcast hash join when its measured size allows; the points of
+    a hot cell then stay spread over the scan splits. When both sides are
+    large, AQE's skew-join split applies; ``max_cell_rows`` additionally
+    salts cells above that many points explicitly."""
     if predicate not in ("covers", "contains", "intersects", "within"):
         raise ValueError(predicate)
     closed = predicate in ("covers", "intersects")
