@@ -47,6 +47,21 @@ def region_stats(points: DataFrame, region: str | Shape, x: str = "x", y: str =
     )
 
 
+def region_stats_many(points: DataFrame, regions: DataFrame, key: str, boundary: bool = False,
+                      geom: str | None = None, cell: float | None = None) -> DataFrame:
+    """Region statistics for a whole table of regions (bbox columns, plus a
+    shape column ``geom`` for non-rectangular regions) in one grid join;
+    regions without points are absent."""
+    from punktwerk.operators.joins import spatial_join
+    pairs = spatial_join(regions.select(key, "minx", "miny", "maxx", "maxy", *([geom] if geom else [])),
+                         points.select("x", "y", "z", "classification"),
+                         "covers" if boundary else "contains", cell=cell, geom=geom)
+    return pairs.groupBy(key).agg(
+        F.count(F.lit(1)).alias("total_points"),
+        F.count(F.when(F.col("classification") == GROUND, 1)).alias("ground_points"),
+        F.min("z").alias("min_z"), F.max("z").alias("max_z"), F.round(F.avg("z"), 6).alias("avg_z"))
+
+
 def class_counts(points: DataFrame) -> DataFrame:
     return points.groupBy("classification").agg(F.count(F.lit(1)).alias("n"))
 

@@ -1037,3 +1037,12 @@ def q_lines_bbox_overlap(spark, sf):
     b = _line_bbox(X.lines(spark, sf)).select("line_id", "minx", "miny", "maxx", "maxy")
     j = J.shape_join(b, b, cell=50.0, predicate="intersects")
     return j.filter(F.col("line_id_a") < F.col("line_id_b")).select("line_id_a", "line_id_b")
+
+
+@query("region_stats_by_rect", X.with_ctes(
+    "select r.rect_id, count(*) as total_points, count(case when p.classification = 2 then 1 end) as ground_points, "
+    "min(p.z) as min_z, max(p.z) as max_z, round(avg(p.z), 6) as avg_z from rects r join pts p "
+    "on p.x > r.minx and p.x < r.maxx and p.y > r.miny and p.y < r.maxy group by r.rect_id", **RECTS, **PTS))
+def q_region_stats_by_rect(spark, sf):
+    """Region statistics for every rectangle of a table (interior points)."""
+    return A.region_stats_many(X.pts(spark, sf), X.rects(spark, sf), "rect_id", cell=_RECT_CELL)

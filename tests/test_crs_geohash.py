@@ -63,3 +63,9 @@ def test_geohash_matches_bisection(spark):
     df = spark.createDataFrame(pts, "lon double, lat double")
     got = [r.g for r in df.select(GH.geohash("lon", "lat", 8).alias("g")).collect()]
     assert got == [bisect(a, b, 8) for a, b in pts]
+
+
+def test_srid_metadata(spark):
+    df = spark.createDataFrame([(1.0, 2.0)], "x double, y double")
+    df = CRS.with_srid(df, "x", 25832)
+    assert CRS.srid_of(df, "x") == 25832 and CRS.srid_of(df, "y") is None

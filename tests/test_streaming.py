@@ -29,3 +29,10 @@ def test_stream_ingest_restart_and_quarantine(spark, tmpdir_path):
         f.write("x,y,z,intensity,return_num,classification\n1.0,2.0,3.0,4,1,2\n")
     ST.stream_points(spark, src, table, ck, quarantine_path=bad, max_files=1).awaitTermination()
     assert spark.read.parquet(table).count() == 30
+
+
+def test_back_pressure_options(spark, tmpdir_path):
+    s = ST.read_point_stream(spark, tmpdir_path, max_bytes=ST.MAX_BYTES_PER_TRIGGER)
+    assert s.isStreaming
+    s2 = ST.read_point_stream(spark, tmpdir_path, max_files=ST.MAX_FILES_PER_TRIGGER)
+    assert s2.isStreaming and "source_file" in s2.columns
