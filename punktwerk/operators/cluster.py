@@ -43,7 +43,7 @@ def _node(cx: str, cy: str) -> F.Column:
     return F.shiftleft(F.col(cx), 32) + F.col(cy).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-BLOCK_CELLS = 16   # components are first solved inside blocks of 16 x 16 cells
+BLOCK_CELLS = 64   # components are first solved inside blocks of 64 x 64 cells (<= 4096 nodes)
 
 
 def _block(cx, cy) -> F.Column:
@@ -66,7 +66,8 @@ def dbscan(df: DataFrame, eps: float, min_points: int, id_col: str = "pid", x: s
              .withColumn("_sy", F.floor(F.col("_y") / h).cast("bigint"))
     pts = pts.withColumn("_cx", F.shiftright("_sx", 1)).withColumn("_cy", F.shiftright("_sy", 1))
     cell_n = pts.groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("_n"))
-    pts = key_join(pts, cell_n, ["_cx", "_cy"])
+    # materialised once: four branches below read it
+    pts = key_join(pts, cell_n, ["_cx", "_cy"]).checkpoint()
 
     # 2. neighbour counts of points in sparse cells
     sparse = pts.filter(F.col("_n") < min_points).select("_id", "_x", "_y", "_cx", "_cy")
