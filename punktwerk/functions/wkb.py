@@ -101,15 +101,18 @@ def encode_wkb(g) -> bytes | None:
     return bytes(out)
 
 
-def _decode_batch(s: pd.Series) -> pd.DataFrame:
-    rows = [decode_wkb(b) for b in s]
-    return pd.DataFrame({"gtype": [r["gtype"] if r else None for r in rows],
-                         "parts": [r["parts"] if r else None for r in rows]})
+def _decode_batch(s: pd.Series) -> pd.Series:
+    # JSON text, parsed on the JVM side by from_json: nested lists of
+    # structs do not survive pandas -> Arrow conversion reliably
+    import json
+    return pd.Series([json.dumps(r) if r is not None else None for r in (decode_wkb(b) for b in s)])
 
 
-def _encode_batch(g: pd.DataFrame) -> pd.Series:
-    return pd.Series([encode_wkb({"gtype": t, "parts": p}) if t is not None else None
-                      for t, p in zip(g["gtype"], g["parts"])])
+def _encode_batch(s: pd.Series) -> pd.Series:
+    # the shape arrives as JSON text: ragged nested arrays do not survive
+    # Arrow -> pandas conversion reliably
+    import json
+    return pd.Series([encode_wkb(json.loads(t)) if t is not None else None for t in s])
 
 
 _UDFS: dict = {}
@@ -118,9 +121,9 @@ _UDFS: dict = {}
 def _udf(name):
     # built on first use on the driver (Python workers only unpickle them)
     if name not in _UDFS:
-        from pyspark.sql.types import BinaryType, _parse_datatype_string
+        from pyspark.sql.types import BinaryType, StringType
         if name == "decode":
-            _UDFS[name] = F.pandas_udf(_decode_batch, _parse_datatype_string(GEOM_T))
+            _UDFS[name] = F.pandas_udf(_decode_batch, StringType())
         else:
             _UDFS[name] = F.pandas_udf(_encode_batch, BinaryType())
     return _UDFS[name]
@@ -128,9 +131,10 @@ def _udf(name):
 
 def st_geomfromwkb(col) -> Column:
     """WKB bytes -> shape struct (null for malformed input)."""
-    return _udf("decode")(F.col(col) if isinstance(col, str) else col)
+    return F.from_json(_udf("decode")(F.col(col) if isinstance(col, str) else col), GEOM_T)
 
 
 def st_asbinary(col) -> Column:
     """Shape struct -> little-endian WKB bytes."""
-    return _udf("encode")(F.col(col) if isinstance(col, str) else col)
+    g = F.col(col) if isinstance(col, str) else col
+    return _udf("encode")(F.when(g.isNotNull(), F.to_json(g)))
