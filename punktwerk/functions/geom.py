@@ -499,3 +499,21 @@ def contains_literal(shape: Shape | str, px="x", py="y", boundary: bool = False)
     if is_axis_rectangle(shape):
         return bb
     return bb & exact_literal(shape, px, py, boundary)
+
+
+def st_within_xy(g, px, py) -> Column:
+    """Point (px, py) within polygon g: the same interior test as
+    ``st_contains_xy`` with the arguments the other way round."""
+    return st_contains_xy(g, px, py)
+
+
+def st_touches_xy(g, px, py) -> Column:
+    """Point touches polygon: on its boundary, not in its interior."""
+    return _c(g).gtype.isin("POLYGON", "MULTIPOLYGON") & point_location(g, px, py).on
+
+
+def st_touches_bbox(a_minx, a_miny, a_maxx, a_maxy, b_minx, b_miny, b_maxx, b_maxy) -> Column:
+    """Rectangles touch: closed boxes meet, the intersection has no area."""
+    ix0, iy0 = F.greatest(_c(a_minx), _c(b_minx)), F.greatest(_c(a_miny), _c(b_miny))
+    ix1, iy1 = F.least(_c(a_maxx), _c(b_maxx)), F.least(_c(a_maxy), _c(b_maxy))
+    return (ix0 <= ix1) & (iy0 <= iy1) & ((ix0 == ix1) | (iy0 == iy1))

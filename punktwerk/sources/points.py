@@ -96,9 +96,9 @@ def read_typed_shapes(spark: SparkSession, path: str, kind: str, offset: int = 0
     parts = F.split(F.col("value"), sep)
     df = spark.read.text(path).select(parts.alias("_p"))
     nums = F.transform(F.slice("_p", offset + 1, 1 << 20), lambda s: s.try_cast("double"))
-    verts = F.transform(F.sequence(F.lit(0), F.size(nums) / 2 - 1),
-                        lambda i: F.struct(F.get(nums, (i * 2).cast("int")).alias("x"),
-                                           F.get(nums, (i * 2 + 1).cast("int")).alias("y")))
+    npts = F.floor(F.size(nums) / 2).cast("int")
+    verts = F.transform(F.sequence(F.lit(0), npts - 1),
+                        lambda i: F.struct(F.get(nums, i * 2).alias("x"), F.get(nums, i * 2 + 1).alias("y")))
     if kind.upper() == "POLYGON":
         ring = F.when(F.get(verts, 0) == F.element_at(verts, -1), verts).otherwise(
             F.concat(verts, F.array(F.get(verts, 0))))

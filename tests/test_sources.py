@@ -76,3 +76,34 @@ def test_typed_points_with_offset(spark, tmpdir_path):
     df = SP.read_typed_points(spark, tmpdir_path, offset=1, sep=",")
     assert df.columns == ["x", "y", "attr1", "attr2", "attr3"]
     assert df.filter(F.col("x") == -88.331492).count() == 1
+
+
+def test_typed_rectangles_and_shapes(spark, tmpdir_path):
+    with open(f"{tmpdir_path}/r.csv", "w") as f:
+        f.write("-88.3,-88.1,32.2,32.4\n")
+    r = SP.read_typed_rectangles(spark, f"{tmpdir_path}/r.csv").first()
+    assert (r.minx, r.miny, r.maxx, r.maxy) == (-88.3, 32.2, -88.1, 32.4)
+    with open(f"{tmpdir_path}/p.csv", "w") as f:
+        f.write("a,0,0,4,0,4,4,0,4\n")
+    from punktwerk.functions import geom as G
+    g = SP.read_typed_shapes(spark, f"{tmpdir_path}/p.csv", "polygon", offset=1)
+    row = g.select(G.st_area("geom").alias("a"), G.st_numpoints("geom").alias("n")).first()
+    assert row.a == 16.0 and row.n == 5
+
+
+def test_write_geojson_and_read_back(spark, tmpdir_path):
+    from punktwerk.functions import geom as G
+    from punktwerk.sources.shapes import read_geojson
+    from punktwerk.sources.sinks import write_geojson
+    df = spark.createDataFrame([(7, "POLYGON ((0 0, 2 0, 2 1, 0 0))")], "fid long, w string") \
+        .select("fid", G.st_geomfromtext("w").alias("geom"))
+    write_geojson(df, f"{tmpdir_path}/gj")
+    back = read_geojson(spark, f"{tmpdir_path}/gj", properties_schema="fid long").first()
+    assert back.fid == 7 and back.maxx == 2.0
+
+
+def test_touches(spark):
+    from punktwerk.functions import geom as G
+    df = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0), (4.0, 2.0)], "x double, y double")
+    sq = G.shape_literal("POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0))")
+    assert [r.t for r in df.select(G.st_touches_xy(sq, "x", "y").alias("t")).collect()] == [True, False, True]
