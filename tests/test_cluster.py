@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from punktwerk.operators import cluster as CL
 from punktwerk.operators import graph
@@ -106,3 +107,19 @@ def test_describe_quartiles_exact(spark):
     for stat, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
         assert out[stat] == pytest.approx(round(float(np.quantile(arr, q)), 6), abs=1e-6)
     assert out["count"] == 5001.0
+
+
+def test_dbscan_hot_cell_third_of_rows(spark):
+    """A third of all points in one cell: the dense cell is all core with no
+    distance tests, so the run stays fast and the cell is one cluster."""
+    import time
+    rnd = random.Random(11)
+    n = 30000
+    hot = [(i, 500.0 + rnd.random(), 500.0 + rnd.random()) for i in range(n // 3)]
+    rest = [(n + i, rnd.uniform(0, 2000), rnd.uniform(0, 2000)) for i in range(2 * n // 3)]
+    df = spark.createDataFrame(hot + rest, "pid long, x double, y double").repartition(8)
+    t = time.time()
+    out = CL.dbscan(df, 5.0, 10, max_cell_rows=2000)
+    labels = {r.pid: r.cluster for r in out.filter(F.col("pid") < n // 3).select("pid", "cluster").collect()}
+    assert time.time() - t < 120
+    assert set(labels.values()) == {0} and len(labels) == n // 3
