@@ -226,30 +226,45 @@ def spatial_join_grouped(shapes: DataFrame, points: DataFrame, shape_key: str,
 # shape / shape join
 # --------------------------------------------------------------------------
 
-def shape_join(a: DataFrame, b: DataFrame, cell: float, predicate: str = "intersects",
+def shape_join(a: DataFrame, b: DataFrame, cell: float, predicate="intersects",
                a_bbox=("minx", "miny", "maxx", "maxy"), suffixes=("_a", "_b"),
-               exact=None) -> DataFrame:
+               max_cells: int = 64) -> DataFrame:
     """Pairs of shapes from two tables whose bboxes meet (closed), refined
     by ``predicate``: 'intersects' (bbox), 'touches' (bboxes meet with zero
-    area overlap) or a callable(Column names) -> Column. Both sides are
-    replicated to their covered cells; each pair is kept only in the cell of
-    the minimum corner of the bbox intersection."""
+    area overlap) or a callable() -> Column over the suffixed columns.
+
+    Each shape gets the smallest level whose cells (cell * 2^level) cover
+    its bbox in at most ``max_cells`` cells, and is replicated to its cells
+    at that level and at every coarser level in use (fewer cells each). A
+    pair meets at level max(level_a, level_b); it is kept only there, in the
+    cell holding the minimum corner of the bbox intersection, so every pair
+    comes out exactly once and no shape is replicated without bound."""
     sa, sb = suffixes
     minx, miny, maxx, maxy = a_bbox
-    A = _suffixed(a, sa)
-    B = _suffixed(b, sb)
-    size = F.lit(float(cell))
-    A = A.withColumn("_c", F.explode(_cells_of_bbox(minx + sa, miny + sa, maxx + sa, maxy + sa, size))) \
-         .select("*", F.col("_c.cx").alias("_cx"), F.col("_c.cy").alias("_cy")).drop("_c")
-    B = B.withColumn("_c", F.explode(_cells_of_bbox(minx + sb, miny + sb, maxx + sb, maxy + sb, size))) \
-         .select("*", F.col("_c.cx").alias("_cx"), F.col("_c.cy").alias("_cy")).drop("_c")
-    j = key_join(A, B, ["_cx", "_cy"])
+
+    def prep(df, sfx):
+        d = _suffixed(df, sfx)
+        return d.withColumn("_lv", _level_of(minx + sfx, miny + sfx, maxx + sfx, maxy + sfx, cell, max_cells))
+    A, B = prep(a, sa), prep(b, sb)
+    levels = sorted({r[0] for r in A.select("_lv").distinct().union(B.select("_lv").distinct()).collect()})
+
+    def explode(df, sfx):
+        lv_arr = F.array(*[F.lit(lv) for lv in levels])
+        d = df.withColumn("_own", F.col("_lv")).withColumn(
+            "_lv", F.explode(F.filter(lv_arr, lambda lv: lv >= F.col("_own"))))
+        size = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("_lv"))
+        return d.withColumn("_c", F.explode(_cells_of_bbox(minx + sfx, miny + sfx, maxx + sfx, maxy + sfx, size))) \
+            .select("*", F.col("_c.cx").alias("_cx"), F.col("_c.cy").alias("_cy")).drop("_c") \
+            .withColumnRenamed("_own", f"_own{sfx}")
+    j = key_join(explode(A, sa), explode(B, sb), ["_lv", "_cx", "_cy"])
     ix0 = F.greatest(F.col(minx + sa), F.col(minx + sb))
     iy0 = F.greatest(F.col(miny + sa), F.col(miny + sb))
     ix1 = F.least(F.col(maxx + sa), F.col(maxx + sb))
     iy1 = F.least(F.col(maxy + sa), F.col(maxy + sb))
     meet = (ix0 <= ix1) & (iy0 <= iy1)
-    ref = (cell_index(ix0, cell) == F.col("_cx")) & (cell_index(iy0, cell) == F.col("_cy"))
+    size = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("_lv"))
+    ref = (F.col("_lv") == F.greatest(F.col(f"_own{sa}"), F.col(f"_own{sb}"))) \
+        & (F.floor(ix0 / size).cast("bigint") == F.col("_cx")) & (F.floor(iy0 / size).cast("bigint") == F.col("_cy"))
     if predicate == "intersects":
         cond = meet
     elif predicate == "touches":
@@ -258,7 +273,7 @@ def shape_join(a: DataFrame, b: DataFrame, cell: float, predicate: str = "inters
         cond = meet & predicate()
     else:
         raise ValueError(predicate)
-    return j.filter(cond & ref).drop("_cx", "_cy")
+    return j.filter(cond & ref).drop("_lv", "_cx", "_cy", f"_own{sa}", f"_own{sb}")
 
 
 # --------------------------------------------------------------------------

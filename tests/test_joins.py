@@ -97,3 +97,18 @@ def test_range_query_pushes_bbox_to_parquet(spark, tmpdir_path):
 def test_knn_ties_by_id(spark):
     df = spark.createDataFrame([(3, 1.0, 0.0), (1, 0.0, 1.0), (2, 5.0, 5.0), (4, -1.0, 0.0)], "id long, x double, y double")
     assert [r.id for r in J.knn_point(df, 3, 0.0, 0.0, "id").collect()] == [1, 3, 4]
+
+
+def test_shape_join_multilevel_equals_brute_force(spark):
+    rnd = random.Random(8)
+    rects = []
+    for i in range(150):
+        w = rnd.choice([1.0, 3.0, 10.0, 80.0, 300.0])
+        x0, y0 = rnd.uniform(0, 500), rnd.uniform(0, 500)
+        rects.append((i, x0, y0, x0 + w * rnd.random() + 0.5, y0 + w * rnd.random() + 0.5))
+    rects.append((999, 0.0, 0.0, 1000.0, 1000.0))
+    df = spark.createDataFrame(rects, "rid long, minx double, miny double, maxx double, maxy double")
+    got = _pairs(J.shape_join(df, df, cell=2.0, max_cells=16), "rid_a", "rid_b")
+    exp = sorted((a[0], b[0]) for a in rects for b in rects
+                 if max(a[1], b[1]) <= min(a[3], b[3]) and max(a[2], b[2]) <= min(a[4], b[4]))
+    assert got == exp
