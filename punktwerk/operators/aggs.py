@@ -91,6 +91,8 @@ def order_statistics(df: DataFrame, col: str, ranks: list[int]) -> dict[int, flo
     holding the column in one place: one distributed sort (range
     partitioning), per-partition counts (one small row per partition), then
     a filter that picks the requested positions."""
+    from punktwerk.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     s = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull()).orderBy("v") \
         .withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id()).checkpoint()
     parts = sorted((r["_p"], r["n"], r["i0"]) for r in

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from punktwerk.functions.geom import dist_xy
 from punktwerk.operators.graph import blocked_components, connected_components
 from punktwerk.operators.joins import key_join, salted_equi_join
+from punktwerk.session import ensure_checkpoint_dir
 
 _OFFS21 = [(i, j) for i in range(-2, 3) for j in range(-2, 3) if not (abs(i) == 2 and abs(j) == 2)]
 _OFFS8 = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i, j) != (0, 0)]
@@ -59,6 +60,7 @@ def _replicate(df: DataFrame, offs, cx="_cx", cy="_cy") -> DataFrame:
 def dbscan(df: DataFrame, eps: float, min_points: int, id_col: str = "pid", x: str = "x",
            y: str = "y", max_cell_rows: int = 1_000_000) -> DataFrame:
     """(id, x, y, cluster, is_core) for every input row; see module doc."""
+    ensure_checkpoint_dir(df.sparkSession)
     h = eps / (2 * math.sqrt(2)) * (1 - 1e-9)
     pts = df.select(F.col(id_col).alias("_id"), F.col(x).cast("double").alias("_x"),
                     F.col(y).cast("double").alias("_y")).filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
