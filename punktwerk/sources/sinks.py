@@ -41,13 +41,13 @@ def _by_tile(df: DataFrame) -> DataFrame:
 
 
 def append_points(df: DataFrame, table: str | None = None, path: str | None = None,
-                  replace_tiles: bool = True) -> None:
+                  replace_tiles: bool = True, extra_columns: tuple[str, ...] = ()) -> None:
     """Append points (six columns + source_file) to the partitioned table.
 
     With ``replace_tiles`` the write uses dynamic partition overwrite: the
     tiles present in ``df`` are replaced, all other tiles are kept, so
     re-ingesting a tile is idempotent instead of duplicating its rows."""
-    out = _by_tile(df.select(*POINT_COLUMNS, "source_file"))
+    out = _by_tile(df.select(*POINT_COLUMNS, *extra_columns, "source_file"))
     mode = "overwrite" if replace_tiles else "append"
     w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if table is not None:

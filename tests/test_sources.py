@@ -107,3 +107,21 @@ def test_touches(spark):
     df = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0), (4.0, 2.0)], "x double, y double")
     sq = G.shape_literal("POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0))")
     assert [r.t for r in df.select(G.st_touches_xy(sq, "x", "y").alias("t")).collect()] == [True, False, True]
+
+
+def test_ingest_las_tiles_idempotent(spark, tmpdir_path):
+    from punktwerk.sources.ingest import ingest_las
+    rng = np.random.default_rng(0)
+    for k in range(2):
+        n = 300 + k
+        L.write_las(f"{tmpdir_path}/3dm_32_28{k}_5652_1_nw.las", 280000 + k * 1000 + rng.uniform(0, 999, n),
+                    5652000 + rng.uniform(0, 999, n), rng.uniform(40, 90, n), rng.integers(0, 999, n),
+                    rng.integers(1, 4, n), rng.choice([2, 20], n), point_format=6)
+    table = f"{tmpdir_path}/table"
+    for _ in range(2):
+        failures = ingest_las(spark, tmpdir_path, table, points_per_split=128)
+        assert failures.count() == 0
+    back = spark.read.parquet(table)
+    counts = {r.source_file: r["count"] for r in back.groupBy("source_file").count().collect()}
+    assert counts == {"3dm_32_280_5652_1_nw.las": 300, "3dm_32_281_5652_1_nw.las": 301}
+    assert back.filter(F.length("geohash") != 6).count() == 0
