@@ -13,8 +13,11 @@ points; a border point takes the smallest adjacent cluster id):
    when they own core points in adjacent half-cells (their distance is then
    below eps) -- no point pairs needed. Components of these links come
    from the Large-Star/Small-Star iteration (``graph.py``).
-4. Only neighbouring core cells still in different components are checked
-   point by point for a witness pair; witnesses join components.
+4. Neighbouring core cells still in different components are compared on
+   quarter-cells (at most 16 x 16 pairs per cell pair): a pair of core
+   quarter-cells whose boxes are within eps everywhere links them for
+   certain; only quarter pairs that may or may not hold a witness, in cell
+   pairs without a certain link, are checked point by point.
 5. Border points: non-core points (sparse cells only) against core points
    of the 21 cells around them.
 """
@@ -61,12 +64,15 @@ def dbscan(df: DataFrame, eps: float, min_points: int, id_col: str = "pid", x: s
            y: str = "y", max_cell_rows: int = 1_000_000) -> DataFrame:
     """(id, x, y, cluster, is_core) for every input row; see module doc."""
     ensure_checkpoint_dir(df.sparkSession)
-    h = eps / (2 * math.sqrt(2)) * (1 - 1e-9)
+    # quarter-cells of side q nest in half-cells (2q) and cells (4q); the
+    # margin keeps the distance bounds strict under rounding of x / q
+    q = eps / (4 * math.sqrt(2)) * (1 - 1e-6)
     pts = df.select(F.col(id_col).alias("_id"), F.col(x).cast("double").alias("_x"),
                     F.col(y).cast("double").alias("_y")).filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    pts = pts.withColumn("_sx", F.floor(F.col("_x") / h).cast("bigint")) \
-             .withColumn("_sy", F.floor(F.col("_y") / h).cast("bigint"))
-    pts = pts.withColumn("_cx", F.shiftright("_sx", 1)).withColumn("_cy", F.shiftright("_sy", 1))
+    pts = pts.withColumn("_qx", F.floor(F.col("_x") / q).cast("bigint")) \
+             .withColumn("_qy", F.floor(F.col("_y") / q).cast("bigint"))
+    pts = pts.withColumn("_sx", F.shiftright("_qx", 1)).withColumn("_sy", F.shiftright("_qy", 1))
+    pts = pts.withColumn("_cx", F.shiftright("_qx", 2)).withColumn("_cy", F.shiftright("_qy", 2))
     cell_n = pts.groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("_n"))
     # materialised once: four branches below read it
     pts = key_join(pts, cell_n, ["_cx", "_cy"]).checkpoint()
@@ -105,12 +111,31 @@ def dbscan(df: DataFrame, eps: float, min_points: int, id_col: str = "pid", x: s
     cell_pairs = key_join(cand, cells.select("_cx", "_cy", F.col("_c1").alias("_cb")), ["_cx", "_cy"]) \
         .filter(F.col("_ca") < F.col("_cb")) \
         .select("_acx", "_acy", F.col("_cx").alias("_bcx"), F.col("_cy").alias("_bcy"), "_ca", "_cb")
-    a_pts = key_join(core.select("_x", "_y", F.col("_cx").alias("_acx"), F.col("_cy").alias("_acy")),
-                     cell_pairs, ["_acx", "_acy"])
+    # quarter-cell pairs of each candidate cell pair (at most 16 x 16):
+    # certain when their boxes are within eps at every point, possible when
+    # the boxes come within eps at all
+    cq = core.select("_qx", "_qy", "_cx", "_cy").distinct()
+    combos = key_join(cell_pairs, cq.select(F.col("_qx").alias("_qax"), F.col("_qy").alias("_qay"),
+                                            F.col("_cx").alias("_acx"), F.col("_cy").alias("_acy")),
+                      ["_acx", "_acy"])
+    combos = key_join(combos, cq.select(F.col("_qx").alias("_qbx"), F.col("_qy").alias("_qby"),
+                                        F.col("_cx").alias("_bcx"), F.col("_cy").alias("_bcy")),
+                      ["_bcx", "_bcy"])
+    dqx = F.abs(F.col("_qax") - F.col("_qbx"))
+    dqy = F.abs(F.col("_qay") - F.col("_qby"))
+    combos = combos.withColumn("_certain", (dqx + 1) * (dqx + 1) + (dqy + 1) * (dqy + 1) <= 32) \
+        .withColumn("_possible", F.greatest(dqx - 1, F.lit(0)) * F.greatest(dqx - 1, F.lit(0))
+                    + F.greatest(dqy - 1, F.lit(0)) * F.greatest(dqy - 1, F.lit(0)) <= 32).checkpoint()
+    pair_keys = ["_acx", "_acy", "_bcx", "_bcy"]
+    certain = combos.filter("_certain").select(*pair_keys, "_ca", "_cb").distinct()
+    amb = combos.filter(F.col("_possible") & ~F.col("_certain")).join(certain.select(*pair_keys), pair_keys, "left_anti")
+    a_pts = key_join(core.select("_x", "_y", F.col("_qx").alias("_qax"), F.col("_qy").alias("_qay")),
+                     amb.select("_qax", "_qay", "_qbx", "_qby", "_ca", "_cb"), ["_qax", "_qay"])
     b_pts = core.select(F.col("_x").alias("_bx"), F.col("_y").alias("_by"),
-                        F.col("_cx").alias("_bcx"), F.col("_cy").alias("_bcy"))
-    witness = key_join(a_pts, b_pts, ["_bcx", "_bcy"]).filter(dist_xy("_x", "_y", "_bx", "_by") <= eps) \
-        .select(F.col("_ca").alias("src"), F.col("_cb").alias("dst")).distinct()
+                        F.col("_qx").alias("_qbx"), F.col("_qy").alias("_qby"))
+    witness = key_join(a_pts, b_pts, ["_qbx", "_qby"]).filter(dist_xy("_x", "_y", "_bx", "_by") <= eps) \
+        .select(F.col("_ca").alias("src"), F.col("_cb").alias("dst")) \
+        .unionByName(certain.select(F.col("_ca").alias("src"), F.col("_cb").alias("dst"))).distinct()
     comp2 = connected_components(witness)
     cells = cells.join(comp2.select(F.col("node").alias("_c1"), F.col("component").alias("_c2")), "_c1", "left") \
         .withColumn("_comp", F.coalesce("_c2", "_c1")).select("_node", "_comp")

@@ -123,3 +123,20 @@ def test_dbscan_hot_cell_third_of_rows(spark):
     labels = {r.pid: r.cluster for r in out.filter(F.col("pid") < n // 3).select("pid", "cluster").collect()}
     assert time.time() - t < 120
     assert set(labels.values()) == {0} and len(labels) == n // 3
+
+
+def test_dbscan_dense_blobs_across_a_gap(spark):
+    """Two dense blobs two cells apart, closer than eps, nothing between:
+    linked through quarter-cells (and points) exactly like brute force."""
+    rnd = random.Random(12)
+    eps, minp = 10.0, 5
+    cell = eps / (2 ** 0.5)
+    rows, pid = [], 0
+    for cx0 in (0.0, 2 * cell):
+        for _ in range(60):
+            rows.append((pid, cx0 + cell * (0.05 + 0.9 * rnd.random()), 3.0 + rnd.random()))
+            pid += 1
+    rows += [(1000 + i, 300.0 + 2.0 * i, 300.0) for i in range(8)]
+    df = spark.createDataFrame(rows, "pid long, x double, y double")
+    got = {r.pid: (r.cluster, r.is_core) for r in CL.dbscan(df, eps, minp).collect()}
+    assert got == brute_dbscan(rows, eps, minp)
