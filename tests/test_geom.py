@@ -105,3 +105,11 @@ def test_geojson_feature_sample_with_trailing_comma(spark, tmpdir_path):
     df = read_geojson(spark, tmpdir_path)
     r = df.select(F.size("properties").alias("np"), G.st_numpoints("geom").alias("nv")).first()
     assert r.np == 10 and r.nv == 29
+
+
+def test_region_stats_pushes_bbox_to_parquet(spark, tmpdir_path):
+    spark.createDataFrame(README_POINTS, "x double, y double, z double, classification int") \
+        .write.parquet(f"{tmpdir_path}/pts")
+    df = A.region_stats(spark.read.parquet(f"{tmpdir_path}/pts"), X.POLY2_WKT)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "LessThan(x,288000.0)" in plan

@@ -36,3 +36,13 @@ def test_back_pressure_options(spark, tmpdir_path):
     assert s.isStreaming
     s2 = ST.read_point_stream(spark, tmpdir_path, max_files=ST.MAX_FILES_PER_TRIGGER)
     assert s2.isStreaming and "source_file" in s2.columns
+
+
+def test_header_only_files_are_failures(spark, tmpdir_path):
+    from punktwerk.sources.points import file_manifest, read_points_csv, with_source_file
+    for name, body in (("a.csv", "1.0,2.0,3.0,4,1,2\n"), ("b.csv", "")):
+        with open(f"{tmpdir_path}/{name}", "w") as f:
+            f.write("x,y,z,intensity,return_num,classification\n" + body)
+    pts = with_source_file(read_points_csv(spark, tmpdir_path))
+    bad = ST.empty_files(spark, file_manifest(spark, tmpdir_path, "*.csv"), pts)
+    assert [(r.source_file, r.error) for r in bad.collect()] == [("b.csv", "no points")]
