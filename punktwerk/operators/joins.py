@@ -133,15 +133,26 @@ def distance_join_theta(left: DataFrame, right: DataFrame, d: float, x="x", y="y
 # shape / point join
 # --------------------------------------------------------------------------
 
-def _level_of(minx, miny, maxx, maxy, cell: float, max_cells: int) -> Column:
+def _level_of(minx, miny, maxx, maxy, cell: float, max_cells: int, tries: int = 8) -> Column:
     """Smallest level whose cell size (cell * 2^level) covers the bbox in at
-    most ``max_cells`` cells."""
-    expr = F.lit(MAX_LEVELS)
-    for lv in range(MAX_LEVELS - 1, -1, -1):
-        size = cell * (2 ** lv)
-        n = (cell_index(maxx, size) - cell_index(minx, size) + 1) * \
-            (cell_index(maxy, size) - cell_index(miny, size) + 1)
-        expr = F.when(n <= max_cells, F.lit(lv)).otherwise(expr)
+    most ``max_cells`` cells. No level below sqrt(w*h/max_cells) can do it
+    (area bound), so at most ``tries`` levels from there are tested; for very
+    elongated boxes the fallback is ceil(log2(max side / cell)), where the box
+    spans at most 2 x 2 cells (valid, possibly not the smallest)."""
+    w = F.col(maxx) - F.col(minx)
+    h = F.col(maxy) - F.col(miny)
+    tiny = F.lit(1e-300)
+    lo = F.greatest(F.lit(0), F.ceil(F.log2(F.sqrt(F.greatest(w * h / max_cells, tiny)) / cell)).cast("int"))
+    top = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.greatest(w, h), tiny) / cell)).cast("int"))
+
+    def n_cells(lv):
+        size = F.lit(float(cell)) * F.pow(F.lit(2.0), lv)
+        return (F.floor(F.col(maxx) / size) - F.floor(F.col(minx) / size) + 1) * \
+            (F.floor(F.col(maxy) / size) - F.floor(F.col(miny) / size) + 1)
+    expr = top
+    for k in range(tries - 1, -1, -1):
+        lv = lo + k
+        expr = F.when((lv < top) & (n_cells(lv) <= max_cells), lv).otherwise(expr)
     return expr
 
 
