@@ -67,8 +67,11 @@ def dbscan(df: DataFrame, eps: float, min_points: int, id_col: str = "pid", x: s
     # quarter-cells of side q nest in half-cells (2q) and cells (4q); the
     # margin keeps the distance bounds strict under rounding of x / q
     q = eps / (4 * math.sqrt(2)) * (1 - 1e-6)
-    pts = df.select(F.col(id_col).alias("_id"), F.col(x).cast("double").alias("_x"),
-                    F.col(y).cast("double").alias("_y")).filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    raw = df.select(F.col(id_col).alias("_id"), F.col(x).cast("double").alias("_x"),
+                    F.col(y).cast("double").alias("_y"))
+    ok = F.col("_x").isNotNull() & F.col("_y").isNotNull() & ~F.isnan("_x") & ~F.isnan("_y")
+    invalid = raw.filter(~ok)          # no coordinates: reported as noise, never dropped
+    pts = raw.filter(ok)
     pts = pts.withColumn("_qx", F.floor(F.col("_x") / q).cast("bigint")) \
              .withColumn("_qy", F.floor(F.col("_y") / q).cast("bigint"))
     pts = pts.withColumn("_sx", F.shiftright("_qx", 1)).withColumn("_sy", F.shiftright("_qy", 1))
@@ -159,6 +162,8 @@ def dbscan(df: DataFrame, eps: float, min_points: int, id_col: str = "pid", x: s
         F.lit(False).alias("is_core"))
     out = out.unionByName(core_lab.select("_id", "_x", "_y", F.col("_cluster").cast("bigint").alias("cluster"),
                                           F.lit(True).alias("is_core")))
+    out = out.unionByName(invalid.select("_id", "_x", "_y", F.lit(-1).cast("bigint").alias("cluster"),
+                                         F.lit(False).alias("is_core")))
     return out.select(F.col("_id").alias(id_col), F.col("_x").alias(x), F.col("_y").alias(y),
                       "cluster", "is_core")
 

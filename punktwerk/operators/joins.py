@@ -90,6 +90,26 @@ def salted_equi_join(big: DataFrame, small: DataFrame, keys: list[str], salt_key
 # distance join (points)
 # --------------------------------------------------------------------------
 
+def _valid(x: str, y: str) -> Column:
+    return F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(x) & ~F.isnan(y)
+
+
+def _valid_or_null(x: str, y: str, key: Column) -> Column:
+    return F.when(_valid(x, y), key)
+
+
+def _valid_or_unique(x: str, y: str, key: Column, left_side: bool, row_hash: Column) -> Column:
+    """Second cell key; rows without valid coordinates get a value from a
+    range of their own side (left: [-2^62, -1], right: below -2^62), spread
+    by a hash of the row, so with the null first key they match nothing and
+    do not pile up in one partition. This keeps invalid rows from meeting
+    in a shared key -- without a filter, which Catalyst would push below
+    derived coordinates."""
+    h = F.pmod(row_hash, F.lit(1 << 62))
+    sentinel = (-1 - h) if left_side else (F.lit(-(1 << 62)) - 1 - h)
+    return F.when(_valid(x, y), key).otherwise(sentinel)
+
+
 def _suffixed(df: DataFrame, suffix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(c + suffix) for c in df.columns])
 
@@ -106,12 +126,17 @@ def distance_join(left: DataFrame, right: DataFrame, d: float, x: str = "x", y:
     sa, sb = suffixes
     xa, ya, xb, yb = x + sa, y + sa, x + sb, y + sb
     L = _suffixed(left, sa)
-    L = L.withColumn("_cx", cell_index(xa, d)).withColumn("_cy", cell_index(ya, d))
+    L = L.withColumn("_cx", _valid_or_null(xa, ya, cell_index(xa, d))) \
+         .withColumn("_cy", _valid_or_unique(xa, ya, cell_index(ya, d), True,
+                                             F.xxhash64(*[F.col(c) for c in L.columns])))
     offs = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy"))
                      for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    R = _suffixed(right, sb).withColumn("_o", F.explode(offs))
-    R = R.withColumn("_cx", cell_index(xb, d) + F.col("_o.dx")) \
-         .withColumn("_cy", cell_index(yb, d) + F.col("_o.dy")).drop("_o")
+    R = _suffixed(right, sb)
+    r_hash = F.xxhash64(*[F.col(c) for c in R.columns])
+    R = R.withColumn("_o", F.explode(offs))
+    R = R.withColumn("_cx", _valid_or_null(xb, yb, cell_index(xb, d) + F.col("_o.dx"))) \
+         .withColumn("_cy", _valid_or_unique(xb, yb, cell_index(yb, d) + F.col("_o.dy"), False, r_hash)) \
+         .drop("_o")
     salt = F.xxhash64(F.col(xa), F.col(ya), *[F.col(c + sa) for c in left.columns if c not in (x, y)])
     j = salted_equi_join(L, R, ["_cx", "_cy"], salt, max_cell_rows)
     dist = G.dist_xy(xa, ya, xb, yb)

@@ -140,3 +140,11 @@ def test_dbscan_dense_blobs_across_a_gap(spark):
     df = spark.createDataFrame(rows, "pid long, x double, y double")
     got = {r.pid: (r.cluster, r.is_core) for r in CL.dbscan(df, eps, minp).collect()}
     assert got == brute_dbscan(rows, eps, minp)
+
+
+def test_dbscan_invalid_coordinates_are_noise(spark):
+    rows = [(i, float(i % 3) * 0.1, 0.0) for i in range(12)] + [(100, None, 1.0), (101, float("nan"), 2.0)]
+    df = spark.createDataFrame(rows, "pid long, x double, y double")
+    got = {r.pid: r.cluster for r in CL.dbscan(df, 1.0, 5).collect()}
+    assert got[100] == -1 and got[101] == -1 and len(got) == 14
+    assert {got[i] for i in range(12)} == {0}

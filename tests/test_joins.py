@@ -112,3 +112,11 @@ def test_shape_join_multilevel_equals_brute_force(spark):
     exp = sorted((a[0], b[0]) for a in rects for b in rects
                  if max(a[1], b[1]) <= min(a[3], b[3]) and max(a[2], b[2]) <= min(a[4], b[4]))
     assert got == exp
+
+
+def test_distance_join_invalid_coordinates_match_nothing(spark):
+    rows = [(1, 0.0, 0.0), (2, 0.5, 0.0)] + [(10 + i, None, None) for i in range(200)] \
+        + [(500 + i, float("nan"), 1.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, x double, y double")
+    j = J.distance_join(df, df, 1.0, max_cell_rows=50)
+    assert _pairs(j) == [(1, 1), (1, 2), (2, 1), (2, 2)]
