@@ -90,3 +90,13 @@ def write_text_files(lines: DataFrame, path: str, group: str, header: list[str]
         body = body.unionByName(groups.select(group, F.inline(fr)))
     out = body.repartition(group).sortWithinPartitions(group, "_ord").select(group, "value")
     out.write.partitionBy(group).text(path)
+
+
+def drop_point_table(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def describe_table(spark: SparkSession, name: str) -> DataFrame:
+    """Column, type and comment rows plus table details (location, provider,
+    partitioning)."""
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}")

@@ -120,3 +120,26 @@ def test_distance_join_invalid_coordinates_match_nothing(spark):
     df = spark.createDataFrame(rows, "id long, x double, y double")
     j = J.distance_join(df, df, 1.0, max_cell_rows=50)
     assert _pairs(j) == [(1, 1), (1, 2), (2, 1), (2, 2)]
+
+
+def test_grid_partition_spreads_hot_cell(spark):
+    rnd = random.Random(13)
+    rows = [(i, 500.0 + rnd.random(), 500.0 + rnd.random()) for i in range(10000)]
+    rows += [(20000 + i, rnd.uniform(0, 1000), rnd.uniform(0, 1000)) for i in range(20000)]
+    df = spark.createDataFrame(rows, "pid long, x double, y double")
+    g, cell = J.grid_partition(df, rows_per_cell=500, num_partitions=16, max_cell_rows=1000)
+    from pyspark.sql import functions as F
+    hot = g.filter(F.col("pid") < 10000).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert hot >= 8 and g.count() == 30000
+
+
+def test_point_table_ddl(spark, tmpdir_path):
+    import uuid
+
+    from punktwerk.sources import sinks as SK
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    SK.create_point_table(spark, name, location=f"{tmpdir_path}/t")
+    cols = [r.col_name for r in SK.describe_table(spark, name).collect()]
+    assert "source_file" in cols and "classification" in cols
+    SK.drop_point_table(spark, name)
+    assert not spark.catalog.tableExists(name)
