@@ -120,6 +120,8 @@ _UDFS: dict = {}
 
 def _udf(name):
     # built on first use on the driver (Python workers only unpickle them)
+    from punktwerk.session import ship_package
+    ship_package()
     if name not in _UDFS:
         from pyspark.sql.types import BinaryType, StringType
         if name == "decode":

@@ -96,6 +96,8 @@ def blocked_components(edges: DataFrame, src_block: str, dst_block: str, src: st
     then Large-Star/Small-Star on the contracted graph of block-local
     components linked by the cross-block edges. Same result as
     ``connected_components``; far fewer global rounds on long chains."""
+    from punktwerk.session import ship_package
+    ship_package(edges.sparkSession)
     e = edges.select(F.col(src).cast("bigint").alias("src"), F.col(dst).cast("bigint").alias("dst"),
                      F.col(src_block).alias("_bs"), F.col(dst_block).alias("_bd"))
     inner = e.filter(F.col("_bs") == F.col("_bd")).select(F.col("_bs").alias("_b"), "src", "dst")

@@ -75,6 +75,8 @@ def convex_hull(df: DataFrame, by: str | list[str], x: str = "x", y: str = "y",
     Coordinates are shifted to the group's (min x, min y) before the hull
     and area are computed, which keeps the shoelace sum free of the
     cancellation large projected coordinates cause."""
+    from punktwerk.session import ship_package
+    ship_package(df.sparkSession)
     keys = [by] if isinstance(by, str) else list(by)
     pts = df.select(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
     sizes = pts.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_task)).cast("int").alias("_ns"),

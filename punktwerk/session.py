@@ -60,3 +60,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     intermediate tables and files written by a job."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/punktwerk/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make ``punktwerk`` importable in the Python workers (pandas UDFs,
+    applyInPandas, mapInArrow) by adding a zip of the package with
+    ``addPyFile``, once per SparkContext -- what ``--py-files`` does. The zip
+    is built on the driver and distributed by Spark itself."""
+    import zipfile
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="punktwerk-pyfiles-"), "punktwerk.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)

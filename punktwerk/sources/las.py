@@ -114,8 +114,9 @@ def read_las(spark: SparkSession, path: str, points_per_split: int = 1_000_000,
              max_points: int | None = None, glob: str = "*.las") -> tuple[DataFrame, DataFrame]:
     """(points, failures) for every LAS file under ``path``. ``max_points``
     caps the points taken per file (None = all)."""
-    from punktwerk.session import ensure_checkpoint_dir
+    from punktwerk.session import ensure_checkpoint_dir, ship_package
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
                .option("recursiveFileLookup", "true").load(path).select("path", "length"))
     headers = listing.mapInPandas(_headers, HEADER_SCHEMA).checkpoint()
