@@ -27,3 +27,13 @@ def test_small_queries_against_duckdb(spark):
         sdf = qs[k](spark, SF_SMALL)
         rel = con.sql(orc[k])
         assert rows_key(sdf.columns, sdf.collect()) == rows_key(rel.columns, rel.fetchall()), k
+
+
+def test_ship_package_once_per_context(spark):
+    from punktwerk import session
+    session.ship_package(spark)
+    session.ship_package(spark)
+    assert spark.sparkContext.applicationId in session._SHIPPED
+    # a Python worker can import the package and run an operator's helper
+    out = spark.range(1).rdd.map(lambda _: __import__("punktwerk.operators.hull", fromlist=["x"]).__name__).collect()
+    assert out == ["punktwerk.operators.hull"]
