@@ -107,3 +107,10 @@ def read_typed_shapes(spark: SparkSession, path: str, kind: str, offset: int = 0
         ring, gt = verts, "LINESTRING"
     return df.select(F.struct(F.lit(gt).alias("gtype"),
                               F.array(F.array(ring)).cast(PARTS_T).alias("parts")).alias("geom"))
+
+
+def first_match(spark: SparkSession, root: str, glob: str) -> str:
+    """Path of the first file (by name) under ``root`` matching ``glob``;
+    raises when there is none. Only names are listed, nothing is read."""
+    row = file_manifest(spark, root, glob).orderBy("name").select("path").first()
+    return row["path"]

@@ -57,6 +57,7 @@ def test_file_manifest_glob(spark, tmpdir_path):
             f.write(b"x")
     m = SP.file_manifest(spark, tmpdir_path, "*3dm_32_283*.laz")
     assert [r.name for r in m.collect()] == ["3dm_32_283_5652_1_nw.laz"]
+    assert SP.first_match(spark, tmpdir_path, "*.laz").endswith("3dm_32_283_5652_1_nw.laz")
     with pytest.raises(FileNotFoundError):
         SP.file_manifest(spark, tmpdir_path, "*.las")
 
