@@ -100,3 +100,15 @@ def describe_table(spark: SparkSession, name: str) -> DataFrame:
     """Column, type and comment rows plus table details (location, provider,
     partitioning)."""
     return spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+
+
+def to_pandas(df: DataFrame, geom: str | None = None, max_rows: int = 1_000_000):
+    """Hand a bounded result to pandas (plotting, GIS tools): shapes become
+    WKT text. Raises instead of pulling more than ``max_rows`` rows to the
+    driver; reduce or sample with Spark first."""
+    from punktwerk.functions.geom import st_astext
+    out = df.withColumn(geom, st_astext(geom)) if geom else df
+    head = out.limit(max_rows + 1).toPandas()
+    if len(head) > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; reduce it in Spark first")
+    return head

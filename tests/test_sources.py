@@ -126,3 +126,14 @@ def test_ingest_las_tiles_idempotent(spark, tmpdir_path):
     counts = {r.source_file: r["count"] for r in back.groupBy("source_file").count().collect()}
     assert counts == {"3dm_32_280_5652_1_nw.las": 300, "3dm_32_281_5652_1_nw.las": 301}
     assert back.filter(F.length("geohash") != 6).count() == 0
+
+
+def test_to_pandas_bounded(spark):
+    from punktwerk.functions import geom as G
+    from punktwerk.sources.sinks import to_pandas
+    df = spark.createDataFrame([(1, 2.0, 3.0), (2, 4.0, 5.0)], "id long, x double, y double") \
+        .withColumn("g", G.st_point("x", "y"))
+    pdf = to_pandas(df, "g")
+    assert list(pdf["g"]) == ["POINT (2 3)", "POINT (4 5)"]
+    with pytest.raises(ValueError):
+        to_pandas(df, "g", max_rows=1)
