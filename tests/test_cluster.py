@@ -148,3 +148,12 @@ def test_dbscan_invalid_coordinates_are_noise(spark):
     got = {r.pid: r.cluster for r in CL.dbscan(df, 1.0, 5).collect()}
     assert got[100] == -1 and got[101] == -1 and len(got) == 14
     assert {got[i] for i in range(12)} == {0}
+
+
+def test_approx_counts_and_describe_approx(spark):
+    from punktwerk.operators import aggs as A
+    df = spark.range(20000).selectExpr("cast(id % 5000 as double) as x", "cast(id % 7 as double) as y")
+    r = A.approx_counts(df).first()
+    assert r.n_rows == 20000 and abs(r.approx_distinct - 20000) / 20000 < 0.05   # (x, y) pairs are all distinct
+    out = {(row.col_name, row.stat): row.value for row in A.describe_points_approx(df, ("x",)).collect()}
+    assert out[("x", "count")] == 20000.0 and abs(out[("x", "p50")] - 2500) <= 5
