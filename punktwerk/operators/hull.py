@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from punktwerk.session import ensure_checkpoint_dir
+
 
 def monotone_chain(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
     """Convex hull vertices (n x 2 array), counter-clockwise, collinear
@@ -77,6 +79,7 @@ def convex_hull(df: DataFrame, by: str | list[str], x: str = "x", y: str = "y",
     cancellation large projected coordinates cause."""
     from punktwerk.session import ship_package
     ship_package(df.sparkSession)
+    ensure_checkpoint_dir(df.sparkSession)
     keys = [by] if isinstance(by, str) else list(by)
     pts = df.select(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
     sizes = pts.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_task)).cast("int").alias("_ns"),
@@ -85,8 +88,22 @@ def convex_hull(df: DataFrame, by: str | list[str], x: str = "x", y: str = "y",
         *keys, (F.col("x") - F.col("_x0")).alias("lx"), (F.col("y") - F.col("_y0")).alias("ly"),
         F.pmod(F.xxhash64("x", "y"), F.col("_ns")).alias("_salt"))
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pts.schema.fields if f.name in keys)
-    partial = pts.groupBy(*keys, "_salt").applyInPandas(
-        _partial(keys + ["_salt"]), f"{key_schema}, _salt bigint, lx double, ly double").drop("_salt")
+    part_schema = f"{key_schema}, _salt bigint, lx double, ly double"
+    partial = pts.groupBy(*keys, "_salt").applyInPandas(_partial(keys + ["_salt"]), part_schema).drop("_salt")
+    # while a group's surviving vertices still exceed one task's share,
+    # split them again by hash and reduce (stops when a round does not help)
+    last = None
+    for _ in range(4):
+        partial = partial.checkpoint()
+        cnt = partial.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"))
+        big = cnt.filter(F.col("_m") > rows_per_task)
+        total = partial.count()
+        if big.isEmpty() or (last is not None and total > 0.9 * last):
+            break
+        last = total
+        partial = partial.join(cnt, keys).withColumn(
+            "_salt", F.pmod(F.xxhash64("lx", "ly"), F.ceil(F.col("_m") / F.lit(rows_per_task)))).drop("_m")
+        partial = partial.groupBy(*keys, "_salt").applyInPandas(_partial(keys + ["_salt"]), part_schema).drop("_salt")
     partial = partial.join(sizes.drop("_ns"), keys)
     return partial.groupBy(*keys).applyInPandas(
         _final(keys), f"{key_schema}, gtype string, n_vertices int, area double, "
