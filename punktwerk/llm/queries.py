@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punktwerk.llm import exact_dedup, mixing, packing, quality_rules, token_files
+from punktwerk.llm import (exact_dedup, language_id, licenses, mixing, near_join, packing, pii, quality_model, quality_rules,
+                           token_files)
 from punktwerk.llm.common import documents
 
 QUERIES = {}
@@ -60,3 +61,28 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_packing")
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_digest(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), 1)
+
+
+@query("op8_near_join")
+def op8_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join.near_groups(documents(spark, sf_dir))
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
+@query("op9_quality_model")
+def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+@query("op4_license_scan")
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
+@query("op10_pii")
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(documents(spark, sf_dir))
