@@ -63,7 +63,7 @@ def dictionaries(train: DataFrame, slots: int = SLOTS, slice_chars: int = SLICE_
 
 
 class Compressors:
-    """One compressor per language, made once per worker and model."""
+    """One compressor per language."""
 
     def __init__(self, content: dict[str, bytes]):
         self.langs = [k for k, v in content.items() if len(v) >= 8]
@@ -92,9 +92,6 @@ class Compressors:
         return self.langs[best], float(score), bool(len(rest) == 0 or rest.min() >= LEAST_MARGIN)
 
 
-_READY: dict[int, Compressors] = {}
-
-
 def classify(content: dict[str, bytes], spark) -> "Column":
     """Column function text -> struct(lang_pred, score, reliable). The
     dictionaries are broadcast: a fixed number of bytes a language."""
@@ -102,12 +99,13 @@ def classify(content: dict[str, bytes], spark) -> "Column":
     kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
                          T.StructField("reliable", T.BooleanType())])
 
+    ready: list[Compressors] = []       # made once per task
+
     @F.pandas_udf(kind)
     def run(text: pd.Series) -> pd.DataFrame:
-        if shared.id not in _READY:
-            _READY.clear()
-            _READY[shared.id] = Compressors(shared.value)
-        c = _READY[shared.id]
+        if not ready:
+            ready.append(Compressors(shared.value))
+        c = ready[0]
         return pd.DataFrame([c.predict(t) for t in text], columns=["lang_pred", "score", "reliable"])
 
     return run

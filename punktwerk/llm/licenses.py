@@ -249,7 +249,7 @@ def scan(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
 
     @F.pandas_udf(_FOUND)
     def run(text: pd.Series) -> pd.Series:
-        return pd.Series([scan_text(t, *shared.value) for t in text])
+        return pd.Series([scan_text(t, *shared.value) for t in text], dtype=object)
 
     d = docs.select("doc_id", run("text").alias("found"))
     best = F.array_max(F.transform("found", lambda p: F.struct(p["confirmed"], p["score"], p["family"])))

@@ -46,17 +46,22 @@ _FIRST_DAY, _DAYS = "1900-01-01", (184, 397)      # 184 * 397 days: to 2099-12-3
 
 
 def feistel(x: Column, a: Column, b: Column, key: str, tweak: Column, rounds: int = ROUNDS) -> Column:
-    """A keyed permutation of the integers below a * b."""
-    def step(i, v):
-        return F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), tweak, i.cast("string"), v.cast("string")), 256), 1, 12), 16, 10).cast("long")
+    """A keyed permutation of the integers below a * b. What the rounds need
+    travels in the accumulator, so it is computed once."""
+    def mixed(i, tweak_, v):
+        h = F.sha2(F.concat_ws("|", F.lit(key), tweak_, i.cast("string"), v.cast("string")), 256)
+        return F.conv(F.substring(h, 1, 12), 16, 10).cast("long")
 
-    left = (x - F.pmod(x, b))                 # a multiple of b, so the division is exact
-    first = F.struct(F.call_function("div", left, b).alias("l"), F.pmod(x, b).alias("r"))
+    def state(s, left, right):
+        return F.struct(left.alias("l"), right.alias("r"), s["a"].alias("a"), s["b"].alias("b"), s["t"].alias("t"))
+
+    low = F.pmod(x, b)
+    first = F.struct(F.call_function("div", x - low, b).alias("l"), low.alias("r"), a.alias("a"), b.alias("b"), tweak.alias("t"))
     return F.aggregate(
         F.array(*[F.lit(i) for i in range(rounds)]), first,
-        lambda s, i: F.when(i % 2 == 0, F.struct(F.pmod(s["l"] + step(i, s["r"]), a).alias("l"), s["r"].alias("r")))
-                      .otherwise(F.struct(s["l"].alias("l"), F.pmod(s["r"] + step(i, s["l"]), b).alias("r"))),
-        lambda s: s["l"] * b + s["r"])
+        lambda s, i: F.when(i % 2 == 0, state(s, F.pmod(s["l"] + mixed(i, s["t"], s["r"]), s["a"]), s["r"]))
+                      .otherwise(state(s, s["l"], F.pmod(s["r"] + mixed(i, s["t"], s["l"]), s["b"]))),
+        lambda s: s["l"] * s["b"] + s["r"])
 
 
 def _digits(m: Column) -> Column:
@@ -65,12 +70,14 @@ def _digits(m: Column) -> Column:
 
 def _refill(m: Column, digits: Column) -> Column:
     """The digits of m replaced in order; everything else stays."""
-    out = F.aggregate(
-        F.split(m, ""), F.struct(F.lit("").alias("o"), F.lit(1).alias("i")),
-        lambda s, c: F.when(c.rlike("[0-9]"), F.struct(F.concat(s["o"], F.substring(digits, s["i"], F.lit(1))).alias("o"), (s["i"] + 1).alias("i")))
-                      .otherwise(F.struct(F.concat(s["o"], c).alias("o"), s["i"].alias("i"))),
+    def state(s, text, used):
+        return F.struct(text.alias("o"), used.alias("i"), s["d"].alias("d"))
+
+    return F.aggregate(
+        F.split(m, ""), F.struct(F.lit("").alias("o"), F.lit(1).alias("i"), digits.alias("d")),
+        lambda s, c: F.when(c.rlike("[0-9]"), state(s, F.concat(s["o"], F.substring(s["d"], s["i"], F.lit(1))), s["i"] + 1))
+                      .otherwise(state(s, F.concat(s["o"], c), s["i"])),
         lambda s: s["o"])
-    return out
 
 
 def _luhn(body: Column, check_included: bool) -> Column:
@@ -174,5 +181,5 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     """doc_id, text, n_found and a count per kind."""
     prepare(docs.sparkSession)
     d = with_pseudonyms(docs.select("doc_id", "text"), key)
-    counts = [F.size(F.filter("found", lambda p, k=k: p["kind"] == k)).alias(f"n_{k}") for k in KINDS]
+    counts = [F.size(F.expr(f"filter(found, p -> p.kind = '{k}')")).alias(f"n_{k}") for k in KINDS]
     return d.select("doc_id", "text", F.size("found").alias("n_found"), *counts, "found")

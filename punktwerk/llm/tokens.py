@@ -13,10 +13,12 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
 _UNIT = re.compile(r"[ \n]*[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ \n,.|!?;:])|[ \n]*[^ \n]+|[ \n]+")
 _OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f]")
-MEMO_UNITS = 400_000
+MEMO_UNITS = 600_000
 
 
 class TextEncoder:
@@ -30,19 +32,20 @@ class TextEncoder:
         self._width = width
         self._memo: dict[str, bytes] = {}
 
-    def _pack(self, ids) -> bytes:
-        import numpy as np
-        return np.asarray(ids, dtype=f"<u{self._width}").tobytes()
-
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [self._pack(e.ids) for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
+        code = {2: "H", 4: "I"}[self._width]
+        out = [array(code, e.ids) for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
+        if sys.byteorder == "big":
+            for a in out:
+                a.byteswap()
+        return [a.tobytes() for a in out]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. Units not met before are encoded in one call;
         they stay in the memo while it has room."""
         memo = self._memo
         units = [None if _OTHER_SPACE.search(t) else _UNIT.findall(t) for t in texts]
-        new = [u for u in dict.fromkeys(u for us in units if us for u in us) if u not in memo]
+        new = list(set().union(*(us for us in units if us)).difference(memo))
         memo.update(zip(new, self._encode(new)))
         whole = iter(self._encode([t for t, us in zip(texts, units) if us is None]))
         ids = memo.__getitem__
