@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punktwerk.llm.common import prepare, staged
+from punktwerk.llm.common import bitmap, bitmap_filter, prepare, staged
 from punktwerk.operators.graph import connected_components
 
 WIDTH = 5
@@ -93,8 +93,8 @@ def unpack48(b) -> np.ndarray:
 
 
 def group_bits(n: int) -> int:
-    """log2 of the groups: two shingles a group, sixteen groups at least."""
-    return min(14, max(4, (int(n) - 1).bit_length() - 1))
+    """log2 of the groups: about two shingles a group, 16 to 2,048 groups."""
+    return min(11, max(4, (int(n) - 1).bit_length() - 1))
 
 
 def count_vector(tokens: np.ndarray) -> np.ndarray:
@@ -107,7 +107,7 @@ def count_vector(tokens: np.ndarray) -> np.ndarray:
 
 def _vector(b, n: int) -> np.ndarray:
     bits = group_bits(n)
-    return np.frombuffer(b, np.uint8 if len(b) == 1 << bits else "<u2")
+    return np.frombuffer(b, np.uint8 if len(b) == 1 << bits else np.uint16)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -267,7 +267,7 @@ class CountRTree:
         for i in range(0, len(order), LEAF * FANOUT):
             slab = order[i:i + LEAF * FANOUT]
             if len(slab) > LEAF:        # within a slab of like sizes, by the coordinate that varies most
-                m = self._matrix(slab, self._bits(slab))
+                m = self._matrix(slab, min(6, self._bits(slab)))
                 slab = slab[np.argsort(m[:, m.var(axis=0).argmax()], kind="stable")]
             slabs += [slab[j:j + LEAF] for j in range(0, len(slab), LEAF)]
         level = [(s, None) for s in slabs]
@@ -431,16 +431,17 @@ def link_edges(families: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
-    prepare(docs.sparkSession)
+    spark = prepare(docs.sparkSession)
     sets = staged(shingle_sets(docs), "shingle_sets")
     members = staged(candidate_lists(sets, percent), "candidate_lists")
-    wanted = members.select("node").distinct()
-    points = sets.filter("node is not null").select("node", F.length("tokens").alias("_b"), "vec") \
-        .join(wanted, "node", "left_semi").dropDuplicates(["node"]) \
-        .select("node", (F.col("_b") / TOKEN_BYTES).cast("long").alias("n"), "vec")
+    # a map-side filter of fixed size: sets that meet nobody are not shuffled
+    met = bitmap_filter(spark, bitmap(members, "node"))
+    points = sets.filter("node is not null").select("node", (F.length("tokens") / TOKEN_BYTES).cast("long").alias("n"), "vec") \
+        .filter(met("node")).dropDuplicates(["node"])
     edges = staged(candidate_edges(members, points, percent), "candidate_edges")
     families = staged(connected_components(edges).select("node", F.col("component").alias("family")), "families")
-    whole = sets.select("node", "tokens").join(families, "node").groupBy("family", "node").agg(F.first("tokens").alias("tokens")) \
+    related = bitmap_filter(spark, bitmap(families, "node"))
+    whole = sets.filter("node is not null").select("node", "tokens").filter(related("node")).join(families, "node").groupBy("family", "node").agg(F.first("tokens").alias("tokens")) \
         .withColumn("n", (F.length("tokens") / TOKEN_BYTES).cast("long"))
     links = staged(link_edges(whole, percent), "link_edges")
     roots = connected_components(links).select("node", F.col("component").alias("root"))
