@@ -2,11 +2,13 @@
 
 The library encodes each distinct *unit* of a text once and a bounded memo
 keeps its ids. A unit is a run of spaces and newlines with the run of other
-characters after it, or with a run of letters that ends before a space or one
-of ``,.|!?;:``. Public BPE pre-tokenizers never join characters across such a
-boundary, so the ids of the units, in order, are the ids of the text.
-Texts with any other white space (where a white-space run could straddle a
-boundary) are encoded whole.
+characters after it, or with a run of letters that ends before a space or a
+punctuation mark (but no apostrophe). Public BPE pre-tokenizers never join
+characters across such a boundary, so the ids of the units, in order, are the
+ids of the text. Texts with any other white space (where a white-space run
+could straddle a boundary) are encoded whole. Where the tokenizer itself
+lower-cases and drops white space, Latin-1 texts are folded beforehand, so
+that more units are alike.
 """
 
 from __future__ import annotations
@@ -16,9 +18,19 @@ import re
 import sys
 from array import array
 
-_UNIT = re.compile(r"[ \n]*[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ \n,.|!?;:])|[ \n]*[^ \n]+|[ \n]+")
-_OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f]")
-MEMO_UNITS = 600_000
+_AFTER = r"(?=[ \n,.|!?;:#*$%&\"()<>=+@/-])"
+_UNIT = re.compile(r"[ \n]*[A-Za-zÀ-ÖØ-öø-ÿ]+" + _AFTER + r"|[ \n]*[^ \n]+|[ \n]+")
+#: The same without the space before a unit, for tokenizers that drop it.
+_BARE_UNIT = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+" + _AFTER + r"|[^ \n]+")
+#: White space besides the space and the newline.
+_ASCII_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_WIDE_SPACES = ("\x85\xa0            "
+                "    　")
+MEMO_UNITS = 1_000_000
+
+
+def _plain(text: str) -> bool:
+    return not any(c in text for c in _ASCII_SPACES) and (text.isascii() or not any(c in text for c in _WIDE_SPACES))
 
 
 class TextEncoder:
@@ -31,6 +43,8 @@ class TextEncoder:
         self._tok.encode_special_tokens = True   # their strings in a text are ordinary text
         self._width = width
         self._memo: dict[str, bytes] = {}
+        one, *same = self._encode(["word été", "Word ÉTÉ", " WORD\n\n  ÉTÉ \n"])
+        self._folds = all(x == one for x in same) and self._encode([" \n"]) == [b""]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         code = {2: "H", 4: "I"}[self._width]
@@ -40,11 +54,22 @@ class TextEncoder:
                 a.byteswap()
         return [a.tobytes() for a in out]
 
+    def _units(self, text: str) -> list[str] | None:
+        if not _plain(text):
+            return None
+        if self._folds:
+            try:
+                text.encode("latin-1")      # lower() is per character there
+                return _BARE_UNIT.findall(text.lower())
+            except UnicodeEncodeError:
+                pass
+        return _UNIT.findall(text)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. Units not met before are encoded in one call;
         they stay in the memo while it has room."""
         memo = self._memo
-        units = [None if _OTHER_SPACE.search(t) else _UNIT.findall(t) for t in texts]
+        units = [self._units(t) for t in texts]
         new = list(set().union(*(us for us in units if us)).difference(memo))
         memo.update(zip(new, self._encode(new)))
         whole = iter(self._encode([t for t, us in zip(texts, units) if us is None]))
