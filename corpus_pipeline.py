@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punktwerk.llm import exact_dedup, mixing, packing, quality_rules
+from punktwerk.llm import exact_dedup, mixing, near_join, packing, quality_rules
 from punktwerk.llm.common import documents, prepare, staged
 from punktwerk.llm.queries import tokenizer
 
@@ -26,6 +26,12 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: one document of each group of near copies stays."""
+    prepare(spark)
+    return near_join.drop_near_copies(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: sources by weight; a document taken twice is two rows."""
     prepare(spark)
@@ -38,7 +44,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packing_digest(docs, tokenizer("byte_bpe_50k.json"), 1)
 
 
-STAGES = [("quality_rules", rules), ("exact_dedup", exact), ("mixing", mixed), ("packing", packed)]
+STAGES = [("quality_rules", rules), ("exact_dedup", exact), ("near_join", near), ("mixing", mixed), ("packing", packed)]
 
 #: Fences, links and tokens can't be written in SQL; tests hold the stages
 #: against brute-force versions.

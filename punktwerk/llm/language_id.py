@@ -33,8 +33,8 @@ from punktwerk.llm.common import prepare, text_crc
 
 SLOTS = 160
 SLICE_CHARS = 400
-CHUNK_BYTES = 4096
-LEVEL = 3
+CHUNK_BYTES = 2048
+LEVEL = 9
 LEAST_MARGIN = 0.01
 #: Margin (compressed bytes saved per byte of text) at which the score is 0.73.
 MARGIN_SCALE = 0.02
