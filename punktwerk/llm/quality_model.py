@@ -64,7 +64,6 @@ def features(texts) -> np.ndarray:
         m = max(1, n)
         out[k, 6] = n / max(1, t.count("\n") + 1)
         out[k, 7] = len(seen) / m
-        out[k, 8] = sum(map(bytes.__eq__, ws[1:], ws)) / m
         out[k, 9] = (len(b) - len(b.translate(None, _DIGITS))) / size
         out[k, 10] = (len(b) - len(b.translate(None, _PUNCT))) / m
         out[k, 11] = sum(len(w) > 12 for w in seen) / max(1, len(seen))
@@ -79,6 +78,7 @@ def features(texts) -> np.ndarray:
     out[:, 3] = v["n_upper"] / np.maximum(1, v["n_letters"])
     out[:, 4] = v["n_dup_lines"] / np.maximum(1, v["n_lines"])
     out[:, 5] = v["n_repeat_words"] / n
+    out[:, 8] = v["n_stutter"] / n
     return out
 
 

@@ -35,7 +35,7 @@ _LETTERS = _UPPER + bytes(range(97, 123))
 _SPACES = b" \t\n\x0b\x0c\r"
 _NGRAM = 8
 
-COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters"]
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_stutter"]
 
 
 def _ranks(pairs: np.ndarray) -> tuple[np.ndarray, int]:
@@ -85,7 +85,7 @@ def count_texts(texts) -> pd.DataFrame:
         n = len(b)
         rows.append((len(ws), len(t) - (n - len(b.translate(None, _SPACES))), n - len(b.translate(None, _SYMBOLS)),
                      len(lines) - len(set(lines)), 0, len(lines), n - len(b.translate(None, _UPPER)),
-                     n - len(b.translate(None, _LETTERS))))
+                     n - len(b.translate(None, _LETTERS)), sum(map(bytes.__eq__, ws[1:], ws))))
         words.append(ws)
     out = pd.DataFrame(rows, columns=COUNTS, dtype="int64")
     out["n_repeat_words"] = repeated_window_words(words)
@@ -112,8 +112,10 @@ class Signal:
 SIGNALS = (
     Signal("symbols", "n_symbols", "word_chars", 50),
     Signal("upper", "n_upper", "n_letters", 300),
-    Signal("dup_lines", "n_dup_lines", "n_lines", 300),
-    Signal("repeats", "n_repeat_words", "n_words", 300),
+    # a header line or a passage may be doubled in a short good text: wide
+    Signal("dup_lines", "n_dup_lines", "n_lines", 800),
+    Signal("repeats", "n_repeat_words", "n_words", 400),
+    Signal("stutter", "n_stutter", "n_words", 200),
 )
 LEAST_DOCS = 200
 
