@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punktwerk.llm.common import bitmap, bitmap_filter, prepare, staged
+from punktwerk.llm.common import bitmap, in_bitmap, prepare, staged
 from punktwerk.operators.graph import connected_components
 
 WIDTH = 5
@@ -44,6 +44,7 @@ TOKEN_BYTES = 6                  # sets keep 48 bits of each shingle's hash
 CELLS_LOG2 = 20                  # cells of the document-frequency counts: 4 MB at any input size
 POSTINGS_PER_BUCKET = 1_500_000
 BLOCK_BYTES = 24_000_000         # most bytes of one side of a block
+LIST_ROW_BYTES = 600             # a list's row, with its vector, in a task
 LEAF, FANOUT = 64, 8
 
 
@@ -80,9 +81,12 @@ def shingles(texts, width: int = WIDTH) -> list[np.ndarray]:
     return out
 
 
+def pack_tokens(tokens: np.ndarray) -> bytes:
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES].tobytes()
+
+
 def pack48(hashes: np.ndarray) -> bytes:
-    u = np.unique(hashes >> np.uint64(16))
-    return u.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES].tobytes()
+    return pack_tokens(np.unique(hashes >> np.uint64(16)))
 
 
 def unpack48(b) -> np.ndarray:
@@ -105,13 +109,21 @@ def count_vector(tokens: np.ndarray) -> np.ndarray:
     return c.astype(np.uint8 if c.max(initial=0) < 256 else np.uint16)
 
 
-def _vector(b, n: int) -> np.ndarray:
-    bits = group_bits(n)
-    return np.frombuffer(b, np.uint8 if len(b) == 1 << bits else np.uint16)
+def pack_vector(v: np.ndarray) -> bytes:
+    """Half a byte per count where all counts allow it."""
+    return (v[0::2] | (v[1::2] << 4)).astype(np.uint8).tobytes() if v.max(initial=0) < 16 else v.tobytes()
+
+
+def unpack_vector(b, n: int) -> np.ndarray:
+    groups = 1 << group_bits(n)
+    if len(b) * 2 == groups:
+        raw = np.frombuffer(b, np.uint8)
+        return np.stack([raw & 15, raw >> 4], axis=1).reshape(-1)
+    return np.frombuffer(b, np.uint8 if len(b) == groups else np.uint16)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n, node (hash of the whole set; null if empty), tokens, vec."""
+    """doc_id, n, node (hash of the whole set; null if empty), tokens."""
     def run(batches):
         for b in batches:
             sets = shingles(b.column(1).to_pylist())
@@ -120,12 +132,34 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 b.column(0), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)) if len(s) else None
                           for s in sets], pa.int64()),
-                pa.array(packed, pa.binary()),
-                pa.array([count_vector(unpack48(p)).tobytes() for p in packed], pa.binary())],
-                ["doc_id", "n", "node", "tokens", "vec"])
+                pa.array(packed, pa.binary())], ["doc_id", "n", "node", "tokens"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n long, node long, tokens binary, vec binary")
+        run, "doc_id long, n long, node long, tokens binary")
+
+
+def selected(sets: DataFrame, keys: DataFrame, payload) -> DataFrame:
+    """(node, n, payload) of the sets whose node may be among ``keys``, once
+    per node. A bitmap of fixed size filters before the shuffle, so sets that
+    meet nobody stay where they are; an exact join has to follow."""
+    shared = sets.sparkSession.sparkContext.broadcast(bitmap(keys, "node"))
+
+    def run(batches):
+        seen = set()
+        for b in batches:
+            node = b.column(0).to_numpy(zero_copy_only=False)
+            rows = []
+            for i in np.flatnonzero(in_bitmap(node, shared.value)):
+                if int(node[i]) not in seen:
+                    seen.add(int(node[i]))
+                    rows.append(i)
+            tokens = [unpack48(b.column(1)[int(i)].as_py()) for i in rows]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(node[rows], pa.int64()), pa.array([len(t) for t in tokens], pa.int64()),
+                pa.array([payload(t) for t in tokens], pa.binary())], ["node", "n", "payload"])
+
+    return sets.filter("node is not null").select("node", "tokens").mapInArrow(
+        run, "node long, n long, payload binary").dropDuplicates(["node"])
 
 
 # ---- global order, postings, lists -----------------------------------------
@@ -158,17 +192,29 @@ def frequency_classes(sets: DataFrame) -> tuple[np.ndarray, int]:
     return classes, sum(r["total"] for r in got)
 
 
+EARLY = np.uint64(1 << 63)
+_TOKEN = np.uint64((1 << 48) - 1)
+
+
 def prefix(tokens: np.ndarray, classes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The shingles of a set that come first in the global order."""
+    """The shingles of a set that come first in the global order. Of two
+    linked sets, the smaller one has the shared shingle among its first
+    ``n - ceil(2t / (1 + t) n) + 1``; those are marked EARLY."""
     n = len(tokens)
-    p = n + (-percent * n // 100) + 1
+    p, early = n + (-percent * n // 100) + 1, n + (-2 * percent * n // (100 + percent)) + 1
     key = (classes[(tokens >> np.uint64(48 - CELLS_LOG2)).astype(np.int64)].astype(np.uint64) << np.uint64(48)) | tokens
-    return (np.partition(key, p - 1)[:p] if p < n else key) & np.uint64((1 << 48) - 1)
+    first = np.partition(key, [early - 1, p - 1])[:p] & _TOKEN
+    first[:early] |= EARLY
+    return first
 
 
 def lists_of(tokens: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(list_id, node) rows of the distinct lists of two or more nodes that
-    share a token. A list's id is a hash of its members."""
+    share a token, one of them early. A list's id is a hash of its members."""
+    marked = np.unique(tokens[tokens >= EARLY] & _TOKEN)
+    tokens = tokens & _TOKEN
+    keep = np.isin(tokens, marked)
+    tokens, nodes = tokens[keep], nodes[keep]
     order = np.lexsort((nodes, tokens))
     t, v = tokens[order], nodes[order]
     fresh = np.ones(len(t), bool)
@@ -199,7 +245,7 @@ def candidate_lists(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         def flush():
             t = np.concatenate([x for x, _ in held])
             v = np.repeat(np.array([n for _, n in held], np.int64), [len(x) for x, _ in held])
-            b = (t % np.uint64(buckets)).astype(np.int64)
+            b = ((t & _TOKEN) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(b, kind="stable")
             t, v, b = t[order], v[order], b[order]
             at = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]]))
@@ -350,15 +396,19 @@ class CountRTree:
 
 # ---- groups of bounded size -------------------------------------------------
 
-def blocks(rows: DataFrame, key: str, weight: str) -> DataFrame:
-    """Adds ``_bi``/``_bj``: a group that weighs more than BLOCK_BYTES is cut
-    into blocks, and its rows are repeated once for each pair of blocks."""
-    total = rows.groupBy(F.col(key).alias("_k")).agg(F.ceil(F.sum(weight) / BLOCK_BYTES).cast("int").alias("_nb"))
-    big = total.filter("_nb > 1")
-    j = rows.join(big, F.col(key) == F.col("_k"), "left").withColumn("_nb", F.coalesce("_nb", F.lit(1)))
+def blocks(rows: DataFrame) -> DataFrame:
+    """Adds ``_bi``/``_bj``: a group of ``_nb`` > 1 blocks is cut by node, and
+    its rows are repeated once for each pair of blocks."""
     own = F.pmod(F.xxhash64("node"), F.col("_nb")).cast("int")
-    return (j.withColumn("_own", own).withColumn("_o", F.explode(F.expr("sequence(0, _nb - 1)")))
-            .withColumn("_bi", F.least("_own", "_o")).withColumn("_bj", F.greatest("_own", "_o")).drop("_k", "_nb", "_own", "_o"))
+    return (rows.withColumn("_own", own).withColumn("_o", F.explode(F.expr("sequence(0, _nb - 1)")))
+            .withColumn("_bi", F.least("_own", "_o")).withColumn("_bj", F.greatest("_own", "_o")).drop("_nb", "_own", "_o"))
+
+
+def with_blocks(members: DataFrame, key: str, weight) -> DataFrame:
+    """(key, node, _nb): how many blocks each group needs."""
+    total = members.groupBy(F.col(key).alias("_k")).agg(F.ceil(F.sum(weight) / BLOCK_BYTES).cast("int").alias("_nb"))
+    big = total.filter("_nb > 1")
+    return members.join(big, F.col(key) == F.col("_k"), "left").select(key, "node", F.coalesce("_nb", F.lit(1)).alias("_nb"))
 
 
 def _groups(batches, keys: int):
@@ -384,66 +434,62 @@ def _groups(batches, keys: int):
         yield pa.Table.from_batches(held)
 
 
-def _joined(rows: DataFrame, key: str, payload: str, solve) -> DataFrame:
+def _joined(rows: DataFrame, key: str, solve) -> DataFrame:
     """(src, dst) edges that ``solve(sizes, payloads) -> Links`` makes in each
-    group (and block pair) of ``rows`` (key, node, n, payload)."""
+    group (and block pair) of ``rows`` (key, node, _nb, n, payload)."""
     def run(batches):
         for g in _groups(batches, 3):
             if g.num_rows < 2:
                 continue
             node = g.column("node").to_numpy()
-            made = solve(g.column("n").to_numpy(), g.column(payload).to_pylist()).made
+            made = solve(g.column("n").to_numpy(), g.column("payload").to_pylist()).made
             if made:
                 e = np.array(made, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(node[e[:, 0]]), pa.array(node[e[:, 1]])], ["src", "dst"])
 
-    keyed = blocks(rows, key, "weight").select(key, "_bi", "_bj", "node", "n", payload)
-    return keyed.repartition(key, "_bi", "_bj").sortWithinPartitions(key, "_bi", "_bj").mapInArrow(run, "src long, dst long")
+    keyed = blocks(rows).select(key, "_bi", "_bj", "node", "n", "payload")
+    edges = keyed.repartition(key, "_bi", "_bj").sortWithinPartitions(key, "_bi", "_bj").mapInArrow(run, "src long, dst long")
+    return edges.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
 
 
 def candidate_edges(members: DataFrame, points: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Edges that connect, in each list, all sets whose bounds let them link."""
     def solve(sizes, vecs):
         links = Links(len(sizes))
-        CountRTree(sizes, [_vector(v, n) for v, n in zip(vecs, sizes)], percent).join(links, lambda i, j: True)
+        CountRTree(sizes, [unpack_vector(v, n) for v, n in zip(vecs, sizes)], percent).join(links, lambda i, j: True)
         return links
 
-    rows = members.join(points, "node").withColumn("weight", F.length("vec") + 200)
-    return _joined(rows, "list_id", "vec", solve)
+    return _joined(members.join(points, "node"), "list_id", solve)
 
 
-def link_edges(families: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Edges that connect, in each family (family, node, n, tokens), all sets
-    that are linked by verified pairs."""
+def link_edges(families: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Edges that connect, in each family, all sets that are linked by
+    verified pairs."""
     def solve(sizes, packed):
-        sets = [unpack48(p) for p in packed]
-        links = Links(len(sets))
+        tokens = [unpack48(p) for p in packed]
+        links = Links(len(tokens))
 
         def linked(i, j):
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            return (100 + percent) * both >= percent * (len(sets[i]) + len(sets[j]))
+            both = len(np.intersect1d(tokens[i], tokens[j], assume_unique=True))
+            return (100 + percent) * both >= percent * (len(tokens[i]) + len(tokens[j]))
 
-        CountRTree(sizes, [count_vector(s) for s in sets], percent).join(links, linked)
+        CountRTree(sizes, [count_vector(t) for t in tokens], percent).join(links, linked)
         return links
 
-    return _joined(families.withColumn("weight", 4 * F.length("tokens") + 200), "family", "tokens", solve)
+    return _joined(families.join(sets, "node"), "family", solve)
 
 
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     sets = staged(shingle_sets(docs), "shingle_sets")
     members = staged(candidate_lists(sets, percent), "candidate_lists")
-    # a map-side filter of fixed size: sets that meet nobody are not shuffled
-    met = bitmap_filter(spark, bitmap(members, "node"))
-    points = sets.filter("node is not null").select("node", (F.length("tokens") / TOKEN_BYTES).cast("long").alias("n"), "vec") \
-        .filter(met("node")).dropDuplicates(["node"])
-    edges = staged(candidate_edges(members, points, percent), "candidate_edges")
+    points = selected(sets, members, lambda t: pack_vector(count_vector(t)))
+    edges = staged(candidate_edges(with_blocks(members, "list_id", F.lit(LIST_ROW_BYTES)), points, percent), "candidate_edges")
     families = staged(connected_components(edges).select("node", F.col("component").alias("family")), "families")
-    related = bitmap_filter(spark, bitmap(families, "node"))
-    whole = sets.filter("node is not null").select("node", "tokens").filter(related("node")).join(families, "node").groupBy("family", "node").agg(F.first("tokens").alias("tokens")) \
-        .withColumn("n", (F.length("tokens") / TOKEN_BYTES).cast("long"))
-    links = staged(link_edges(whole, percent), "link_edges")
+    sizes = sets.filter("node is not null").select("node", (F.length("tokens") * 4 + 200).alias("_w")).dropDuplicates(["node"])
+    cut = staged(with_blocks(families.join(sizes, "node"), "family", "_w"), "family_blocks")
+    links = staged(link_edges(cut, selected(sets, families, pack_tokens), percent), "link_edges")
     roots = connected_components(links).select("node", F.col("component").alias("root"))
     least = sets.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
