@@ -7,9 +7,9 @@ stream keeps only file-source state in its checkpoint: a restart resumes
 with the files not yet committed, and a finished run followed by a rerun
 ingests nothing twice.
 
-Each micro-batch is written with ``foreachBatch`` to its own
-``batch_id=<n>`` folder with overwrite, so a batch that is replayed after a
-failure replaces its own output instead of duplicating it.
+Each micro-batch is written with ``foreachBatch`` by dynamic partition
+overwrite of the tiles it holds: a batch that is replayed, or a tile that is
+delivered again, replaces its rows instead of duplicating them.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from punktwerk.sources.points import POINT_COLUMNS, POINT_SCHEMA, source_file
+from punktwerk.sources.points import POINT_COLUMNS, POINT_SCHEMA, file_manifest, source_file
 
 RAW_SCHEMA = T.StructType(POINT_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
 
@@ -65,27 +65,64 @@ def empty_files(spark: SparkSession, manifest: DataFrame, valid: DataFrame) -> D
         .select(F.col("name").alias("source_file"), F.lit("no points").alias("error"))
 
 
-def _batch_writer(table_path: str, quarantine_path: str | None):
+def _batch_writer(table_path: str, quarantine_path: str | None, redelivery: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        valid, bad = route_valid_invalid(batch)
-        valid.hint("rebalance", "source_file").write.mode("overwrite").partitionBy("source_file") \
-            .parquet(f"{table_path}/batch_id={batch_id}")
-        if quarantine_path is not None:
-            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+        # the query's id lives in its checkpoint: stable over restarts, new
+        # with a new checkpoint, so two streams never share a folder
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+        batch = batch.persist()         # parsed once for both outputs
+        try:
+            valid, bad = route_valid_invalid(batch)
+            out = valid.hint("rebalance", "source_file").write.mode("overwrite")
+            if redelivery == "replace":
+                out.option("partitionOverwriteMode", "dynamic").partitionBy("source_file").parquet(table_path)
+            else:
+                out.partitionBy("source_file").parquet(f"{table_path}/stream={stream}/batch_id={batch_id}")
+            if quarantine_path is not None:
+                bad.write.mode("overwrite").parquet(f"{quarantine_path}/stream={stream}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
     return write
 
 
 def stream_points(spark: SparkSession, src_dir: str, table_path: str, checkpoint: str,
                   quarantine_path: str | None = None, max_files: int | None = MAX_FILES_PER_TRIGGER,
-                  available_now: bool = True, processing_time: str | None = None):
+                  available_now: bool = True, processing_time: str | None = None,
+                  max_bytes: int | None = None, lineage: str = "dir", redelivery: str = "replace"):
     """Start the ingest stream; with ``available_now`` it processes every
-    file present at start (in micro-batches bounded by ``max_files``) and
-    stops. Returns the StreamingQuery."""
-    raw = read_point_stream(spark, src_dir, max_files=max_files)
-    w = raw.writeStream.foreachBatch(_batch_writer(table_path, quarantine_path)) \
+    file present at start (in micro-batches bounded by ``max_files`` or
+    ``max_bytes``) and stops. Returns the StreamingQuery.
+
+    ``lineage`` names the tile: the file (a flat landing folder) or its
+    folder. With ``redelivery="replace"`` a delivery is the whole tile: what
+    a batch holds of a tile replaces what the table had of it, so replays,
+    lost checkpoints and tiles delivered again don't duplicate rows. Use
+    ``"append"`` where the files of one tile arrive in several batches: each
+    batch of each stream then keeps a folder of its own, which only its own
+    replay overwrites."""
+    if redelivery not in ("replace", "append"):
+        raise ValueError(redelivery)
+    raw = read_point_stream(spark, src_dir, max_files=max_files, max_bytes=max_bytes, lineage=lineage)
+    w = raw.writeStream.foreachBatch(_batch_writer(table_path, quarantine_path, redelivery)) \
         .option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
     return w.start()
+
+
+def ingest_available(spark: SparkSession, src_dir: str, table_path: str, checkpoint: str, quarantine_path: str,
+                     lineage: str = "file", glob: str = "*.csv", **options) -> None:
+    """Ingest everything that is there, then quarantine the files without a
+    point: a header-only file has no row that could reach a micro-batch, so
+    they are found by comparing the file listing with the tiles written."""
+    stream_points(spark, src_dir, table_path, checkpoint, quarantine_path, lineage=lineage, **options).awaitTermination()
+    listing = file_manifest(spark, src_dir, glob)
+    if lineage == "dir":
+        listing = listing.select(F.regexp_replace(F.element_at(F.split("path", "/"), -2), r"^[^=]*=", "").alias("name")).distinct()
+    seen = [spark.read.schema("source_file string").option("recursiveFileLookup", "true").parquet(quarantine_path)]
+    seen.append(spark.read.schema("source_file string").parquet(table_path).select("source_file"))
+    known = seen[0].unionByName(seen[1]).distinct()
+    empty_files(spark, listing, known).select("source_file", F.lit(None).cast("string").alias("raw"), "error") \
+        .write.mode("overwrite").parquet(f"{quarantine_path}/empty")

@@ -46,3 +46,45 @@ def test_header_only_files_are_failures(spark, tmpdir_path):
     pts = with_source_file(read_points_csv(spark, tmpdir_path))
     bad = ST.empty_files(spark, file_manifest(spark, tmpdir_path, "*.csv"), pts)
     assert [(r.source_file, r.error) for r in bad.collect()] == [("b.csv", "no points")]
+
+
+def _tile(path, rows):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write("x,y,z,intensity,return_num,classification\n" + "".join(f"{i}.0,2.0,3.0,4,1,2\n" for i in range(rows)))
+
+
+def test_flat_folder_and_files_without_points(spark, tmpdir_path):
+    """Each file is a tile; header-only files go to the quarantine."""
+    src = f"{tmpdir_path}/flat"
+    for name, rows in (("A.csv", 3), ("B.csv", 2), ("C.csv", 0)):
+        _tile(f"{src}/{name}", rows)
+    table, bad = f"{tmpdir_path}/t", f"{tmpdir_path}/bad"
+    ST.ingest_available(spark, src, table, f"{tmpdir_path}/ck", bad, max_files=None, max_bytes=ST.MAX_BYTES_PER_TRIGGER)
+    got = {r.source_file: r["count"] for r in spark.read.parquet(table).groupBy("source_file").count().collect()}
+    assert got == {"A.csv": 3, "B.csv": 2}
+    q = spark.read.option("recursiveFileLookup", "true").parquet(bad).collect()
+    assert [(r.source_file, r.error) for r in q] == [("C.csv", "no points")]
+
+
+def test_lost_checkpoint_and_second_delivery(spark, tmpdir_path):
+    """A new checkpoint, and a tile delivered again in another file, replace
+    rows instead of losing or doubling them."""
+    src, table = f"{tmpdir_path}/s", f"{tmpdir_path}/t"
+    _tile(f"{src}/source_file=a/1.csv", 5)
+    ST.stream_points(spark, src, table, f"{tmpdir_path}/ck1").awaitTermination()
+    _tile(f"{tmpdir_path}/s2/source_file=b/1.csv", 1)
+    ST.stream_points(spark, f"{tmpdir_path}/s2", table, f"{tmpdir_path}/ck2").awaitTermination()
+    _tile(f"{src}/source_file=a/2.csv", 4)
+    ST.stream_points(spark, src, table, f"{tmpdir_path}/ck1").awaitTermination()
+    got = {r.source_file: r["count"] for r in spark.read.parquet(table).groupBy("source_file").count().collect()}
+    assert got == {"a": 4, "b": 1}
+
+
+def test_append_mode_keeps_all_files_of_a_tile(spark, tmpdir_path):
+    src, table = f"{tmpdir_path}/s", f"{tmpdir_path}/t"
+    for k in range(3):
+        _tile(f"{src}/source_file=a/{k}.csv", 2 + k)
+    for _ in range(2):
+        ST.stream_points(spark, src, table, f"{tmpdir_path}/ck", max_files=1, redelivery="append").awaitTermination()
+    assert spark.read.parquet(table).count() == 9
