@@ -8,7 +8,7 @@ points; a border point takes the smallest adjacent cluster id):
    points of one cell are closer than eps, so every point of a cell holding
    >= min_points points is core and needs no distance test at all.
 2. Only points of sparse cells count neighbours, by a candidate equi-join
-   against the 21 cells within reach (hot cells are salted).
+   against the 25 cells within reach (hot cells are salted).
 3. Cells with core points are graph nodes. Two cells are linked for certain
    when they own core points in adjacent half-cells (their distance is then
    below eps) -- no point pairs needed. Components of these links come
@@ -19,7 +19,7 @@ points; a border point takes the smallest adjacent cluster id):
    certain; only quarter pairs that may or may not hold a witness, in cell
    pairs without a certain link, are checked point by point.
 5. Border points: non-core points (sparse cells only) against core points
-   of the 21 cells around them.
+   of the 25 cells around them.
 """
 
 from __future__ import annotations
@@ -31,10 +31,12 @@ from pyspark.sql import functions as F
 
 from punktwerk.functions.geom import dist_xy
 from punktwerk.operators.graph import blocked_components, connected_components
-from punktwerk.operators.joins import key_join, salted_equi_join
+from punktwerk.operators.joins import BLOCK_ROWS, key_join, salted_equi_join
 from punktwerk.session import ensure_checkpoint_dir
 
-_OFFS21 = [(i, j) for i in range(-2, 3) for j in range(-2, 3) if not (abs(i) == 2 and abs(j) == 2)]
+# all 25 cells: with cells a little smaller than eps / sqrt(2), points of
+# corner cells can be just within eps (the exact test decides)
+_OFFS25 = [(i, j) for i in range(-2, 3) for j in range(-2, 3)]
 _OFFS8 = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i, j) != (0, 0)]
 
 
@@ -43,8 +45,12 @@ def _offsets(offs) -> F.Column:
 
 
 def _node(cx: str, cy: str) -> F.Column:
-    # cell -> one bigint node id (cell indices must fit in 31 bits)
-    return F.shiftleft(F.col(cx), 32) + F.col(cy).bitwiseAND(F.lit(0xFFFFFFFF))
+    # cell -> one bigint node id; an index beyond 31 bits is an error, never
+    # a silent collision of two cells
+    lim = 1 << 31
+    fits = F.col(cx).between(-lim, lim - 1) & F.col(cy).between(-lim, lim - 1)
+    node = F.shiftleft(F.col(cx), 32) + F.col(cy).bitwiseAND(F.lit(0xFFFFFFFF))
+    return F.when(fits, node).otherwise(F.raise_error(F.lit("dbscan: coordinate / eps exceeds 31 bits")).cast("bigint"))
 
 
 BLOCK_CELLS = 64   # components are first solved inside blocks of 64 x 64 cells (<= 4096 nodes)
@@ -61,7 +67,7 @@ def _replicate(df: DataFrame, offs, cx="_cx", cy="_cy") -> DataFrame:
 
 
 def dbscan(df: DataFrame, eps: float, min_points: int, id_col: str = "pid", x: str = "x",
-           y: str = "y", max_cell_rows: int = 1_000_000) -> DataFrame:
+           y: str = "y", block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """(id, x, y, cluster, is_core) for every input row; see module doc."""
     ensure_checkpoint_dir(df.sparkSession)
     # quarter-cells of side q nest in half-cells (2q) and cells (4q); the
@@ -82,10 +88,10 @@ def dbscan(df: DataFrame, eps: float, min_points: int, id_col: str = "pid", x: s
 
     # 2. neighbour counts of points in sparse cells
     sparse = pts.filter(F.col("_n") < min_points).select("_id", "_x", "_y", "_cx", "_cy")
-    probe = _replicate(sparse, _OFFS21).select(
+    probe = _replicate(sparse, _OFFS25).select(
         "_id", "_x", "_y", F.col("_tx").alias("_cx"), F.col("_ty").alias("_cy"))
     other = pts.select(F.col("_x").alias("_ox"), F.col("_y").alias("_oy"), "_cx", "_cy", F.col("_id").alias("_oid"))
-    pairs = salted_equi_join(other, probe, ["_cx", "_cy"], F.xxhash64("_oid"), max_cell_rows)
+    pairs = salted_equi_join(other, probe, ["_cx", "_cy"], block_rows)
     counts = pairs.filter(dist_xy("_x", "_y", "_ox", "_oy") <= eps).groupBy("_id").agg(
         F.count(F.lit(1)).alias("_k"))
     sparse_core = counts.filter(F.col("_k") >= min_points).select("_id", F.lit(True).alias("_sc"))
@@ -108,7 +114,7 @@ def dbscan(df: DataFrame, eps: float, min_points: int, id_col: str = "pid", x: s
                        "_node", "left").withColumn("_c1", F.coalesce("_c1", "_node")).checkpoint()
 
     # 4. witness pairs between neighbouring cells of different components
-    cand = _replicate(cells, _OFFS21).select(
+    cand = _replicate(cells, _OFFS25).select(
         F.col("_cx").alias("_acx"), F.col("_cy").alias("_acy"), F.col("_c1").alias("_ca"),
         F.col("_tx").alias("_cx"), F.col("_ty").alias("_cy"))
     cell_pairs = key_join(cand, cells.select("_cx", "_cy", F.col("_c1").alias("_cb")), ["_cx", "_cy"]) \
@@ -144,17 +150,22 @@ def dbscan(df: DataFrame, eps: float, min_points: int, id_col: str = "pid", x: s
         .withColumn("_comp", F.coalesce("_c2", "_c1")).select("_node", "_comp")
 
     # cluster id = smallest core id of the component
-    core_lab = core.select("_id", "_x", "_y", "_cx", "_cy", "_node").join(cells, "_node")
-    cid = core_lab.groupBy("_comp").agg(F.min("_id").alias("_cluster"))
-    core_lab = core_lab.join(cid, "_comp").select("_id", "_x", "_y", "_cx", "_cy", "_cluster").checkpoint()
+    # found per cell first, so components are joined on cells, not on points;
+    # the one join back to the points is by cell, salted where a cell is hot
+    least = core.groupBy("_node").agg(F.min("_id").alias("_least"))
+    named = cells.join(least, "_node")
+    cid = named.groupBy("_comp").agg(F.min("_least").alias("_cluster"))
+    of_cell = named.join(cid, "_comp").select("_node", "_cluster")
+    core_lab = salted_equi_join(core.select("_id", "_x", "_y", "_cx", "_cy", "_node"), of_cell, ["_node"], block_rows) \
+        .select("_id", "_x", "_y", "_cx", "_cy", "_cluster").checkpoint()
 
     # 5. border points: smallest cluster among core points within eps
     noncore = pts.filter(~F.col("_core")).select("_id", "_x", "_y", "_cx", "_cy")
-    probe = _replicate(noncore, _OFFS21).select(
+    probe = _replicate(noncore, _OFFS25).select(
         "_id", "_x", "_y", F.col("_tx").alias("_cx"), F.col("_ty").alias("_cy"))
     cores = core_lab.select(F.col("_x").alias("_ox"), F.col("_y").alias("_oy"), "_cx", "_cy", "_cluster",
                             F.col("_id").alias("_oid"))
-    border = salted_equi_join(cores, probe, ["_cx", "_cy"], F.xxhash64("_oid"), max_cell_rows) \
+    border = salted_equi_join(cores, probe, ["_cx", "_cy"], block_rows) \
         .filter(dist_xy("_x", "_y", "_ox", "_oy") <= eps) \
         .groupBy("_id").agg(F.min("_cluster").alias("_bcluster"))
     out = noncore.join(border, "_id", "left").select(
@@ -172,11 +183,11 @@ def dbscan(df: DataFrame, eps: float, min_points: int, id_col: str = "pid", x: s
 # k-means
 # --------------------------------------------------------------------------
 
-def kmeans_fit(df: DataFrame, k: int = 2, seed: int = 0, sample_rows: int | None = 100_000,
+def kmeans_fit(df: DataFrame, k: int = 2, seed: int = 0, sample_rows: int | None = None,
                x: str = "x", y: str = "y", id_col: str | None = None):
-    """Fit k-means (pyspark.ml, k-means||) on a seeded sample of at most
-    ``sample_rows`` rows in float32 coordinates. Returns (model, sample with
-    'label')."""
+    """Fit k-means (pyspark.ml, k-means||) on float32 coordinates: on all
+    rows, or on a seeded sample if ``sample_rows`` asks for one. Returns
+    (model, the fitted rows with 'label')."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 

@@ -11,9 +11,9 @@ join:
 * shapes too large for ``max_cells`` cells at the base size go to a coarser
   level (cell size doubled per level); points carry one key per level in
   use, so no candidate is ever dropped;
-* a cell holding more than ``max_cell_rows`` rows on the point side is split
-  into salt buckets and the other side is replicated per bucket, so a hot
-  cell never lands in one task (AQE's skew-join split covers the rest);
+* a cell whose pairs (rows of one side times rows of the other) exceed a
+  block is split into blocks on both sides, so a hot cell never lands in one
+  task (AQE's skew-join split covers the rest);
 * shape/shape pairs found in several cells are kept only in the cell that
   holds the minimum corner of their bbox intersection (reference point).
 """
@@ -26,8 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punktwerk.functions import geom as G
-
-MAX_LEVELS = 40
+from punktwerk.session import scratch_path
 
 
 def cell_index(v, size: float) -> Column:
@@ -45,8 +44,13 @@ def with_grid(df: DataFrame, cell: float, x: str = "x", y: str = "y",
 # skew: salt hot cells
 # --------------------------------------------------------------------------
 
+#: Rows of one side in one block of a hot cell: a task compares at most
+#: BLOCK_ROWS x BLOCK_ROWS pairs of such a cell at a time.
+BLOCK_ROWS = 5_000
+
+
 def hot_cells(df: DataFrame, keys: list[str], max_cell_rows: int) -> DataFrame:
-    """Cells with more than ``max_cell_rows`` rows and the number of salt
+    """Cells holding more than ``max_cell_rows`` rows and how many salt
     buckets each needs. At most count/max_cell_rows rows, so the table is
     small; AQE broadcasts it when its measured size allows."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -69,21 +73,48 @@ def key_join(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") ->
     return a.join(renamed, cond, how).drop(*[f"_r{k}" for k in keys])
 
 
-def salted_equi_join(big: DataFrame, small: DataFrame, keys: list[str], salt_key: Column,
-                     max_cell_rows: int | None) -> DataFrame:
-    """Inner equi-join on ``keys`` where hot keys of ``big`` are split into
-    salt buckets (chosen by ``salt_key``) and matching ``small`` rows are
-    replicated once per bucket."""
-    if not max_cell_rows:
+def cell_counts(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+
+def salted_equi_join(big: DataFrame, small: DataFrame, keys: list[str], block_rows: int | None = BLOCK_ROWS,
+                     big_counts: DataFrame | None = None, small_counts: DataFrame | None = None) -> DataFrame:
+    """Inner equi-join on ``keys`` that splits hot keys on both sides.
+
+    A key is hot when the product of its row counts exceeds ``block_rows``
+    squared. Its rows are dealt, row by row (so that equal rows are dealt
+    too), into blocks of about ``block_rows`` on either side, and each block
+    meets every block of the other side once: the pairs of a hot key spread
+    over many tasks and each pair comes out once. Counts are combined
+    map-side; the table of hot keys is written before the join is planned,
+    so without hot keys the plan is the plain join."""
+    if not block_rows:
         return key_join(big, small, keys)
-    hot = hot_cells(big, keys, max_cell_rows)
-    b = key_join(big, hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_nsalt").isNull(), F.lit(0)).otherwise(
-            F.pmod(salt_key, F.col("_nsalt")).cast("int"))).drop("_nsalt")
-    s = key_join(small, hot, keys, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_nsalt").isNull(), F.array(F.lit(0))).otherwise(
-            F.sequence(F.lit(0), F.col("_nsalt") - 1)))).drop("_nsalt")
-    return key_join(b, s, keys + ["_salt"]).drop("_salt")
+    nb = big_counts if big_counts is not None else cell_counts(big, keys, "_nb")
+    ns = small_counts if small_counts is not None else cell_counts(small, keys, "_ns")
+    hot = key_join(nb, ns, keys).filter(
+        (F.col("_nb") * F.col("_ns") > F.lit(block_rows) * F.lit(block_rows)) & F.col(keys[0]).isNotNull())
+    hot = _written(hot.select(*keys, F.ceil(F.col("_nb") / block_rows).cast("int").alias("_kb"),
+                              F.ceil(F.col("_ns") / block_rows).cast("int").alias("_ks")), "hot-cells")
+    if hot.isEmpty():
+        return key_join(big, small, keys)
+
+    def dealt(df, own, other):
+        j = key_join(df.withColumn("_at", F.monotonically_increasing_id()), hot, keys, "left")
+        mine = F.coalesce(F.pmod(F.col("_at"), F.col(f"_k{own}")).cast("int"), F.lit(0))
+        every = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(f"_k{other}"), F.lit(1)) - 1))
+        return j.withColumn(f"_s{own}", mine).withColumn(f"_s{other}", every).drop("_at", "_kb", "_ks")
+
+    salts = ["_sb", "_ss"]
+    return key_join(dealt(big, "b", "s"), dealt(small, "s", "b"), keys + salts).drop(*salts)
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """A small table in the shared scratch folder, with a known size."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.coalesce(1).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # --------------------------------------------------------------------------
@@ -116,7 +147,7 @@ def _suffixed(df: DataFrame, suffix: str) -> DataFrame:
 
 def distance_join(left: DataFrame, right: DataFrame, d: float, x: str = "x", y: str = "y",
                   inclusive: bool = False, suffixes=("_a", "_b"),
-                  max_cell_rows: int | None = 1_000_000) -> DataFrame:
+                  block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """All pairs (l, r) with Euclidean distance < d (<= d if inclusive).
 
     Columns of both inputs come back with the suffixes. A self-join keeps
@@ -133,27 +164,23 @@ def distance_join(left: DataFrame, right: DataFrame, d: float, x: str = "x", y:
                      for i in (-1, 0, 1) for j in (-1, 0, 1)])
     R = _suffixed(right, sb)
     r_hash = F.xxhash64(*[F.col(c) for c in R.columns])
+    # rows per replicated cell, from the cells' counts (not from nine-fold rows)
+    own = R.filter(_valid(xb, yb)).groupBy(cell_index(xb, d).alias("_cx"), cell_index(yb, d).alias("_cy")).count()
+    reach = own.withColumn("_o", F.explode(offs)).groupBy(
+        (F.col("_cx") + F.col("_o.dx")).alias("_cx"), (F.col("_cy") + F.col("_o.dy")).alias("_cy")).agg(F.sum("count").alias("_ns"))
     R = R.withColumn("_o", F.explode(offs))
     R = R.withColumn("_cx", _valid_or_null(xb, yb, cell_index(xb, d) + F.col("_o.dx"))) \
          .withColumn("_cy", _valid_or_unique(xb, yb, cell_index(yb, d) + F.col("_o.dy"), False, r_hash)) \
          .drop("_o")
-    salt = F.xxhash64(F.col(xa), F.col(ya), *[F.col(c + sa) for c in left.columns if c not in (x, y)])
-    j = salted_equi_join(L, R, ["_cx", "_cy"], salt, max_cell_rows)
+    # dealt by cell at every size, so the join runs wide even when its input
+    # arrives in few splits
+    L = L.repartition("_cx", "_cy")
+    j = salted_equi_join(L, R, ["_cx", "_cy"], block_rows, small_counts=reach)
     dist = G.dist_xy(xa, ya, xb, yb)
     cond = dist <= d if inclusive else dist < d
     return j.filter(cond).drop("_cx", "_cy")
 
 
-def distance_join_theta(left: DataFrame, right: DataFrame, d: float, x="x", y="y",
-                        inclusive=False, suffixes=("_a", "_b")) -> DataFrame:
-    """The literal theta form (plans as a nested-loop join). Kept only as the
-    brute-force reference for tests on small inputs."""
-    sa, sb = suffixes
-    dist = G.dist_xy(x + sa, y + sa, x + sb, y + sb)
-    cond = dist <= d if inclusive else dist < d
-    return _suffixed(left, sa).crossJoin(_suffixed(right, sb)).filter(cond)
-
-
 # --------------------------------------------------------------------------
 # shape / point join
 # --------------------------------------------------------------------------
@@ -202,7 +229,7 @@ def suggest_cell(shapes: DataFrame, bbox=("minx", "miny", "maxx", "maxy")) -> fl
 def spatial_join(shapes: DataFrame, points: DataFrame, predicate: str = "covers",
                  cell: float | None = None, x: str = "x", y: str = "y",
                  bbox=("minx", "miny", "maxx", "maxy"), geom: str | None = None,
-                 max_cells: int = 64, max_cell_rows: int | None = None) -> DataFrame:
+                 max_cells: int = 64, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """All (shape, point) pairs where the shape covers (closed boundary) or
     contains (interior only) the point.
 
@@ -210,18 +237,16 @@ def spatial_join(shapes: DataFrame, points: DataFrame, predicate: str = "covers"
     the exact test runs on it, otherwise the shapes are the bbox rectangles
     themselves. The output has all shape columns and all point columns.
 
-    Skew: the exploded shape side is usually small, and AQE turns the join
-    into a broadcast hash join when its measured size allows; the points of
-    a hot cell then stay spread over the scan splits. When both sides are
-    large, AQE's skew-join split applies; ``max_cell_rows`` additionally
-    salts cells above that many points explicitly."""
+    Skew: cells that are hot by the product of both sides are split
+    (``salted_equi_join``); elsewhere the exploded shapes are broadcast when
+    their measured size allows, and the points stay in their scan splits."""
     if predicate not in ("covers", "contains", "intersects", "within"):
         raise ValueError(predicate)
     closed = predicate in ("covers", "intersects")
     minx, miny, maxx, maxy = bbox
     cell = cell or suggest_cell(shapes, bbox)
     s = shapes.withColumn("_lv", _level_of(minx, miny, maxx, maxy, cell, max_cells))
-    levels = sorted(r[0] for r in s.select("_lv").distinct().collect())  # at most MAX_LEVELS+1 values
+    levels = sorted(r[0] for r in s.select("_lv").distinct().collect())  # a few levels, whatever the number of shapes
     size = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("_lv"))
     s = s.withColumn("_c", F.explode(_cells_of_bbox(minx, miny, maxx, maxy, size))) \
          .select("*", F.col("_c.cx").alias("_cx"), F.col("_c.cy").alias("_cy")).drop("_c")
@@ -229,8 +254,7 @@ def spatial_join(shapes: DataFrame, points: DataFrame, predicate: str = "covers"
                               cell_index(y, cell * 2 ** lv).alias("cy")) for lv in levels])
     p = points.withColumn("_k", F.explode(keys)).select(
         "*", F.col("_k.lv").alias("_lv"), F.col("_k.cx").alias("_cx"), F.col("_k.cy").alias("_cy")).drop("_k")
-    salt = F.xxhash64(*[F.col(c) for c in points.columns])
-    j = salted_equi_join(p, s, ["_lv", "_cx", "_cy"], salt, max_cell_rows)
+    j = salted_equi_join(p, s, ["_lv", "_cx", "_cy"], block_rows)
     px, py = F.col(x), F.col(y)
     if closed:
         bb = (px >= F.col(minx)) & (px <= F.col(maxx)) & (py >= F.col(miny)) & (py <= F.col(maxy))
@@ -243,18 +267,16 @@ def spatial_join(shapes: DataFrame, points: DataFrame, predicate: str = "covers"
 
 
 def spatial_join_grouped(shapes: DataFrame, points: DataFrame, shape_key: str,
-                         point_cols=("x", "y"), chunk_rows: int = 10_000, **kw) -> DataFrame:
-    """Shape + list of its points, in chunks of about ``chunk_rows`` points:
-    a shape holding many points yields several rows (chunk 0, 1, ...), so
-    no single group has to hold an unbounded list. Shapes without points
-    are absent (inner join)."""
+                         point_cols=("x", "y"), chunk_cell: float = 250.0, **kw) -> DataFrame:
+    """Shape + list of its points, one row per cell of side ``chunk_cell``
+    that the points lie in (chunk_x, chunk_y): the rows follow from the data
+    alone, at every size, and no list grows beyond the points of a cell.
+    Shapes without points are absent (inner join)."""
     pairs = spatial_join(shapes, points, **kw)
-    counts = pairs.groupBy(shape_key).agg(F.count(F.lit(1)).alias("_n"))
-    pairs = pairs.join(counts, shape_key).withColumn(
-        "chunk", F.pmod(F.xxhash64(*[F.col(c) for c in point_cols]),
-                        F.ceil(F.col("_n") / F.lit(chunk_rows))).cast("int"))
+    px, py = point_cols[:2]
+    pairs = with_grid(pairs, chunk_cell, px, py, ("chunk_x", "chunk_y"))
     pt = F.struct(*[F.col(c) for c in point_cols])
-    return pairs.groupBy(shape_key, "chunk").agg(
+    return pairs.groupBy(shape_key, "chunk_x", "chunk_y").agg(
         F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(pt)).alias("points"))
 
 
@@ -264,10 +286,14 @@ def spatial_join_grouped(shapes: DataFrame, points: DataFrame, shape_key: str,
 
 def shape_join(a: DataFrame, b: DataFrame, cell: float, predicate="intersects",
                a_bbox=("minx", "miny", "maxx", "maxy"), suffixes=("_a", "_b"),
-               max_cells: int = 64) -> DataFrame:
-    """Pairs of shapes from two tables whose bboxes meet (closed), refined
-    by ``predicate``: 'intersects' (bbox), 'touches' (bboxes meet with zero
-    area overlap) or a callable() -> Column over the suffixed columns.
+               max_cells: int = 64, geom: str | None = None, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
+    """Pairs of shapes from two tables, refined by ``predicate``.
+
+    With ``geom`` (the name of a shape column in both tables) 'intersects'
+    is exact: the shapes share a point. Without it the shapes are their
+    boxes: 'intersects' (closed boxes meet) and 'touches' (they meet with
+    zero area; a box test only). A callable() -> Column over the suffixed
+    columns is applied to pairs whose boxes meet.
 
     Each shape gets the smallest level whose cells (cell * 2^level) cover
     its bbox in at most ``max_cells`` cells, and is replicated to its cells
@@ -292,7 +318,7 @@ def shape_join(a: DataFrame, b: DataFrame, cell: float, predicate="intersects",
         return d.withColumn("_c", F.explode(_cells_of_bbox(minx + sfx, miny + sfx, maxx + sfx, maxy + sfx, size))) \
             .select("*", F.col("_c.cx").alias("_cx"), F.col("_c.cy").alias("_cy")).drop("_c") \
             .withColumnRenamed("_own", f"_own{sfx}")
-    j = key_join(explode(A, sa), explode(B, sb), ["_lv", "_cx", "_cy"])
+    j = salted_equi_join(explode(A, sa), explode(B, sb), ["_lv", "_cx", "_cy"], block_rows)
     ix0 = F.greatest(F.col(minx + sa), F.col(minx + sb))
     iy0 = F.greatest(F.col(miny + sa), F.col(miny + sb))
     ix1 = F.least(F.col(maxx + sa), F.col(maxx + sb))
@@ -302,8 +328,10 @@ def shape_join(a: DataFrame, b: DataFrame, cell: float, predicate="intersects",
     ref = (F.col("_lv") == F.greatest(F.col(f"_own{sa}"), F.col(f"_own{sb}"))) \
         & (F.floor(ix0 / size).cast("bigint") == F.col("_cx")) & (F.floor(iy0 / size).cast("bigint") == F.col("_cy"))
     if predicate == "intersects":
-        cond = meet
+        cond = meet if geom is None else meet & G.st_intersects(geom + sa, geom + sb)
     elif predicate == "touches":
+        if geom is not None:
+            raise ValueError("'touches' is a test of boxes")
         cond = meet & ((ix0 == ix1) | (iy0 == iy1))
     elif callable(predicate):
         cond = meet & predicate()
@@ -391,7 +419,7 @@ def grid_partition(df: DataFrame, rows_per_cell: int = 100_000, num_partitions:
     n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
     limit = max_cell_rows or 4 * rows_per_cell
     hot = hot_cells(g, ["cx", "cy"], limit)
-    g = key_join(g, hot, ["cx", "cy"], "left").withColumn(
+    g = key_join(g.withColumn("_at", F.monotonically_increasing_id()), hot, ["cx", "cy"], "left").withColumn(
         "_salt", F.when(F.col("_nsalt").isNull(), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64(F.col(x), F.col(y)), F.col("_nsalt")))).drop("_nsalt")
+            F.pmod(F.col("_at"), F.col("_nsalt")))).drop("_nsalt", "_at")
     return g.repartition(n, "cx", "cy", "_salt").drop("_salt"), cell

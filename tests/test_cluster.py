@@ -53,7 +53,7 @@ def test_dbscan_equals_brute_force(spark, seed, eps, minp):
     pts += [(100.0 + 0.01 * i, 100.0) for i in range(40)]   # a dense cell
     rows = [(i * 7 + 3, x, y) for i, (x, y) in enumerate(pts)]
     df = spark.createDataFrame(rows, "pid long, x double, y double")
-    got = {r.pid: (r.cluster, r.is_core) for r in CL.dbscan(df, eps, minp, max_cell_rows=20).collect()}
+    got = {r.pid: (r.cluster, r.is_core) for r in CL.dbscan(df, eps, minp, block_rows=3).collect()}
     assert got == brute_dbscan(rows, eps, minp)
 
 
@@ -119,7 +119,7 @@ def test_dbscan_hot_cell_third_of_rows(spark):
     rest = [(n + i, rnd.uniform(0, 2000), rnd.uniform(0, 2000)) for i in range(2 * n // 3)]
     df = spark.createDataFrame(hot + rest, "pid long, x double, y double").repartition(8)
     t = time.time()
-    out = CL.dbscan(df, 5.0, 10, max_cell_rows=2000)
+    out = CL.dbscan(df, 5.0, 10, block_rows=500)
     labels = {r.pid: r.cluster for r in out.filter(F.col("pid") < n // 3).select("pid", "cluster").collect()}
     assert time.time() - t < 120
     assert set(labels.values()) == {0} and len(labels) == n // 3

@@ -8,7 +8,7 @@ from punktwerk.operators import joins as J
 
 
 def _testpoints(spark):
-    # the reference's 1,000 test points (i + 0.1, i + 100.1)
+    # 1,000 points on a diagonal (i + 0.1, i + 100.1)
     return spark.createDataFrame([(i, i + 0.1, i + 100.1) for i in range(1, 1001)], "id long, x double, y double")
 
 
@@ -19,6 +19,14 @@ def test_testpoint_distance_join_and_extent(spark):
     assert (e.minx, e.miny, e.maxx, e.maxy, e.n) == (1.1, 101.1, 1000.1, 1100.1, 1000)
 
 
+def distance_join_theta(left, right, d, x="x", y="y", inclusive=False, suffixes=("_a", "_b")):
+    """Brute force: every pair, tested."""
+    sa, sb = suffixes
+    dist = G.dist_xy(x + sa, y + sa, x + sb, y + sb)
+    cond = dist <= d if inclusive else dist < d
+    return J._suffixed(left, sa).crossJoin(J._suffixed(right, sb)).filter(cond)
+
+
 def _pairs(df, a="id_a", b="id_b"):
     return sorted((r[a], r[b]) for r in df.select(a, b).collect())
 
@@ -29,8 +37,8 @@ def test_grid_distance_join_equals_theta(spark):
     pts += [(1000 + i, 150.0 + i * 1e-3, 150.0) for i in range(50)]   # one dense spot
     df = spark.createDataFrame(pts, "id long, x double, y double")
     for d, inc in ((7.5, False), (7.5, True), (20.0, False)):
-        grid = J.distance_join(df, df, d, inclusive=inc, max_cell_rows=10)   # salting active
-        theta = J.distance_join_theta(df, df, d, inclusive=inc)
+        grid = J.distance_join(df, df, d, inclusive=inc, block_rows=3)   # salting active
+        theta = distance_join_theta(df, df, d, inclusive=inc)
         assert _pairs(grid) == _pairs(theta)
 
 
@@ -49,7 +57,7 @@ def test_spatial_join_multilevel_equals_brute_force(spark):
     shapes = spark.createDataFrame(rects, "rect_id long, minx double, miny double, maxx double, maxy double")
     for pred in ("covers", "contains"):
         got = sorted((r.rect_id, r.pid) for r in J.spatial_join(shapes, pts, pred, cell=20.0, max_cells=16,
-                                                                max_cell_rows=50).collect())
+                                                                block_rows=5).collect())
         exp = []
         for rid, x0, y0, x1, y1 in rects:
             for r in pts.collect():
@@ -118,7 +126,7 @@ def test_distance_join_invalid_coordinates_match_nothing(spark):
     rows = [(1, 0.0, 0.0), (2, 0.5, 0.0)] + [(10 + i, None, None) for i in range(200)] \
         + [(500 + i, float("nan"), 1.0) for i in range(200)]
     df = spark.createDataFrame(rows, "id long, x double, y double")
-    j = J.distance_join(df, df, 1.0, max_cell_rows=50)
+    j = J.distance_join(df, df, 1.0, block_rows=50)
     assert _pairs(j) == [(1, 1), (1, 2), (2, 1), (2, 2)]
 
 
@@ -143,3 +151,29 @@ def test_point_table_ddl(spark, tmpdir_path):
     assert "source_file" in cols and "classification" in cols
     SK.drop_point_table(spark, name)
     assert not spark.catalog.tableExists(name)
+
+
+def test_coincident_points_spread_over_tasks(spark):
+    """A third of the rows at one place: hot by the product of both sides,
+    dealt row by row, so several tasks carry the cell."""
+    rows = [(i, 5.0, 5.0) for i in range(400)] + [(1000 + i, 20.0 * i, 0.0) for i in range(800)]
+    df = spark.createDataFrame(rows, "id long, x double, y double")
+    j = J.distance_join(df, df, 1.0, block_rows=40)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = j.filter("id_a < 1000 and id_b < 1000").withColumn("p", F.spark_partition_id())
+        assert hot.count() == 400 * 400 and hot.select("p").distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert _pairs(j) == _pairs(distance_join_theta(df, df, 1.0))
+
+
+def test_shape_join_tests_the_shapes(spark):
+    """Lines whose boxes meet although they never do."""
+    lines = spark.createDataFrame([(1, 0.0, 0.0, 10.0, 10.0), (2, 4.0, 1.0, 9.0, 2.0), (3, 0.0, 5.0, 10.0, 5.0)],
+                                  "id long, x1 double, y1 double, x2 double, y2 double")
+    s = G.with_bbox(lines.withColumn("geom", G.st_linestring("x1", "y1", "x2", "y2")), "geom")
+    boxes = J.shape_join(s, s, cell=5.0)
+    exact = J.shape_join(s, s, cell=5.0, geom="geom")
+    assert (1, 2) in _pairs(boxes) and (1, 2) not in _pairs(exact)
+    assert (1, 3) in _pairs(exact) and (3, 1) in _pairs(exact)
