@@ -7,10 +7,9 @@ map-side, so only one row per group and task crosses the shuffle.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from punktwerk.functions.geom import Shape, bbox_filter_literal, exact_literal, parse_wkt_literal
 
@@ -86,61 +85,46 @@ def class_labels(points: DataFrame, mapping: dict | None = None,
     return points.withColumn(out, F.coalesce(F.try_element_at(m, F.col(col)), F.lit(default)))
 
 
-def order_statistics(df: DataFrame, col: str, ranks: list[int]) -> dict[int, float]:
-    """Exact k-th smallest values (0-based ranks) of a column without
-    holding the column in one place: one distributed sort (range
-    partitioning), per-partition counts (one small row per partition), then
-    a filter that picks the requested positions."""
-    from punktwerk.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    s = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull()).orderBy("v") \
-        .withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id()).checkpoint()
-    parts = sorted((r["_p"], r["n"], r["i0"]) for r in
-                   s.groupBy("_p").agg(F.count(F.lit(1)).alias("n"), F.min("_i").alias("i0")).collect())
-    want, start = {}, 0
-    for p, cnt, i0 in parts:
-        for r in ranks:
-            if start <= r < start + cnt:
-                want[i0 + (r - start)] = r
-        start += cnt
-    if not want:
-        return {}
-    got = s.filter(F.col("_i").isin(list(want))).select("_i", "v").collect()
-    return {want[row["_i"]]: row["v"] for row in got}
-
-
 def describe_points(points: DataFrame, cols=("x", "y", "z", "intensity")) -> DataFrame:
     """count, mean, std, min, 25%, 50%, 75%, max per column in long form.
 
-    Quartiles are exact with linear interpolation between order statistics
-    (the ``quantile_cont`` definition), computed by ``order_statistics``;
-    count/mean/std/min/max are one partial aggregate."""
-    aggs = []
-    for c in cols:
-        v = F.col(c).cast("double")
-        aggs += [F.count(v).cast("double").alias(f"{c}__count"), F.avg(v).alias(f"{c}__mean"),
-                 F.stddev_samp(v).alias(f"{c}__std"), F.min(v).alias(f"{c}__min"),
-                 F.max(v).alias(f"{c}__max")]
-    base = points.agg(*aggs).first()
-    spark = points.sparkSession
-    rows = []
-    for c in cols:
-        n = int(base[f"{c}__count"])
-        q = {}
-        if n > 0:
-            pos = {p: p * (n - 1) for p in (0.25, 0.5, 0.75)}
-            need = sorted({int(math.floor(x)) for x in pos.values()} | {int(math.ceil(x)) for x in pos.values()})
-            vals = order_statistics(points, c, need)
-            for p, x in pos.items():
-                lo, hi = vals[int(math.floor(x))], vals[int(math.ceil(x))]
-                q[p] = lo + (hi - lo) * (x - math.floor(x))
-        for stat, val in (("count", base[f"{c}__count"]), ("mean", base[f"{c}__mean"]),
-                          ("std", base[f"{c}__std"]), ("min", base[f"{c}__min"]),
-                          ("p25", q.get(0.25)), ("p50", q.get(0.5)), ("p75", q.get(0.75)),
-                          ("max", base[f"{c}__max"])):
-            rows.append((c, stat, None if val is None else float(val)))
-    return spark.createDataFrame(rows, "col_name string, stat string, value double") \
-        .withColumn("value", F.round("value", 6))
+    All columns in one job: values are counted per distinct value (combined
+    map-side, so a frequent value is one row per task), sorted by range
+    partitions, and a running count places every value. Quartiles are exact,
+    with linear interpolation between order statistics (the
+    ``quantile_cont`` definition): the two order statistics around each are
+    found by their positions, never by holding a column in one place."""
+    long = points.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("col_name"), F.col(c).cast("double").alias("v")) for c in cols])).alias("e")) \
+        .select("e.*").filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    dev = long.groupBy("col_name").agg(F.count("*").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+                                       F.min("v").alias("lo"), F.max("v").alias("hi"))
+    values = long.groupBy("col_name", "v").agg(F.count("*").alias("m"))
+    # running count in two levels: within a bucket of the value range, then over buckets
+    span = F.when(F.col("hi") > F.col("lo"), F.col("hi") - F.col("lo")).otherwise(1.0)
+    b = values.join(dev, "col_name").withColumn(
+        "b", F.least(F.floor((F.col("v") - F.col("lo")) / span * _VALUE_BUCKETS), F.lit(_VALUE_BUCKETS - 1)).cast("int"))
+    before = b.groupBy("col_name", "b").agg(F.sum("m").alias("bm")).withColumn(
+        "bb", F.coalesce(F.sum("bm").over(W.partitionBy("col_name").orderBy("b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    run = W.partitionBy("col_name", "b").orderBy("v")
+    placed = b.join(before.select("col_name", "b", "bb"), ["col_name", "b"]).withColumn(
+        "end", F.col("bb") + F.sum("m").over(run)).withColumn("start", F.col("end") - F.col("m"))
+
+    def at(rank):       # the value at a 0-based rank, as an aggregate
+        return F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.col("v")))
+
+    def quartile(p):
+        pos = F.lit(p) * (F.col("n") - 1)
+        return F.struct(at(F.floor(pos)).alias("a"), at(F.ceil(pos)).alias("b"), F.max(pos - F.floor(pos)).alias("f"))
+
+    q = placed.groupBy("col_name").agg(*[quartile(p).alias(name) for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    want = points.sparkSession.createDataFrame([(c,) for c in cols], "col_name string")
+    j = want.join(dev, "col_name", "left").join(q, "col_name", "left")
+    mid = {c: F.col(f"{c}.a") + (F.col(f"{c}.b") - F.col(f"{c}.a")) * F.col(f"{c}.f") for c in ("p25", "p50", "p75")}
+    stats = (("count", F.coalesce("n", F.lit(0)).cast("double")), ("mean", F.col("mean")), ("std", F.col("std")), ("min", F.col("lo")),
+             *mid.items(), ("max", F.col("hi")))
+    return j.select("col_name", F.explode(F.array(*[F.struct(F.lit(k).alias("stat"), v.alias("value")) for k, v in stats])).alias("s")) \
+        .select("col_name", "s.stat", F.round("s.value", 6).alias("value"))
 
 
 def describe_points_approx(points: DataFrame, cols=("x", "y", "z", "intensity"),
@@ -157,6 +141,8 @@ def describe_points_approx(points: DataFrame, cols=("x", "y", "z", "intensity"),
     return _long_form(points.agg(*aggs), cols)
 
 
+#: Buckets of the value range in the running count of ``describe_points``.
+_VALUE_BUCKETS = 4096
 _STATS = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
@@ -190,50 +176,38 @@ def extent(df: DataFrame, minx="x", miny="y", maxx=None, maxy=None) -> DataFrame
 
 
 def multipoint_union(df: DataFrame, by: str, x: str = "x", y: str = "y",
-                     chunk_points: int = 100_000) -> DataFrame:
-    """Distinct points of each group as sorted MULTIPOINT vertex lists.
-
-    A group with more than ``chunk_points`` distinct points is emitted as
-    several rows (chunk 0, 1, ...; points split by a hash), so no single row
-    or task has to hold an unbounded group."""
+                     chunk_cell: float = 250.0) -> DataFrame:
+    """Distinct points of each group as sorted MULTIPOINT vertex lists, one
+    row per cell of side ``chunk_cell`` (chunk_x, chunk_y): the rows follow
+    from the data alone, and no list grows beyond the points of a cell."""
     pts = df.select(by, F.col(x).alias("x"), F.col(y).alias("y")).distinct()
-    sizes = pts.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-    pts = pts.join(sizes, by).withColumn(
-        "chunk", F.pmod(F.xxhash64("x", "y"), F.ceil(F.col("_n") / F.lit(chunk_points))).cast("int"))
-    return pts.groupBy(by, "chunk").agg(
+    cell = [F.floor(F.col(c) / chunk_cell).cast("bigint").alias(f"chunk_{c}") for c in ("x", "y")]
+    return pts.groupBy(by, *cell).agg(
         F.sort_array(F.collect_list(F.struct("x", "y"))).alias("points")
     ).withColumn("n_points", F.size("points"))
 
 
-def sample_points(df: DataFrame, n: int, seed: int = 0, key: str | Column | None = None,
-                  margin: float = 0.05) -> DataFrame:
+def sample_points(df: DataFrame, n: int, seed: int = 0, key: str | Column | None = None) -> DataFrame:
     """Seeded sample of ``least(n, count)`` rows without replacement: the n
     rows with the smallest md5(key|seed).
 
-    For large n the rows are first cut by a threshold on the hash prefix
-    that keeps slightly more than n rows (from the total count), so only
-    about n*(1+margin) rows reach the final ordered limit instead of n rows
-    from every task. The result equals ``orderBy(md5).limit(n)``."""
+    The hash value of the n-th row is found first, on a histogram of hash
+    prefixes (one row per prefix, whatever the size of the input); rows below
+    its prefix are taken, and only the rows of that one prefix are sorted.
+    Equals ``orderBy(md5).limit(n)``."""
     k = F.col(key) if isinstance(key, str) else key
     if k is None:
         k = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
     h = F.md5(F.concat_ws("|", k.cast("string"), F.lit(str(seed))))
-    hashed = df.withColumn("_h", h)
-    if n <= 10_000:
-        return hashed.orderBy("_h").limit(n).drop("_h")
-    total = df.count()
-    if total <= n:
+    hashed = df.withColumn("_h", h).withColumn("_p", F.substring("_h", 1, 4))
+    hist = hashed.groupBy("_p").agg(F.count("*").alias("m"))
+    run = hist.withColumn("upto", F.sum("m").over(W.orderBy("_p")))     # at most 65,536 prefixes
+    edge = run.filter(F.col("upto") >= n).orderBy("_p").first()
+    if edge is None:
         return df
-    # md5 hex is uniform: its first 15 hex digits as an integer order the
-    # rows like the full text does (up to ties resolved by the full text)
-    prefix = F.conv(F.substring("_h", 1, 15), 16, 10).cast("decimal(20,0)")
-    frac = n / total * (1 + margin)
-    while True:
-        cut = int(min(frac, 1.0) * 16 ** 15)
-        cand = hashed.filter(prefix <= F.lit(cut).cast("decimal(20,0)"))
-        if frac >= 1.0 or cand.count() >= n:
-            return cand.orderBy("_h").limit(n).drop("_h")
-        frac *= 1.5
+    inside = hashed.filter(F.col("_p") < edge["_p"])
+    border = hashed.filter(F.col("_p") == edge["_p"]).orderBy("_h").limit(n - (edge["upto"] - edge["m"]))
+    return inside.unionByName(border).drop("_h", "_p")
 
 
 def head(df: DataFrame, n: int, *order) -> DataFrame:

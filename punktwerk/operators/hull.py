@@ -1,11 +1,11 @@
 """Convex hull per group (st_aggr_convexhull) and cluster footprints.
 
 Two phases, exact because hull(A u B) = hull(hull(A) u hull(B)):
-(1) ``groupBy(group, salt).applyInPandas`` computes partial hulls; the
-    number of salt buckets of a group grows with its size, so a hot group is
-    spread over many tasks; (2) ``groupBy(group).applyInPandas`` merges the
-    surviving vertices (a small fraction of the points). The hull itself is
-    Andrew's monotone chain in NumPy.
+(1) ``mapInPandas`` keeps, of each batch and group, the outer points only, so
+    the points themselves are neither counted nor shuffled, whatever the size
+    of a group; (2) ``groupBy(group).applyInPandas`` takes the hull of what is
+    left (a small fraction of the points). The hull itself is Andrew's
+    monotone chain in NumPy. Rows without valid coordinates are left out.
 """
 
 from __future__ import annotations
@@ -40,14 +40,40 @@ def monotone_chain(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
     return hull
 
 
-def _partial(key_cols):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        h = monotone_chain(pdf["lx"].to_numpy(), pdf["ly"].to_numpy())
-        out = pd.DataFrame({"lx": h[:, 0], "ly": h[:, 1]})
-        for k in key_cols:
-            out[k] = pdf[k].iloc[0]
-        return out[key_cols + ["lx", "ly"]]
-    return fn
+def outer_points(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
+    """A superset of the hull's vertices: drops only points that lie inside by
+    more than rounding, so that the last phase decides about the rest."""
+    pts = np.unique(np.stack([xs, ys], axis=1), axis=0)
+    if len(pts) <= 3:
+        return pts
+    tol = 1e-9 * max(np.ptp(pts[:, 0]), np.ptp(pts[:, 1]), 1e-300) ** 2
+
+    def chain(points):
+        out = []
+        for p in points:
+            while len(out) >= 2:
+                (ox, oy), (ax, ay) = out[-2], out[-1]
+                if (ax - ox) * (p[1] - oy) - (ay - oy) * (p[0] - ox) >= -tol:
+                    break
+                out.pop()
+            out.append((p[0], p[1]))
+        return out
+
+    return np.unique(np.array(chain(pts) + chain(pts[::-1])), axis=0)
+
+
+def _reduce(key_cols):
+    """Map-side phase: of each batch and group, only the outer points."""
+    def run(batches):
+        for pdf in batches:
+            parts = []
+            for _, g in pdf.groupby(key_cols, dropna=False, sort=False):
+                if len(g) > 3:
+                    h = outer_points(g["x"].to_numpy(), g["y"].to_numpy())
+                    g = g.iloc[:len(h)].assign(x=h[:, 0], y=h[:, 1])
+                parts.append(g)
+            yield pd.concat(parts) if parts else pdf
+    return run
 
 
 def _final(key_cols):
@@ -81,30 +107,29 @@ def convex_hull(df: DataFrame, by: str | list[str], x: str = "x", y: str = "y",
     ship_package(df.sparkSession)
     ensure_checkpoint_dir(df.sparkSession)
     keys = [by] if isinstance(by, str) else list(by)
-    pts = df.select(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    sizes = pts.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_task)).cast("int").alias("_ns"),
-                                   F.min("x").alias("_x0"), F.min("y").alias("_y0"))
-    pts = pts.join(sizes, keys).select(
-        *keys, (F.col("x") - F.col("_x0")).alias("lx"), (F.col("y") - F.col("_y0")).alias("ly"),
-        F.pmod(F.xxhash64("x", "y"), F.col("_ns")).alias("_salt"))
+    px, py = F.col(x).cast("double"), F.col(y).cast("double")
+    valid = px.isNotNull() & py.isNotNull() & ~F.isnan(px) & ~F.isnan(py)
+    pts = df.filter(valid).select(*keys, px.alias("x"), py.alias("y"))
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pts.schema.fields if f.name in keys)
-    part_schema = f"{key_schema}, _salt bigint, lx double, ly double"
-    partial = pts.groupBy(*keys, "_salt").applyInPandas(_partial(keys + ["_salt"]), part_schema).drop("_salt")
-    # while a group's surviving vertices still exceed one task's share,
-    # split them again by hash and reduce (stops when a round does not help)
-    last = None
-    for _ in range(4):
-        partial = partial.checkpoint()
-        cnt = partial.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"))
-        big = cnt.filter(F.col("_m") > rows_per_task)
-        total = partial.count()
-        if big.isEmpty() or (last is not None and total > 0.9 * last):
+    reduce_ = _reduce(keys)
+    partial = pts.mapInPandas(reduce_, f"{key_schema}, x double, y double").checkpoint()
+    # while a group's outer points exceed one task's share, deal that group
+    # anew (row by row, so that equal points are dealt too) and reduce again;
+    # what no longer shrinks is in convex position
+    before: dict | None = None
+    while True:
+        sizes = partial.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"))
+        row = sizes.filter(F.col("_m") > rows_per_task).agg(F.count("*").alias("groups"), F.sum("_m").alias("rows")).first()
+        if not row.groups or (before is not None and row.groups == before["groups"] and row.rows > 0.9 * before["rows"]):
             break
-        last = total
-        partial = partial.join(cnt, keys).withColumn(
-            "_salt", F.pmod(F.xxhash64("lx", "ly"), F.ceil(F.col("_m") / F.lit(rows_per_task)))).drop("_m")
-        partial = partial.groupBy(*keys, "_salt").applyInPandas(_partial(keys + ["_salt"]), part_schema).drop("_salt")
-    partial = partial.join(sizes.drop("_ns"), keys)
+        before = row.asDict()
+        n = max(2, -(-row.rows // rows_per_task))
+        dealt = partial.withColumn("_at", F.monotonically_increasing_id()).repartition(n, *keys, F.pmod("_at", F.lit(n))).drop("_at")
+        partial = dealt.sortWithinPartitions(*keys).mapInPandas(reduce_, f"{key_schema}, x double, y double").checkpoint()
+    low = partial.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min("x").alias("_x0"), F.min("y").alias("_y0"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    partial = partial.join(low, same).select(
+        *keys, (F.col("x") - F.col("_x0")).alias("lx"), (F.col("y") - F.col("_y0")).alias("ly"), "_x0", "_y0")
     return partial.groupBy(*keys).applyInPandas(
         _final(keys), f"{key_schema}, gtype string, n_vertices int, area double, "
                       "hull array<struct<x:double,y:double>>")
