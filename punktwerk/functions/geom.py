@@ -86,14 +86,36 @@ def _rings(s: Column) -> Column:
     return F.transform(F.split(F.trim(s), _RING_SEP), lambda r: _verts(_strip_parens(r)))
 
 
+# Steps that reduce the text behind the type to its skeleton: numbers to n,
+# vertices to p, vertex lists to p, bracketed lists to r, lists of those to g.
+_NUMBER = r"[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?"
+WKT_STEPS = ((_NUMBER, "n"), (r"n\s+n(?:\s+n){0,2}", "p"), (r"p\s*,\s*(?=p)", ""), (r"\(\s*p\s*\)", "r"),
+             (r"r\s*,\s*(?=r)", ""), (r"\(\s*r\s*\)", "g"), (r"g\s*,\s*(?=g)", ""))
+#: The skeletons that each type may have.
+WKT_SKELETONS = {"POINT": ("r",), "LINESTRING": ("r",), "POLYGON": ("g",), "MULTIPOINT": ("r", "g"),
+                 "MULTILINESTRING": ("g",), "MULTIPOLYGON": ("(g)",)}
+WKT_TYPE = r"^([A-Za-z]+)"
+WKT_HEAD = r"^[A-Za-z]+\s*(?:(?:ZM|Z|M|zm|z|m)\s*)?(?=\(|(?i:EMPTY)$)"
+
+
 def st_geomfromtext(wkt) -> Column:
-    """Parse WKT (POINT, LINESTRING, POLYGON and their MULTI forms, EMPTY).
+    """Parse WKT (POINT, LINESTRING, POLYGON and their MULTI forms, EMPTY;
+    further ordinates are read and dropped).
 
-    Unknown types, unbalanced text or non-numeric coordinates give null."""
+    The whole text must match: unknown types, text before or after the shape,
+    misplaced brackets, non-numeric coordinates, a point of several vertices,
+    a line of one, and polygon rings that are open or have fewer than four
+    vertices give null."""
     w = F.trim(_c(wkt))
-    gtype = F.upper(F.regexp_extract(w, r"^([A-Za-z]+)", 1))
-    body = F.trim(F.regexp_replace(w, r"^[A-Za-z]+\s*(Z\s+|M\s+|ZM\s+)?", ""))
+    gtype = F.upper(F.regexp_extract(w, WKT_TYPE, 1))
+    body = F.trim(F.regexp_replace(w, WKT_HEAD, ""))
     empty = F.upper(body) == F.lit("EMPTY")
+    skeleton = body
+    for pattern, short in WKT_STEPS:
+        skeleton = F.regexp_replace(skeleton, pattern, short)
+    formed = F.lit(False)
+    for t, shapes in WKT_SKELETONS.items():
+        formed = formed | ((gtype == t) & F.regexp_replace(skeleton, r"\s", "").isin(*shapes))
     parts = (
         F.when(empty, F.array().cast(PARTS_T))
         .when(gtype.isin("POINT", "LINESTRING"), F.array(F.array(_verts(_strip_parens(body)))))
@@ -105,9 +127,13 @@ def st_geomfromtext(wkt) -> Column:
               F.transform(F.split(body, _PART_SEP), _rings))
     )
     bad_vertex = F.exists(F.flatten(F.flatten(parts)), lambda v: v.x.isNull() | v.y.isNull())
-    balanced = (F.length(F.regexp_replace(body, r"[^(]", ""))
-                == F.length(F.regexp_replace(body, r"[^)]", "")))
-    ok = gtype.isin(*GEOM_TYPES) & parts.isNotNull() & ~bad_vertex & balanced
+    rings = F.flatten(parts)
+    bad_ring = (F.when(gtype == "POINT", F.exists(rings, lambda r: F.size(r) != 1))
+                .when(gtype.isin("LINESTRING", "MULTILINESTRING"), F.exists(rings, lambda r: F.size(r) < 2))
+                .when(gtype.isin("POLYGON", "MULTIPOLYGON"), F.exists(
+                    rings, lambda r: (F.size(r) < 4) | (F.get(r, 0) != F.element_at(r, -1))))
+                .otherwise(F.lit(False)))
+    ok = gtype.isin(*GEOM_TYPES) & (empty | formed) & parts.isNotNull() & ~bad_vertex & ~bad_ring
     return F.when(ok, F.struct(gtype.alias("gtype"), parts.alias("parts")))
 
 

@@ -16,18 +16,26 @@ from punktwerk.functions.geom import GEOM_T
 # WKB geometry type codes (OGC simple features).
 WKB_TYPES = {1: "POINT", 2: "LINESTRING", 3: "POLYGON", 4: "MULTIPOINT",
              5: "MULTILINESTRING", 6: "MULTIPOLYGON"}
+# Flag bits of the extended form (height, measure, reference system).
+Z_FLAG, M_FLAG, SRID_FLAG = 0x80000000, 0x40000000, 0x20000000
 WKB_CODES = {v: k for k, v in WKB_TYPES.items()}
 
 
 def _read_geom(buf: bytes, pos: int):
     order = "<" if buf[pos] == 1 else ">"
-    code = struct.unpack_from(order + "I", buf, pos + 1)[0] % 1000
+    code = struct.unpack_from(order + "I", buf, pos + 1)[0]
     pos += 5
-    gtype = WKB_TYPES[code]
+    if code & SRID_FLAG:
+        pos += 4
+    # further ordinates: as flags, or as thousands of the type code
+    flagged = (code & Z_FLAG != 0) + (code & M_FLAG != 0)
+    code &= 0x0FFFFFFF
+    width = 2 + (flagged or {0: 0, 1: 1, 2: 1, 3: 2}[code // 1000])
+    gtype = WKB_TYPES[code % 1000]
 
     def pts(n, p):
-        a = np.frombuffer(buf, dtype=np.dtype(order + "f8"), count=2 * n, offset=p).reshape(n, 2)
-        return [{"x": float(x), "y": float(y)} for x, y in a], p + 16 * n
+        a = np.frombuffer(buf, dtype=np.dtype(order + "f8"), count=width * n, offset=p).reshape(n, width)
+        return [{"x": float(v[0]), "y": float(v[1])} for v in a], p + 8 * width * n
 
     def rings(p):
         nr = struct.unpack_from(order + "I", buf, p)[0]

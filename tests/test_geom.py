@@ -113,3 +113,40 @@ def test_region_stats_pushes_bbox_to_parquet(spark, tmpdir_path):
     df = A.region_stats(spark.read.parquet(f"{tmpdir_path}/pts"), X.POLY2_WKT)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "LessThan(x,288000.0)" in plan
+
+
+def test_wkt_is_matched_as_a_whole(spark):
+    good = ["POINT (1 2)", "point(1 2)", "POINT Z(1 2 3)", "POINT Z (1 2 3)", "LINESTRING (0 0, 1e1 -2.5)", "POLYGON ((0 0, 1 0, 1 1, 0 0))",
+            "POLYGON((0 0,4 0,4 4,0 0),(1 1,2 1,2 2,1 1))", "MULTIPOINT ((1 2), (3 4))", "MULTIPOINT (1 2, 3 4)",
+            "MULTILINESTRING ((0 0, 1 1), (2 2, 3 3))", "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0)), ((5 5, 6 5, 6 6, 5 5)))", "POLYGON EMPTY"]
+    bad = ["POINT )1 2(", "POINT (1 2) garbage", "POLYGON ((0 0, 1 0, 1 1))", "POLYGON ((0 0, 1 0, 1 1, 0 1))", "LINESTRING (1 2)",
+           "POINT (1 2, 3 4)", "POINT (1)", "POINT (a b)", "CIRCLE (1 2)", "POLYGON (0 0, 1 0, 1 1, 0 0)", "", "POINT ((1 2))", "x POINT (1 2)"]
+    from punktwerk.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    df = spark.createDataFrame([(t, True) for t in good] + [(t, False) for t in bad], "t string, ok boolean")
+    for r in df.select("t", "ok", G.st_geomfromtext("t").alias("g"), F.expr("st_geomfromtext(t)").alias("s")).collect():
+        assert (r.g is not None) == r.ok, r.t
+        assert r.g == r.s, r.t
+
+
+def test_sql_functions_like_the_columns(spark):
+    from punktwerk.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    texts = ["POINT (5 5)", "POINT (12 5)", "LINESTRING (-5 5, 20 6)", "LINESTRING (20 20, 30 20)", "POLYGON ((0 0, 10 0, 10 10, 0 10, 0 0))",
+             "POLYGON ((20 0, 30 0, 30 10, 20 10, 20 0))", "POLYGON ((2 2, 3 2, 3 3, 2 3, 2 2))", "MULTIPOINT ((1 1), (40 40))",
+             "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0)), ((5 5, 6 5, 6 6, 5 5)))"]
+    g = spark.createDataFrame([(t,) for t in texts], "t string").select("t", G.st_geomfromtext("t").alias("g"))
+    j = g.selectExpr("t as ta", "g as a").crossJoin(g.selectExpr("t as tb", "g as b"))
+    got = j.select("ta", "tb", F.expr("st_distance(a, b)").alias("ds"), G.st_distance("a", "b").alias("dc"),
+                   F.expr("st_intersects(a, b)").alias("i"), G.st_intersects("a", "b").alias("ic"), F.expr("st_astext(a)").alias("w")).collect()
+    for r in got:
+        assert abs(r.ds - r.dc) < 1e-9 and r.i == r.ic and r.w == r.ta, (r.ta, r.tb, r.ds, r.dc)
+    row = spark.sql("select st_distance(st_geomfromtext('POINT (5 12)'), st_geomfromtext('POLYGON ((0 0, 10 0, 10 10, 0 10, 0 0))')) as beside, "
+                    "st_distance(st_geomfromtext('POINT (5 5)'), st_geomfromtext('POLYGON ((0 0, 10 0, 10 10, 0 10, 0 0))')) as inside, "
+                    "st_astext(st_geomfromgeojson('{\"type\":\"Point\",\"coordinates\":[1.5,2]}')) as j, "
+                    "st_astext(st_shapefromwkb('0101000000000000000000F03F0000000000000040')) as b, "
+                    "st_transform(st_point(280000d, 5652000d), 'epsg:25832', 'epsg:4326') as t").first()
+    assert row.beside == 2.0 and row.inside == 0.0 and row.j == "POINT (1.5 2)" and row.b == "POINT (1 2)"
+    from punktwerk.functions.crs import st_transform
+    want = spark.range(1).select(st_transform(F.lit(280000.0), F.lit(5652000.0), 25832, 4326).alias("p")).first().p
+    assert abs(row.t.parts[0][0][0].x - want.x) < 1e-12 and abs(row.t.parts[0][0][0].y - want.y) < 1e-12
