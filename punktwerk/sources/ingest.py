@@ -11,14 +11,14 @@ from punktwerk.sources.las import read_las
 from punktwerk.sources.sinks import append_points
 
 
-def ingest_las(spark: SparkSession, src: str, table_path: str, srid: int = 25832,
+def ingest_las(spark: SparkSession, src: str, table_path: str | None = None, srid: int = 25832,
                precision: int = 6, points_per_split: int = 1_000_000,
-               max_points: int | None = None, glob: str = "*.las") -> DataFrame:
-    """Ingest every LAS tile under ``src`` in one distributed job; returns
+               glob: str = "*.las", table: str | None = None) -> DataFrame:
+    """Ingest every LAS tile under ``src`` in one distributed job, into a
+    folder or (``table``) a catalog table made with ``geohash=True``; returns
     the failures (path, name, error) of files that could not be read or
     held no points."""
-    pts, failures = read_las(spark, src, points_per_split=points_per_split,
-                             max_points=max_points, glob=glob)
+    pts, failures = read_las(spark, src, points_per_split=points_per_split, glob=glob)
     enriched = with_geohash(pts, "x", "y", srid=srid, precision=precision)
-    append_points(enriched, path=table_path, extra_columns=("geohash",))
+    append_points(enriched, table=table, path=None if table else table_path, extra_columns=("geohash",))
     return failures

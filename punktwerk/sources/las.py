@@ -38,7 +38,10 @@ def _open(path: str):
         while local.startswith("//"):
             local = local[1:]
         return fs.LocalFileSystem().open_input_file(local)
-    f, p = fs.FileSystem.from_uri(path)
+    # Spark's names for an object store; the library knows the plain one
+    scheme, _, rest = path.partition("://")
+    plain = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    f, p = fs.FileSystem.from_uri(f"{plain}://{rest}")
     return f.open_input_file(p)
 
 
@@ -48,7 +51,9 @@ def parse_header(buf: bytes) -> dict:
         raise ValueError("not a LAS file")
     header_size = struct.unpack_from("<H", buf, 94)[0]
     data_offset = struct.unpack_from("<I", buf, 96)[0]
-    fmt = buf[104] & 0x3F
+    if buf[104] & 0xC0:
+        raise ValueError("compressed point records")
+    fmt = buf[104]
     rec_len = struct.unpack_from("<H", buf, 105)[0]
     n = struct.unpack_from("<I", buf, 107)[0]
     if header_size >= 375 and len(buf) >= 255:
@@ -62,13 +67,15 @@ def parse_header(buf: bytes) -> dict:
 def _headers(it):
     for pdf in it:
         rows = []
-        for path in pdf["path"]:
+        for path, length in zip(pdf["path"], pdf["length"]):
             row = {"path": path, "name": path.rsplit("/", 1)[-1], "error": None}
             try:
                 with _open(path) as f:
                     row.update(parse_header(f.read(375)))
                 if row["n_points"] == 0:
                     row["error"] = "no points"
+                elif length < row["data_offset"] + row["n_points"] * row["record_length"]:
+                    row["error"] = f"truncated: {row['n_points']} points announced, {length} bytes"
             except Exception as e:  # unreadable or not LAS -> failure row
                 row["error"] = f"{type(e).__name__}: {e}"
             rows.append(row)
@@ -103,6 +110,8 @@ def _decode(it):
                     k = min(BATCH_ROWS, r["count"] - done)
                     f.seek(r["data_offset"] + (r["start"] + done) * r["record_length"])
                     raw = f.read(k * r["record_length"])
+                    if len(raw) != k * r["record_length"]:
+                        raise OSError(f"{r['path']}: file changed while it was read")
                     cols = decode_records(raw, r["point_format"], r["record_length"],
                                           (r["sx"], r["sy"], r["sz"]), (r["ox"], r["oy"], r["oz"]))
                     cols["source_file"] = np.full(len(cols["x"]), r["name"], dtype=object)
@@ -111,9 +120,9 @@ def _decode(it):
 
 
 def read_las(spark: SparkSession, path: str, points_per_split: int = 1_000_000,
-             max_points: int | None = None, glob: str = "*.las") -> tuple[DataFrame, DataFrame]:
-    """(points, failures) for every LAS file under ``path``. ``max_points``
-    caps the points taken per file (None = all)."""
+             glob: str = "*.las") -> tuple[DataFrame, DataFrame]:
+    """(points, failures) for every LAS file under ``path``; whole files,
+    in splits of ``points_per_split`` points."""
     from punktwerk.session import ensure_checkpoint_dir, ship_package
     ensure_checkpoint_dir(spark)
     ship_package(spark)
@@ -122,8 +131,7 @@ def read_las(spark: SparkSession, path: str, points_per_split: int = 1_000_000,
     headers = listing.mapInPandas(_headers, HEADER_SCHEMA).checkpoint()
     failures = headers.filter(F.col("error").isNotNull()).select("path", "name", "error")
     ok = headers.filter(F.col("error").isNull())
-    n = F.col("n_points") if max_points is None else F.least(F.col("n_points"), F.lit(int(max_points)))
-    splits = ok.withColumn("_n", n).withColumn(
+    splits = ok.withColumn("_n", F.col("n_points")).withColumn(
         "start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(int(points_per_split)).cast("long"))))
     splits = splits.withColumn("count", F.least(F.lit(int(points_per_split)).cast("long"), F.col("_n") - F.col("start")))
     n_splits = max(splits.count(), 1)   # one small metadata row per split

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The six point columns and their types.
 POINT_SCHEMA = T.StructType([
     T.StructField("x", T.DoubleType()),
     T.StructField("y", T.DoubleType()),
@@ -67,7 +68,7 @@ def read_typed_points(spark: SparkSession, path: str, offset: int = 0, sep: str
     df = spark.read.text(path).filter(F.length(F.trim("value")) > 0).select(parts.alias("_p"))
     n = F.size("_p")
     attrs = F.concat(F.slice("_p", 1, offset) if offset > 0 else F.array().cast("array<string>"),
-                     F.slice("_p", offset + 3, 1 << 20))
+                     F.slice("_p", F.lit(offset + 3), F.greatest(n - offset - 2, F.lit(0))))
     out = df.select(F.get("_p", offset).try_cast("double").alias("x"),
                     F.get("_p", offset + 1).try_cast("double").alias("y"),
                     attrs.alias("_attrs"), n.alias("_n"))
@@ -95,18 +96,20 @@ def read_typed_shapes(spark: SparkSession, path: str, kind: str, offset: int = 0
     from punktwerk.functions.geom import PARTS_T
     parts = F.split(F.col("value"), sep)
     df = spark.read.text(path).select(parts.alias("_p"))
-    nums = F.transform(F.slice("_p", offset + 1, 1 << 20), lambda s: s.try_cast("double"))
+    nums = F.transform(F.slice("_p", F.lit(offset + 1), F.greatest(F.size("_p") - offset, F.lit(0))), lambda s: s.try_cast("double"))
     npts = F.floor(F.size(nums) / 2).cast("int")
-    verts = F.transform(F.sequence(F.lit(0), npts - 1),
-                        lambda i: F.struct(F.get(nums, i * 2).alias("x"), F.get(nums, i * 2 + 1).alias("y")))
+    # at least one coordinate pair and all of them numbers; else no shape
+    good = (npts > 0) & F.forall(F.slice(nums, F.lit(1), npts * 2), lambda v: v.isNotNull())
+    verts = F.when(good, F.transform(F.sequence(F.lit(0), F.greatest(npts, F.lit(1)) - 1),
+                                     lambda i: F.struct(F.get(nums, i * 2).alias("x"), F.get(nums, i * 2 + 1).alias("y"))))
     if kind.upper() == "POLYGON":
         ring = F.when(F.get(verts, 0) == F.element_at(verts, -1), verts).otherwise(
             F.concat(verts, F.array(F.get(verts, 0))))
         gt = "POLYGON"
     else:
         ring, gt = verts, "LINESTRING"
-    return df.select(F.struct(F.lit(gt).alias("gtype"),
-                              F.array(F.array(ring)).cast(PARTS_T).alias("parts")).alias("geom"))
+    return df.select(F.when(verts.isNotNull(), F.struct(
+        F.lit(gt).alias("gtype"), F.array(F.array(ring)).cast(PARTS_T).alias("parts"))).alias("geom"))
 
 
 def first_match(spark: SparkSession, root: str, glob: str) -> str:

@@ -34,8 +34,6 @@ def test_las_roundtrip_in_splits(spark, tmpdir_path, fmt):
     assert set(got["source_file"]) == {"3dm_32_280_5652_1_nw.las"}
     errs = {r.name: r.error for r in bad.collect()}
     assert errs["empty.las"] == "no points" and "not a LAS file" in errs["junk.las"]
-    capped, _ = L.read_las(spark, tmpdir_path, points_per_split=700, max_points=1000)
-    assert capped.count() == 1000
 
 
 def test_tile_metadata_preamble_per_file(spark, tmpdir_path):
@@ -137,3 +135,59 @@ def test_to_pandas_bounded(spark):
     assert list(pdf["g"]) == ["POINT (2 3)", "POINT (4 5)"]
     with pytest.raises(ValueError):
         to_pandas(df, "g", max_rows=1)
+
+
+def test_las_truncated_or_compressed_files_are_failures(spark, tmpdir_path):
+    from punktwerk.sources import las as L
+    z = [1.0, 2.0, 3.0, 4.0]
+    L.write_las(f"{tmpdir_path}/whole.las", z, z, z, [1] * 4, [1] * 4, [2] * 4)
+    raw = open(f"{tmpdir_path}/whole.las", "rb").read()
+    with open(f"{tmpdir_path}/cut.las", "wb") as f:
+        f.write(raw[:-2 * 28])          # two whole records are missing
+    packed = bytearray(raw)
+    packed[104] |= 0x80
+    with open(f"{tmpdir_path}/packed.las", "wb") as f:
+        f.write(bytes(packed))
+    pts, bad = L.read_las(spark, tmpdir_path)
+    errs = {r.name: r.error for r in bad.collect()}
+    assert set(errs) == {"cut.las", "packed.las"} and "truncated" in errs["cut.las"] and "compressed" in errs["packed.las"]
+    assert pts.count() == 4
+
+
+def test_append_keeps_the_other_tiles_of_a_table(spark, tmpdir_path):
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from punktwerk.sources import sinks as SK
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    SK.create_point_table(spark, name, location=f"{tmpdir_path}/t")
+    cols = "x double, y double, z double, intensity int, return_num int, classification int, source_file string"
+    try:
+        for tile, n in (("a", 3), ("b", 2), ("a", 4)):
+            SK.append_points(spark.createDataFrame([(1.0, 2.0, float(i), 1, 1, 2, tile) for i in range(n)], cols), table=name)
+        got = {r.source_file: r["count"] for r in spark.table(name).groupBy("source_file").count().collect()}
+        assert got == {"a": 4, "b": 2}
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+        assert spark.table(name).agg(F.sum("z")).first()[0] == 6 + 1
+    finally:
+        SK.drop_point_table(spark, name)
+
+
+def test_wkb_with_more_ordinates(spark):
+    import struct
+
+    from punktwerk.functions.wkb import decode_wkb
+    want = [[[{"x": 0.0, "y": 0.0}, {"x": 1.0, "y": 1.0}]]]
+    for code, extra, head in ((1002, 1, b""), (2002, 1, b""), (3002, 2, b""), (0x80000002, 1, b""), (0xC0000002, 2, b""),
+                              (0xA0000002, 1, struct.pack("<I", 25832))):
+        body = b"".join(struct.pack(f"<{2 + extra}d", v, v, *[9.0] * extra) for v in (0.0, 1.0))
+        assert decode_wkb(struct.pack("<BI", 1, code) + head + struct.pack("<I", 2) + body)["parts"] == want
+
+
+def test_typed_shapes_without_coordinates_are_null(spark, tmpdir_path):
+    from punktwerk.sources import points as SP
+    with open(f"{tmpdir_path}/s.csv", "w") as f:
+        f.write("0,0,4,0,4,4\n\n1\n0,0,x,1\n")
+    got = [r.geom for r in SP.read_typed_shapes(spark, f"{tmpdir_path}/s.csv", "POLYGON").collect()]
+    assert len(got) == 4 and sum(g is None for g in got) == 3
