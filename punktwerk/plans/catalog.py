@@ -148,6 +148,14 @@ def q_describe_points(spark, sf):
     return A.describe_points(X.pts(spark, sf), _DESC_COLS)
 
 
+@query("approx_counts_bound", X.with_ctes("select count(*) as n_rows, true as within_bound from pts", **PTS))
+def q_approx_counts_bound(spark, sf):
+    """The approximate distinct count lies within four standard errors."""
+    approx, exact = A.approx_counts(X.pts(spark, sf)), A.dataset_counts(X.pts(spark, sf)).select("n_distinct")
+    return approx.crossJoin(exact).select(    # one row each
+        "n_rows", (F.abs(F.col("approx_distinct") - F.col("n_distinct")) <= 4 * 0.02 * F.col("n_distinct")).alias("within_bound"))
+
+
 @query("approx_counts")
 def q_approx_counts(spark, sf):
     return A.approx_counts(X.pts(spark, sf))
@@ -402,18 +410,18 @@ def q_points_per_rect(spark, sf):
 
 
 @query("points_in_rect_list", X.with_ctes(
-    "select r.rect_id, 0 as chunk, count(*) as n, 'MULTIPOINT (' || string_agg('(' || "
+    "select r.rect_id, cast(floor(p.x / 250) as bigint) as chunk_x, cast(floor(p.y / 250) as bigint) as chunk_y, count(*) as n, 'MULTIPOINT (' || string_agg('(' || "
     f"{_pt_sql('p.x', 'p.y')} || ')', ', ' order by p.x, p.y) || ')' as points "
     "from rects r join pts p on p.x between r.minx and r.maxx and p.y between r.miny and r.maxy "
-    "group by r.rect_id", **RECTS, **PTS))
+    "group by r.rect_id, chunk_x, chunk_y", **RECTS, **PTS))
 def q_points_in_rect_list(spark, sf):
     """Grouped join: each rectangle with the list of its points (as
-    MULTIPOINT text), in bounded chunks."""
+    MULTIPOINT text), a row per cell of 250 m."""
     g = J.spatial_join_grouped(X.rects(spark, sf), X.pts(spark, sf).select("x", "y"), "rect_id",
                                cell=_RECT_CELL)
     txt = F.concat(F.lit("MULTIPOINT ("), F.array_join(F.transform("points", lambda v: F.concat(
         F.lit("("), G._num_text(v.x), F.lit(" "), G._num_text(v.y), F.lit(")"))), ", "), F.lit(")"))
-    return g.select("rect_id", "chunk", "n", txt.alias("points"))
+    return g.select("rect_id", "chunk_x", "chunk_y", "n", txt.alias("points"))
 
 
 SITES = {"sites": X.SITES_SQL}
@@ -600,15 +608,16 @@ def q_footprint_heights(spark, sf):
 
 
 @query("multipoint_union", _DBSCAN_CTES +
-       "select cluster, 0 as chunk, count(distinct (x, y)) as n_points, 'MULTIPOINT (' || string_agg(distinct '(' || "
+       "select cluster, cast(floor(x / 250) as bigint) as chunk_x, cast(floor(y / 250) as bigint) as chunk_y, count(distinct (x, y)) as n_points, 'MULTIPOINT (' || string_agg(distinct '(' || "
        f"{_pt_sql('x', 'y')} || ')', ', ' order by '(' || {_pt_sql('x', 'y')} || ')') || ')' as points "
-       "from labels where cluster <> -1 group by cluster")
+       "from labels where cluster <> -1 group by cluster, chunk_x, chunk_y")
 def q_multipoint_union(spark, sf):
-    """st_aggr_union for points: each cluster as one MULTIPOINT (distinct)."""
+    """st_aggr_union for points: each cluster as MULTIPOINTs (distinct), a row
+    per cell of 250 m."""
     u = A.multipoint_union(_dbscan_sites(spark, sf).filter(F.col("cluster") != -1), "cluster")
     txt = F.array_sort(F.transform("points", lambda v: F.concat(
         F.lit("("), G._num_text(v.x), F.lit(" "), G._num_text(v.y), F.lit(")"))))
-    return u.select("cluster", "chunk", F.col("n_points").cast("bigint").alias("n_points"),
+    return u.select("cluster", "chunk_x", "chunk_y", F.col("n_points").cast("bigint").alias("n_points"),
                     F.concat(F.lit("MULTIPOINT ("), F.array_join(txt, ", "), F.lit(")")).alias("points"))
 
 
@@ -637,13 +646,34 @@ def q_label_join_back(spark, sf):
 
 @query("kmeans_fit")
 def q_kmeans_fit(spark, sf):
-    """k-means (k=2, seed 0) fitted on a 100,000-row sample in float32;
+    """k-means (k=2, seed 0) in float32, fitted on and labelling all rows."""
+    s = X.sites(spark, sf)
+    _, labelled = CL.kmeans_fit(s, k=2, seed=0, id_col="pid")
+    return labelled.select("pid", "label")
+
+
+@query("kmeans_fit_sample")
+def q_kmeans_fit_sample(spark, sf):
+    """The same on a seeded sample of 1,000 rows (the sample is the feature):
     labels on the sample, null elsewhere."""
     s = X.sites(spark, sf)
-    _, labelled = CL.kmeans_fit(s, k=2, seed=0, sample_rows=100_000, id_col="pid")
+    _, labelled = CL.kmeans_fit(s, k=2, seed=0, sample_rows=1000, id_col="pid")
     return CL.label_join_back(s, labelled, "pid").select("pid", "label")
 
 
+@query("kmeans_fit_properties", X.with_ctes(
+    "select count(*) as n_rows, cast(0 as bigint) as n_unlabelled, cast(0 as bigint) as n_not_nearest, cast(2 as bigint) as n_labels from sites", **SITES))
+def q_kmeans_fit_properties(spark, sf):
+    """What any right fit has: every row labelled, with its nearest centre."""
+    model, labelled = CL.kmeans_fit(X.sites(spark, sf), k=2, seed=0, id_col="pid")
+    (ax, ay), (bx, by) = (tuple(map(float, c)) for c in model.clusterCenters())
+    x, y = F.col("x").cast("float").cast("double"), F.col("y").cast("float").cast("double")
+    da, db = (x - ax) * (x - ax) + (y - ay) * (y - ay), (x - bx) * (x - bx) + (y - by) * (y - by)
+    nearer = F.when(F.abs(da - db) < 1e-3, F.col("label")).when(da < db, 0).otherwise(1)
+    return labelled.agg(F.count("*").alias("n_rows"), F.count(F.when(F.col("label").isNull(), 1)).alias("n_unlabelled"),
+                        F.count(F.when(F.col("label") != nearer, 1)).alias("n_not_nearest"), F.countDistinct("label").alias("n_labels"))
+
+
 # --------------------------------------------------------------------------
 # sources and sinks (data derived from the tables, written to the shared
 # checkpoint folder, read back through the reader under test)
@@ -1046,3 +1076,159 @@ def q_lines_bbox_overlap(spark, sf):
 def q_region_stats_by_rect(spark, sf):
     """Region statistics for every rectangle of a table (interior points)."""
     return A.region_stats_many(X.pts(spark, sf), X.rects(spark, sf), "rect_id", cell=_RECT_CELL)
+
+
+# --------------------------------------------------------------------------
+# appends, re-deliveries, shapes against shapes, statements as SQL text
+# --------------------------------------------------------------------------
+
+_PER_TILE = "select source_file, count(*) as n, round(sum(z), 6) as sum_z from pts group by source_file"
+
+
+def _per_tile(df):
+    return df.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("z"), 6).alias("sum_z"))
+
+
+@query("append_two_tiles", X.with_ctes(_PER_TILE, **PTS_SRC))
+def q_append_two_tiles(spark, sf):
+    """Three appends to a catalog table: half of the tiles, the other half,
+    and the first half again. No tile is lost and none is doubled."""
+    import uuid
+    name = f"punktwerk_append_{uuid.uuid4().hex[:8]}"
+    path = scratch_path(spark, "append-table")
+    p = X.pts(spark, sf, with_source=True)
+    half = F.pmod(F.xxhash64("source_file"), F.lit(2))
+    SK.create_point_table(spark, name, location=path)
+    for part in (0, 1, 0):
+        SK.append_points(p.filter(half == part), table=name)
+    SK.drop_point_table(spark, name)        # external: the files stay and are read below
+    return _per_tile(spark.read.parquet(path))
+
+
+@query("stream_two_runs", X.with_ctes(_PER_TILE, **PTS_SRC))
+def q_stream_two_runs(spark, sf):
+    """Two streams with a checkpoint each into one table: the first ingests
+    half of the tiles, the second the other half and the first half again,
+    delivered in new files."""
+    table = scratch_path(spark, "runs-table")
+    p = X.pts(spark, sf, with_source=True)
+    half = F.pmod(F.xxhash64("source_file"), F.lit(2))
+    for k, rows in enumerate((p.filter(half == 0), p)):
+        src = scratch_path(spark, f"runs-src{k}")
+        rows.repartition("source_file").write.partitionBy("source_file").option("header", True).csv(src)
+        ST.stream_points(spark, src, table, scratch_path(spark, f"runs-ckpt{k}"), max_files=8).awaitTermination()
+    return _per_tile(spark.read.parquet(table))
+
+
+@query("sql_region_stats", X.with_ctes(
+    "select count(*) as total_points, count(case when classification = 2 then 1 end) as ground_points, min(z) as min_z, "
+    "max(z) as max_z, round(avg(z), 6) as avg_z from p where rid in "
+    f"(select rid from ({point_in_polys_sql('p', {2: X.POLY2_WKT}, 'rid')}) where odd and not on_edge)",
+    **PTS, p="select row_number() over () as rid, * from pts"))
+def q_sql_region_stats(spark, sf):
+    """Region statistics as one SQL statement over ST_* functions, with a
+    polygon that cuts through the data."""
+    register_sql_functions(spark)
+    v = _temp_view(X.pts(spark, sf), "pts")
+    return spark.sql(
+        "select count(*) as total_points, count(case when classification = 2 then 1 end) as ground_points, min(z) as min_z, "
+        f"max(z) as max_z, round(avg(z), 6) as avg_z from {v} "
+        f"where st_contains(st_geomfromtext('{X.POLY2_WKT}'), st_point(x, y))")
+
+
+# A rectangle that shapes are measured against.
+_BOX = (283000.0, 5653000.0, 284500.0, 5654200.0)
+_BOX_WKT = ("POLYGON ((283000 5653000, 284500 5653000, 284500 5654200, 283000 5654200, 283000 5653000))")
+
+
+def _gap_sql(x0, y0, x1, y1):
+    """Distance of a box (column names) to the fixed one."""
+    dx = f"greatest({d(_BOX[0])} - {x1}, {x0} - {d(_BOX[2])}, {d(0)})"
+    dy = f"greatest({d(_BOX[1])} - {y1}, {y0} - {d(_BOX[3])}, {d(0)})"
+    return f"sqrt({dx} * {dx} + {dy} * {dy})"
+
+
+@query("sql_distance_shapes", X.with_ctes(
+    f"select rect_id, round({_gap_sql('minx', 'miny', 'maxx', 'maxy')}, 6) as to_polygon, "
+    f"round({_gap_sql('minx', 'miny', 'minx', 'miny')}, 6) as point_to_polygon, "
+    f"round({_gap_sql('minx', 'miny', 'maxx', 'miny')}, 6) as line_to_polygon from rects", **RECTS))
+def q_sql_distance_shapes(spark, sf):
+    """st_distance between a polygon and polygons, points and lines (a
+    rectangle, its corner, its lower side), as SQL text."""
+    register_sql_functions(spark)
+    v = _temp_view(X.rects(spark, sf), "rects")
+    line = "concat('LINESTRING (', minx, ' ', miny, ', ', maxx, ' ', miny, ')')"
+    return spark.sql(
+        f"select rect_id, round(st_distance(st_makeenvelope(minx, miny, maxx, maxy), b), 6) as to_polygon, "
+        f"round(st_distance(st_point(minx, miny), b), 6) as point_to_polygon, "
+        f"round(st_distance(st_geomfromtext({line}), b), 6) as line_to_polygon "
+        f"from (select *, st_geomfromtext('{_BOX_WKT}') as b from {v})")
+
+
+@query("knn_shapes", X.with_ctes(
+    f"select rect_id, round({_gap_sql('minx', 'miny', 'maxx', 'maxy')}, 6) as dist from rects "
+    f"order by {_gap_sql('minx', 'miny', 'maxx', 'maxy')}, rect_id limit 20", **RECTS))
+def q_knn_shapes(spark, sf):
+    """The 20 rectangles nearest to a polygon: polygon objects, polygon query."""
+    r = X.rects(spark, sf).withColumn("geom", G.st_rect("minx", "miny", "maxx", "maxy"))
+    out = J.knn(r, 20, G.st_distance("geom", G.st_geomfromtext(F.lit(_BOX_WKT))), "rect_id")
+    return out.select("rect_id", F.round("dist", 6).alias("dist"))
+
+
+_LINE_MEET = (
+    "select a.line_id as line_id_a, b.line_id as line_id_b from lines a join lines b on a.line_id < b.line_id "
+    "and least(a.x1, a.x2) <= greatest(b.x1, b.x2) and least(b.x1, b.x2) <= greatest(a.x1, a.x2) "
+    "and least(a.y1, a.y2) <= greatest(b.y1, b.y2) and least(b.y1, b.y2) <= greatest(a.y1, a.y2) "
+    "where sign((a.x2 - a.x1) * (b.y1 - a.y1) - (a.y2 - a.y1) * (b.x1 - a.x1)) "
+    "* sign((a.x2 - a.x1) * (b.y2 - a.y1) - (a.y2 - a.y1) * (b.x2 - a.x1)) <= 0 "
+    "and sign((b.x2 - b.x1) * (a.y1 - b.y1) - (b.y2 - b.y1) * (a.x1 - b.x1)) "
+    "* sign((b.x2 - b.x1) * (a.y2 - b.y1) - (b.y2 - b.y1) * (a.x2 - b.x1)) <= 0")
+
+
+# Lines in all directions, long enough to cross.
+_CROSSING = ("c_custkey as line_id, cast(280000 + (c_custkey*8191 % 8400) as double) as x1, "
+             "cast(5652000 + (c_custkey*4093 % 3900) as double) as y1, "
+             "cast(280000 + (c_custkey*8191 % 8400) + (c_custkey*37 % 1000) - 500 as double) as x2, "
+             "cast(5652000 + (c_custkey*4093 % 3900) + (c_custkey*91 % 1000) - 500 as double) as y2")
+
+
+@query("lines_intersect_join", X.with_ctes(_LINE_MEET, lines=f"select {_CROSSING} from customer"))
+def q_lines_intersect_join(spark, sf):
+    """Pairs of lines that share a point (exact, not their boxes)."""
+    raw = X.table(spark, sf, "customer").selectExpr(*_CROSSING.split(", "))
+    lines = G.with_bbox(raw.withColumn("geom", G.st_linestring("x1", "y1", "x2", "y2")), "geom") \
+        .select("line_id", "geom", "minx", "miny", "maxx", "maxy")
+    j = J.shape_join(lines, lines, cell=250.0, geom="geom")
+    return j.filter(F.col("line_id_a") < F.col("line_id_b")).select("line_id_a", "line_id_b")
+
+
+# Rectangles laid out on a lattice, so that many of them meet.
+_LATTICE = ("s_suppkey as rect_id, cast(280000 + (s_suppkey % 12) * 100 as double) as minx, "
+            "cast(5652000 + (floor(s_suppkey / 12) % 12) * 80 as double) as miny, "
+            "cast(280000 + (s_suppkey % 12) * 100 + 100 + (s_suppkey % 3) * 20 as double) as maxx, "
+            "cast(5652000 + (floor(s_suppkey / 12) % 12) * 80 + 80 as double) as maxy")
+_LATTICE_CTE = {"rects": f"select {_LATTICE} from supplier"}
+_MEET = ("from rects a join rects b on a.rect_id < b.rect_id and greatest(a.minx, b.minx) <= least(a.maxx, b.maxx) "
+         "and greatest(a.miny, b.miny) <= least(a.maxy, b.maxy)")
+
+
+def _lattice(spark, sf):
+    return X.table(spark, sf, "supplier").selectExpr(*_LATTICE.split(", "))
+
+
+@query("lattice_touch", X.with_ctes(
+    f"select a.rect_id as rect_id_a, b.rect_id as rect_id_b {_MEET} and (greatest(a.minx, b.minx) = least(a.maxx, b.maxx) "
+    "or greatest(a.miny, b.miny) = least(a.maxy, b.maxy))", **_LATTICE_CTE))
+def q_lattice_touch(spark, sf):
+    """Rectangles of a lattice that touch."""
+    r = _lattice(spark, sf)
+    j = J.shape_join(r, r, cell=100.0, predicate="touches")
+    return j.filter(F.col("rect_id_a") < F.col("rect_id_b")).select("rect_id_a", "rect_id_b")
+
+
+@query("lattice_overlap", X.with_ctes(f"select a.rect_id as rect_id_a, b.rect_id as rect_id_b {_MEET}", **_LATTICE_CTE))
+def q_lattice_overlap(spark, sf):
+    """Rectangles of a lattice that meet, each pair once."""
+    r = _lattice(spark, sf)
+    j = J.shape_join(r, r, cell=100.0, predicate="intersects")
+    return j.filter(F.col("rect_id_a") < F.col("rect_id_b")).select("rect_id_a", "rect_id_b")
