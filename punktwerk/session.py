@@ -3,6 +3,7 @@ shared scratch folder (``spark.checkpoint.dir``)."""
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -59,7 +60,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for
     intermediate tables and files written by a job."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/punktwerk/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/punktwerk/{name}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(drop_scratch)
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def drop_scratch() -> None:
+    """Delete the scratch tables of this driver. Results that are read lazily
+    from them must be finished; runs by itself when the driver ends."""
+    spark = SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        p.getFileSystem(conf).delete(p, True)
 
 
 _SHIPPED: set = set()

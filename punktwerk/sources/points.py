@@ -3,6 +3,8 @@ coordinate offset, file manifests and lineage."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,8 +57,13 @@ def file_manifest(spark: SparkSession, root: str, glob: str = "*", recursive: bo
 
 
 def read_headerless(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Delimited text without a header: positional string columns _c0.._cN."""
-    return spark.read.option("header", False).option("sep", sep).csv(path)
+    """Delimited text without a header: positional string columns _c0.._cN,
+    as many as the longest row has (one narrow aggregate finds out), so no
+    field of a ragged file is dropped; shorter rows end in nulls."""
+    fields = F.size(F.split("value", re.escape(sep)))
+    width = spark.read.text(path).agg(F.max(fields)).first()[0] or 1
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+    return spark.read.schema(schema).option("header", False).option("sep", sep).csv(path)
 
 
 def read_typed_points(spark: SparkSession, path: str, offset: int = 0, sep: str = ",",

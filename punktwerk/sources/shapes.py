@@ -41,9 +41,11 @@ def read_wkb(spark: SparkSession, path: str, sep: str = "\t", geom_col: int = 0,
 def read_geojson(spark: SparkSession, path: str, properties_schema: str | None = None,
                  allow_invalid: bool = True) -> DataFrame:
     """GeoJSON Features, one per line (a trailing comma is tolerated):
-    ``properties`` become columns, ``geometry`` becomes the shape."""
+    ``properties`` become columns, ``geometry`` becomes the shape. A line that
+    is no feature gives a row with a null shape (dropped with
+    ``allow_invalid=False``); empty lines and lone brackets are layout."""
     lines = spark.read.text(path).select(F.regexp_replace(F.trim("value"), ",$", "").alias("js")) \
-        .filter(F.col("js").startswith("{"))
+        .filter(~F.col("js").rlike(r"^[\[\]{}\s]*$"))
     if properties_schema is None:
         props = F.from_json(F.get_json_object("js", "$.properties"), "map<string,string>")
         df = lines.select(props.alias("properties"),

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from punktwerk.functions.crs import srid_of
 from punktwerk.functions.geojson import feature
 from punktwerk.sources.points import POINT_COLUMNS
 
@@ -76,11 +77,18 @@ def write_points_csv(df: DataFrame, path: str) -> None:
     df.select(*POINT_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_geojson(df: DataFrame, path: str, geom: str = "geom", properties=None) -> None:
-    """One GeoJSON Feature per line (coordinates as stored; the reference
-    frame is recorded in the column metadata, not in the text)."""
+def write_geojson(df: DataFrame, path: str, geom: str = "geom", properties=None, srid: int | None = None) -> None:
+    """One GeoJSON Feature per line, coordinates as stored. The reference
+    frame (``srid``, or what the shape column's metadata says) is named by a
+    ``crs`` member of each feature."""
     props = properties or [c for c in df.columns if c != geom]
-    df.select(feature(geom, F.struct(*props)).alias("value")).write.mode("overwrite").text(path)
+    srid = srid if srid is not None else srid_of(df, geom)
+    value = feature(geom, F.struct(*props))
+    if srid is not None:
+        crs = f'{{"crs":{{"type":"name","properties":{{"name":"EPSG:{int(srid)}"}}}},'
+        value = F.concat(F.lit(crs), F.expr("substring(_v, 2)"))
+        df = df.withColumn("_v", feature(geom, F.struct(*props)))
+    df.select(value.alias("value")).write.mode("overwrite").text(path)
 
 
 def write_text_files(lines: DataFrame, path: str, group: str, header: list[str] | None = None,

@@ -191,3 +191,48 @@ def test_typed_shapes_without_coordinates_are_null(spark, tmpdir_path):
         f.write("0,0,4,0,4,4\n\n1\n0,0,x,1\n")
     got = [r.geom for r in SP.read_typed_shapes(spark, f"{tmpdir_path}/s.csv", "POLYGON").collect()]
     assert len(got) == 4 and sum(g is None for g in got) == 3
+
+
+def test_geojson_names_its_reference_frame(spark, tmpdir_path):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from punktwerk.functions import geom as G
+    from punktwerk.functions.crs import with_srid
+    from punktwerk.sources import shapes as SS
+    from punktwerk.sources import sinks as SK
+    df = with_srid(spark.createDataFrame([(1, 2.0, 3.0)], "id int, x double, y double").select("id", G.st_point("x", "y").alias("geom")), "geom", 25832)
+    SK.write_geojson(df, f"{tmpdir_path}/g")
+    line = json.loads(spark.read.text(f"{tmpdir_path}/g").first().value)
+    assert line["crs"]["properties"]["name"] == "EPSG:25832" and line["type"] == "Feature" and line["properties"] == {"id": 1}
+    back = SS.read_geojson(spark, f"{tmpdir_path}/g", "id int").select("id", F.expr("geom.gtype")).first()
+    assert tuple(back) == (1, "POINT")
+
+
+def test_scratch_is_dropped(spark):
+    import os
+
+    from punktwerk import session
+    p = session.scratch_path(spark, "gone")
+    spark.range(3).write.parquet(p)
+    local = p.replace("file:", "")
+    assert os.path.isdir(local)
+    kept, session._SCRATCH[:] = session._SCRATCH[:-1], [p]
+    session.drop_scratch()
+    session._SCRATCH[:] = kept
+    assert not os.path.exists(local)
+
+
+def test_ragged_and_malformed_text_is_kept(spark, tmpdir_path):
+    from punktwerk.sources import points as SP
+    from punktwerk.sources import shapes as SS
+    with open(f"{tmpdir_path}/r.csv", "w") as f:
+        f.write("1,2\n3,4,5,6\n7\n")
+    got = [tuple(r) for r in SP.read_headerless(spark, f"{tmpdir_path}/r.csv").collect()]
+    assert got == [("1", "2", None, None), ("3", "4", "5", "6"), ("7", None, None, None)]
+    with open(f"{tmpdir_path}/g.json", "w") as f:
+        f.write('[\n{"type":"Feature","properties":{"a":1},"geometry":{"type":"Point","coordinates":[1,2]}},\nnot a feature\n]\n')
+    rows = SS.read_geojson(spark, f"{tmpdir_path}/g.json", "a int").collect()
+    assert sorted(r.geom is None for r in rows) == [False, True]
+    assert SS.read_geojson(spark, f"{tmpdir_path}/g.json", "a int", allow_invalid=False).count() == 1
