@@ -50,6 +50,16 @@ def text_crc(col: str):
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))
 
 
+def bounded_sample(df: DataFrame, salt: str, rows: int, key: str = "doc_id") -> DataFrame:
+    """At most ``rows`` rows, those with the smallest hashes of ``key``. A
+    threshold on the hash comes first, so only about that many rows are
+    ordered, however many there are; it reads ``key`` alone."""
+    total = df.select(key).count()
+    cut = int(min(1.0, 1.2 * rows / max(1, total)) * 2 ** 31)
+    h = F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1 << 31))
+    return df.withColumn("_h", h).filter(F.col("_h") < cut).orderBy("_h", key).limit(rows).drop("_h")
+
+
 BITMAP_LOG2 = 23
 
 

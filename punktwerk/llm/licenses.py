@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from punktwerk.llm.common import prepare
+from punktwerk.llm.common import bounded_sample, prepare
 
 # Short public licence notices by family.
 TEMPLATES = {
@@ -210,9 +210,9 @@ def train(ordinary: list[list[str]], seed: int = 7, variants: int = VARIANTS) ->
 
 def ordinary_paragraphs(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, lines_per_doc: int = LINES_PER_DOC) -> list[list[str]]:
     """Paragraphs of a bounded sample of documents."""
-    h = F.xxhash64("doc_id", F.lit("licence"))
     lines = F.slice(F.split("text", "\n"), 1, lines_per_doc)
-    got = docs.filter("text is not null").select(h.alias("h"), lines.alias("l")).orderBy("h").limit(sample_docs).collect()
+    got = bounded_sample(docs.select("doc_id", "text"), "licence", sample_docs).filter("text is not null").select(
+        "doc_id", lines.alias("l")).orderBy("doc_id").collect()
     return [win for r in got for line in r["l"] for win in windows(tokens(line[:2000])) if win]
 
 

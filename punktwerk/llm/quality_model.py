@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from punktwerk.llm.common import prepare, text_crc
+from punktwerk.llm.common import bounded_sample, prepare, text_crc
 from punktwerk.llm.quality_rules import count_texts
 
 SAMPLE_ROWS = 20_000
@@ -196,8 +196,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int
     """Features and labels of at most ``rows`` training rows. The bound is set
     on the narrow labels first; only those texts are looked at."""
     train = (labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ((text_crc("doc_id") % folds) != held))
-             .groupBy("doc_id").agg(F.max(label).cast("double").alias("_y"))
-             .orderBy(F.xxhash64("doc_id", F.lit("fit")), "doc_id").limit(rows))
+             .groupBy("doc_id").agg(F.max(label).cast("double").alias("_y")))
+    train = bounded_sample(train, "fit", rows)
     # a bounded table: ``rows`` ids with a label
     got = (docs.select("doc_id", "text").join(F.broadcast(train), "doc_id")
            .select("doc_id", "_y", text_features("text").alias("f")).toPandas().drop_duplicates("doc_id").sort_values("doc_id"))
