@@ -60,13 +60,17 @@ def bounded_sample(df: DataFrame, salt: str, rows: int, key: str = "doc_id") ->
     return df.withColumn("_h", h).filter(F.col("_h") < cut).orderBy("_h", key).limit(rows).drop("_h")
 
 
-BITMAP_LOG2 = 23
+#: A bitmap has 16 bits a key, between 8 KB and 16 MB.
+BITMAP_LOG2 = (16, 27)
 
 
-def bitmap(keys: DataFrame, col: str, log2: int = BITMAP_LOG2) -> np.ndarray:
-    """A bitmap of 2**log2 bits (1 MB by default, at any input size) with the
-    bit of every key set. Grouped on the cluster, so the driver receives at
-    most 2**(log2 - 6) rows."""
+def bitmap(keys: DataFrame, col: str) -> np.ndarray:
+    """A bitmap with the bit of every key's cell set. It never outgrows 16 MB:
+    beyond eight million keys cells are shared, and the filter lets more
+    through, but never loses a key. Grouped on the cluster, so the driver
+    receives one row per 64 cells at most."""
+    low, high = BITMAP_LOG2
+    log2 = min(high, max(low, (16 * keys.count()).bit_length()))
     cell = F.pmod(F.col(col), F.lit(1 << log2))
     words = (keys.select(cell.alias("_c"))
              .groupBy(F.shiftright("_c", 6).cast("int").alias("w"))
@@ -76,19 +80,19 @@ def bitmap(keys: DataFrame, col: str, log2: int = BITMAP_LOG2) -> np.ndarray:
     return out
 
 
-def in_bitmap(values: np.ndarray, bits: np.ndarray, log2: int = BITMAP_LOG2) -> np.ndarray:
-    c = values.astype(np.int64) & ((1 << log2) - 1)
+def in_bitmap(values: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    c = values.astype(np.int64) & (len(bits) * 64 - 1)
     return ((bits.view(np.uint64)[c >> 6] >> (c & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
 
 
-def bitmap_filter(spark: SparkSession, bits: np.ndarray, log2: int = BITMAP_LOG2):
+def bitmap_filter(spark: SparkSession, bits: np.ndarray):
     """Column function: might the key be in the bitmap? Never false for a key
     that was set; a map-side pre-filter in front of an exact step."""
     shared = spark.sparkContext.broadcast(bits)
 
     @F.pandas_udf(T.BooleanType())
     def might_hold(key: pd.Series) -> pd.Series:
-        return pd.Series(in_bitmap(key.to_numpy(dtype=np.int64), shared.value, log2))
+        return pd.Series(in_bitmap(key.to_numpy(dtype=np.int64), shared.value))
 
     return might_hold
 

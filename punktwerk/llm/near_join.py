@@ -43,7 +43,7 @@ PERCENT = 75
 TOKEN_BYTES = 6                  # sets keep 48 bits of each shingle's hash
 CELLS_LOG2 = 20                  # cells of the document-frequency counts: 4 MB at any input size
 POSTINGS_PER_BUCKET = 1_500_000
-BLOCK_BYTES = 24_000_000         # most bytes of one side of a block
+BLOCK_BYTES = 32_000_000         # bytes of the packed rows of one side of a block, about
 LIST_ROW_BYTES = 600             # a list's row, with its vector, in a task
 LEAF, FANOUT = 64, 8
 
@@ -487,7 +487,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     points = selected(sets, members, lambda t: pack_vector(count_vector(t)))
     edges = staged(candidate_edges(with_blocks(members, "list_id", F.lit(LIST_ROW_BYTES)), points, percent), "candidate_edges")
     families = staged(connected_components(edges).select("node", F.col("component").alias("family")), "families")
-    sizes = sets.filter("node is not null").select("node", (F.length("tokens") * 4 + 200).alias("_w")).dropDuplicates(["node"])
+    sizes = sets.filter("node is not null").select("node", (F.length("tokens") + 100).alias("_w")).dropDuplicates(["node"])
     cut = staged(with_blocks(families.join(sizes, "node"), "family", "_w"), "family_blocks")
     links = staged(link_edges(cut, selected(sets, families, pack_tokens), percent), "link_edges")
     roots = connected_components(links).select("node", F.col("component").alias("root"))
