@@ -40,6 +40,47 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), 2)
 
 
+# Words, lines and 8-word windows by unnesting; sketches, quartiles and fences
+# in integers, so both engines agree to the last digit.
+_SIGNALS_SQL = [("symbols", "n_symbols", "word_chars", 50), ("upper", "n_upper", "n_letters", 300), ("dup_lines", "n_dup_lines", "n_lines", 800),
+                ("repeats", "n_repeat_words", "n_words", 400), ("stutter", "n_stutter", "n_words", 200)]
+_RATIO_SQL = {n: f"(10000 * {part}) // greatest({whole}, 1)" for n, part, whole, _ in _SIGNALS_SQL}
+_BIN_SQL = "case when r < 64 then r else (length(bin(r)) - 6) * 32 + (r >> (length(bin(r)) - 6)) end"
+_LOW_SQL = "case when b < 64 then b else (b - (b // 32 - 1) * 32) << (b // 32 - 1) end"
+
+
+def _quartiles_sql(level: str, keys: str) -> str:
+    part = f"partition by {keys}, signal" if keys else "partition by signal"
+    sel = f"{keys}, " if keys else ""
+    return (f"{level} as (select {sel}signal, max(total) as docs, min(case when 2 * run >= total then v end) as q50, "
+            f"min(case when 4 * run >= 3 * total then v end) as q75 from (select *, {_LOW_SQL} as v, sum(n) over ({part} order by b) as run, "
+            f"sum(n) over ({part}) as total from (select {sel}signal, b, sum(n) as n from sk group by {sel}signal, b)) group by {sel}signal)")
+
+
+ORACLES["op3_quality_rules"] = f"""
+with t as (select row_number() over () as rid, doc_id, lang, source, coalesce(text, '') as x from documents),
+w as (select *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') as ws, list_filter(string_split(x, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as ls from t),
+p as (select rid, len(ws) as n, unnest(range(1, len(ws) - 6)) as k, ws from w where len(ws) >= 8),
+g as (select rid, k, count(*) over (partition by rid, array_to_string(ws[k:k + 7], ' ')) as m from p),
+rep as (select rid, count(distinct k + o) as n_repeat_words from (select rid, k, unnest(range(0, 8)) as o from g where m > 1) group by rid),
+c as (select w.rid, doc_id, lang, source, len(ws) as n_words, cast(coalesce(list_sum(list_transform(ws, lambda v: length(v))), 0) as bigint) as word_chars,
+  len(regexp_extract_all(x, '[#*$%&|<>]')) as n_symbols, len(ls) - len(list_distinct(ls)) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
+  len(ls) as n_lines, len(regexp_extract_all(x, '[A-Z]')) as n_upper, len(regexp_extract_all(x, '[A-Za-z]')) as n_letters,
+  len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) as n_stutter from w left join rep on rep.rid = w.rid),
+sk as (select lang, source, signal, {_BIN_SQL} as b, count(*) as n from (""" + " union all ".join(
+    f"select lang, source, '{n}' as signal, {r} as r from c where n_words > 0" for n, r in _RATIO_SQL.items()) + f""") group by all),
+{_quartiles_sql("qs", "lang, source")}, {_quartiles_sql("ql", "lang")}, {_quartiles_sql("qa", "")},
+f as (select qs.lang, qs.source, qs.signal, case when qs.docs >= 200 then qs.q50 when ql.docs >= 200 then ql.q50 else qa.q50 end as q50,
+  case when qs.docs >= 200 then qs.q75 when ql.docs >= 200 then ql.q75 else qa.q75 end as q75
+  from qs join ql on ql.lang is not distinct from qs.lang and ql.signal = qs.signal join qa on qa.signal = qs.signal),
+lim as (select lang, source, """ + ", ".join(
+    f"max(case when signal = '{n}' then q50 + 8 * greatest(q75 - q50, {least}) end) as max_{n}" for n, _, _, least in _SIGNALS_SQL) + """ from f group by lang, source),
+v as (select c.*, lim.* exclude (lang, source), n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed
+  from c left join lim on lim.lang is not distinct from c.lang and lim.source is not distinct from c.source)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and """ + " and ".join(
+    f"coalesce({r} <= max_{n}, true)" for n, r in _RATIO_SQL.items()) + " as kept, " + ", ".join(f"max_{n}" for n in _RATIO_SQL) + " from v"
+
+
 @query("op3_quality_rules")
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir)).select(
@@ -63,6 +104,18 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_digest(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), 1)
 
 
+ORACLES["op8_near_join"] = """
+with recursive t as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x20\x09-\x0D]+') as ws from documents),
+s as (select distinct doc_id, array_to_string(ws[k:k + 4], ' ') as g from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) as k from t where len(ws) > 0)),
+n as (select doc_id, count(*) as n_shingles from s group by doc_id),
+o as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+l as (select a, b from o join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n_shingles + y.n_shingles - c)),
+r as (select doc_id as node, doc_id as seen from t union select r.node, l.b from r join l on l.a = r.seen)
+select t.doc_id, coalesce(n.n_shingles, 0) as n_shingles, m.component_id
+from t left join n using (doc_id) join (select node as doc_id, min(seen) as component_id from r group by node) m using (doc_id)"""
+
+
 @query("op8_near_join")
 def op8_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_join.near_groups(documents(spark, sf_dir))
