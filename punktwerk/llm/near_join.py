@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punktwerk.llm.common import bitmap, in_bitmap, prepare, staged
+from punktwerk.llm.common import bitmap, in_bitmap, prepare, staged, without
 from punktwerk.operators.graph import connected_components
 
 WIDTH = 5
@@ -97,29 +97,30 @@ def unpack48(b) -> np.ndarray:
 
 
 def group_bits(n: int) -> int:
-    """log2 of the groups: about two shingles a group, 16 to 2,048 groups."""
-    return min(11, max(4, (int(n) - 1).bit_length() - 1))
+    """log2 of the groups: about one shingle a group, 16 to 8,192 groups."""
+    return min(13, max(4, (int(n) - 1).bit_length()))
+
+
+MOST = 3      # counts are cut at this
 
 
 def count_vector(tokens: np.ndarray) -> np.ndarray:
-    """Counts per group; the group is the top bits of the hash, so a vector
-    folds to fewer groups by adding neighbours."""
+    """Counts per group, cut at three; the set's size tells how much was cut
+    off in all. The group is the top bits of the hash, so a vector folds to
+    fewer groups by adding neighbours (and cutting again)."""
     bits = group_bits(len(tokens))
     c = np.bincount((tokens >> np.uint64(48 - bits)).astype(np.int64), minlength=1 << bits)
-    return c.astype(np.uint8 if c.max(initial=0) < 256 else np.uint16)
+    return np.minimum(c, MOST).astype(np.uint8)
 
 
 def pack_vector(v: np.ndarray) -> bytes:
-    """Half a byte per count where all counts allow it."""
-    return (v[0::2] | (v[1::2] << 4)).astype(np.uint8).tobytes() if v.max(initial=0) < 16 else v.tobytes()
+    """Two bits per count."""
+    return (v[0::4] | (v[1::4] << 2) | (v[2::4] << 4) | (v[3::4] << 6)).tobytes()
 
 
-def unpack_vector(b, n: int) -> np.ndarray:
-    groups = 1 << group_bits(n)
-    if len(b) * 2 == groups:
-        raw = np.frombuffer(b, np.uint8)
-        return np.stack([raw & 15, raw >> 4], axis=1).reshape(-1)
-    return np.frombuffer(b, np.uint8 if len(b) == groups else np.uint16)
+def unpack_vector(b) -> np.ndarray:
+    raw = np.frombuffer(b, np.uint8)
+    return np.stack([(raw >> k) & 3 for k in (0, 2, 4, 6)], axis=1).reshape(-1)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -304,46 +305,56 @@ def required(a, b, percent: int):
 
 
 class CountRTree:
-    """Points (count vectors) of one group, packed bottom-up."""
+    """Points (count vectors) of one group, packed bottom-up. What was cut off
+    the counts joins the bound as a whole: two sets share at most the sum of
+    coordinate minima and the smaller of their excesses."""
 
     def __init__(self, sizes: np.ndarray, vectors: list[np.ndarray], percent: int = PERCENT):
         self.sizes, self.vectors, self.percent = sizes.astype(np.int64), vectors, percent
+        self._cache: dict = {}
         order = np.argsort(self.sizes, kind="stable")
-        slabs = []
-        for i in range(0, len(order), LEAF * FANOUT):
-            slab = order[i:i + LEAF * FANOUT]
-            if len(slab) > LEAF:        # within a slab of like sizes, by the coordinate that varies most
-                m = self._matrix(slab, min(6, self._bits(slab)))
-                slab = slab[np.argsort(m[:, m.var(axis=0).argmax()], kind="stable")]
-            slabs += [slab[j:j + LEAF] for j in range(0, len(slab), LEAF)]
-        level = [(s, None) for s in slabs]
+        leaves, at = [], 0
+        while at < len(order):      # slabs of sizes that can link, then by the coordinate that varies most
+            most = 100 * self.sizes[order[at]] // percent
+            end = min(at + LEAF * FANOUT, int(np.searchsorted(self.sizes[order], most, side="right")))
+            slab = order[at:end]
+            if len(slab) > LEAF:
+                m = self._cut(slab, min(6, self._bits(slab)))[0]
+                slab = slab[np.argsort(m[:, m.astype(np.float32).var(axis=0).argmax()], kind="stable")]
+            leaves += [slab[j:j + LEAF] for j in range(0, len(slab), LEAF)]
+            at = end
+        level = [(s, None) for s in leaves]
         while len(level) > 1:
             level = [(np.concatenate([r for r, _ in level[i:i + FANOUT]]), level[i:i + FANOUT])
                      for i in range(0, len(level), FANOUT)]
         self.root = level[0] if level else None
-        self._cache: dict = {}
 
     def _bits(self, rows) -> int:
         return group_bits(int(self.sizes[rows].min()))
 
-    def _matrix(self, rows, bits: int) -> np.ndarray:
-        return np.stack([self.vectors[r].reshape(1 << bits, -1).sum(axis=1, dtype=np.uint16) for r in rows])
+    def _cut(self, rows, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Vectors folded to ``bits`` and cut, and the excess of each row."""
+        m = np.stack([np.minimum(self.vectors[r].reshape(1 << bits, -1).sum(axis=1, dtype=np.uint16), MOST) for r in rows]).astype(np.uint8)
+        return m, self.sizes[rows] - m.sum(axis=1, dtype=np.int64)
 
-    def _leaf(self, node, bits: int) -> np.ndarray:
+    def _leaf(self, node, bits: int) -> tuple[np.ndarray, np.ndarray]:
         key = (id(node[0]), bits)
         if key not in self._cache:
             if len(self._cache) > 64:
                 self._cache.clear()
-            self._cache[key] = self._matrix(node[0], bits)
+            self._cache[key] = self._cut(node[0], bits)
         return self._cache[key]
 
-    def _most(self, node, bits: int) -> np.ndarray:
-        """The largest count per coordinate below a node."""
+    def _most(self, node, bits: int) -> tuple[np.ndarray, int]:
+        """The largest count per coordinate, and the largest excess, below a node."""
         key = ("max", id(node[0]), bits)
         if key not in self._cache:
-            m = self._leaf(node, bits).max(axis=0) if node[1] is None else \
-                np.max([self._most(c, bits) for c in node[1]], axis=0)
-            self._cache[key] = m
+            if node[1] is None:
+                m, e = self._leaf(node, bits)
+                self._cache[key] = m.max(axis=0), int(e.max())
+            else:
+                below = [self._most(c, bits) for c in node[1]]
+                self._cache[key] = np.max([m for m, _ in below], axis=0), max(e for _, e in below)
         return self._cache[key]
 
     def join(self, links: Links, check) -> None:
@@ -361,9 +372,10 @@ class CountRTree:
             if len(roots) == 1 and {links.find(i) for i in b[0]} == roots:
                 return
         bits = min(self._bits(a[0]), self._bits(b[0]))
-        if a is not b and int(np.minimum(self._most(a, bits), self._most(b, bits)).sum(dtype=np.int64)) \
-                < required(int(sa.min()), int(sb.min()), self.percent):
-            return
+        if a is not b:
+            (ma, ea), (mb, eb) = self._most(a, bits), self._most(b, bits)
+            if int(np.minimum(ma, mb).sum(dtype=np.int64)) + min(ea, eb) < required(int(sa.min()), int(sb.min()), self.percent):
+                return
         if a[1] is None and b[1] is None:
             self._pairs(a, b, bits, links, check)
         elif a is b:
@@ -379,8 +391,8 @@ class CountRTree:
 
     def _pairs(self, a, b, bits, links, check) -> None:
         ra, rb = a[0], b[0]
-        ma, mb = self._leaf(a, bits), self._leaf(b, bits)
-        bound = np.stack([np.minimum(v, mb).sum(axis=1, dtype=np.int64) for v in ma])
+        (ma, ea), (mb, eb) = self._leaf(a, bits), self._leaf(b, bits)
+        bound = np.stack([np.minimum(v, mb).sum(axis=1, dtype=np.int64) for v in ma]) + np.minimum(ea[:, None], eb[None, :])
         total = self.sizes[ra][:, None] + self.sizes[rb][None, :]
         ok = bound >= required(total, 0, self.percent)
         if a is b:
@@ -456,7 +468,7 @@ def candidate_edges(members: DataFrame, points: DataFrame, percent: int = PERCEN
     """Edges that connect, in each list, all sets whose bounds let them link."""
     def solve(sizes, vecs):
         links = Links(len(sizes))
-        CountRTree(sizes, [unpack_vector(v, n) for v, n in zip(vecs, sizes)], percent).join(links, lambda i, j: True)
+        CountRTree(sizes, [unpack_vector(v) for v in vecs], percent).join(links, lambda i, j: True)
         return links
 
     return _joined(members.join(points, "node"), "list_id", solve)
@@ -503,4 +515,4 @@ def drop_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each component stays (its smallest doc_id); a document
     without words stays too. Own columns only."""
     gone = near_groups(docs, percent).filter("component_id != doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    return without(docs, gone)
