@@ -97,6 +97,20 @@ def bitmap_filter(spark: SparkSession, bits: np.ndarray):
     return might_hold
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not in ``gone`` (column _gone);
+    rows without an id stay. Only rows that a bitmap of the ids lets through
+    take part in the exact anti-join, so the other texts are not shuffled.
+    ``docs`` is read twice: pass a table, not a long plan."""
+    spark = docs.sparkSession
+    gone = staged(gone, "gone")
+    might = bitmap_filter(spark, bitmap(gone, "_gone"))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))
+    stay = docs.filter(~might(key))
+    rest = docs.filter(might(key)).join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return stay.unionByName(rest)
+
+
 def prefix_sums(df: DataFrame, key: str, value: str, out: str, block: int = 1024) -> DataFrame:
     """(key, out): the sum of ``value`` over all smaller integer keys; one row
     per key. In two levels, so that no task sorts more than ``block`` keys or

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punktwerk.llm.common import bitmap, bitmap_filter, prepare, staged
+from punktwerk.llm.common import bitmap, bitmap_filter, prepare, staged, without
 
 _AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 FINGERPRINTS_PER_BLOCK = 200_000
@@ -117,4 +117,4 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The documents that stay, with their own columns."""
     gone = exact_groups(docs).filter("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    return without(docs, gone)
