@@ -41,7 +41,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: pieces of at most 2,048 ids and their places."""
     prepare(spark)
-    return packing.packing_digest(docs, tokenizer("byte_bpe_50k.json"), 1)
+    # a small memo: the executors' workers have run the other stages before
+    return packing.packing_digest(docs, tokenizer("byte_bpe_50k.json"), 1, memo_units=150_000)
 
 
 STAGES = [("quality_rules", rules), ("exact_dedup", exact), ("near_join", near), ("mixing", mixed), ("packing", packed)]

@@ -3,8 +3,12 @@ fixed-size bitmaps and distributed prefix sums."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +19,28 @@ from punktwerk.session import ensure_checkpoint_dir, scratch_path, ship_package
 #: A word, wherever the operators count words (fixed by the data contract).
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of whole texts handed to a Python worker at a time.
-BATCH_ROWS = 512
+BATCH_ROWS = 256
+
+
+def release_memory() -> None:
+    """Hand freed memory back to the system: Python workers are reused by the
+    next stages, next to an executor's heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):       # another C library
+        pass
+
+
+def tidied(run):
+    """A task function over Arrow batches that releases its memory at the end."""
+    @functools.wraps(run)
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+    return inner
 
 
 def prepare(spark: SparkSession) -> SparkSession:

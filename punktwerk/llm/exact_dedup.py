@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punktwerk.llm.common import bitmap, bitmap_filter, prepare, staged, without
+from punktwerk.llm.common import bitmap, bitmap_filter, prepare, staged, tidied, without
 
 _AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 FINGERPRINTS_PER_BLOCK = 200_000
@@ -64,6 +64,7 @@ def repeated_fingerprints(fps: DataFrame, rows: int) -> DataFrame:
     """(fp, n) of the fingerprints found more than once in column ``fp``."""
     qbits = max(4, math.ceil(math.log2(max(1, rows / FINGERPRINTS_PER_BLOCK))) + 4)
 
+    @tidied
     def build(batches):
         held, waiting = [], 0
 

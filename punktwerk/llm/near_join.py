@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punktwerk.llm.common import bitmap, in_bitmap, prepare, staged, without
+from punktwerk.llm.common import bitmap, in_bitmap, prepare, staged, tidied, without
 from punktwerk.operators.graph import connected_components
 
 WIDTH = 5
@@ -125,6 +125,7 @@ def unpack_vector(b) -> np.ndarray:
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
     """doc_id, n, node (hash of the whole set; null if empty), tokens."""
+    @tidied
     def run(batches):
         for b in batches:
             sets = shingles(b.column(1).to_pylist())
@@ -145,6 +146,7 @@ def selected(sets: DataFrame, keys: DataFrame, payload) -> DataFrame:
     meet nobody stay where they are; an exact join has to follow."""
     shared = sets.sparkSession.sparkContext.broadcast(bitmap(keys, "node"))
 
+    @tidied
     def run(batches):
         seen = set()
         for b in batches:
@@ -171,6 +173,7 @@ def frequency_classes(sets: DataFrame) -> tuple[np.ndarray, int]:
     gets a table of fixed size."""
     cells, block = 1 << CELLS_LOG2, 1 << (CELLS_LOG2 - 6)
 
+    @tidied
     def count(batches):
         c = np.zeros(cells, np.int64)
         for b in batches:
@@ -240,6 +243,7 @@ def candidate_lists(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     shared = sets.sparkSession.sparkContext.broadcast(classes)      # 1 MB at any input size
     buckets = max(64, -(-total * (100 - percent) // 100 // POSTINGS_PER_BUCKET))
 
+    @tidied
     def post(batches):
         seen, held, waiting = set(), [], 0
 
@@ -261,7 +265,7 @@ def candidate_lists(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
                 seen.add(node)
                 held.append((prefix(unpack48(tok), shared.value, percent), node))
                 waiting += len(held[-1][0])
-            if waiting >= 1_000_000:
+            if waiting >= 400_000:
                 yield flush()
                 held, waiting = [], 0
         if held:
@@ -417,9 +421,13 @@ def blocks(rows: DataFrame) -> DataFrame:
 
 
 def with_blocks(members: DataFrame, key: str, weight) -> DataFrame:
-    """(key, node, _nb): how many blocks each group needs."""
+    """(key, node, _nb): how many blocks each group needs. Groups of several
+    blocks are few; their table is written first, so its size is known and
+    the members are shuffled only where it is too large to broadcast."""
     total = members.groupBy(F.col(key).alias("_k")).agg(F.ceil(F.sum(weight) / BLOCK_BYTES).cast("int").alias("_nb"))
-    big = total.filter("_nb > 1")
+    big = staged(total.filter("_nb > 1").coalesce(1), "big_groups")
+    if big.isEmpty():
+        return members.select(key, "node", F.lit(1).alias("_nb"))
     return members.join(big, F.col(key) == F.col("_k"), "left").select(key, "node", F.coalesce("_nb", F.lit(1)).alias("_nb"))
 
 
@@ -449,6 +457,7 @@ def _groups(batches, keys: int):
 def _joined(rows: DataFrame, key: str, solve) -> DataFrame:
     """(src, dst) edges that ``solve(sizes, payloads) -> Links`` makes in each
     group (and block pair) of ``rows`` (key, node, _nb, n, payload)."""
+    @tidied
     def run(batches):
         for g in _groups(batches, 3):
             if g.num_rows < 2:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from punktwerk.llm.common import prefix_sums, prepare, staged
+from punktwerk.llm.common import prefix_sums, prepare, staged, tidied
 from punktwerk.llm.tokens import encoder
 from punktwerk.session import scratch_path
 
@@ -38,6 +38,7 @@ STRIPE_BYTES = 16 * 1024 * 1024
 def _encode(path: str, end_id: int):
     tail = np.array([end_id], dtype="<u4").tobytes()
 
+    @tidied
     def run(batches):
         tok, part, before = encoder(path), TaskContext.get().partitionId(), 0
         for b in batches:

@@ -26,7 +26,8 @@ _BARE_UNIT = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+" + _AFTER + r"|[^ \n]+")
 _ASCII_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 _WIDE_SPACES = ("\x85\xa0            "
                 "    　")
-MEMO_UNITS = 1_000_000
+#: Units remembered per worker, about 200 bytes each: memory against CPU.
+MEMO_UNITS = 700_000
 
 
 def _plain(text: str) -> bool:
@@ -36,12 +37,12 @@ def _plain(text: str) -> bool:
 class TextEncoder:
     """ids of texts as bytes, ``width`` bytes little-endian an id."""
 
-    def __init__(self, path: str, width: int = 4):
+    def __init__(self, path: str, width: int = 4, memo_units: int = MEMO_UNITS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
         self._tok.encode_special_tokens = True   # their strings in a text are ordinary text
-        self._width = width
+        self._width, self._memo_units = width, memo_units
         self._memo: dict[str, bytes] = {}
         one, *same = self._encode(["word été", "Word ÉTÉ", " WORD\n\n  ÉTÉ \n"])
         self._folds = all(x == one for x in same) and self._encode([" \n"]) == [b""]
@@ -66,8 +67,8 @@ class TextEncoder:
         return _UNIT.findall(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text. Units not met before are encoded in one call;
-        they stay in the memo while it has room."""
+        """The ids of each text. Units not in the memo are encoded in one call
+        and stay in it while it has room."""
         memo = self._memo
         units = [self._units(t) for t in texts]
         new = list(set().union(*(us for us in units if us)).difference(memo))
@@ -75,18 +76,17 @@ class TextEncoder:
         whole = iter(self._encode([t for t, us in zip(texts, units) if us is None]))
         ids = memo.__getitem__
         out = [next(whole) if us is None else b"".join(map(ids, us)) for us in units]
-        room = max(0, MEMO_UNITS - (len(memo) - len(new)))
-        if len(new) > room:
-            for u in new[room:]:
-                del memo[u]
+        for u in new[max(0, self._memo_units - (len(memo) - len(new))):]:
+            del memo[u]
         return out
 
 
-_ENCODERS: dict[tuple[str, int], TextEncoder] = {}
+_ENCODERS: dict[tuple, TextEncoder] = {}
 
 
-def encoder(path: str, width: int = 4) -> TextEncoder:
+def encoder(path: str, width: int = 4, memo_units: int = MEMO_UNITS) -> TextEncoder:
     """The encoder of this worker process (workers are reused by tasks)."""
-    if (path, width) not in _ENCODERS:
-        _ENCODERS[path, width] = TextEncoder(path, width)
-    return _ENCODERS[path, width]
+    key = (path, width, memo_units)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = TextEncoder(path, width, memo_units)
+    return _ENCODERS[key]

@@ -36,10 +36,8 @@ def test_units_encode_like_whole_texts(name, width):
         assert np.frombuffer(got, f"<u{width}").tolist() == whole(t), repr(t[:80])
 
 
-def test_memo_is_bounded(monkeypatch):
-    from punktwerk.llm import tokens
-    monkeypatch.setattr(tokens, "MEMO_UNITS", 5)
-    own, whole = TextEncoder(tokenizer(WORD_BPE)), library(WORD_BPE)
+def test_memo_is_bounded():
+    own, whole = TextEncoder(tokenizer(WORD_BPE), memo_units=5), library(WORD_BPE)
     for t in ("a b c d e f g h", "h g f e d c b a", "new words here"):
         assert np.frombuffer(own.encode([t])[0], "<u4").tolist() == whole(t)
         assert len(own._memo) <= 5
