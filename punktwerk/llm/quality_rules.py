@@ -93,10 +93,15 @@ def count_texts(texts) -> pd.DataFrame:
 
 
 @F.pandas_udf(T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))
-def text_counts(text: pd.Series) -> pd.DataFrame:
+def _text_counts(text: pd.Series) -> pd.DataFrame:
     return count_texts(text)
 
 
+# Declared non-deterministic, so that filters on the counts are not pushed below
+# them, which would count every text twice.
+text_counts = _text_counts.asNondeterministic()
+
+
 @dataclass(frozen=True)
 class Signal:
     """A ratio in parts per 10,000, and how far beyond the group's median a
