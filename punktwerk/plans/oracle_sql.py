@@ -3,7 +3,29 @@ engine has no spatial functions)."""
 
 from __future__ import annotations
 
-from punktwerk.functions.geom import parse_wkt_literal
+import re
+from types import SimpleNamespace
+
+# GRS80 (rectifying radius in metres, first eccentricity) and the
+# coefficients of the Krueger series for it, written out so that the oracles
+# don't follow the code under test.
+RECT_RADIUS = 6367449.145771048
+ECC = 0.08181919104281579
+ALPHA = (0.0008377318247344344, 7.608527788826164e-07, 1.1976380191731537e-09, 2.443376242510368e-12)
+BETA = (0.000837732168164144, 5.905869626082731e-08, 1.6734889049883464e-10, 2.1677378055967573e-13)
+DELTA = (0.0033565514855966932, 6.571873148458866e-06, 1.7646564264542834e-08, 5.400482187759887e-11)
+# Central meridian, scale, false easting and northing.
+PROJECTIONS = {25832: SimpleNamespace(lon0=9.0, k0=0.9996, fe=500000.0, fn=0.0),
+               2180: SimpleNamespace(lon0=19.0, k0=0.9993, fe=500000.0, fn=-5300000.0)}
+# Fixed value: the geohash alphabet.
+BASE32 = "0123456789bcdefghjkmnpqrstuvwxyz"
+
+
+def _edges(wkt: str):
+    """Edges of a polygon's rings, read from its text."""
+    for ring in re.findall(r"\(([^()]+)\)", wkt):
+        pts = [tuple(float(v) for v in p.split()) for p in ring.split(",")]
+        yield from ((*a, *b) for a, b in zip(pts, pts[1:]))
 
 
 def d(v: float) -> str:
@@ -15,7 +37,7 @@ def edges_values(polys: dict[int, str]) -> str:
     """VALUES rows (poly_id, x1, y1, x2, y2) for the edges of WKT polygons."""
     rows = []
     for pid, wkt in polys.items():
-        for x1, y1, x2, y2 in parse_wkt_literal(wkt).edges:
+        for x1, y1, x2, y2 in _edges(wkt):
             rows.append(f"({pid}, {d(x1)}, {d(y1)}, {d(x2)}, {d(y2)})")
     return "select * from (values " + ", ".join(rows) + ") as e(poly_id, x1, y1, x2, y2)"
 
@@ -40,7 +62,6 @@ def point_in_polys_sql(points_view: str, polys: dict[int, str], key: str) -> str
 # ---- transverse Mercator and geohash as SQL text (oracle side) ----------
 
 def tm_inverse_sql(e: str, n: str, srid: int) -> tuple[str, str]:
-    from punktwerk.functions.crs import BETA, DELTA, PROJECTIONS, RECT_RADIUS
     p = PROJECTIONS[srid]
     k = p.k0 * RECT_RADIUS
     xi = f"(({n}) - {d(p.fn)}) / {d(k)}"
@@ -56,7 +77,6 @@ def tm_inverse_sql(e: str, n: str, srid: int) -> tuple[str, str]:
 
 
 def tm_forward_sql(lon: str, lat: str, srid: int) -> tuple[str, str]:
-    from punktwerk.functions.crs import ALPHA, ECC, PROJECTIONS, RECT_RADIUS
     p = PROJECTIONS[srid]
     phi = f"radians({lat})"
     dlam = f"radians(({lon}) - {d(p.lon0)})"
@@ -75,7 +95,6 @@ def tm_forward_sql(lon: str, lat: str, srid: int) -> tuple[str, str]:
 def geohash_sql(lon: str, lat: str, precision: int) -> str:
     """Geohash text from lon/lat column names (the columns should be plain
     names: the expression repeats them)."""
-    from punktwerk.functions.geohash import BASE32
     nbits = 5 * precision
     nlon, nlat = (nbits + 1) // 2, nbits // 2
     ilon = f"greatest(cast(ceil(({lon} + 180) / 360.0 * {float(1 << nlon)!r}) as bigint) - 1, 0)"
