@@ -938,10 +938,10 @@ from punktwerk.streaming import ingest as ST  # noqa: E402
     "select source_file, count(*) as n, round(sum(z), 6) as sum_z from pts group by source_file", **PTS_SRC))
 def q_stream_ingest(spark, sf):
     """Point files arriving in a folder, ingested by a file stream
-    (availableNow, at most 8 files per micro-batch) into the table
-    partitioned by tile; a second run of the same stream finds nothing new."""
+    (availableNow, at most 8 files per micro-batch, 3 files a tile) into the
+    table partitioned by tile; a second run of the same stream finds nothing new."""
     src, table, ckpt = (scratch_path(spark, n) for n in ("stream-src", "stream-table", "stream-ckpt"))
-    X.pts(spark, sf, with_source=True).repartition("source_file").write.partitionBy("source_file") \
+    X.pts(spark, sf, with_source=True).repartition(3).write.partitionBy("source_file") \
         .option("header", True).csv(src)
     for _ in range(2):   # rerun from the checkpoint: no file is ingested twice
         q = ST.stream_points(spark, src, table, ckpt, max_files=8)

@@ -7,14 +7,16 @@ stream keeps only file-source state in its checkpoint: a restart resumes
 with the files not yet committed, and a finished run followed by a rerun
 ingests nothing twice.
 
-Each micro-batch is written with ``foreachBatch`` by dynamic partition
-overwrite of the tiles it holds: a batch that is replayed, or a tile that is
-delivered again, replaces its rows instead of duplicating them.
+Each micro-batch is written with ``foreachBatch`` into a folder of its own and
+then moved into the tiles' folders, under names that carry the delivery (the
+stream and its run) and the batch. A batch that is replayed replaces its own
+files, a tile that is delivered again replaces the files of earlier
+deliveries, and the batches of one delivery add up.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,7 +67,67 @@ def empty_files(spark: SparkSession, manifest: DataFrame, valid: DataFrame) -> D
         .select(F.col("name").alias("source_file"), F.lit("no points").alias("error"))
 
 
-def _batch_writer(table_path: str, quarantine_path: str | None, redelivery: str):
+def _fs(spark: SparkSession, path: str):
+    """(file system, Path class) of a folder, whichever store it is in."""
+    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return new(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), new
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, without hidden ones; none if it doesn't exist."""
+    fs, new = _fs(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(new(path))] if fs.exists(new(path)) else []
+    return [n for n in names if n[0] not in "._"]
+
+
+def _same_path(c) -> Column:
+    """file:/x and file:///x are one path."""
+    return F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/").alias("path")
+
+
+def _run_number(spark: SparkSession, src_dir: str, checkpoint: str) -> int:
+    """The number of the delivery that a stream starts or goes on with. A
+    delivery is what the folder held when its run started; that listing is
+    kept beside the checkpoint. While a batch of it is uncommitted, or one of
+    its files isn't in the stream's log, a restart goes on with it."""
+    kept = f"{checkpoint}/deliveries"
+    last = max((int(n.split("=")[1]) for n in _names(spark, kept)), default=-1)
+    if last >= 0 and _names(spark, f"{kept}/run={last}"):
+        offsets, commits = (max((int(n) for n in _names(spark, f"{checkpoint}/{d}") if n.isdigit()), default=-1) for d in ("offsets", "commits"))
+        log = f"{checkpoint}/sources/0"
+        planned = spark.read.schema("path string").parquet(f"{kept}/run={last}")
+        seen = planned.limit(0)
+        if _names(spark, log):
+            seen = spark.read.text(log).select(_same_path(F.get_json_object("value", "$.path")))
+        if offsets > commits or not planned.join(seen, "path", "left_anti").isEmpty():
+            return last
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(src_dir)
+    listing.filter("length > 0").select(_same_path(F.col("_metadata.file_path"))).write.mode("overwrite").parquet(f"{kept}/run={last + 1}")
+    return last + 1
+
+
+def _move_in(spark: SparkSession, staged: str, table_path: str, delivery: str, batch_id: int) -> None:
+    """Moves a batch's files into the tiles' folders, then deletes what they
+    replace: files of a replay of the batch and of other deliveries. Every
+    step can be repeated: a replay writes and moves the whole batch again."""
+    fs, new = _fs(spark, table_path)
+    mine = f"{delivery}-{batch_id:09d}-"
+    for tile in _names(spark, staged):
+        to = f"{table_path}/{tile}"
+        before = _names(spark, to)
+        fs.mkdirs(new(to))
+        moved = set()
+        for name in _names(spark, f"{staged}/{tile}"):
+            if not fs.rename(new(f"{staged}/{tile}/{name}"), new(f"{to}/{mine}{name}")):
+                raise OSError(f"cannot move {staged}/{tile}/{name} to {to}")
+            moved.add(mine + name)
+        for name in before:
+            if name not in moved and (name.startswith(mine) or not name.startswith(f"{delivery}-")):
+                fs.delete(new(f"{to}/{name}"), True)
+    fs.delete(new(staged), True)
+
+
+def _batch_writer(table_path: str, quarantine_path: str | None, redelivery: str, run: int = 0):
     def write(batch: DataFrame, batch_id: int) -> None:
         # the query's id lives in its checkpoint: stable over restarts, new
         # with a new checkpoint, so two streams never share a folder
@@ -75,7 +137,9 @@ def _batch_writer(table_path: str, quarantine_path: str | None, redelivery: str)
             valid, bad = route_valid_invalid(batch)
             out = valid.hint("rebalance", "source_file").write.mode("overwrite")
             if redelivery == "replace":
-                out.option("partitionOverwriteMode", "dynamic").partitionBy("source_file").parquet(table_path)
+                staged = f"{table_path}/_batches/{stream}"     # hidden from readers
+                out.option("partitionOverwriteMode", "static").partitionBy("source_file").parquet(staged)
+                _move_in(batch.sparkSession, staged, table_path, f"{stream}-{run:06d}", batch_id)
             else:
                 out.partitionBy("source_file").parquet(f"{table_path}/stream={stream}/batch_id={batch_id}")
             if quarantine_path is not None:
@@ -95,15 +159,18 @@ def stream_points(spark: SparkSession, src_dir: str, table_path: str, checkpoint
 
     ``lineage`` names the tile: the file (a flat landing folder) or its
     folder. With ``redelivery="replace"`` a delivery is the whole tile: what
-    a batch holds of a tile replaces what the table had of it, so replays,
-    lost checkpoints and tiles delivered again don't duplicate rows. Use
-    ``"append"`` where the files of one tile arrive in several batches: each
-    batch of each stream then keeps a folder of its own, which only its own
-    replay overwrites."""
+    a run of the stream holds of a tile, in however many batches, replaces
+    what the table had of it from other runs, so replays, lost checkpoints
+    and tiles delivered again don't duplicate rows. A run that was stopped
+    before it had ingested all files it found is continued by the next start.
+    Use ``"append"`` where the files of one tile arrive over several runs:
+    each batch of each stream then keeps a folder of its own, which only its
+    own replay overwrites."""
     if redelivery not in ("replace", "append"):
         raise ValueError(redelivery)
     raw = read_point_stream(spark, src_dir, max_files=max_files, max_bytes=max_bytes, lineage=lineage)
-    w = raw.writeStream.foreachBatch(_batch_writer(table_path, quarantine_path, redelivery)) \
+    run = _run_number(spark, src_dir, checkpoint) if redelivery == "replace" else 0
+    w = raw.writeStream.foreachBatch(_batch_writer(table_path, quarantine_path, redelivery, run)) \
         .option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)

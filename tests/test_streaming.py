@@ -88,3 +88,60 @@ def test_append_mode_keeps_all_files_of_a_tile(spark, tmpdir_path):
     for _ in range(2):
         ST.stream_points(spark, src, table, f"{tmpdir_path}/ck", max_files=1, redelivery="append").awaitTermination()
     assert spark.read.parquet(table).count() == 9
+
+
+def _counts(spark, table):
+    return {r.source_file: r["count"] for r in spark.read.parquet(table).groupBy("source_file").count().collect()}
+
+
+def test_files_of_a_tile_in_several_batches_add_up(spark, tmpdir_path):
+    """With the defaults, no batch deletes the rows of an earlier one of its
+    run; the tile delivered again by the next run replaces them all."""
+    src, table, ck = (f"{tmpdir_path}/{n}" for n in ("s s", "t", "ck"))
+    for k in range(4):
+        _tile(f"{src}/source_file=a/{k}.csv", 2 + k)
+    _tile(f"{src}/source_file=b/0.csv", 1)
+    for _ in range(2):
+        ST.stream_points(spark, src, table, ck, max_files=1).awaitTermination()
+        assert _counts(spark, table) == {"a": 14, "b": 1}
+    assert spark.read.parquet(table).columns == [*ST.POINT_COLUMNS, "source_file"]
+    for k in range(2):
+        _tile(f"{src}/source_file=a/again{k}.csv", 7)
+    ST.stream_points(spark, src, table, ck, max_files=1).awaitTermination()
+    assert _counts(spark, table) == {"a": 14, "b": 1}
+    assert len(ST._names(spark, f"{table}/source_file=a")) == 2
+
+
+def test_interrupted_run_goes_on_with_its_tiles(spark, tmpdir_path, monkeypatch):
+    """A run that fails between two files of a tile is continued: before,
+    between and after the moves of a batch."""
+    for fail_at in ("write", "move", "moved"):
+        src, table, ck = (f"{tmpdir_path}/{fail_at}/{n}" for n in ("s", "t", "ck"))
+        for k in range(3):
+            _tile(f"{src}/source_file=a/{k}.csv", 2 + k)
+        whole, calls = ST._move_in, []
+
+        def failing(*args):
+            calls.append(args)
+            if len(calls) == 2 and fail_at == "write":
+                raise OSError("stopped")
+            whole(*args)
+            if len(calls) == 2 and fail_at == "moved":
+                raise OSError("stopped")
+            if len(calls) == 1 and fail_at == "move":
+                ran.append(True)
+
+        ran = []
+        monkeypatch.setattr(ST, "_move_in", failing)
+        q = ST.stream_points(spark, src, table, ck, max_files=1)
+        try:
+            if fail_at == "move":       # an orderly stop between two batches
+                while not ran:
+                    pass
+                q.stop()
+            q.awaitTermination()
+        except Exception as e:
+            assert "stopped" in str(e)
+        monkeypatch.setattr(ST, "_move_in", whole)
+        ST.stream_points(spark, src, table, ck, max_files=1).awaitTermination()
+        assert _counts(spark, table) == {"a": 9}
