@@ -37,12 +37,12 @@ MAX_LEN = 2048
 PIECES = "doc_id long, start long, length int, doc_tokens long, part int, nth long, ids binary"
 
 
-def _cut(path: str, end_id: int, max_len: int, width: int, memo_units: int):
+def _cut(path: str, end_id: int, max_len: int, width: int, memo_units: int, special_as_text: bool):
     tail = np.array([end_id], dtype=f"<u{width}").tobytes()
 
     @tidied
     def run(batches):
-        tok, part = encoder(path, width, memo_units), TaskContext.get().partitionId()
+        tok, part = encoder(path, width, memo_units, special_as_text), TaskContext.get().partitionId()
         seen = [0] * (max_len + 1)        # pieces of each length so far in this task
         step = max_len * width
         for b in batches:
@@ -63,12 +63,12 @@ def _cut(path: str, end_id: int, max_len: int, width: int, memo_units: int):
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, max_len: int = MAX_LEN, width: int = 2,
-           memo_units: int = MEMO_UNITS) -> DataFrame:
+           memo_units: int = MEMO_UNITS, special_as_text: bool = False) -> DataFrame:
     """The cut and tokenised documents, written to the shared scratch folder:
     ``ids`` holds ``width`` bytes little-endian per id."""
     prepare(docs.sparkSession)
     return staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                  .mapInArrow(_cut(tokenizer, end_id, max_len, width, memo_units), PIECES), "pieces")
+                  .mapInArrow(_cut(tokenizer, end_id, max_len, width, memo_units, special_as_text), PIECES), "pieces")
 
 
 def pack_histogram(histogram: dict[int, int], max_len: int = MAX_LEN) -> list[tuple[list[int], int]]:
@@ -159,10 +159,10 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, max_len: int = MAX_LEN, w
 
 
 def packing_digest(docs: DataFrame, tokenizer: str, end_id: int, max_len: int = MAX_LEN, width: int = 2,
-                   memo_units: int = MEMO_UNITS) -> DataFrame:
+                   memo_units: int = MEMO_UNITS, special_as_text: bool = False) -> DataFrame:
     """The placement of every piece with the crc32 of its stored ids. The
     digest is taken where the ids are read, so only narrow rows are joined."""
-    cut = pieces(docs, tokenizer, end_id, max_len, width, memo_units)
+    cut = pieces(docs, tokenizer, end_id, max_len, width, memo_units, special_as_text)
     narrow = staged(cut.select("doc_id", "start", F.col("length").cast("long").alias("length"), ids_crc32(width)("ids").alias("ids_crc32"),
                                "doc_tokens", "part", "nth"), "piece_digests")
     return place(narrow, max_len).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

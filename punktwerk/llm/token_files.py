@@ -35,12 +35,12 @@ SCHEMA = "doc_id long, part int, part_start long, n_tokens int, ids array<int>"
 STRIPE_BYTES = 16 * 1024 * 1024
 
 
-def _encode(path: str, end_id: int):
+def _encode(path: str, end_id: int, special_as_text: bool):
     tail = np.array([end_id], dtype="<u4").tobytes()
 
     @tidied
     def run(batches):
-        tok, part, before = encoder(path), TaskContext.get().partitionId(), 0
+        tok, part, before = encoder(path, special_as_text=special_as_text), TaskContext.get().partitionId(), 0
         for b in batches:
             got = [x + tail for x in tok.encode([t or "" for t in b.column(1).to_pylist()])]
             n = np.array([len(x) // 4 for x in got], dtype=np.int64)
@@ -55,7 +55,7 @@ def _encode(path: str, end_id: int):
     return run
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> str:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, special_as_text: bool = False) -> str:
     """Tokenise ``docs`` (doc_id, text) into ORC files in ascending doc_id
     order. The row's position in the input breaks ties, so that a doc_id that
     many rows share is still dealt to several partitions."""
@@ -63,7 +63,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> str
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("_at"))
     n = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     d = d.repartitionByRange(n, "doc_id", "_at").sortWithinPartitions("doc_id", "_at").select("doc_id", "text")
-    (d.mapInArrow(_encode(tokenizer, end_id), SCHEMA).write
+    (d.mapInArrow(_encode(tokenizer, end_id, special_as_text), SCHEMA).write
      .option("compression", "zstd").option("orc.stripe.size", str(STRIPE_BYTES))
      .option("orc.create.index", "true").option("orc.row.index.stride", "1000")
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").orc(path))
@@ -94,10 +94,10 @@ def ids_crc32(ids: pd.Series) -> pd.Series:
     return pd.Series([zlib.crc32(np.asarray(x, dtype="<u4").tobytes()) for x in ids], dtype="int64")
 
 
-def token_digest(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def token_digest(docs: DataFrame, tokenizer: str, end_id: int, special_as_text: bool = False) -> DataFrame:
     """Write the files, read them back, and describe each document in them."""
     spark = docs.sparkSession
-    path = write_tokens(docs, scratch_path(spark, "token_files"), tokenizer, end_id)
+    path = write_tokens(docs, scratch_path(spark, "token_files"), tokenizer, end_id, special_as_text)
     base = corpus_positions(spark, path)
     rows = read_tokens(spark, path).select("doc_id", "part", "part_start", "n_tokens", ids_crc32("ids").alias("ids_crc32"))
     return rows.join(base, "part").select(

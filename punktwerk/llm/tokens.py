@@ -6,7 +6,9 @@ characters after it, or with a run of letters that ends before a space or a
 punctuation mark (but no apostrophe). Public BPE pre-tokenizers never join
 characters across such a boundary, so the ids of the units, in order, are the
 ids of the text. Texts with any other white space (where a white-space run
-could straddle a boundary) are encoded whole. Where the tokenizer itself
+could straddle a boundary) are encoded whole, and so are texts that may hold
+the string of an added token: it gets the token's id, as the tokenizer file
+says, unless ``special_as_text`` asks for ordinary ids. Where the tokenizer itself
 lower-cases and drops white space, Latin-1 texts are folded beforehand, so
 that more units are alike.
 """
@@ -35,13 +37,17 @@ def _plain(text: str) -> bool:
 
 
 class TextEncoder:
-    """ids of texts as bytes, ``width`` bytes little-endian an id."""
+    """ids of texts as bytes, ``width`` bytes little-endian an id. With
+    ``special_as_text`` the strings of special tokens are ordinary text."""
 
-    def __init__(self, path: str, width: int = 4, memo_units: int = MEMO_UNITS):
+    def __init__(self, path: str, width: int = 4, memo_units: int = MEMO_UNITS, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
-        self._tok.encode_special_tokens = True   # their strings in a text are ordinary text
+        self._tok.encode_special_tokens = special_as_text
+        added = [] if special_as_text else [t.content for t in self._tok.get_added_tokens_decoder().values()]
+        # the longest part of each that no folding of letters changes
+        self._marks = {max(re.split(r"[^\W_]+", c), key=len) for c in added}
         self._width, self._memo_units = width, memo_units
         self._memo: dict[str, bytes] = {}
         one, *same = self._encode(["word été", "Word ÉTÉ", " WORD\n\n  ÉTÉ \n"])
@@ -56,7 +62,7 @@ class TextEncoder:
         return [a.tobytes() for a in out]
 
     def _units(self, text: str) -> list[str] | None:
-        if not _plain(text):
+        if not _plain(text) or any(m in text for m in self._marks):
             return None
         if self._folds:
             try:
@@ -84,9 +90,9 @@ class TextEncoder:
 _ENCODERS: dict[tuple, TextEncoder] = {}
 
 
-def encoder(path: str, width: int = 4, memo_units: int = MEMO_UNITS) -> TextEncoder:
+def encoder(path: str, width: int = 4, memo_units: int = MEMO_UNITS, special_as_text: bool = False) -> TextEncoder:
     """The encoder of this worker process (workers are reused by tasks)."""
-    key = (path, width, memo_units)
+    key = (path, width, memo_units, special_as_text)
     if key not in _ENCODERS:
-        _ENCODERS[key] = TextEncoder(path, width, memo_units)
+        _ENCODERS[key] = TextEncoder(path, width, memo_units, special_as_text)
     return _ENCODERS[key]

@@ -85,3 +85,37 @@ def test_end_position_of_every_file(spark, edge):
     path = token_files.write_tokens(edge, scratch_path(spark, "orc_pos"), tokenizer(WORD_BPE), 2)
     rows = token_files.read_tokens(spark, path)
     assert rows.selectExpr("sum(n_tokens) as n").first().n == rows.selectExpr("sum(size(ids)) as n").first().n
+
+
+def plain_library(name):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(tokenizer(name))
+    return lambda text: t.encode(text, add_special_tokens=False).ids
+
+
+def special_texts():
+    """Strings of added tokens among words, folded ones and broken ones."""
+    words = ["<|endoftext|>", "<|startoftext|>", "a<|endoftext|>b", "<|ENDOFTEXT|>", "<|endof", "text|>", "<|endoftext|><|endoftext|>", "<|", "word", "\u00c9t\u00e9", " ", "\n", "\t"]
+    rng = random.Random(3)
+    return ["x <|endoftext|> y"] + [" ".join(rng.choice(words) for _ in range(rng.randint(1, 12))) for _ in range(200)] + odd_texts()
+
+
+@pytest.mark.parametrize("name", [WORD_BPE, BYTE_BPE])
+def test_special_strings_like_the_plain_call(name):
+    own, plain = TextEncoder(tokenizer(name), special_as_text=False), plain_library(name)
+    texts = special_texts()
+    for t, got in zip(texts, own.encode(texts)):
+        assert np.frombuffer(got, "<u4").tolist() == plain(t), repr(t[:80])
+
+
+def test_operators_use_the_plain_call(spark):
+    from punktwerk.llm import packing
+    texts = special_texts()[:8]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for name, end, digest in ((WORD_BPE, 2, token_files.token_digest), (BYTE_BPE, 1, packing.pieces)):
+        plain, text_too = plain_library(name), library(name)
+        field = "n_tokens" if digest is token_files.token_digest else "doc_tokens"
+        for options, enc in (({}, plain), ({"special_as_text": True}, text_too)):
+            got = {r.doc_id: r[field] for r in digest(docs, tokenizer(name), end, **options).collect()}
+            assert got == {i: len(enc(t)) + 1 for i, t in enumerate(texts)}
+        assert len(plain(texts[0])) < len(text_too(texts[0]))
