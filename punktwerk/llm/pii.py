@@ -1,15 +1,17 @@
 """Pseudonyms for personal data, by a format-preserving Feistel network.
 
 Numbers are found by pattern and then validated: payment cards by their
-length, grouping and Luhn digit, IPv4 addresses by their octets, national
+length, grouping and Luhn digit, IBANs by their country's length and mod 97,
+IPv4 addresses by their octets, IPv6 addresses by their groups, national
 numbers by their reserved ranges, dates by the calendar, phone numbers by
-their grouping. What fails stays as it is. A valid value is an integer in
+their grouping or, with a country code, their number of digits. What fails stays as it is. A valid value is an integer in
 ``Z_a x Z_b``; keyed rounds add a hash of one half to the other, modulo its
 size, which is a permutation of that domain: the pseudonym has the same
 format (a card keeps a right check digit, a date is a date), different
 values never meet, and equal values get equal pseudonyms in every document.
-E-mail addresses and the values of secrets have no fixed domain; they get a
-keyed hash in their place. Built from Column functions only.
+E-mail addresses and the values of secrets (up to the closing quote or white
+space) have no fixed domain; they get a keyed hash in their place. Formats
+that stay uncovered are listed in the README. Built from Column functions only.
 
 A null text stays null with nothing found; documents without personal data
 keep their text unchanged. Rows are treated one by one: ties, repeated rows,
@@ -28,19 +30,31 @@ ROUNDS = 10
 DEFAULT_KEY = "change-me"
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+#: Length of an IBAN after its check digits -> countries.
+_IBAN = {11: "NO", 12: "BE", 14: "DK|FI|FK|FO|GL|NL|SD", 15: "MK|SI", 16: "AT|BA|EE|KZ|LT|LU|MN|XK", 17: "CH|CR|HR|LI|LV",
+         18: "BG|BH|DE|GB|GE|IE|ME|RS", 19: "AE|GI|IL|IQ|OM|SO|TL", 20: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 21: "LY|PT|ST", 22: "IS|TR",
+         23: "BI|DJ|FR|GR|IT|MC|SM", 24: "AL|AZ|BY|CY|DO|GT|HU|LB|NI|PL|SV", 25: "BR|EG|PS|QA|UA", 26: "JO|KW|MU", 27: "MT|SC", 28: "LC", 29: "RU"}
+_SECRET_NAME = r"(?i:(?<![A-Za-z0-9])(?:token|password|passwd|secret|api[_-]?key))[\"']?[ \t]{0,8}(?::=|=>|==?|:)[ \t]{0,8}[\"']?"
+_COUNTRY = r"^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 #: kind -> pattern. Kinds are tried in this order.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": r"(?i:(?<![A-Za-z0-9_])(?:token|password|passwd|secret|api[_-]?key) ?[=:] ?\"?[A-Za-z0-9+/_-]{12,})",
+    "secret": _SECRET_NAME + r"(?:(?<=\")(?:[^\"\\\n]++(?=\")|(?:[^\"\\\n]|\\.){1,512}+(?=\"))|(?<=')(?:[^'\\\n]++(?=')|(?:[^'\\\n]|\\.){1,512}+(?='))"
+              r"|[^\s\"']++(?:[\"']++[^\s\"']++){0,64})",
+    "iban": r"(?<![0-9A-Za-z])(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(f"(?:{c})[0-9]{{2}}(?: ?[0-9A-Z]){{{n}}}" for n, c in _IBAN.items()) + r")(?![0-9A-Za-z])",
     "phone": r"(?:(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?)(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
-             r"|(?<![0-9A-Za-z+(])(?:\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})(?![0-9-])",
+             r"|(?<![0-9A-Za-z+(])(?:\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})(?![0-9-])"
+             r"|(?<![0-9A-Za-z+(.])[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?!\.?[0-9A-Za-z])"
+             r"|(?<![0-9A-Za-z+])\+[1-9](?:(?:[ .-]?\(|\)[ .-]?|[ .-])?[0-9]){7,14}(?![0-9])",
     "ip": rf"(?<![0-9A-Za-z_.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9A-Za-z_])",
+    "ipv6": r"(?<![0-9A-Za-z_:.])(?=[0-9A-Fa-f:])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![0-9A-Za-z_:]|\.[0-9])",
     "date": r"(?<![0-9A-Za-z_-])(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9-])"
-            r"|(?<![0-9A-Za-z_.])(?:0[1-9]|[12][0-9]|3[01])\.(?:0[1-9]|1[0-2])\.(?:19|20)[0-9]{2}(?![0-9])",
+            r"|(?<![0-9A-Za-z_.])(?:0[1-9]|[12][0-9]|3[01])\.(?:0[1-9]|1[0-2])\.(?:19|20)[0-9]{2}(?![0-9])"
+            r"|(?<![0-9A-Za-z_/.])(?:0[1-9]|[12][0-9]|3[01])/(?:0[1-9]|1[0-2])/(?:19|20)[0-9]{2}(?![0-9/])",
     "national": r"(?<![0-9A-Za-z_-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z_-])",
     "card": r"(?<![0-9A-Za-z_])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4} [0-9]{6} [0-9]{5})(?![0-9A-Za-z_])",
 }
-KINDS = tuple(PATTERNS)
+KINDS = tuple(k for k in PATTERNS if k != "ipv6")       # counted as "ip"
 ANY = "|".join(PATTERNS.values())
 _FIRST_DAY, _DAYS = "1900-01-01", (184, 397)      # 184 * 397 days: to 2099-12-30
 
@@ -64,6 +78,19 @@ def feistel(x: Column, a: Column, b: Column, key: str, tweak: Column, rounds: in
         lambda s: s["l"] * s["b"] + s["r"])
 
 
+def _wide(left: Column, right: Column, mixed, start: Column, rounds: int = ROUNDS) -> Column:
+    """The struct (l, r) after keyed rounds over two halves that don't fit one
+    integer together; ``mixed(state, i, half, side)`` gives a half's new value.
+    What ``start`` holds travels along."""
+    def state(s, l, r):
+        return F.struct(l.alias("l"), r.alias("r"), s["c"].alias("c"))
+
+    return F.aggregate(
+        F.array(*[F.lit(i) for i in range(rounds)]), F.struct(left.alias("l"), right.alias("r"), start.alias("c")),
+        lambda s, i: F.when(i % 2 == 0, state(s, mixed(s["c"], i, s["l"], s["r"], "a"), s["r"]))
+                      .otherwise(state(s, s["l"], mixed(s["c"], i, s["r"], s["l"], "b"))))
+
+
 def _digits(m: Column) -> Column:
     return F.regexp_replace(m, "[^0-9]", "")
 
@@ -108,9 +135,70 @@ def _card(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    """The last ten digits change; a country code stays."""
+    """The digits change; a country code stays."""
     d = _digits(m)
-    return _refill(m, F.concat(F.substring(d, F.lit(1), F.length(d) - 10), _permuted(F.substring(d, F.length(d) - 9, F.lit(10)), key, "phone")))
+    code = F.when(m.startswith("+"), F.regexp_extract(d, _COUNTRY, 0)).otherwise(F.lit(""))
+    return _refill(m, F.concat(code, _permuted(F.substring(d, F.length(code) + 1, F.length(d)), key, "phone")))
+
+
+def _mod97(text: Column) -> Column:
+    """Digits and letters (A = 10) as a number modulo 97."""
+    return F.aggregate(F.split(text, ""), F.lit(0), lambda s, c: F.when(c == "", s).when(
+        c.rlike("[0-9]"), (s * 10 + c.try_cast("int")) % 97).otherwise((s * 100 + F.ascii(c) - 55) % 97))
+
+
+def _iban_valid(m: Column) -> Column:
+    c = F.regexp_replace(m, " ", "")
+    check = F.substring(c, 3, 2)
+    return check.between("02", "98") & (_mod97(F.concat(F.substring(c, F.lit(5), F.length(c)), F.substring(c, 1, 4))) == 1) & (
+        F.length(_digits(m)) >= 8)
+
+
+def _iban(m: Column, key: str) -> Column:
+    """The account's digits change and get right check digits; the country and
+    letters stay."""
+    d = F.substring(_digits(m), F.lit(3), F.lit(40))
+    n = F.length(d)
+    half = F.shiftright(n, 1)
+    a, b = _power(half), _power(n - half)
+
+    def mixed(c, i, x, other, side):
+        h = F.sha2(F.concat_ws("|", F.lit(key), c["t"], i.cast("string"), other.cast("string")), 256)
+        return F.pmod(x + F.conv(F.substring(h, 1, 15), 16, 10).cast("long"), c[side])
+
+    y = _wide(F.substring(d, F.lit(1), half).cast("long"), F.substring(d, half + 1, n).cast("long"), mixed,
+              F.struct(a.alias("a"), b.alias("b"), F.concat(F.lit("iban"), F.regexp_replace(F.regexp_replace(m, " ", ""), "[0-9]", "0")).alias("t")))
+    body = F.concat(F.lpad(y["l"].cast("string"), half, "0"), F.lpad(y["r"].cast("string"), n - half, "0"))
+    made = F.regexp_replace(_refill(m, F.concat(F.lit("00"), body)), " ", "")
+    check = 98 - _mod97(F.concat(F.substring(made, F.lit(5), F.length(made)), F.substring(made, 1, 4)))
+    return _refill(m, F.concat(F.lpad(check.cast("string"), F.lit(2), "0"), body))
+
+
+def _ipv6_valid(m: Column) -> Column:
+    """Eight groups, or fewer with one ``::``; at least two that aren't empty,
+    and a digit (no scope operator)."""
+    groups = F.split(m, ":")
+    full = F.size(F.filter(groups, lambda g: g != ""))
+    gap = m.contains("::")
+    return (F.when(gap, (full <= 7) & ~F.regexp_replace(m, "^(.*?)::", "$1;").contains("::") & ~m.rlike("^:[^:]|[^:]:$"))
+            .otherwise((full == 8) & (F.size(groups) == 8))) & (full >= 2) & m.rlike("[0-9]")
+
+
+def _ipv6(m: Column, key: str) -> Column:
+    """128 bits in two halves; the pseudonym has all eight groups."""
+    def padded(part):
+        return F.aggregate(F.filter(F.split(part, ":"), lambda g: g != ""), F.lit(""), lambda s, g: F.concat(s, F.lpad(F.lower(g), F.lit(4), "0")))
+
+    head, tail = padded(F.substring_index(m, "::", 1)), padded(F.when(m.contains("::"), F.substring_index(m, "::", -1)).otherwise(F.lit("")))
+    bits = F.concat(head, F.rpad(F.lit(""), 32 - F.length(head) - F.length(tail), "0"), tail)
+
+    def mixed(c, i, x, other, side):
+        h = F.sha2(F.concat_ws("|", F.lit(key), F.lit("ipv6"), i.cast("string"), other.cast("string")), 256)
+        return x.bitwiseXOR(F.conv(F.substring(h, 1, 16), 16, -10).cast("long"))
+
+    y = _wide(*[F.conv(F.substring(bits, k, 16), 16, -10).cast("long") for k in (1, 17)], mixed, F.lit(0))
+    out = F.lower(F.concat(F.lpad(F.hex(y["l"]), 16, "0"), F.lpad(F.hex(y["r"]), 16, "0")))
+    return F.concat_ws(":", *[F.substring(out, 4 * k + 1, 4) for k in range(8)])
 
 
 def _ip(m: Column, key: str) -> Column:
@@ -131,7 +219,7 @@ def _day(m: Column) -> Column:
 def _date(m: Column, key: str) -> Column:
     a, b = (F.lit(n).cast("long") for n in _DAYS)
     y = F.date_add(F.lit(_FIRST_DAY).cast("date"), feistel(_day(m), a, b, key, F.lit("date")).cast("int"))
-    return F.when(m.contains("-"), F.date_format(y, "yyyy-MM-dd")).otherwise(F.date_format(y, "dd.MM.yyyy"))
+    return F.when(m.contains("-"), F.date_format(y, "yyyy-MM-dd")).when(m.contains("/"), F.date_format(y, "dd/MM/yyyy")).otherwise(F.date_format(y, "dd.MM.yyyy"))
 
 
 def _hash(m: Column, key: str, tweak: str) -> Column:
@@ -139,9 +227,11 @@ def _hash(m: Column, key: str, tweak: str) -> Column:
 
 
 def _secret(m: Column, key: str) -> Column:
-    value = F.regexp_extract(m, r"([A-Za-z0-9+/_-]{12,})$", 1)
+    name = F.regexp_extract(m, _SECRET_NAME, 0)
+    value = F.substring(m, F.length(name) + 1, F.length(m))
     h = F.concat(_hash(value, key, "secret"), _hash(value, key, "secret2"))
-    return F.concat(F.substring(m, F.lit(1), F.length(m) - F.length(value)), F.substring(h, F.lit(1), F.length(value)))
+    # a short one's place would not hold a hash
+    return F.concat(name, F.substring(h, F.lit(1), F.greatest(F.length(value), F.lit(12))))
 
 
 def kind(m: Column) -> Column:
@@ -149,7 +239,9 @@ def kind(m: Column) -> Column:
     def whole(k):
         return m.rlike(rf"^(?:{PATTERNS[k]})$")
     days = _DAYS[0] * _DAYS[1]
-    return (F.when(m.contains("@"), "email").when(whole("secret"), "secret").when(whole("ip"), "ip")
+    return (F.when(m.rlike("^" + _SECRET_NAME), "secret").when(m.contains("@"), "email").when(whole("ip"), "ip")
+            .when(whole("iban"), F.when(_iban_valid(m), "iban"))
+            .when(whole("ipv6"), F.when(_ipv6_valid(m), "ip"))
             .when(whole("date"), F.when(_day(m).between(0, days - 1), "date"))
             .when(whole("national"), "national")
             .when(whole("card"), F.when(_luhn(_digits(m), True) == 0, "card"))
@@ -158,7 +250,7 @@ def kind(m: Column) -> Column:
 
 def pseudonym(m: Column, k: Column, key: str) -> Column:
     return (F.when(k == "email", F.concat(F.lit("user-"), F.substring(_hash(m, key, "email"), 1, 16), F.lit("@example.invalid")))
-            .when(k == "secret", _secret(m, key)).when(k == "ip", _ip(m, key)).when(k == "date", _date(m, key))
+            .when(k == "secret", _secret(m, key)).when((k == "ip") & m.contains(":"), _ipv6(m, key)).when(k == "ip", _ip(m, key)).when(k == "iban", _iban(m, key)).when(k == "date", _date(m, key))
             .when(k == "national", _refill(m, _permuted(_digits(m), key, "national")))
             .when(k == "card", _card(m, key)).when(k == "phone", _phone(m, key)).otherwise(m))
 

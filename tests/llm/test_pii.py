@@ -88,3 +88,51 @@ def test_long_text(spark):
 def test_plan_is_native(edge):
     plan = pii.pseudonymise(edge)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def mod97(s):
+    s = s.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97
+
+
+def test_secrets_of_any_length_and_sign(spark):
+    texts = ["password: hunter2", "password=Tr0ub4dor&3-horse next", "password=abcdefghijkl$tail", 'x "api_key": "two words" y', "DB_PASSWORD='it is' z",
+             "secret:p@ss.word", 'token = "a\\"b c" d', "password := open"]
+    clear = ["hunter2", "horse", "tail", "words", "it is", "p@ss", "b c", "open"]
+    for t, c, r in zip(texts, clear, run(spark, texts)):
+        assert r.n_secret == 1 and r.n_found == 1 and c not in r.text
+    ends = [r.text for r in run(spark, texts)]
+    assert ends[1].endswith(" next") and ends[3].endswith('" y') and ends[4].endswith("' z") and ends[6].endswith('" d')
+
+
+def test_international_phones(spark):
+    values = ["+44 20 7946 0958", "+33 6 12 34 56 78", "555.123.4567", "+442079460958", "+49 (30) 901820", "+1 459 555 9246"]
+    rows = run(spark, [f"call {v}, now" for v in values])
+    for v, r in zip(values, rows):
+        assert r.n_phone == 1 and r.n_found == 1 and shape(r.text) == shape(f"call {v}, now") and v not in r.text
+    assert rows[0].text[5:8] == "+44" and rows[1].text[5:8] == "+33"
+    assert re.sub("[^0-9]", "", rows[0].text) == re.sub("[^0-9]", "", rows[3].text)     # one number, two groupings
+
+
+def test_ibans(spark):
+    good = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S", "PL61109010140000071219812874"]
+    for v, r in zip(good, run(spark, [f"to {v} THE end" for v in good])):
+        new = r.text[3:-8]
+        assert r.n_iban == 1 and r.n_found == 1 and new != v and shape(new) == shape(v) and new[:2] == v[:2] and mod97(new) == 1
+    assert run(spark, ["to DE88 3704 0044 0532 0130 00"])[0].n_found == 0
+
+
+def test_ipv6(spark):
+    import ipaddress
+    good = ["2001:db8::8a2e:370:7334", "2001:0DB8:0:0:0:8a2e:370:7334", "fe80::1", "2001:db8:0:0:1:0:0:1"]
+    rows = run(spark, [f"at {v}, ok" for v in good])
+    new = [ipaddress.ip_address(r.text[3:-4]) for r in rows]
+    assert all(r.n_ip == 1 and r.n_found == 1 for r in rows) and new[0] == new[1] and len(set(new)) == 3
+    assert not {ipaddress.ip_address(v) for v in good} & set(new)
+    bad = ["at 12:30:45, 00:1a:2b:3c:4d:5e", "a :: b", "std::vector<int>", "1::2::3"]
+    assert [r.text for r in run(spark, bad)] == bad
+
+
+def test_slash_dates(spark):
+    a, b, c = run(spark, ["on 28/02/1999 x", "on 28.02.1999 x", "on 30/02/1999 x"])
+    assert a.n_date == 1 and "28/02/1999" not in a.text and a.text.replace("/", ".") == b.text and c.text == "on 30/02/1999 x"
