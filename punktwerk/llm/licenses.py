@@ -1,6 +1,8 @@
 """Licence scan: a trained paragraph classifier, confirmed by templates.
 
-Paragraphs (lines; long ones in overlapping windows) are classified by
+Paragraphs (the lines up to one without words, joined, so that a hard-wrapped
+notice is seen whole, and each line by itself, so that a one-line notice is not
+lost among others; long ones in overlapping windows) are classified by
 multinomial logistic regression over sparse word n-grams (one to three
 words). It is trained on the notice templates below, on shortened and
 word-dropped variants of them, and on ordinary paragraphs of the corpus. The
@@ -97,6 +99,23 @@ def ngrams(ws: list[str]) -> set:
     return {tuple(ws[i:i + n]) for n in (1, 2, 3) for i in range(len(ws) - n + 1)}
 
 
+def paragraphs(lines):
+    """Lists of (line number, words): the lines up to a blank line, or one of
+    signs only. Comment signs are no words; leading comment words go."""
+    block = []
+    for k, line in enumerate(lines):
+        ws = tokens(line)
+        if ws and ws[0] in ("dnl", "rem"):
+            ws = ws[1:]
+        if ws:
+            block.append((k, ws))
+        elif block:
+            yield block
+            block = []
+    if block:
+        yield block
+
+
 def windows(ws: list[str]):
     """A paragraph's words, long ones in overlapping windows; whole texts are
     covered."""
@@ -213,7 +232,17 @@ def ordinary_paragraphs(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, lines_p
     lines = F.slice(F.split("text", "\n"), 1, lines_per_doc)
     got = bounded_sample(docs.select("doc_id", "text"), "licence", sample_docs).filter("text is not null").select(
         "doc_id", lines.alias("l")).orderBy("doc_id").collect()
-    return [win for r in got for line in r["l"] for win in windows(tokens(line[:2000])) if win]
+    notices = [tokens(t) for ts in TEMPLATES.values() for t in ts]
+    out = []
+    for r in got:
+        for block in paragraphs(line[:2000] for line in r["l"]):
+            joined = list(windows([w for _, ws in block for w in ws]))
+            # the lines of a wrapped notice are no ordinary text
+            if len(block) > 1 and all(max(coverage(win, t) for t in notices) < CONFIRM for win in joined):
+                out += joined
+            if len(block) == 1 or all(max(coverage(win, t) for t in notices if len(t) > WINDOW // 4) < CONFIRM for win in joined):
+                out += [win for _, ws in block for win in windows(ws)]
+    return out
 
 
 _FOUND = T.ArrayType(T.StructType([T.StructField("paragraph", T.IntegerType()), T.StructField("family", T.StringType()),
@@ -221,23 +250,44 @@ _FOUND = T.ArrayType(T.StructType([T.StructField("paragraph", T.IntegerType()),
 
 
 def scan_text(text: str | None, model: Classifier, templates) -> list[dict]:
-    """The licence paragraphs of a whole text."""
-    found = []
-    for k, line in enumerate((text or "").split("\n")):
-        ws = tokens(line)
-        if not ws or model.typical.isdisjoint(ws):
+    """The licence paragraphs of a whole text, by their first line. Of a
+    joined paragraph each confirmed family counts once; its lines that aren't
+    confirmed themselves are part of it."""
+    def surest(found, k, win):
+        family, p = model.classify(win)
+        if family == NONE:
+            return
+        sure = family != UNKNOWN and max(coverage(win, t) for t in templates[family]) >= CONFIRM
+        if k not in found or (sure, p) > (found[k]["confirmed"], found[k]["score"]):
+            found[k] = {"paragraph": k, "family": family, "score": p, "confirmed": sure}
+
+    out = []
+    for block in paragraphs((text or "").split("\n")):
+        if all(model.typical.isdisjoint(ws) for _, ws in block):
             continue
-        best = None
-        for win in windows(ws):
-            family, p = model.classify(win)
-            if family == NONE:
-                continue
-            sure = family != UNKNOWN and max(coverage(win, t) for t in templates[family]) >= CONFIRM
-            if best is None or (sure, p) > (best["confirmed"], best["score"]):
-                best = {"paragraph": k, "family": family, "score": p, "confirmed": sure}
-        if best:
-            found.append(best)
-    return found
+        found: dict = {}
+        for k, ws in block:
+            for win in windows(ws):
+                surest(found, k, win)
+        if len(block) > 1:
+            at = [k for k, ws in block for _ in ws]
+            for i, win in enumerate(windows([w for _, ws in block for w in ws])):
+                whole: dict = {}
+                first, last = at[i * STRIDE], at[i * STRIDE + len(win) - 1]
+                surest(whole, first, win)
+                got = whole.get(first)
+                if got and got["confirmed"]:
+                    if all(f["family"] != got["family"] or not f["confirmed"] for f in found.values()):
+                        # its lines, and those beside it that are no other family's
+                        near = at[max(0, i * STRIDE - WINDOW)], at[min(len(at) - 1, i * STRIDE + 2 * WINDOW)]
+                        found = {k: f for k, f in found.items() if f["confirmed"] or not (
+                            first <= k <= last or near[0] <= k <= near[1] and f["family"] in (UNKNOWN, got["family"]))}
+                        k = first
+                        while k in found:       # a line with a notice of its own
+                            k += 1
+                        found[k] = got | {"paragraph": k}
+        out += [found[k] for k in sorted(found)]
+    return out
 
 
 def scan(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:

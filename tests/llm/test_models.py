@@ -132,3 +132,37 @@ def test_licenses_shortened_notices():
                 cut = [w for w in ws if rng.random() > 0.1] or ws
                 right.append(model.classify(cut)[0] == family)
     assert np.mean(right) > 0.85
+
+
+WRAPPED = {
+    "bsd": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:""",
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:""",
+    "gpl": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""}
+
+
+@pytest.mark.parametrize("family", sorted(WRAPPED))
+@pytest.mark.parametrize("leader", ["", "# ", " * ", "// ", "dnl "])
+def test_licenses_wrapped_notices(family, leader):
+    """A hard-wrapped notice, also in a comment, is one confirmed paragraph."""
+    model = licenses.train([["the", "of", "and", "a", "word", str(i)] for i in range(200)])
+    templates = {f: [licenses.tokens(t) for t in ts] for f, ts in licenses.TEMPLATES.items()}
+    lines = ["some words", "", *WRAPPED[family].split("\n"), "", "more words"]
+    found = licenses.scan_text("\n".join(leader + x for x in lines), model, templates)
+    assert [(f["family"], f["confirmed"]) for f in found] == [(family, True)] and found[0]["paragraph"] == 2
+
+
+def test_licenses_two_notices_in_a_paragraph():
+    model = licenses.train([["the", "of", "and", "a", "word", str(i)] for i in range(200)])
+    templates = {f: [licenses.tokens(t) for t in ts] for f, ts in licenses.TEMPLATES.items()}
+    found = licenses.scan_text("Released under the MIT License.\nLicensed under CC BY-NC 4.0.\n" + "plain text here " * 30, model, templates)
+    assert {(f["family"], f["confirmed"], f["paragraph"]) for f in found} >= {("mit", True, 0), ("cc-by-nc", True, 1)}
