@@ -43,15 +43,16 @@ def tidied(run):
     return inner
 
 
-def prepare(spark: SparkSession) -> SparkSession:
+def prepare(spark: SparkSession, rows: int = BATCH_ROWS) -> SparkSession:
     """Ship the package to the workers, make sure the shared checkpoint folder
-    is set and bound the rows per Arrow batch (texts can be long)."""
+    is set and bound the rows per Arrow batch (texts can be long; operators
+    that hand over narrow rows alone ask for more ``rows``)."""
     ship_package(spark)
     ensure_checkpoint_dir(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
-    if not 0 < now <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    if rows > BATCH_ROWS or not 0 < now <= rows:
+        spark.conf.set(key, str(rows))
     return spark
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punktwerk.llm import (exact_dedup, language_id, licenses, mixing, near_join, packing, pii, quality_model, quality_rules,
+from punktwerk.llm import (conversation_trie, exact_dedup, language_id, licenses, mixing, near_join, packing, pii, quality_model, quality_rules,
                            token_files)
 from punktwerk.llm.common import documents
 
@@ -139,3 +139,8 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_pii")
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(documents(spark, sf_dir))
+
+
+@query("op11_conversation_trie")
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.rebuilt_trie(documents(spark, sf_dir, "conversations"))
