@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punktwerk.llm import (conversation_trie, exact_dedup, language_id, licenses, mixing, near_join, packing, pii, quality_model, quality_rules,
-                           token_files)
+                           spelling, token_files)
 from punktwerk.llm.common import documents
 
 QUERIES = {}
@@ -144,3 +144,39 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_conversation_trie")
 def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.rebuilt_trie(documents(spark, sf_dir, "conversations"))
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB: the unsigned CRC-32 of a text's UTF-8 bytes, by the table
+    ``crc_table`` (k: its 256 entries), which the statement defines."""
+    data = f"hex(encode({text}))"
+    return (f"xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(0, length({data}) // 2), "
+            f"lambda i: cast('0x' || substr({data}, 2 * i + 1, 2) as bigint))), "
+            f"lambda a, b: xor(a >> 8, crc_table.k[(xor(a, b) & 255) + 1])), 4294967295)")
+
+
+_BIT = "case when v % 2 = 1 then xor(v >> 1, 3988292384) else v >> 1 end"
+CRC_TABLE_SQL = ("crc_bits as (select i, i::bigint as v, 0 as step from range(256) r(i) union all "
+                 f"select i, {_BIT}, step + 1 from crc_bits where step < 8), "
+                 "crc_table as (select list(v order by i) as k from crc_bits where step = 8)")
+
+ORACLES["op13_spelling"] = rf"""
+with recursive {CRC_TABLE_SQL},
+r as (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) as run from documents),
+c as (select doc_id, run, count(*) as n from r group by doc_id, run),
+h as (select run, n, {crc32_sql("coalesce(doc_id::varchar, '') || ':' || run")} as h from c, crc_table),
+w as (select word, sum(n)::bigint as n from (select case when h % 199 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2)
+  else run end as word, n from h) where length(word) >= 6 group by word having sum(n) >= 5),
+d as (select word, n, i, substr(word, 1, i::int - 1) || substr(word, i::int + 1) as rest from (select word, n, unnest(range(1, length(word) + 1)) as i from w)),
+p as (select a.word as a, b.word as b from d a join d b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union select d.word, w.word from d join w on w.word = d.rest union select w.word, d.word from d join w on w.word = d.rest),
+m as (select p.a as word, count(*) as n_near, max(w.n) as form_n, min((-w.n, p.b)) as best from p join w on w.word = p.b group by p.a),
+f as (select w.word, w.n, coalesce(m.n_near, 0) as n_near, case when m.form_n >= 5 * w.n then m.form_n end as form_n,
+  case when m.form_n >= 5 * w.n then struct_extract_at(m.best, 2) end as form from w left join m using (word)),
+s as (select word, word as root, 0 as steps from f union all select s.word, f.form, s.steps + 1 from s join f on f.word = s.root where f.form is not null)
+select f.word, f.form, g.root, f.n, f.n_near, f.form_n from f join (select word, arg_max(root, steps) as root from s group by word) g using (word)"""
+
+
+@query("op13_spelling")
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_forms(documents(spark, sf_dir))
