@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punktwerk.llm import (conversation_trie, exact_dedup, language_id, licenses, mixing, near_join, packing, pii, quality_model, quality_rules,
-                           spelling, token_files)
+                           secret_scan, spelling, token_files)
 from punktwerk.llm.common import documents
 
 QUERIES = {}
@@ -180,3 +180,33 @@ select f.word, f.form, g.root, f.n, f.n_near, f.form_n from f join (select word,
 @query("op13_spelling")
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_forms(documents(spark, sf_dir))
+
+
+@query("op12_secret_scan")
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir))
+
+
+# Defined after crc32_sql: nodes by the joined digests of their turns; the
+# ancestors of a node are the prefixes of its smallest member.
+ORACLES["op11_conversation_trie"] = f"""
+with recursive {CRC_TABLE_SQL},
+t as (select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, role, h) - 1 as pos, h, bytes from (select conv_id, turn,
+  coalesce(role, '') as role, md5(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as h,
+  strlen(coalesce(text, '')) as bytes from conversations where conv_id is not null)),
+l as (select c, count(*) as n from t group by c),
+v as (select l.c, l.c - l.c % 5 as base, x.h, least(x.h, coalesce(b.n, 0)) as head, l.n from l
+  join (select c, {crc32_sql("c::varchar")} % 9 as h from l, crc_table) x on x.c = l.c left join l b on b.c = l.c - l.c % 5),
+r as (select v.c, head + pos - v.h + 1 as d, t.h, bytes from t join v on v.c = t.c where pos >= v.h
+  union all select v.c, pos + 1, t.h, bytes from t join v on v.base = t.c where pos < head),
+p as (select c, 0 as d, '' as name, null::varchar as up, 0 as bytes from v union all
+  select c, d, string_agg(h, ',') over w as name, coalesce(string_agg(h, ',') over (w rows between unbounded preceding and 1 preceding), '') as up, bytes
+  from r window w as (partition by c order by d)),
+z as (select *, max(d) over (partition by c) as total from p),
+n as (select d, name, any_value(up) as up, min(c) as c, count(*) as n_convs, (count(*) - 1) * max(bytes) as saved,
+  sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (d = total), '')) as ends_sha256 from z group by d, name),
+k as (select up, count(*) as n_children from n where up is not null group by up),
+a as (select p.name, sum(n.saved) as saved, count(*) filter (k.n_children is null) as leaves
+  from n left join k on k.up = n.name join p on p.c = n.c and p.d <= n.d group by p.name)
+select n.c as conv_id, n.d::bigint as depth, u.c as parent_conv_id, n.n_convs, coalesce(k.n_children, 0) as n_children, a.leaves as n_leaves,
+  a.saved::bigint as saved_tokens, n.ends_sha256 from n join a using (name) left join k on k.up = n.name left join n u on u.name = n.up"""
