@@ -10,8 +10,16 @@ size, which is a permutation of that domain: the pseudonym has the same
 format (a card keeps a right check digit, a date is a date), different
 values never meet, and equal values get equal pseudonyms in every document.
 E-mail addresses and the values of secrets (up to the closing quote or white
-space) have no fixed domain; they get a keyed hash in their place. Formats
-that stay uncovered are listed in the README. Built from Column functions only.
+space) have no fixed domain; they get a keyed hash in their place. An unquoted
+value behind a colon is a secret only if it has a digit or a sign, so prose
+(``the secret: he left``) and annotations (``password: str``) stay; behind
+``=`` anything but a constant such as ``None`` is one. Formats that stay
+uncovered are listed in the README. Built from Column functions only.
+
+No pattern has a length limit that its format doesn't set, and none repeats a
+group in a way that needs stack or time beyond the text's length: repeated
+groups are possessive or bounded by the format, runs of one class are
+possessive, and what is long is validated after it was matched.
 
 A null text stays null with nothing found; documents without personal data
 keep their text unchanged. Rows are treated one by one: ties, repeated rows,
@@ -27,20 +35,18 @@ from pyspark.sql import functions as F
 from punktwerk.llm.common import prepare
 
 ROUNDS = 10
-DEFAULT_KEY = "change-me"
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Length of an IBAN after its check digits -> countries.
 _IBAN = {11: "NO", 12: "BE", 14: "DK|FI|FK|FO|GL|NL|SD", 15: "MK|SI", 16: "AT|BA|EE|KZ|LT|LU|MN|XK", 17: "CH|CR|HR|LI|LV",
          18: "BG|BH|DE|GB|GE|IE|ME|RS", 19: "AE|GI|IL|IQ|OM|SO|TL", 20: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 21: "LY|PT|ST", 22: "IS|TR",
          23: "BI|DJ|FR|GR|IT|MC|SM", 24: "AL|AZ|BY|CY|DO|GT|HU|LB|NI|PL|SV", 25: "BR|EG|PS|QA|UA", 26: "JO|KW|MU", 27: "MT|SC", 28: "LC", 29: "RU"}
-_SECRET_NAME = r"(?i:(?<![A-Za-z0-9])(?:token|password|passwd|secret|api[_-]?key))[\"']?[ \t]{0,8}(?::=|=>|==?|:)[ \t]{0,8}[\"']?"
+_SECRET_NAME = r"(?i:(?<![A-Za-z0-9])(?:token|password|passwd|secret|api[_-]?key))[\"']?[ \t]*+(?::=|=>|==?|:)[ \t]*+[\"']?"
 _COUNTRY = r"^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 #: kind -> pattern. Kinds are tried in this order.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": _SECRET_NAME + r"(?:(?<=\")(?:[^\"\\\n]++(?=\")|(?:[^\"\\\n]|\\.){1,512}+(?=\"))|(?<=')(?:[^'\\\n]++(?=')|(?:[^'\\\n]|\\.){1,512}+(?='))"
-              r"|[^\s\"']++(?:[\"']++[^\s\"']++){0,64})",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "secret": _SECRET_NAME + r"(?:(?<=\")(?:[^\"\\\n]++|\\.)++(?=\")|(?<=')(?:[^'\\\n]++|\\.)++(?=')|[^\s\"']++(?:[\"']++[^\s\"']++)*+)",
     "iban": r"(?<![0-9A-Za-z])(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(f"(?:{c})[0-9]{{2}}(?: ?[0-9A-Z]){{{n}}}" for n, c in _IBAN.items()) + r")(?![0-9A-Za-z])",
     "phone": r"(?:(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?)(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
              r"|(?<![0-9A-Za-z+(])(?:\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})(?![0-9-])"
@@ -56,6 +62,10 @@ PATTERNS = {
 }
 KINDS = tuple(k for k in PATTERNS if k != "ipv6")       # counted as "ip"
 ANY = "|".join(PATTERNS.values())
+#: Every match of a pattern holds one of these; most texts hold none.
+HINT = r"@|(?i:token|passw|secret|api[_-]?key)|[0-9](?:[ .()/-]{0,3}[0-9]){5}|[0-9]\.[0-9]{1,3}\.[0-9]|[A-Z]{2}[0-9]{2}|:[0-9A-Fa-f]{0,4}:"
+#: Words that stand for no value at all.
+_CONSTANTS = ("none", "null", "nil", "true", "false", "undefined")
 _FIRST_DAY, _DAYS = "1900-01-01", (184, 397)      # 184 * 397 days: to 2099-12-30
 
 
@@ -226,9 +236,25 @@ def _hash(m: Column, key: str, tweak: str) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), F.lit(tweak), F.lower(m)), 256)
 
 
-def _secret(m: Column, key: str) -> Column:
+def _email(m: Column) -> Column:
+    """The address in a match: up to the last part that can be a top domain."""
+    return F.regexp_extract(m, r"^(.*\.[A-Za-z]{2,})", 1)
+
+
+def _named(m: Column) -> tuple[Column, Column]:
     name = F.regexp_extract(m, _SECRET_NAME, 0)
-    value = F.substring(m, F.length(name) + 1, F.length(m))
+    return name, F.substring(m, F.length(name) + 1, F.length(m))
+
+
+def _secret_valid(m: Column) -> Column:
+    name, value = _named(m)
+    core = F.rtrim(value, F.lit(",.;:!?)]}>"))
+    plain = core.rlike(r"^[\p{L}\p{M}_.\[|]*+$|^u?int(?:8|16|32|64)$|^float(?:32|64)$|^[0-9]{1,3}$")
+    return name.rlike("[\"']$") | (name.contains("=") & ~F.lower(core).isin(*_CONSTANTS)) | ~plain
+
+
+def _secret(m: Column, key: str) -> Column:
+    name, value = _named(m)
     h = F.concat(_hash(value, key, "secret"), _hash(value, key, "secret2"))
     # a short one's place would not hold a hash
     return F.concat(name, F.substring(h, F.lit(1), F.greatest(F.length(value), F.lit(12))))
@@ -239,7 +265,8 @@ def kind(m: Column) -> Column:
     def whole(k):
         return m.rlike(rf"^(?:{PATTERNS[k]})$")
     days = _DAYS[0] * _DAYS[1]
-    return (F.when(m.rlike("^" + _SECRET_NAME), "secret").when(m.contains("@"), "email").when(whole("ip"), "ip")
+    return (F.when(m.rlike("^" + _SECRET_NAME), F.when(_secret_valid(m), "secret"))
+            .when(m.contains("@"), F.when(_email(m) != "", "email")).when(whole("ip"), "ip")
             .when(whole("iban"), F.when(_iban_valid(m), "iban"))
             .when(whole("ipv6"), F.when(_ipv6_valid(m), "ip"))
             .when(whole("date"), F.when(_day(m).between(0, days - 1), "date"))
@@ -249,17 +276,19 @@ def kind(m: Column) -> Column:
 
 
 def pseudonym(m: Column, k: Column, key: str) -> Column:
-    return (F.when(k == "email", F.concat(F.lit("user-"), F.substring(_hash(m, key, "email"), 1, 16), F.lit("@example.invalid")))
+    address = _email(m)
+    return (F.when(k == "email", F.concat(F.lit("user-"), F.substring(_hash(address, key, "email"), 1, 16), F.lit("@example.invalid"),
+                                          F.substring(m, F.length(address) + 1, F.length(m))))
             .when(k == "secret", _secret(m, key)).when((k == "ip") & m.contains(":"), _ipv6(m, key)).when(k == "ip", _ip(m, key)).when(k == "iban", _iban(m, key)).when(k == "date", _date(m, key))
             .when(k == "national", _refill(m, _permuted(_digits(m), key, "national")))
             .when(k == "card", _card(m, key)).when(k == "phone", _phone(m, key)).otherwise(m))
 
 
-def with_pseudonyms(df: DataFrame, key: str = DEFAULT_KEY, text: str = "text", out: str = "text", found: str = "found") -> DataFrame:
+def with_pseudonyms(df: DataFrame, key: str, text: str = "text", out: str = "text", found: str = "found") -> DataFrame:
     """Replaces (or adds) the text with pseudonyms and the list of
     (kind, pseudonym) found, in order."""
     t = F.col(text)
-    raw = F.when(t.rlike(ANY), F.regexp_extract_all(t, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    raw = F.when(t.rlike(HINT), F.regexp_extract_all(t, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
     made = df.withColumn("_raw", raw).withColumn("_kinds", F.transform("_raw", kind)).withColumn(
         "_new", F.zip_with("_raw", "_kinds", lambda m, k: pseudonym(m, k, key)))
     # the text between the matches, and the matches' replacements
@@ -269,7 +298,7 @@ def with_pseudonyms(df: DataFrame, key: str = DEFAULT_KEY, text: str = "text", o
     return made.withColumn(out, text_).withColumn(found, pairs).drop("_raw", "_kinds", "_new")
 
 
-def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """doc_id, text, n_found and a count per kind."""
     prepare(docs.sparkSession)
     d = with_pseudonyms(docs.select("doc_id", "text"), key)

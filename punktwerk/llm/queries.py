@@ -138,7 +138,7 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_pii")
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(documents(spark, sf_dir))
+    return pii.pseudonymise(documents(spark, sf_dir), key="a key for the test tables")
 
 
 @query("op11_conversation_trie")
