@@ -123,18 +123,19 @@ def bitmap_filter(spark: SparkSession, bits: np.ndarray):
     return might_hold
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is not in ``gone`` (column _gone);
-    rows without an id stay. Only rows that a bitmap of the ids lets through
-    take part in the exact anti-join, so the other texts are not shuffled.
-    ``docs`` is read twice: pass a table, not a long plan."""
-    spark = docs.sparkSession
-    gone = staged(gone, "gone")
-    might = bitmap_filter(spark, bitmap(gone, "_gone"))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))
-    stay = docs.filter(~might(key))
-    rest = docs.filter(might(key)).join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    return stay.unionByName(rest)
+def without(docs: DataFrame, gone: DataFrame, keys: dict) -> DataFrame:
+    """The rows of ``docs`` whose ``keys`` (name -> Column over docs) aren't
+    among the rows of ``gone``, null-safe. Only rows that a bitmap lets
+    through take part in the exact anti-join, so the other texts are not
+    shuffled. ``docs`` is read twice: pass a table, not a long plan."""
+    spark, own = docs.sparkSession, docs.columns
+    gone = staged(gone.select(*[F.col(k).alias(f"_gone_{k}") for k in keys]), "gone")
+    might = bitmap_filter(spark, bitmap(gone.select(F.xxhash64("*").alias("_h")), "_h"))
+    held = docs.select(F.struct("*").alias("_doc"), *[c.alias(f"_own_{k}") for k, c in keys.items()])
+    key = F.xxhash64(*[f"_own_{k}" for k in keys])
+    same = functools.reduce(lambda x, y: x & y, [F.col(f"_own_{k}").eqNullSafe(F.col(f"_gone_{k}")) for k in keys])
+    out = held.filter(~might(key)).unionByName(held.filter(might(key)).join(gone, same, "left_anti"))
+    return out.select("_doc.*").select(*own)
 
 
 def prefix_sums(df: DataFrame, key: str, value: str, out: str, block: int = 1024) -> DataFrame:

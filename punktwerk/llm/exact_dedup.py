@@ -10,10 +10,13 @@ one fingerprint stay apart. Copies collapse in each partition, before the
 shuffle, both in the filters and in the verification.
 
 Texts are equal when identical after lower-casing A-Z only; a null text
-counts as empty. Of equal texts the row with the largest doc_id stays (null
-ids last); rows repeated with the same doc_id are one document, whose rows
-all stay or all go. Extra columns are ignored by ``exact_groups`` and kept
-by ``drop_copies``.
+counts as empty. Of equal texts the largest doc_id stays (null ids last). In
+``exact_groups`` rows that repeat this id with an equal text are all marked as
+kept; ``drop_copies`` keeps exactly one row of each group of equal texts: of
+rows with the largest id the one whose columns have the largest hash, and one
+of rows that are equal in all columns. Rows that share an id but not their
+text are told apart. Extra columns are ignored by ``exact_groups`` and kept by
+``drop_copies``.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punktwerk.llm.common import bitmap, bitmap_filter, prepare, staged, tidied, without
+from punktwerk.llm.common import bitmap, bitmap_filter, prepare, staged, tidied
 
 _AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 FINGERPRINTS_PER_BLOCK = 200_000
@@ -116,6 +119,20 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with their own columns."""
-    gone = exact_groups(docs).filter("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
-    return without(docs, gone)
+    """One row of each group of equal texts, with its own columns. Rows whose
+    fingerprint occurs once stay where they are; of the others a narrow row
+    each competes for its text, and only the winners' rows are shuffled."""
+    spark, own = prepare(docs.sparkSession), docs.columns
+    rows = staged(docs.select(F.xxhash64(normalised()).alias("fp")), "fingerprints")
+    repeated = staged(repeated_fingerprints(rows, rows.count()), "repeated")
+    routed = bitmap_filter(spark, bitmap(repeated, "fp"))
+    held = docs.select(F.struct("*").alias("_doc"), normalised().alias("_t"), F.col("doc_id").alias("_id")).withColumn("_f", F.xxhash64("_t"))
+    copies = held.filter(routed("_f")).withColumn("_row", F.xxhash64("_doc"))
+    sha = F.sha2(F.encode("_t", "UTF-8"), 256)
+    best = (copies.groupBy("_f", "_t").agg(F.max(F.struct("_id", "_row")).alias("b"))
+            .select("_f", sha.alias("_s"), F.col("b._id").alias("_id"), F.col("b._row").alias("_row")))
+    best = staged(best, "kept_copies").select(*[F.col(c).alias(f"{c}_kept") for c in ("_f", "_s", "_id", "_row")])
+    stay = copies.withColumn("_s", sha).join(best, (F.col("_f") == F.col("_f_kept")) & (F.col("_s") == F.col("_s_kept")) & (
+        F.col("_row") == F.col("_row_kept")) & F.col("_id").eqNullSafe(F.col("_id_kept")), "left_semi")
+    out = held.filter(~routed("_f")).select("_doc").unionByName(stay.dropDuplicates(["_f", "_s", "_row"]).select("_doc"))
+    return out.select("_doc.*").select(*own)

@@ -1,6 +1,7 @@
 """Mixing sources to target weights with hash-threshold histograms.
 
-Every row gets a 60-bit hash of its id. Words are summed by source and by the
+Every row gets a 60-bit hash of its id, its text and its number among equal
+rows. Words are summed by source and by the
 top bits of the hash; the running sums of that histogram show in which bucket
 a source's budget ends. Everything below the bucket is taken, everything
 above is not, and only the boundary bucket is split further, by the next bits
@@ -11,8 +12,9 @@ a budget of one to two epochs takes every row once and the rows below the
 threshold twice. DataFrame functions only.
 
 A null text has size 0. Sources weigh ``weights`` in turn by code point, the
-null source last. Rows that share a doc_id share a hash and are taken
-together. A source without words has target 0 and takes nothing. Empty
+null source last. Rows that share a doc_id but not their text have hashes of
+their own; rows that are equal in id, source and text are numbered, so they
+aren't taken together either. A source without words has target 0 and takes nothing. Empty
 tables give empty results; extra columns are ignored.
 """
 
@@ -29,15 +31,37 @@ LEVELS = 5
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 REPEATS = 2
+SALTS = 64
 
 
 def words(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def row_hash(key: str = "doc_id") -> Column:
-    """60 bits of a hash of the id, so that five levels of 12 bits use it up."""
-    return F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit("mix")), 64 - BITS * LEVELS)
+#: Equal rows are told apart in blocks of this many.
+EQUAL_ROWS = 4096
+
+
+def row_key() -> Column:
+    """64 bits for (id, source, text); rows with one key are equal rows."""
+    return F.xxhash64("doc_id", "source", "text")
+
+
+def row_hash(key: str = "key", nth: str = "nth") -> Column:
+    """60 bits, so that five levels of 12 bits use them up."""
+    return F.shiftrightunsigned(F.xxhash64(F.col(key), F.col(nth), F.lit("mix")), 64 - BITS * LEVELS)
+
+
+def sized_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size, key, nth, hash. Equal rows are counted
+    map-side and numbered by unfolding their count, so the numbers don't depend on
+    where a row is stored."""
+    counted = docs.select("doc_id", "source", words().alias("size"), row_key().alias("key")).groupBy(
+        "doc_id", "source", "size", "key").agg(F.count("*").alias("m"))
+    blocks = counted.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(m - 1) div {EQUAL_ROWS}"))))
+    first = F.col("block") * EQUAL_ROWS
+    return (blocks.withColumn("nth", F.explode(F.sequence(first, F.least(first + EQUAL_ROWS, F.col("m")) - 1)))
+            .select("doc_id", "source", "size", "key", "nth", "m").withColumn("hash", row_hash()))
 
 
 def weighted_sources(sized: DataFrame, weights=WEIGHTS) -> DataFrame:
@@ -117,7 +141,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: float =
     """doc_id, size, source, source_size, target, times, taken -- one row per
     document; ``times`` is how often the mix takes it."""
     prepare(docs.sparkSession)
-    sized = staged(docs.select("doc_id", "source", words().alias("size"), row_hash().alias("hash")), "sized")
+    sized = staged(sized_rows(docs), "sized")
     plan = thresholds(sized, staged(water_fill(weighted_sources(sized, weights), share, repeats), "targets"))
     plan = staged(plan.coalesce(1), "mix_plan").withColumnRenamed("source", "_src")
     j = sized.join(plan, F.col("source").eqNullSafe(F.col("_src")))
@@ -131,10 +155,24 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repe
     """The mixed corpus: the documents' own columns, a row per time taken. The
     threshold is joined by source, so no text is shuffled or sorted."""
     prepare(docs.sparkSession)
-    sized = staged(docs.select("doc_id", "source", words().alias("size"), row_hash().alias("hash")), "sized")
+    sized = staged(sized_rows(docs), "sized")
     plan = thresholds(sized, staged(water_fill(weighted_sources(sized, weights), share, repeats), "targets"))
     plan = staged(plan.coalesce(1), "mix_plan").select(F.col("source").alias("_src"), "copies", "threshold")
-    d = docs.select(F.struct("*").alias("_doc"), F.col("source").alias("_source"), row_hash().alias("_hash"))
-    j = d.join(plan, F.col("_source").eqNullSafe(F.col("_src")))
-    times = (F.col("copies") + F.when(F.col("_hash") < F.col("threshold"), 1).otherwise(0)).cast("int")
+    more = F.when(F.col("hash") < F.col("threshold"), 1).otherwise(0)
+    # of m equal rows some are taken once more: as many as their numbers say
+    equal = staged(sized.filter("m > 1").join(plan, F.col("source").eqNullSafe(F.col("_src"))).groupBy("key").agg(F.sum(more).alias("extra")), "equal_rows")
+    d = docs.select(F.struct("*").alias("_doc"), F.col("source").alias("_source"), row_key().alias("key"))
+    d = d.withColumn("nth", F.lit(0).cast("long")).withColumn("hash", row_hash())
+    j = d.join(plan, F.col("_source").eqNullSafe(F.col("_src"))).withColumn("more", more)
+    if not equal.isEmpty():
+        j = j.join(equal, "key", "left")
+        parts = staged(j.filter("extra is not null").withColumn("_salt", F.expr(f"monotonically_increasing_id() % {SALTS}")), "equal_documents")
+        at = F.row_number().over(W.partitionBy("key", "_salt").orderBy("_salt"))
+        # the first rows of each salt; what a salt holds is summed before it
+        held = parts.groupBy("key", "_salt").agg(F.count("*").alias("_n")).withColumn(
+            "_before", F.coalesce(F.sum("_n").over(W.partitionBy("key").orderBy("_salt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+        ranked = parts.withColumn("_at", at).join(held.select("key", "_salt", "_before"), ["key", "_salt"])
+        ranked = ranked.withColumn("more", F.when(F.col("_at") + F.col("_before") <= F.col("extra"), 1).otherwise(0))
+        j = j.filter("extra is null").select("_doc", "copies", "more").unionByName(ranked.select("_doc", "copies", "more"))
+    times = (F.col("copies") + F.col("more")).cast("int")
     return j.select("_doc", F.explode(F.array_repeat(F.lit(1), times)).alias("_n")).select("_doc.*")

@@ -124,20 +124,21 @@ def unpack_vector(b) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n, node (hash of the whole set; null if empty), tokens."""
+    """doc_id, text_hash, n, node (hash of the whole set; null if empty),
+    tokens. Two different sets get one node with probability 2^-64 a pair."""
     @tidied
     def run(batches):
         for b in batches:
             sets = shingles(b.column(1).to_pylist())
             packed = [pack48(s) for s in sets]
             yield pa.RecordBatch.from_arrays([
-                b.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                b.column(0), b.column(2), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)) if len(s) else None
                           for s in sets], pa.int64()),
-                pa.array(packed, pa.binary())], ["doc_id", "n", "node", "tokens"])
+                pa.array(packed, pa.binary())], ["doc_id", "text_hash", "n", "node", "tokens"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n long, node long, tokens binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
+        run, "doc_id long, text_hash long, n long, node long, tokens binary")
 
 
 def selected(sets: DataFrame, keys: DataFrame, payload) -> DataFrame:
@@ -500,8 +501,12 @@ def link_edges(families: DataFrame, sets: DataFrame, percent: int = PERCENT) ->
     return _joined(families.join(sets, "node"), "family", solve)
 
 
-def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
+SALTS = 16
+
+
+def components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """The sets, and (_node, least): for each node the smallest row of its
+    component, a struct (doc_id is null, doc_id, text_hash)."""
     prepare(docs.sparkSession)
     sets = staged(shingle_sets(docs), "shingle_sets")
     members = staged(candidate_lists(sets, percent), "candidate_lists")
@@ -511,17 +516,40 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sizes = sets.filter("node is not null").select("node", (F.length("tokens") + 100).alias("_w")).dropDuplicates(["node"])
     cut = staged(with_blocks(families.join(sizes, "node"), "family", "_w"), "family_blocks")
     links = staged(link_edges(cut, selected(sets, families, pack_tokens), percent), "link_edges")
-    roots = connected_components(links).select("node", F.col("component").alias("root"))
-    least = sets.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
-    named = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    top = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_node = staged(named.join(top, "root").select(F.col("node").alias("_node"), "component_id"), "near_components")
+    roots = staged(connected_components(links).select("node", F.col("component").alias("root")), "link_roots")
+    least = staged(sets.filter("node is not null").groupBy("node").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("least")), "least_rows")
+    # a large component's nodes are dealt over the salts of its one row
+    linked = least.join(roots, "node")
+    top = linked.groupBy("root").agg(F.min("least").alias("top")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = linked.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(top, ["root", "salt"])
+    alone = least.join(roots, "node", "left_anti")
+    return sets, staged(joined.select(F.col("node").alias("_node"), F.col("top").alias("least")).unionByName(
+        alone.select(F.col("node").alias("_node"), "least")), "near_components")
+
+
+def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
+    sets, of_node = components(docs, percent)
     return sets.select("doc_id", F.col("n").alias("n_shingles"), "node").join(of_node, F.col("node") == F.col("_node"), "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "n_shingles", F.coalesce("least.doc_id", "doc_id").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One document of each component stays (its smallest doc_id); a document
-    without words stays too. Own columns only."""
-    gone = near_groups(docs, percent).filter("component_id != doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return without(docs, gone)
+    """One row of each component stays, with its own columns: the one with
+    the smallest doc_id (null ids last), of several texts with that id the one
+    with the smallest hash, of equal rows any. Rows that share an id but not
+    their text are told apart; a text without words stays."""
+    sets, of_node = components(docs, percent)
+    rows = sets.join(of_node, F.col("node") == F.col("_node"))
+    kept = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
+    keys = {"doc_id": F.col("doc_id").cast("long"), "text_hash": F.xxhash64("text")}
+    left = without(docs, rows.filter(~kept).select("doc_id", "text_hash").distinct(), keys)
+    repeated = staged(rows.filter(kept).groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).filter("n > 1")
+                      .select("doc_id", "text_hash"), "equal_rows")
+    if repeated.isEmpty():
+        return left
+    # equal rows: all of them go, then one of each comes back
+    held = docs.select(F.struct("*").alias("_doc"), F.struct(*[c.alias(k) for k, c in keys.items()]).alias("_row"))
+    once = held.join(repeated.select(F.struct("doc_id", "text_hash").alias("_kept")), F.col("_row").eqNullSafe(F.col("_kept")), "left_semi")
+    return without(left, repeated, keys).unionByName(once.dropDuplicates(["_row"]).select("_doc.*").select(*left.columns))

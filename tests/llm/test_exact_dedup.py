@@ -28,9 +28,21 @@ def test_edge_cases(edge):
 def test_drop_copies_keeps_columns(edge):
     out = exact_dedup.drop_copies(edge)
     assert out.columns == edge.columns
-    # the repeated row stays twice: both rows are the same document
-    kept = [r.doc_id for r in out.collect()]
-    assert len({norm(r[1]) for r in edge_rows()}) == len(set(kept))
+    kept = out.collect()
+    assert sorted(norm(r.text) for r in kept) == sorted({norm(r[1]) for r in edge_rows()})
+    best = {}
+    for r in edge_rows():
+        best[norm(r[1])] = max(best.get(norm(r[1]), -1), -1 if r[0] is None else r[0])
+    assert all(best[norm(r.text)] == (-1 if r.doc_id is None else r.doc_id) for r in kept)
+
+
+def test_rows_that_share_an_id(spark):
+    """Repeated and null ids: rows go, not ids."""
+    rows = [(1, "text A", "x"), (1, "text B", "x"), (2, "TEXT B", "x"), (None, "c", "x"), (None, "C", "x"), (None, "d", "x"), (5, "e", "x"), (5, "e", "x"),
+            (5, "e", "y"), (None, None, "x"), (7, "", "x")]
+    out = [tuple(r) for r in exact_dedup.drop_copies(spark.createDataFrame(rows, "doc_id long, text string, _t string").repartition(3)).collect()]
+    assert sorted((norm(t), i is None, i) for i, t, _ in out) == sorted(
+        [(b"text a", False, 1), (b"text b", False, 2), (b"c", True, None), (b"d", True, None), (b"e", False, 5), (b"", False, 7)])
 
 
 def test_empty(empty):

@@ -77,6 +77,22 @@ def test_thresholds_nest(edge):
     assert small <= large
 
 
+def test_rows_that_share_an_id(spark):
+    """One id for all rows, with equal and with different texts: the taken
+    words still come near the target, and the documents follow the plan."""
+    rows = [(1, f"a b c {i % 7}" if i % 2 else f"own {i}", "s") for i in range(300)] + [(None, "x y z", "t")] * 100 + [(None, None, None)] * 40
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = mixing.mix(df).collect()
+    assert len(got) == len(rows)
+    taken = check(rows, got)
+    _, want = targets(rows)
+    assert all(abs(taken[s] - want[s]) <= 4 for s in want)
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix(df.coalesce(1)).collect()))
+    out = mixing.mixed_documents(df).collect()
+    words = lambda rs, s: sum(len(WORD.findall(r.text or "")) for r in rs if r.source == s)
+    assert {s: words(out, s) for s in want} == {s: taken[s] for s in want}
+
+
 def test_plan_is_native(edge):
     plan = mixing.mix(edge)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

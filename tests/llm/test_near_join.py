@@ -92,6 +92,17 @@ def test_drop_near_copies(edge):
     assert {r.doc_id for r in out.collect()} == want
 
 
+def test_rows_that_share_an_id(spark):
+    """Repeated and null ids: rows go, not ids."""
+    base = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty"
+    near = base + " more"
+    rows = [(1, "alone here is a text of its own words"), (1, base), (2, near), (None, base.upper()), (None, "quite another text with no copy"),
+            (None, "quite another text with no copy"), (5, "some five words and more"), (5, "some five words and more"), (5, None), (5, None), (None, "")]
+    out = [tuple(r) for r in near_join.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    want = [(1, rows[0][1]), (1, base), (None, rows[4][1]), (5, rows[6][1]), (5, None), (5, None), (None, "")]
+    assert sorted(map(repr, out)) == sorted(map(repr, want))
+
+
 def test_bound_never_excludes_a_link():
     """Whatever the tree skips has too small an intersection."""
     rng = np.random.default_rng(4)
