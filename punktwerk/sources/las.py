@@ -29,19 +29,26 @@ HEADER_SCHEMA = ("path string, name string, point_format int, record_length int,
 OUT_SCHEMA = ("x double, y double, z double, intensity int, return_num int, classification int, "
               "source_file string")
 BATCH_ROWS = 100_000
+#: Bytes of a record by point format.
+RECORD_LENGTH = {0: 20, 1: 28, 2: 26, 3: 34, 6: 30, 7: 36, 8: 38}
 
 
-def _open(path: str):
+def _filesystem(path: str):
+    """(file system, path in it) for Spark's name of a file or folder."""
     from pyarrow import fs
-    if path.startswith("file:"):
-        local = path[5:]
+    if path.startswith("file:") or "://" not in path:
+        local = path.removeprefix("file:")
         while local.startswith("//"):
             local = local[1:]
-        return fs.LocalFileSystem().open_input_file(local)
+        return fs.LocalFileSystem(), local
     # Spark's names for an object store; the library knows the plain one
     scheme, _, rest = path.partition("://")
     plain = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-    f, p = fs.FileSystem.from_uri(f"{plain}://{rest}")
+    return fs.FileSystem.from_uri(f"{plain}://{rest}")
+
+
+def _open(path: str):
+    f, p = _filesystem(path)
     return f.open_input_file(p)
 
 
@@ -64,6 +71,34 @@ def parse_header(buf: bytes) -> dict:
                 sx=sx, sy=sy, sz=sz, ox=ox, oy=oy, oz=oz)
 
 
+def header_bounds(buf: bytes) -> dict[str, tuple[float, float]]:
+    """(least, greatest) x, y and z by the header; empty if it states none."""
+    v = struct.unpack_from("<6d", buf, 179)
+    if not any(v):
+        return {}
+    return {c: (v[2 * i + 1], v[2 * i]) for i, c in enumerate("xyz")}
+
+
+def make_header(point_format: int, n: int, scale, offset, bounds=None) -> bytes:
+    """A public header block of LAS 1.2 (formats 0-3) or 1.4 (6-8);
+    ``bounds`` = (minx, maxx, miny, maxy, minz, maxz)."""
+    size = 375 if point_format >= 6 else 227
+    head = bytearray(size)
+    head[0:4] = b"LASF"
+    head[24], head[25] = 1, (4 if point_format >= 6 else 2)
+    struct.pack_into("<H", head, 94, size)
+    struct.pack_into("<I", head, 96, size)
+    head[104] = point_format
+    struct.pack_into("<H", head, 105, RECORD_LENGTH[point_format])
+    struct.pack_into("<I", head, 107, n if point_format < 6 and n < 1 << 32 else 0)
+    struct.pack_into("<6d", head, 131, *scale, *offset)
+    if bounds is not None:
+        struct.pack_into("<6d", head, 179, *(bounds[i] for i in (1, 0, 3, 2, 5, 4)))
+    if point_format >= 6:
+        struct.pack_into("<Q", head, 247, n)
+    return bytes(head)
+
+
 def _headers(it):
     for pdf in it:
         rows = []
@@ -123,13 +158,19 @@ def read_las(spark: SparkSession, path: str, points_per_split: int = 1_000_000,
              glob: str = "*.las") -> tuple[DataFrame, DataFrame]:
     """(points, failures) for every LAS file under ``path``; whole files,
     in splits of ``points_per_split`` points."""
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+               .option("recursiveFileLookup", "true").load(path).select("path", "length"))
+    return points_of(listing, points_per_split)
+
+
+def points_of(listing: DataFrame, points_per_split: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+    """(points, failures) of the LAS files of a listing (path, length)."""
     from punktwerk.session import ensure_checkpoint_dir, ship_package
+    spark = listing.sparkSession
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-               .option("recursiveFileLookup", "true").load(path).select("path", "length"))
-    headers = listing.mapInPandas(_headers, HEADER_SCHEMA).checkpoint()
-    failures = headers.filter(F.col("error").isNotNull()).select("path", "name", "error")
+    headers = listing.select("path", "length").mapInPandas(_headers, HEADER_SCHEMA).checkpoint()
+    failures = headers.filter(F.col("error").isNotNull()).select("path", "name", "error", F.col("n_points").alias("n_points"))
     ok = headers.filter(F.col("error").isNull())
     splits = ok.withColumn("_n", F.col("n_points")).withColumn(
         "start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(int(points_per_split)).cast("long"))))
@@ -144,23 +185,17 @@ def write_las(path: str, x, y, z, intensity, return_num, classification, point_f
               scale=(0.01, 0.01, 0.01), offset=(0.0, 0.0, 0.0)) -> None:
     """Write a small LAS 1.2 (formats 0-5) or 1.4 (formats 6-10) file from
     arrays; used by tests and fixtures, not for bulk output."""
-    n = len(x)
-    rec_len = {0: 20, 1: 28, 2: 26, 3: 34, 6: 30, 7: 36, 8: 38}[point_format]
-    hsize = 375 if point_format >= 6 else 227
-    hdr = bytearray(hsize)
-    hdr[0:4] = b"LASF"
-    hdr[24], hdr[25] = 1, (4 if point_format >= 6 else 2)
-    struct.pack_into("<H", hdr, 94, hsize)
-    struct.pack_into("<I", hdr, 96, hsize)
-    hdr[104] = point_format
-    struct.pack_into("<H", hdr, 105, rec_len)
-    struct.pack_into("<I", hdr, 107, n if point_format < 6 else 0)
-    struct.pack_into("<6d", hdr, 131, *scale, *offset)
-    if point_format >= 6:
-        struct.pack_into("<Q", hdr, 247, n)
-    rec = np.zeros(n, dtype=np.dtype({"names": ["X", "Y", "Z", "I", "b14", "b15", "b16"],
-                                      "formats": ["<i4", "<i4", "<i4", "<u2", "u1", "u1", "u1"],
-                                      "offsets": [0, 4, 8, 12, 14, 15, 16], "itemsize": rec_len}))
+    pairs = [f(np.asarray(v, dtype=float)) for v in (x, y, z) for f in (np.min, np.max)] if len(x) else None
+    with open(path, "wb") as f:
+        f.write(make_header(point_format, len(x), scale, offset, pairs))
+        f.write(records(x, y, z, intensity, return_num, classification, point_format, scale, offset))
+
+
+def records(x, y, z, intensity, return_num, classification, point_format: int, scale, offset) -> bytes:
+    """Point records of one format."""
+    rec = np.zeros(len(x), dtype=np.dtype({"names": ["X", "Y", "Z", "I", "b14", "b15", "b16"],
+                                           "formats": ["<i4", "<i4", "<i4", "<u2", "u1", "u1", "u1"],
+                                           "offsets": [0, 4, 8, 12, 14, 15, 16], "itemsize": RECORD_LENGTH[point_format]}))
     rec["X"] = np.round((np.asarray(x) - offset[0]) / scale[0])
     rec["Y"] = np.round((np.asarray(y) - offset[1]) / scale[1])
     rec["Z"] = np.round((np.asarray(z) - offset[2]) / scale[2])
@@ -171,6 +206,56 @@ def write_las(path: str, x, y, z, intensity, return_num, classification, point_f
     else:
         rec["b14"] = np.asarray(return_num, dtype=np.int64) & 0x07
         rec["b15"] = np.asarray(classification, dtype=np.int64) & 0x1F
-    with open(path, "wb") as f:
-        f.write(bytes(hdr))
-        f.write(rec.tobytes())
+    return rec.tobytes()
+
+
+_TILE_ROW = ("source_file string, ord int, x double, y double, z double, intensity int, return_num int, classification int, "
+             "n long, minx double, maxx double, miny double, maxy double, minz double, maxz double")
+
+
+def write_las_tiles(points: DataFrame, path: str, point_format: int = 6, scale=(0.01, 0.01, 0.01), offset=(0.0, 0.0, 0.0)) -> DataFrame:
+    """Writes one file per ``source_file`` under ``path`` (a folder that
+    executors reach): the header row of a tile (count and bounds) is sorted in
+    front of its points, which stream into the file. A file has its name only
+    when it is complete, so a task can be repeated. Returns (path, n) once
+    the files are written. Null coordinates can't be stored: they raise."""
+    from punktwerk.session import ensure_checkpoint_dir, ship_package
+    spark = points.sparkSession
+    ship_package(spark)
+    ensure_checkpoint_dir(spark)
+    cols = [c.split()[0] for c in _TILE_ROW.split(", ")]
+    heads = points.groupBy("source_file").agg(F.count("*").alias("n"), *[
+        f(c).alias(f"{k}{c}") for c in "xyz" for f, k in ((F.min, "min"), (F.max, "max"))]).withColumn("ord", F.lit(0))
+    rows = heads.unionByName(points.withColumn("ord", F.lit(1)), allowMissingColumns=True).selectExpr(
+        *[f"cast({c.split()[0]} as {c.split()[1]}) as {c.split()[0]}" for c in _TILE_ROW.split(", ")])
+    spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(
+        spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
+
+    def run(batches):
+        import uuid
+        out = None          # (stream, temporary path, path, n)
+
+        def done():
+            out[0].close()
+            fs.move(out[1], out[2])
+            return pa.RecordBatch.from_pydict({"path": [out[2]], "n": [out[3]]})
+
+        for b in batches:
+            c = {k: b.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(cols)}
+            heads_at = np.flatnonzero(c["ord"] == 0)
+            for lo, hi in zip([0, *heads_at], [*heads_at, b.num_rows]):
+                if lo < hi and c["ord"][lo] == 0:
+                    if out is not None:
+                        yield done()
+                    fs, folder = _filesystem(path)
+                    name = f"{folder}/{c['source_file'][lo]}"
+                    tmp = f"{folder}/_{uuid.uuid4().hex}"
+                    out = (fs.open_output_stream(tmp), tmp, name, int(c["n"][lo]))
+                    out[0].write(make_header(point_format, out[3], scale, offset, [c[k][lo] for k in ("minx", "maxx", "miny", "maxy", "minz", "maxz")]))
+                    lo += 1
+                if lo < hi:
+                    out[0].write(records(*[c[k][lo:hi] for k in cols[2:8]], point_format, scale, offset))
+        if out is not None:
+            yield done()
+
+    return rows.repartition("source_file").sortWithinPartitions("source_file", "ord").mapInArrow(run, "path string, n long").checkpoint()

@@ -30,7 +30,7 @@ MAX_BYTES_PER_TRIGGER = 1024 * 1024 * 1024
 
 
 def read_point_stream(spark: SparkSession, src_dir: str, max_files: int | None = MAX_FILES_PER_TRIGGER,
-                      max_bytes: int | None = None, lineage: str = "dir") -> DataFrame:
+                      max_bytes: int | None = None, lineage: str = "dir", glob: str | None = None) -> DataFrame:
     """Streaming DataFrame of raw point rows (PERMISSIVE parse: unparseable
     lines keep their text in ``_corrupt_record``) with ``source_file``.
 
@@ -38,6 +38,8 @@ def read_point_stream(spark: SparkSession, src_dir: str, max_files: int | None =
     micro-batch (Spark accepts only one of the two)."""
     r = (spark.readStream.schema(RAW_SCHEMA).option("header", True).option("mode", "PERMISSIVE")
          .option("columnNameOfCorruptRecord", "_corrupt_record").option("recursiveFileLookup", "true"))
+    if glob is not None:
+        r = r.option("pathGlobFilter", glob)
     if max_bytes is not None:
         r = r.option("maxBytesPerTrigger", int(max_bytes))
     elif max_files is not None:
@@ -99,7 +101,9 @@ def _run_number(spark: SparkSession, src_dir: str, checkpoint: str) -> int:
         seen = planned.limit(0)
         if _names(spark, log):
             seen = spark.read.text(log).select(_same_path(F.get_json_object("value", "$.path")))
-        if offsets > commits or not planned.join(seen, "path", "left_anti").isEmpty():
+        # a listed file that was taken away before it was read doesn't hold a run open
+        here = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(src_dir).select(_same_path(F.col("_metadata.file_path")))
+        if offsets > commits or not planned.join(seen, "path", "left_anti").join(here, "path", "left_semi").isEmpty():
             return last
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(src_dir)
     listing.filter("length > 0").select(_same_path(F.col("_metadata.file_path"))).write.mode("overwrite").parquet(f"{kept}/run={last + 1}")
@@ -163,11 +167,16 @@ def stream_points(spark: SparkSession, src_dir: str, table_path: str, checkpoint
     what the table had of it from other runs, so replays, lost checkpoints
     and tiles delivered again don't duplicate rows. A run that was stopped
     before it had ingested all files it found is continued by the next start.
+    A stream that runs on belongs into a table with a commit log
+    (``streaming.tiles.stream_tiles``), where every listing is a delivery.
     Use ``"append"`` where the files of one tile arrive over several runs:
     each batch of each stream then keeps a folder of its own, which only its
     own replay overwrites."""
     if redelivery not in ("replace", "append"):
         raise ValueError(redelivery)
+    if redelivery == "replace" and not available_now:
+        # a run that doesn't end can't tell a second delivery by its run
+        raise ValueError("a running stream needs streaming.tiles.stream_tiles, or redelivery='append'")
     raw = read_point_stream(spark, src_dir, max_files=max_files, max_bytes=max_bytes, lineage=lineage)
     run = _run_number(spark, src_dir, checkpoint) if redelivery == "replace" else 0
     w = raw.writeStream.foreachBatch(_batch_writer(table_path, quarantine_path, redelivery, run)) \
