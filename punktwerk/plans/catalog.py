@@ -1232,3 +1232,6 @@ def q_lattice_overlap(spark, sf):
     r = _lattice(spark, sf)
     j = J.shape_join(r, r, cell=100.0, predicate="intersects")
     return j.filter(F.col("rect_id_a") < F.col("rect_id_b")).select("rect_id_a", "rect_id_b")
+
+
+import punktwerk.plans.catalog_tiles  # noqa: E402,F401  (registers more queries)

@@ -7,9 +7,14 @@ partition, so no task opens it. Comparisons of x, y, z, intensity,
 return_num and classification are applied to the decoded records with NumPy
 before rows leave Python.
 
-Options: ``path``, ``glob`` (default ``*.las``), ``split_bytes`` (64 MB) and
+Options: ``path``, ``glob`` (default ``*.las``), ``split_bytes`` (64 MB),
 ``mode``: ``failfast`` (a file that can't be read fails the query) or
-``skip``. Coordinates are ``record * scale + offset``; filters see the same
+``skip``; ``window`` (``x0,y0,x1,y1``, closed) and ``classes`` (``2,3``), which
+prune in the same way; ``pushdown`` (default false): take the comparisons out
+of the query itself. Spark 4.1 keeps the filters that were pushed into a
+DataFrame's source until that DataFrame pushes others, so a DataFrame read
+with ``pushdown`` must serve one query only; without it, a DataFrame can be
+used as often as one likes, and its window is an option. Coordinates are ``record * scale + offset``; filters see the same
 doubles as the rows, and bounds are widened by one scale step, since headers
 are often rounded. A header without bounds is never skipped."""
 
@@ -63,8 +68,17 @@ class LasReader(DataSourceReader):
         if self.mode not in ("failfast", "skip") or self.split < 1:
             raise ValueError(f"mode {self.mode!r}, split_bytes {self.split}")
         self.filters: list[tuple] = []
+        if "window" in options:
+            x0, y0, x1, y1 = map(float, options["window"].split(","))
+            self.filters += [("x", GreaterThanOrEqual, x0), ("y", GreaterThanOrEqual, y0), ("x", LessThanOrEqual, x1), ("y", LessThanOrEqual, y1)]
+        if "classes" in options:
+            self.filters.append(("classification", In, [int(c) for c in options["classes"].split(",")]))
+        self.pushdown = str(options.get("pushdown", "false")).lower() == "true"
 
     def pushFilters(self, filters):
+        if not self.pushdown:
+            yield from filters
+            return
         for f in filters:
             column = f.attribute[0] if getattr(f, "attribute", None) and len(f.attribute) == 1 else None
             if type(f) in _COMPARE and column in _NUMBERS and f.value is not None:
