@@ -74,3 +74,68 @@ def test_patterns_hold_the_histogram(seed):
     assert used / (512 * sum(c for _, c in patterns)) > 0.9
     for n, spans in packing.places(patterns).items():
         assert spans[0][0] == 0 and spans[-1][1] == hist[n] and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+
+
+def check_plan(hist, max_len):
+    """Each rank of each length once, its fragments in order and whole; no
+    place of a sequence twice, no gap; little padding."""
+    planned = packing.plan(hist, max_len)
+    assert set(planned) == set(hist)
+    spans = []
+    for n, entries in planned.items():
+        entries = sorted(entries)
+        assert entries[0][0] == 0 and entries[-1][1] == hist[n] and all(a[1] == b[0] for a, b in zip(entries, entries[1:]))
+        for lo, hi, fragments in entries:
+            at = 0
+            for sequence, offset, first, k in fragments:
+                assert first == at and k > 0
+                at += k
+                spans.append((sequence, sequence + hi - lo, offset, k))
+            assert at == n
+    used = sum(n * c for n, c in hist.items())
+    assert sum((hi - lo) * k for lo, hi, _, k in spans) == used
+    sequences = max(hi for _, hi, _, _ in spans)
+    if sequences < 5000:
+        rows = [[] for _ in range(sequences)]
+        for lo, hi, offset, k in spans:
+            for s in range(lo, hi):
+                rows[s].append((offset, k))
+        for r in rows:
+            at = 0
+            for offset, k in sorted(r):
+                assert offset == at
+                at += k
+            assert 0 < at <= max_len
+    # a power of two isn't padded, and the last sequences may be short
+    assert 1 - used / (max_len * sequences) < 0.02 or sequences <= used // max_len + 3
+    return planned
+
+
+@pytest.mark.parametrize("hist", [{1100: 1000}, {1100: 1000, 700: 100}, {1025: 7}, {2048: 5, 1: 1}, {1500: 10 ** 9, 1400: 10 ** 8}, {700: 10 ** 6, 690: 3},
+                                  {1030: 500, 1031: 500, 5: 10}, {2047: 1000}, {1366: 300}, {1: 1}, {1200 + i: i + 1 for i in range(400)}])
+def test_narrow_histograms_are_cut(hist):
+    check_plan(hist, 2048)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_any_histogram(seed):
+    rng = random.Random(seed)
+    lo = rng.randint(1, 500)
+    check_plan({rng.randint(lo, 512): rng.randint(1, 10 ** rng.randint(1, 3)) for _ in range(rng.randint(1, 200))}, 512)
+
+
+def test_cut_documents(spark):
+    """Documents just above half a sequence: cut, each id in one piece."""
+    enc = library(BYTE_BPE)
+    rng = random.Random(1)
+    rows = [(i, " ".join(rng.choice(["alpha", "beta", "gamma"]) for _ in range(rng.randint(65, 75)))) for i in range(300)]
+    texts = {i: enc(t) + [1] for i, t in rows}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    longest = max(map(len, texts.values()))
+    got = packing.packing_digest(df, tokenizer(BYTE_BPE), 1, 2 * longest - 40).collect()
+    check(got, texts, 2 * longest - 40)
+    assert any(p.length < p.doc_tokens for p in got)
+    ids = sum(map(len, texts.values()))
+    assert 1 - ids / ((2 * longest - 40) * (max(p.sequence_id for p in got) + 1)) < 0.02
+    seqs = packing.sequences(df, tokenizer(BYTE_BPE), 1, 2 * longest - 40).collect()
+    assert sum(s.used for s in seqs) == ids
