@@ -32,6 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +47,8 @@ POSTINGS_PER_BUCKET = 1_500_000
 BLOCK_BYTES = 32_000_000         # bytes of the packed rows of one side of a block, about
 LIST_ROW_BYTES = 600             # a list's row, with its vector, in a task
 LEAF, FANOUT = 64, 8
+FAN_IN = 32                      # partial counts that one task adds up
+HOT_LOG2 = 17                    # shingles in more documents (by their cell) travel as rows, not packed
 
 
 # ---- sets ------------------------------------------------------------------
@@ -170,8 +173,11 @@ def selected(sets: DataFrame, keys: DataFrame, payload) -> DataFrame:
 
 def frequency_classes(sets: DataFrame) -> tuple[np.ndarray, int]:
     """log2 of the document frequency per hash cell, over all sets, and the
-    number of shingles. Partial counts are added up on the cluster; the driver
-    gets a table of fixed size."""
+    number of shingles. A core of the cluster makes a few partial counts,
+    however many partitions there are, and they are added up in rounds of
+    ``FAN_IN``; the driver gets a table of fixed size."""
+    sc = sets.sparkSession.sparkContext
+    sets = sets.coalesce(4 * sc.defaultParallelism)
     cells, block = 1 << CELLS_LOG2, 1 << (CELLS_LOG2 - 6)
 
     @tidied
@@ -181,16 +187,23 @@ def frequency_classes(sets: DataFrame) -> tuple[np.ndarray, int]:
             rows = [unpack48(x) for x in b.column(0).to_pylist() if x]
             if rows:
                 c += np.bincount((np.concatenate(rows) >> np.uint64(48 - CELLS_LOG2)).astype(np.int64), minlength=cells)
-        yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int32()), pa.array(
-            [c[i * block:(i + 1) * block].astype("<i8").tobytes() for i in range(64)], pa.binary())], ["block", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int32()), pa.array([TaskContext.get().partitionId()] * 64, pa.int32()), pa.array(
+            [c[i * block:(i + 1) * block].astype("<i8").tobytes() for i in range(64)], pa.binary())], ["block", "part", "counts"])
+
+    def some(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(x, "<i8") for x in pdf["counts"])
+        return pd.DataFrame({"block": pdf["block"].iloc[:1], "part": pdf["part"].iloc[:1] // FAN_IN, "counts": [total.astype("<i8").tobytes()]})
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(x, "<i8") for x in pdf["counts"])
         return pd.DataFrame({"block": pdf["block"].iloc[:1], "total": [int(total.sum())],
                              "classes": [np.ceil(np.log2(total + 1)).astype(np.uint8).tobytes()]})
 
-    got = (sets.select("tokens").mapInArrow(count, "block int, counts binary").groupBy("block")
-           .applyInPandas(add, "block int, total long, classes binary").collect())
+    partial, parts = sets.select("tokens").mapInArrow(count, "block int, part int, counts binary"), 4 * sc.defaultParallelism
+    while parts > FAN_IN:
+        partial = partial.groupBy("block", F.expr(f"part div {FAN_IN}")).applyInPandas(some, "block int, part int, counts binary")
+        parts = -(-parts // FAN_IN)
+    got = partial.groupBy("block").applyInPandas(add, "block int, total long, classes binary").collect()
     classes = np.zeros(cells, np.uint8)
     for r in got:
         classes[r["block"] * block:(r["block"] + 1) * block] = np.frombuffer(r["classes"], np.uint8)
@@ -239,7 +252,9 @@ def lists_of(tokens: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def candidate_lists(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(list_id, node): the distinct lists of sets that share a prefix
-    shingle. Postings travel packed, a few rows per task and bucket."""
+    shingle. Postings travel packed, a few rows per task and bucket; those of
+    shingles that very many sets may share travel as rows, so that no task has
+    to hold the sets of one shingle."""
     classes, total = frequency_classes(sets)
     shared = sets.sparkSession.sparkContext.broadcast(classes)      # 1 MB at any input size
     buckets = max(64, -(-total * (100 - percent) // 100 // POSTINGS_PER_BUCKET))
@@ -252,6 +267,7 @@ def candidate_lists(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             t = np.concatenate([x for x, _ in held])
             v = np.repeat(np.array([n for _, n in held], np.int64), [len(x) for x, _ in held])
             b = ((t & _TOKEN) % np.uint64(buckets)).astype(np.int64)
+            b[shared.value[((t & _TOKEN) >> np.uint64(48 - CELLS_LOG2)).astype(np.int64)] > HOT_LOG2] = -1
             order = np.argsort(b, kind="stable")
             t, v, b = t[order], v[order], b[order]
             at = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]]))
@@ -277,8 +293,31 @@ def candidate_lists(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
                           np.concatenate([np.frombuffer(x, "<i8") for x in pdf["v"]]))
         return pd.DataFrame({"list_id": ids, "node": v})
 
-    return (sets.select("node", "tokens").mapInArrow(post, "bucket long, t binary, v binary")
-            .groupBy("bucket").applyInPandas(collect, "list_id long, node long").dropDuplicates())
+    postings = sets.select("node", "tokens").mapInArrow(post, "bucket long, t binary, v binary")
+    if not (classes > HOT_LOG2).any():
+        return postings.groupBy("bucket").applyInPandas(collect, "list_id long, node long").dropDuplicates()
+    postings = staged(postings, "postings")
+    packed = postings.filter("bucket >= 0").groupBy("bucket").applyInPandas(collect, "list_id long, node long").dropDuplicates()
+    return packed.unionByName(hot_lists(postings.filter("bucket < 0")))
+
+
+def hot_lists(postings: DataFrame) -> DataFrame:
+    """The lists of ``lists_of`` from packed postings, found by aggregates
+    over rows (shingle, node): a list's id comes from the XOR of its nodes'
+    hashes, and of the shingles with one list the smallest gives its members."""
+    @tidied
+    def rows(batches):
+        for b in batches:
+            for t, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                t = np.frombuffer(t, "<u8")
+                yield pa.RecordBatch.from_arrays([pa.array((t & _TOKEN).astype(np.int64)), pa.array(t >= EARLY), pa.array(np.frombuffer(v, "<i8"))],
+                                                 ["token", "early", "node"])
+
+    each = staged(postings.select("t", "v").mapInArrow(rows, "token long, early boolean, node long").groupBy("token", "node")
+                  .agg(F.max("early").alias("early")), "hot_postings")
+    heads = each.groupBy("token").agg(F.expr("bit_xor(xxhash64(node))").alias("x"), F.count("*").alias("n"), F.max("early").alias("early"))
+    chosen = staged(heads.filter("n > 1 and early").groupBy(F.xxhash64("x", "n").alias("list_id")).agg(F.min("token").alias("token")), "hot_lists")
+    return each.join(chosen, "token").select("list_id", "node")
 
 
 # ---- the R-tree ------------------------------------------------------------
@@ -426,7 +465,7 @@ def with_blocks(members: DataFrame, key: str, weight) -> DataFrame:
     blocks are few; their table is written first, so its size is known and
     the members are shuffled only where it is too large to broadcast."""
     total = members.groupBy(F.col(key).alias("_k")).agg(F.ceil(F.sum(weight) / BLOCK_BYTES).cast("int").alias("_nb"))
-    big = staged(total.filter("_nb > 1").coalesce(1), "big_groups")
+    big = staged(total.filter("_nb > 1").repartition(1), "big_groups")
     if big.isEmpty():
         return members.select(key, "node", F.lit(1).alias("_nb"))
     return members.join(big, F.col(key) == F.col("_k"), "left").select(key, "node", F.coalesce("_nb", F.lit(1)).alias("_nb"))

@@ -85,6 +85,36 @@ def test_empty(spark, empty):
     assert found(near_join.near_groups(alone)) == Counter([(1, 0, 1), (2, 0, 2), (3, 3, 3)])
 
 
+def test_hot_shingles_travel_as_rows(spark, monkeypatch):
+    """With a low limit, nearly all shingles count as hot; the groups stay.
+    The limit is read where the sets are, so it is set before they are made."""
+    rows = family(9, 120) + [(1000 + i, f"own words of number {i} and some more of {i * i} here") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = near_join.shingle_sets(df)
+    classes, _ = near_join.frequency_classes(sets)
+    hot = near_join.staged(sets, "sets")
+
+    def pairs(members):
+        by = {}
+        for r in members.collect():
+            by.setdefault(r.list_id, set()).add(r.node)
+        return {frozenset(v) for v in by.values()}
+
+    want = pairs(near_join.candidate_lists(hot))
+    import pyarrow as pa
+
+    def packed(batches):
+        for b in batches:
+            for node, tok in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if node is not None:
+                    t = near_join.prefix(near_join.unpack48(tok), classes)
+                    yield pa.RecordBatch.from_arrays([pa.array([t.astype("<u8").tobytes()], pa.binary()),
+                                                      pa.array([np.full(len(t), node, "<i8").tobytes()], pa.binary())], ["t", "v"])
+
+    postings = hot.select("node", "tokens").mapInArrow(packed, "t binary, v binary")
+    assert pairs(near_join.hot_lists(postings)) == want and len(want) > 3
+
+
 def test_drop_near_copies(edge):
     out = near_join.drop_near_copies(edge)
     assert out.columns == edge.columns
