@@ -23,9 +23,16 @@ def _undirected(e: DataFrame) -> DataFrame:
     return e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
 
 
+def _least(e: DataFrame) -> DataFrame:
+    """src and its smallest neighbour. Dealt once more by a key of its own, so
+    that both sides of the join that follows come out of an exchange and
+    Spark splits the task of a hub, a node with very many edges, at run time."""
+    return e.groupBy("src").agg(F.min("dst").alias("_mn")).repartition("src", "_mn")
+
+
 def _large_star(e: DataFrame) -> DataFrame:
     # m(u) = min(u, N(u)); every edge (u, v), v > u, becomes (v, m(u))
-    m = e.groupBy("src").agg(F.min("dst").alias("_mn"))
+    m = _least(e)
     out = e.filter(F.col("dst") > F.col("src")).join(m, "src").select(
         F.col("dst").alias("src"), F.least(F.col("src"), F.col("_mn")).alias("dst"))
     return _undirected(out)
@@ -34,7 +41,7 @@ def _large_star(e: DataFrame) -> DataFrame:
 def _small_star(e: DataFrame) -> DataFrame:
     # N'(u) = smaller neighbours; m = min(N'(u) + u); (v, m) for v in N'(u) + u
     lower = e.filter(F.col("dst") < F.col("src"))
-    m = lower.groupBy("src").agg(F.min("dst").alias("_mn"))
+    m = _least(lower)
     out = lower.join(m, "src").select(F.col("dst").alias("src"), F.col("_mn").alias("dst")) \
         .unionByName(m.select(F.col("src"), F.col("_mn").alias("dst")))
     return _undirected(out)

@@ -110,10 +110,11 @@ def salted_equi_join(big: DataFrame, small: DataFrame, keys: list[str], block_ro
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
-    """A small table in the shared scratch folder, with a known size."""
+    """A small table in the shared scratch folder, with a known size. What is
+    filtered before runs in parallel; only the rows that stay meet."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.coalesce(1).write.parquet(path)
+    df.repartition(1).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
