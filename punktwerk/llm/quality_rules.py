@@ -3,13 +3,21 @@
 Every document gets a few counts of its words, symbols, lines and repeats.
 The rules don't compare them with fixed cutoffs: per language and source a
 quantile sketch of each ratio is kept -- a log-linear histogram of the ratio
-in parts per 10,000 -- and a document is rejected when a ratio lies beyond
-the fence ``median + reach * max(q75 - median, least_spread)`` of its own
-group. The sketches are plain rows (group, signal, bin, count): they are
-combined map-side, merge by adding counts, and a source with fewer than
-``least_docs`` documents uses the merged sketch of its language, a language
-with fewer the sketch of the whole corpus. The thresholds (one row per
-language and source) are then joined to the documents' counts.
+in parts per 10,000, over the documents that pass the base rule -- and a
+document is rejected when a ratio lies beyond the fence
+``median + reach * spread`` of its own group. The spread is a high quantile
+(95 to 98 %) of the sketch less the median, so it is as wide as the group's own
+tail. A group full of junk can't widen it at will, nor a spotless one narrow
+it to nothing: the spread of a group counts for ``1 / BOUND`` to ``BOUND`` times
+that of the whole corpus, and any spread for at most ``BOUND`` times a prior
+that says what a signal's scale is (the corpus's for half of it at least). Median and spread of a source are blended with those
+of its language, and these with the corpus's, by numbers of documents
+(``n / (n + blend_docs)``), so small groups follow their parents and nothing
+switches at a size. ``LEAST_PART`` occurrences or fewer never reject.
+
+The sketches are plain rows (group, signal, bin, count): they are combined
+map-side and merge by adding counts. The thresholds (one row per language and
+source) are then joined to the documents' counts.
 
 Nulls: a null text has no words (and fails the base rule); null languages
 and sources are groups of their own. Empty tables give empty results;
@@ -104,25 +112,27 @@ text_counts = _text_counts.asNondeterministic()
 
 @dataclass(frozen=True)
 class Signal:
-    """A ratio in parts per 10,000, and how far beyond the group's median a
-    document may lie: ``reach`` times the spread (q75 - median), the spread
-    taken as ``least_spread`` at least."""
+    """A ratio in parts per 10,000; the quantile (percent) whose distance from
+    the median is the spread; how many tenths of the spread a document may lie
+    beyond the median; the prior of the spread."""
     name: str
     part: str
     whole: str
-    least_spread: int
-    reach: int = 8
+    high: int
+    reach: int
+    prior: int
 
 
 SIGNALS = (
-    Signal("symbols", "n_symbols", "word_chars", 50),
-    Signal("upper", "n_upper", "n_letters", 300),
-    # a header line or a passage may be doubled in a short good text: wide
-    Signal("dup_lines", "n_dup_lines", "n_lines", 800),
-    Signal("repeats", "n_repeat_words", "n_words", 400),
-    Signal("stutter", "n_stutter", "n_words", 200),
+    Signal("symbols", "n_symbols", "word_chars", 95, 4, 1000),
+    Signal("upper", "n_upper", "n_letters", 97, 50, 150),
+    Signal("dup_lines", "n_dup_lines", "n_lines", 98, 30, 1000),
+    Signal("repeats", "n_repeat_words", "n_words", 98, 30, 300),
+    Signal("stutter", "n_stutter", "n_words", 97, 50, 150),
 )
-LEAST_DOCS = 200
+BLEND_DOCS = 200
+BOUND = 2
+LEAST_PART = 2
 
 
 def base_failed() -> Column:
@@ -148,53 +158,57 @@ def _value(b: str) -> Column:
 
 
 def sketch(counts: DataFrame, signals=SIGNALS) -> DataFrame:
-    """(lang, source, signal, bin, n): the quantile sketches of every group.
-    Rows are combined before the shuffle; two sketches merge by adding n."""
+    """(lang, source, signal, bin, n): the quantile sketches of every group,
+    of the documents that pass the base rule. Rows are combined before the shuffle; two sketches merge by adding n."""
     pairs = F.explode(F.array(*[F.struct(F.lit(s.name).alias("signal"), _ratio(s).alias("r")) for s in signals]))
-    return (counts.filter(F.col("n_words") > 0).select("lang", "source", pairs.alias("p"))
+    return (counts.filter(~base_failed()).select("lang", "source", pairs.alias("p"))
             .select("lang", "source", "p.signal", _bin("p.r").cast("int").alias("bin"))
             .groupBy("lang", "source", "signal", "bin").agg(F.count("*").alias("n")))
 
 
-def _quantiles(sk: DataFrame, keys: list[str]) -> DataFrame:
-    """Median and upper quartile of each (merged) sketch: at most a few
+def _quantiles(sk: DataFrame, keys: list[str], signals) -> DataFrame:
+    """Documents, median and spread of each (merged) sketch: at most a few
     hundred bins a group, whatever its number of documents."""
     k = [*keys, "signal"]
     merged = sk.groupBy(*k, "bin").agg(F.sum("n").alias("n"))
     run = merged.withColumn("run", F.sum("n").over(W.partitionBy(*k).orderBy("bin"))) \
                 .withColumn("total", F.sum("n").over(W.partitionBy(*k)))
-    v = run.withColumn("v", _value("bin").cast("long"))
-    return v.groupBy(*k).agg(F.max("total").alias("docs"),
-                             F.min(F.expr("case when 2 * run >= total then v end")).alias("q50"),
-                             F.min(F.expr("case when 4 * run >= 3 * total then v end")).alias("q75"))
+    v = run.withColumn("v", _value("bin").cast("long")).withColumn(
+        "high", F.element_at(F.create_map(*[F.lit(x) for s in signals for x in (s.name, s.high)]), F.col("signal")))
+    return v.groupBy(*k).agg(F.max("total").alias("docs"), F.min(F.expr("case when 2 * run >= total then v end")).alias("mid"),
+                             F.min(F.expr("case when 100 * run >= high * total then v end")).alias("top")) \
+            .select(*k, "docs", "mid", (F.col("top") - F.col("mid")).alias("spread"))
 
 
-def thresholds(sk: DataFrame, signals=SIGNALS, least_docs: int = LEAST_DOCS) -> DataFrame:
+def thresholds(sk: DataFrame, signals=SIGNALS, blend_docs: int = BLEND_DOCS) -> DataFrame:
     """One row per (lang, source) with ``max_<signal>`` fences."""
     def level(keys, tag):
-        q = _quantiles(sk, keys)
-        return q.select(*keys, "signal", *[F.col(c).alias(f"{c}_{tag}") for c in ("docs", "q50", "q75")])
+        return _quantiles(sk, keys, signals).select(*keys, "signal", *[F.col(c).alias(f"{c}_{tag}") for c in ("docs", "mid", "spread")])
 
     own, lang, everything = level(["lang", "source"], "s"), level(["lang"], "l"), level([], "a")
     l2 = lang.withColumnRenamed("lang", "_l").withColumnRenamed("signal", "_g")
     a2 = everything.withColumnRenamed("signal", "_h")
     t = own.join(l2, own["lang"].eqNullSafe(l2["_l"]) & (own["signal"] == l2["_g"])).join(a2, F.col("signal") == F.col("_h"))
+    t = t.withColumn("prior", F.element_at(F.create_map(*[F.lit(x) for s in signals for x in (s.name, s.prior)]), F.col("signal")))
+    t = t.withColumn("spread_a", F.expr(f"greatest(least(spread_a, {BOUND} * prior), prior div {BOUND})"))
+    for tag, up in (("l", "a"), ("s", "l")):
+        t = t.withColumn(f"spread_{tag}", F.expr(
+            f"greatest(least(spread_{tag}, {BOUND} * least(spread_a, prior)), spread_a div {BOUND})"))
+        for c in ("mid", "spread"):
+            t = t.withColumn(f"{c}_{tag}", F.expr(f"(docs_{tag} * {c}_{tag} + {blend_docs} * {c}_{up}) div (docs_{tag} + {blend_docs})"))
+    return t.groupBy("lang", "source").agg(*[
+        F.max(F.when(F.col("signal") == s.name, F.expr(f"mid_s + {s.reach} * spread_s div 10"))).alias(f"max_{s.name}")
+        for s in signals])
 
-    def pick(c):
-        return (F.when(F.col("docs_s") >= least_docs, F.col(f"{c}_s"))
-                .when(F.col("docs_l") >= least_docs, F.col(f"{c}_l")).otherwise(F.col(f"{c}_a")))
 
-    t = t.select("lang", "source", "signal", pick("q50").alias("q50"), pick("q75").alias("q75"))
-    return t.groupBy("lang", "source").agg(*[
-        F.max(F.when(F.col("signal") == s.name,
-                     F.col("q50") + s.reach * F.greatest(F.col("q75") - F.col("q50"), F.lit(s.least_spread)))
-              ).alias(f"max_{s.name}") for s in signals])
+def _passes(s: Signal) -> Column:
+    return F.coalesce((_ratio(s) <= F.col(f"max_{s.name}")) | (F.col(s.part) <= LEAST_PART), F.lit(True))
 
 
 def _verdict(signals) -> Column:
     ok = ~base_failed()
     for s in signals:
-        ok = ok & F.coalesce(_ratio(s) <= F.col(f"max_{s.name}"), F.lit(True))
+        ok = ok & _passes(s)
     return ok
 
 
@@ -203,24 +217,24 @@ def _with_thresholds(df: DataFrame, limits: DataFrame, lang: str, source: str) -
     return df.join(r, F.col(lang).eqNullSafe(F.col("_tl")) & F.col(source).eqNullSafe(F.col("_ts")), "left").drop("_tl", "_ts")
 
 
-def judge(docs: DataFrame, signals=SIGNALS, least_docs: int = LEAST_DOCS) -> DataFrame:
+def judge(docs: DataFrame, signals=SIGNALS, blend_docs: int = BLEND_DOCS) -> DataFrame:
     """doc_id, lang, source, the counts, the group's fences, base_failed and
     kept -- one row per document."""
     prepare(docs.sparkSession)
     counts = staged(docs.select("doc_id", "lang", "source", text_counts("text").alias("c"))
                     .select("doc_id", "lang", "source", "c.*"), "counts")
-    limits = staged(thresholds(sketch(counts, signals), signals, least_docs).coalesce(1), "limits")
+    limits = staged(thresholds(sketch(counts, signals), signals, blend_docs).coalesce(1), "limits")
     return (_with_thresholds(counts, limits, "lang", "source")
             .withColumn("base_failed", base_failed()).withColumn("kept", _verdict(signals)))
 
 
-def keep_good(docs: DataFrame, signals=SIGNALS, least_docs: int = LEAST_DOCS) -> DataFrame:
+def keep_good(docs: DataFrame, signals=SIGNALS, blend_docs: int = BLEND_DOCS) -> DataFrame:
     """The documents that pass, with their own columns (extra ones included).
     The counts are computed once for the sketches and once beside the text, so
     no text is shuffled."""
     prepare(docs.sparkSession)
     counts = docs.select("lang", "source", text_counts("text").alias("c")).select("lang", "source", "c.*")
-    limits = staged(thresholds(sketch(counts, signals), signals, least_docs).coalesce(1), "limits")
+    limits = staged(thresholds(sketch(counts, signals), signals, blend_docs).coalesce(1), "limits")
     flat = docs.select(F.struct("*").alias("_doc"), F.col("lang").alias("_lang"), F.col("source").alias("_source"),
                        text_counts("text").alias("_c")).select("_doc", "_lang", "_source", "_c.*")
     return _with_thresholds(flat, limits, "_lang", "_source").filter(_verdict(signals)).select("_doc.*")

@@ -42,19 +42,22 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Words, lines and 8-word windows by unnesting; sketches, quartiles and fences
 # in integers, so both engines agree to the last digit.
-_SIGNALS_SQL = [("symbols", "n_symbols", "word_chars", 50), ("upper", "n_upper", "n_letters", 300), ("dup_lines", "n_dup_lines", "n_lines", 800),
-                ("repeats", "n_repeat_words", "n_words", 400), ("stutter", "n_stutter", "n_words", 200)]
-_RATIO_SQL = {n: f"(10000 * {part}) // greatest({whole}, 1)" for n, part, whole, _ in _SIGNALS_SQL}
+# signal, part, whole, percent of the high quantile, tenths of the reach, prior
+_SIGNALS_SQL = [("symbols", "n_symbols", "word_chars", 95, 4, 1000), ("upper", "n_upper", "n_letters", 97, 50, 150), ("dup_lines", "n_dup_lines", "n_lines", 98, 30, 1000),
+                ("repeats", "n_repeat_words", "n_words", 98, 30, 300), ("stutter", "n_stutter", "n_words", 97, 50, 150)]
+_RATIO_SQL = {n: f"(10000 * {part}) // greatest({whole}, 1)" for n, part, whole, *_ in _SIGNALS_SQL}
+_HIGH_SQL = "case signal " + " ".join(f"when '{n}' then {high}" for n, _, _, high, *_ in _SIGNALS_SQL) + " end"
+_PRIOR_SQL = "case signal " + " ".join(f"when '{n}' then {prior}" for n, *_, prior in _SIGNALS_SQL) + " end"
 _BIN_SQL = "case when r < 64 then r else (length(bin(r)) - 6) * 32 + (r >> (length(bin(r)) - 6)) end"
 _LOW_SQL = "case when b < 64 then b else (b - (b // 32 - 1) * 32) << (b // 32 - 1) end"
 
 
-def _quartiles_sql(level: str, keys: str) -> str:
+def _spread_sql(level: str, keys: str) -> str:
     part = f"partition by {keys}, signal" if keys else "partition by signal"
     sel = f"{keys}, " if keys else ""
-    return (f"{level} as (select {sel}signal, max(total) as docs, min(case when 2 * run >= total then v end) as q50, "
-            f"min(case when 4 * run >= 3 * total then v end) as q75 from (select *, {_LOW_SQL} as v, sum(n) over ({part} order by b) as run, "
-            f"sum(n) over ({part}) as total from (select {sel}signal, b, sum(n) as n from sk group by {sel}signal, b)) group by {sel}signal)")
+    return (f"{level} as (select *, top - mid as spread from (select {sel}signal, max(total) as docs, min(case when 2 * run >= total then v end) as mid, "
+            f"min(case when 100 * run >= {_HIGH_SQL} * total then v end) as top from (select *, {_LOW_SQL} as v, sum(n) over ({part} order by b) as run, "
+            f"sum(n) over ({part}) as total from (select {sel}signal, b, sum(n) as n from sk group by {sel}signal, b)) group by {sel}signal))")
 
 
 ORACLES["op3_quality_rules"] = f"""
@@ -68,17 +71,21 @@ c as (select w.rid, doc_id, lang, source, len(ws) as n_words, cast(coalesce(list
   len(ls) as n_lines, len(regexp_extract_all(x, '[A-Z]')) as n_upper, len(regexp_extract_all(x, '[A-Za-z]')) as n_letters,
   len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) as n_stutter from w left join rep on rep.rid = w.rid),
 sk as (select lang, source, signal, {_BIN_SQL} as b, count(*) as n from (""" + " union all ".join(
-    f"select lang, source, '{n}' as signal, {r} as r from c where n_words > 0" for n, r in _RATIO_SQL.items()) + f""") group by all),
-{_quartiles_sql("qs", "lang, source")}, {_quartiles_sql("ql", "lang")}, {_quartiles_sql("qa", "")},
-f as (select qs.lang, qs.source, qs.signal, case when qs.docs >= 200 then qs.q50 when ql.docs >= 200 then ql.q50 else qa.q50 end as q50,
-  case when qs.docs >= 200 then qs.q75 when ql.docs >= 200 then ql.q75 else qa.q75 end as q75
-  from qs join ql on ql.lang is not distinct from qs.lang and ql.signal = qs.signal join qa on qa.signal = qs.signal),
+    f"select lang, source, '{n}' as signal, {r} as r from c where not (n_words < 20 or 100 * n_repeat_words > 30 * n_words)" for n, r in _RATIO_SQL.items()) + f""") group by all),
+{_spread_sql("qs", "lang, source")}, {_spread_sql("ql", "lang")}, {_spread_sql("qa", "")},
+qb as (select signal, mid, prior, greatest(least(spread, 2 * prior), prior // 2) as spread from (select *, {_PRIOR_SQL} as prior from qa)),
+lb as (select ql.lang, ql.signal, qb.spread as whole, least(qb.spread, prior) as most, (ql.docs * ql.mid + 200 * qb.mid) // (ql.docs + 200) as mid,
+  (ql.docs * greatest(least(ql.spread, 2 * least(qb.spread, prior)), qb.spread // 2) + 200 * qb.spread) // (ql.docs + 200) as spread from ql join qb using (signal)),
+f as (select qs.lang, qs.source, qs.signal, (qs.docs * qs.mid + 200 * lb.mid) // (qs.docs + 200) as mid,
+  (qs.docs * greatest(least(qs.spread, 2 * most), whole // 2) + 200 * lb.spread) // (qs.docs + 200) as spread
+  from qs join lb on lb.lang is not distinct from qs.lang and lb.signal = qs.signal),
 lim as (select lang, source, """ + ", ".join(
-    f"max(case when signal = '{n}' then q50 + 8 * greatest(q75 - q50, {least}) end) as max_{n}" for n, _, _, least in _SIGNALS_SQL) + """ from f group by lang, source),
+    f"max(case when signal = '{n}' then mid + {reach} * spread // 10 end) as max_{n}" for n, _, _, _, reach, _ in _SIGNALS_SQL) + """ from f group by lang, source),
 v as (select c.*, lim.* exclude (lang, source), n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed
   from c left join lim on lim.lang is not distinct from c.lang and lim.source is not distinct from c.source)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and """ + " and ".join(
-    f"coalesce({r} <= max_{n}, true)" for n, r in _RATIO_SQL.items()) + " as kept, " + ", ".join(f"max_{n}" for n in _RATIO_SQL) + " from v"
+    f"coalesce({_RATIO_SQL[n]} <= max_{n} or {part} <= 2, true)" for n, part, *_ in _SIGNALS_SQL) + " as kept, " + ", ".join(
+    f"cast(max_{n} as bigint) as max_{n}" for n in _RATIO_SQL) + " from v"
 
 
 @query("op3_quality_rules")

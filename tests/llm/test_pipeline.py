@@ -41,7 +41,7 @@ def test_columns(steps):
 
 
 def test_rules(steps):
-    want = test_quality_rules.verdicts(rows(steps[0], "doc_id", "text", "lang", "source"), corpus_pipeline.quality_rules.LEAST_DOCS)
+    want = test_quality_rules.verdicts(rows(steps[0], "doc_id", "text", "lang", "source"), corpus_pipeline.quality_rules.BLEND_DOCS)
     kept = {eval(w)[0] for w in want if eval(w)[-1]}
     assert {r.doc_id for r in steps[1].collect()} == kept
 

@@ -1,6 +1,8 @@
 import re
 from collections import Counter, defaultdict
 
+import pytest
+
 from punktwerk.llm import quality_rules as Q
 from punktwerk.llm.queries import QUERIES
 from tests.llm.conftest import SF, edge_rows
@@ -29,28 +31,44 @@ def low(b):
     return b if b < 64 else (b - (b // 32 - 1) * 32) << (b // 32 - 1)
 
 
-def verdicts(rows, least_docs):
-    """Fences from the exact multiset of bins, group by group."""
-    cs = [(i, lang, source, counts(t)) for i, t, lang, source in rows]
+def failed(c):
+    return c["n_words"] < 20 or 100 * c["n_repeat_words"] > 30 * c["n_words"]
+
+
+def fences(cs, blend):
+    """(lang, source, signal) -> fence, from the exact multiset of bins."""
     groups = defaultdict(list)
     for _, lang, source, c in cs:
-        if c["n_words"]:
+        if not failed(c):
             for key in ((lang, source), (lang,), ()):
                 groups[key].append(c)
-
-    def fence(lang, source, s):
-        for key in ((lang, source), (lang,), ()):
-            g = groups[key]
-            if len(g) >= least_docs or key == ():
-                v = sorted(bin_of(10000 * c[s.part] // max(1, c[s.whole])) for c in g)
-                q50, q75 = low(v[-(-len(v) // 2) - 1]), low(v[-(-3 * len(v) // 4) - 1])
-                return q50 + s.reach * max(q75 - q50, s.least_spread)
-
+    out = {}
+    for key in [k for k in groups if len(k) == 2]:
+        for s in Q.SIGNALS:
+            def stats(k):
+                v = sorted(bin_of(10000 * c[s.part] // max(1, c[s.whole])) for c in groups[k])
+                mid, top = low(v[-(-len(v) // 2) - 1]), low(v[-(-s.high * len(v) // 100) - 1])
+                return len(v), mid, top - mid
+            _, mid, spread = stats(())
+            whole = spread = max(min(spread, 2 * s.prior), s.prior // 2)
+            for k in (key[:1], key):
+                n, m, w = stats(k)
+                w = max(min(w, 2 * min(whole, s.prior)), whole // 2)
+                mid, spread = (n * m + blend * mid) // (n + blend), (n * w + blend * spread) // (n + blend)
+            out[(*key, s.name)] = mid + s.reach * spread // 10
+    return out
+
+
+def verdicts(rows, blend):
+    cs = [(i, lang, source, counts(t)) for i, t, lang, source in rows]
+    limit = fences(cs, blend)
     out = []
     for i, lang, source, c in cs:
-        failed = c["n_words"] < 20 or 100 * c["n_repeat_words"] > 30 * c["n_words"]
-        kept = not failed and all(10000 * c[s.part] // max(1, c[s.whole]) <= fence(lang, source, s) for s in Q.SIGNALS)
-        out.append((i, *(c[x] for x in Q.COUNTS[:5]), failed, kept))
+        kept = not failed(c)
+        for s in Q.SIGNALS:
+            f = limit.get((lang, source, s.name))
+            kept = kept and (f is None or c[s.part] <= 2 or 10000 * c[s.part] // max(1, c[s.whole]) <= f)
+        out.append((i, *(c[x] for x in Q.COUNTS[:5]), failed(c), kept))
     return sorted(map(repr, out))
 
 
@@ -61,13 +79,13 @@ def got(df):
 
 def test_edge_cases(edge):
     rows = [(r[0], r[1], r[2], r[3]) for r in edge_rows()]
-    for least in (1, 8, 1000):
-        assert got(Q.judge(edge, least_docs=least)) == verdicts(rows, least)
+    for blend in (1, 8, 1000):
+        assert got(Q.judge(edge, blend_docs=blend)) == verdicts(rows, blend)
 
 
 def test_whole_table(spark, sf_docs):
     rows = list(sf_docs[["doc_id", "text", "lang", "source"]].itertuples(index=False))
-    assert got(QUERIES["op3_quality_rules"](spark, SF)) == verdicts(rows, Q.LEAST_DOCS)
+    assert got(QUERIES["op3_quality_rules"](spark, SF)) == verdicts(rows, Q.BLEND_DOCS)
 
 
 def test_labelled_documents(spark):
@@ -97,3 +115,70 @@ def test_keep_good_keeps_columns(edge):
     assert out.columns == edge.columns
     kept = sorted((r.doc_id or -1) for r in Q.judge(edge).filter("kept").collect())
     assert kept == sorted((r.doc_id or -1) for r in out.collect())
+
+
+def corpus(junk_share, n=1500):
+    """Prose with some symbols, capitals, doubled lines, repeats and stutters
+    in it, two languages and three sources; one source has ``junk_share`` of
+    documents spoilt in one of five ways."""
+    import random
+    rng = random.Random(7)
+    vocab = ["".join(rng.choice("abcdefghijklm") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    rows, spoilt = [], {}
+    for i in range(n):
+        ws = [rng.choice(vocab) for _ in range(rng.randint(120, 260))]
+        for k in range(0, len(ws), 12):
+            ws[k] = ws[k].capitalize()
+        if rng.random() < 0.1:
+            ws[3:3] = ["&"] * rng.randint(1, 9)
+        if rng.random() < 0.01:
+            ws[50:50] = ws[20:20 + rng.randint(8, 10)]
+        for k in range(rng.randint(0, 2)):
+            ws.insert(10, ws[10])
+        lines = [" ".join(ws[k:k + 10]) for k in range(0, len(ws), 10)]
+        if rng.random() < 0.01:
+            lines += lines[:1] * rng.randint(1, 2)
+        source = ("clean", "mixed", "dirty")[i % 3]
+        if source == "dirty" and rng.random() < junk_share:
+            kind = spoilt[i] = ("symbols", "upper", "dup_lines", "repeats", "stutter")[i // 3 % 5]
+            if kind == "symbols":
+                lines = [w + " ### %% &&&" for w in lines]
+            elif kind == "upper":
+                lines = [x.upper() if k % 2 else x for k, x in enumerate(lines)]
+            elif kind == "dup_lines":
+                lines += ["- menu"] * (len(lines) * 2)
+            elif kind == "repeats":
+                lines[5:5] = [" ".join(ws[40:40 + len(ws) // 9]) + " so"]
+            else:
+                lines = [" ".join(y for x in line.split() for y in (x, x)[:1 + (len(x) > 6)]) for line in lines]
+        rows.append((i, "\n".join(lines), "en" if i % 2 else "de", source))
+    return rows, spoilt
+
+
+@pytest.mark.parametrize("share", [0.0, 0.1, 0.4])
+def test_junk_goes_whatever_its_share(spark, share):
+    """Every signal fires; a source with 40 % junk loses it; good documents
+    stay; the fences differ between the groups."""
+    rows, spoilt = corpus(share)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got_ = {r.doc_id: r for r in Q.judge(df).collect()}
+    assert got(Q.judge(df)) == verdicts(rows, Q.BLEND_DOCS)
+    good = [got_[i].kept for i, *_ in rows if i not in spoilt]
+    assert sum(good) / len(good) > 0.97
+    if share >= 0.1:
+        fired = {s.name: [i for i, r in got_.items() if not r.base_failed and getattr(r, f"max_{s.name}") is not None and r[s.part] > Q.LEAST_PART
+                          and 10000 * r[s.part] // max(1, r[s.whole]) > r[f"max_{s.name}"]] for s in Q.SIGNALS}
+        assert all(fired.values()), {k: len(v) for k, v in fired.items()}
+        junk = [got_[i].kept for i in spoilt]
+        assert sum(junk) / len(junk) < 0.15
+        for s in Q.SIGNALS:
+            limits = {(r.lang, r.source): r[f"max_{s.name}"] for r in got_.values()}
+            assert len(set(limits.values())) > 1
+
+
+def test_equal_documents_stay(spark):
+    """No spread at all: the prior's scale holds, few occurrences pass."""
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, text + " #" * (i % 3), "en", "s") for i in range(50)] + [(50, text + " ###" * 30, "en", "s")]
+    got_ = {r.doc_id: r.kept for r in Q.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(got_[i] for i in range(50)) and not got_[50]
