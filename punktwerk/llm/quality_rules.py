@@ -127,7 +127,7 @@ SIGNALS = (
     Signal("symbols", "n_symbols", "word_chars", 95, 4, 1000),
     Signal("upper", "n_upper", "n_letters", 97, 50, 150),
     Signal("dup_lines", "n_dup_lines", "n_lines", 98, 30, 1000),
-    Signal("repeats", "n_repeat_words", "n_words", 98, 30, 300),
+    Signal("repeats", "n_repeat_words", "n_words", 98, 45, 300),
     Signal("stutter", "n_stutter", "n_words", 97, 50, 150),
 )
 BLEND_DOCS = 200

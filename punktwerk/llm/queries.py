@@ -44,7 +44,7 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 # in integers, so both engines agree to the last digit.
 # signal, part, whole, percent of the high quantile, tenths of the reach, prior
 _SIGNALS_SQL = [("symbols", "n_symbols", "word_chars", 95, 4, 1000), ("upper", "n_upper", "n_letters", 97, 50, 150), ("dup_lines", "n_dup_lines", "n_lines", 98, 30, 1000),
-                ("repeats", "n_repeat_words", "n_words", 98, 30, 300), ("stutter", "n_stutter", "n_words", 97, 50, 150)]
+                ("repeats", "n_repeat_words", "n_words", 98, 45, 300), ("stutter", "n_stutter", "n_words", 97, 50, 150)]
 _RATIO_SQL = {n: f"(10000 * {part}) // greatest({whole}, 1)" for n, part, whole, *_ in _SIGNALS_SQL}
 _HIGH_SQL = "case signal " + " ".join(f"when '{n}' then {high}" for n, _, _, high, *_ in _SIGNALS_SQL) + " end"
 _PRIOR_SQL = "case signal " + " ".join(f"when '{n}' then {prior}" for n, *_, prior in _SIGNALS_SQL) + " end"

@@ -148,7 +148,7 @@ def corpus(junk_share, n=1500):
             elif kind == "dup_lines":
                 lines += ["- menu"] * (len(lines) * 2)
             elif kind == "repeats":
-                lines[5:5] = [" ".join(ws[40:40 + len(ws) // 9]) + " so"]
+                lines[5:5] = [" ".join(ws[40:40 + len(ws) // 6]) + " so"]
             else:
                 lines = [" ".join(y for x in line.split() for y in (x, x)[:1 + (len(x) > 6)]) for line in lines]
         rows.append((i, "\n".join(lines), "en" if i % 2 else "de", source))
