@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from punktwerk.operators import nearest as N
+from punktwerk.operators import partitioning as P
 from punktwerk.plans import fixtures as X
 from punktwerk.plans.oracle_sql import d, point_in_polys_sql
 from punktwerk.plans.registry import query
@@ -155,3 +157,52 @@ def q_zone_map(spark, sf):
 def q_curve_window(spark, sf):
     """A window over tiles whose rows are sorted along a Z-order curve."""
     return TL.window_points(spark, _tile_table(spark, sf), (282340.0, 5653250.0, 283125.0, 5653990.0)).select("x", "y", "z", "classification")
+
+
+# A third of the points in one square metre.
+_CROWD = ("case when l_orderkey % 3 = 0 then cast(281000 as double) + (l_partkey % 50) / cast(50 as double) else x end as x",
+          "case when l_orderkey % 3 = 0 then cast(5653000 as double) + (l_suppkey % 50) / cast(50 as double) else y end as y")
+_CROWD_SQL = f"select {', '.join(_CROWD)}, z, l_suppkey as k from (select *, {', '.join(X.PTS_EXPRS)} from lineitem)"
+
+
+@query("adaptive_partition", X.with_ctes(
+    "select (select count(*) from p) as n_points, true as bounded, (select count(*) from p where k % 2 = 0) as n_even, count(*) as n_pairs, "
+    "cast(sum(a.k * b.k) as bigint) as sum_keys from p a join p b on a.x = b.x and a.y = b.y and a.k % 2 = 0 and b.k % 7 = 0", p=_CROWD_SQL))
+def q_adaptive_partition(spark, sf):
+    """Two point tables dealt by one quadtree, with a third of the rows in one
+    square metre: no partition holds more rows than asked for, and the rows
+    of one place are joined without a further exchange."""
+    p = X.table(spark, sf, "lineitem").selectExpr("*", *X.PTS_EXPRS).selectExpr(*_CROWD, "z", "l_suppkey as k")
+    n = p.count()
+    limit = max(1, n // 40)
+    slack = p.rdd.getNumPartitions()        # one row for each task that deals
+    every = P.deal(p, P.split_tree([p], limit), name="key")
+    sizes = every.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).agg(F.sum("n").alias("n_points"), (F.max("n") <= limit + slack).alias("bounded"))
+    a, b, _ = P.co_partition(p.filter("k % 2 = 0"), p.filter("k % 7 = 0"), limit)
+    pairs = a.alias("a").join(b.alias("b"), ["part_key", "x", "y"]).agg(
+        F.count("*").alias("n_pairs"), F.sum(F.col("a.k") * F.col("b.k")).alias("sum_keys"))
+    even = p.filter("k % 2 = 0").agg(F.count("*").alias("n_even"))
+    one = [t.withColumn("_one", F.lit(1)) for t in (sizes, even, pairs)]
+    return one[0].join(one[1], "_one").join(one[2], "_one").select("n_points", "bounded", "n_even", "n_pairs", "sum_keys")
+
+
+_CENTRES = "select s_suppkey as q, (minx + maxx) / 2 as x, (miny + maxy) / 2 as y from (select rect_id as s_suppkey, * from rects)"
+
+
+@query("knn_join", X.with_ctes(
+    "select q as rect_id, pid, round(dist, 6) as dist, rank from (select q, pid, sqrt((s.x - c.x) * (s.x - c.x) + (s.y - c.y) * (s.y - c.y)) as dist, "
+    "row_number() over (partition by q order by sqrt((s.x - c.x) * (s.x - c.x) + (s.y - c.y) * (s.y - c.y)), pid) as rank from sites s, c) where rank <= 7",
+    rects=X.RECTS_SQL, sites=X.SITES_SQL, c=_CENTRES))
+def q_knn_join(spark, sf):
+    """The seven sites nearest to the centre of each rectangle."""
+    c = X.rects(spark, sf).selectExpr("rect_id", "(minx + maxx) / 2 as x", "(miny + maxy) / 2 as y")
+    return N.knn_join(c, X.sites(spark, sf), 7, "rect_id", "pid").select("rect_id", "pid", F.round("dist", 6).alias("dist"), "rank")
+
+
+@query("knn_tiles", X.with_ctes(
+    f"select x, y, z, round(sqrt((x - {d(284333.3)}) * (x - {d(284333.3)}) + (y - {d(5653777.7)}) * (y - {d(5653777.7)})), 6) as dist from pts "
+    f"order by sqrt((x - {d(284333.3)}) * (x - {d(284333.3)}) + (y - {d(5653777.7)}) * (y - {d(5653777.7)})), z, intensity limit 50", **PTS))
+def q_knn_tiles(spark, sf):
+    """The 50 points nearest to a place, in a table of tiles."""
+    out = N.knn_tiles(spark, _tile_table(spark, sf), 50, 284333.3, 5653777.7, "z", "intensity")
+    return out.select("x", "y", "z", F.round("dist", 6).alias("dist"))
