@@ -21,6 +21,8 @@ Extra columns are ignored; repeated rows are predicted row by row.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 
 import numpy as np
 import pandas as pd
@@ -40,11 +42,16 @@ LEAST_MARGIN = 0.01
 MARGIN_SCALE = 0.02
 UND = "und"
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+# Letters and the marks that combine with them (Unicode categories L and M)
+# make words; signs such as superscript digits or circled numbers don't.
+_SIGNS, _MARKS = ("".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in kinds) for kinds in (("No", "Nl"), ("Mn", "Mc", "Me")))
+_NOT_LETTERS = re.compile(f"(?:[\\d_{_SIGNS}]|(?![{_MARKS}])\\W)+")
 
 
 def letters(text: str | None) -> str:
-    return _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
+    """The words of a text, lower-cased; empty if it has no letter."""
+    t = _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
+    return t if any(map(str.isalpha, t)) else ""
 
 
 def dictionaries(train: DataFrame, slots: int = SLOTS, slice_chars: int = SLICE_CHARS) -> dict[str, bytes]:

@@ -6,7 +6,7 @@ import pytest
 
 from punktwerk.llm import language_id, licenses, quality_model
 from punktwerk.llm.queries import QUERIES
-from tests.llm.conftest import edge_rows
+from tests.llm.conftest import SF, edge_rows
 
 SF01 = "/root/testdata/sf0.01"
 
@@ -166,3 +166,41 @@ def test_licenses_two_notices_in_a_paragraph():
     templates = {f: [licenses.tokens(t) for t in ts] for f, ts in licenses.TEMPLATES.items()}
     found = licenses.scan_text("Released under the MIT License.\nLicensed under CC BY-NC 4.0.\n" + "plain text here " * 30, model, templates)
     assert {(f["family"], f["confirmed"], f["paragraph"]) for f in found} >= {("mit", True, 0), ("cc-by-nc", True, 1)}
+
+
+def test_letters_by_category():
+    """Number signs are no letters, combining marks belong to their letters."""
+    import unicodedata
+    for t in ("²³", "½", "①", "Ⅷ", "٣", "_ _", "\u0301", "", None, "12 ! ?"):
+        assert language_id.letters(t) == ""
+    assert language_id.letters("हिन्दी² Ünï_x") == "हिन्दी ünï x"
+    every = "".join(map(chr, range(0x20, 0x3000)))
+    kept = set(language_id.letters(every).replace(" ", ""))
+    assert all(unicodedata.category(c)[0] in "LM" for c in kept)
+    assert {c for c in every.lower() if unicodedata.category(c)[0] == "L"} <= kept
+
+
+def test_language_scores_against_plain_compression(spark, sf_docs):
+    """The whole table by a plain version: the sizes of all chunks under each
+    dictionary, the smallest sum, its softmax."""
+    import zlib
+
+    import numpy as np
+    import zstandard
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    train = docs.select("doc_id", "text", "lang").filter("crc32(cast(cast(doc_id as string) as binary)) % 5 != 0")
+    content = language_id.dictionaries(train)
+    each = {k: zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(v, dict_type=zstandard.DICT_TYPE_RAWCONTENT), level=language_id.LEVEL,
+                                        write_checksum=False, write_content_size=False, write_dict_id=False) for k, v in content.items() if len(v) >= 8}
+    got = {r.doc_id: r for r in language_id.identify(docs).collect()}
+    for i, text in sf_docs[["doc_id", "text"]].itertuples(index=False):
+        t = language_id.letters(text).encode()
+        r = got[i]
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
+        if not t:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        sizes = {k: sum(len(c.compress(t[j:j + 2048])) for j in range(0, len(t), 2048)) for k, c in each.items()}
+        best = min(sizes.values())
+        assert sizes[r.lang_pred] == best
+        assert abs(r.score - 1 / sum(np.exp(-(v - best) / len(t) / 0.02) for v in sizes.values())) < 1e-9
