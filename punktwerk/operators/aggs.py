@@ -100,10 +100,8 @@ def describe_points(points: DataFrame, cols=("x", "y", "z", "intensity")) -> Dat
     dev = long.groupBy("col_name").agg(F.count("*").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
                                        F.min("v").alias("lo"), F.max("v").alias("hi"))
     values = long.groupBy("col_name", "v").agg(F.count("*").alias("m"))
-    # running count in two levels: within a bucket of the value range, then over buckets
-    span = F.when(F.col("hi") > F.col("lo"), F.col("hi") - F.col("lo")).otherwise(1.0)
-    b = values.join(dev, "col_name").withColumn(
-        "b", F.least(F.floor((F.col("v") - F.col("lo")) / span * _VALUE_BUCKETS), F.lit(_VALUE_BUCKETS - 1)).cast("int"))
+    # running count in two levels: within a bucket of values, then over buckets
+    b = value_buckets(values, dev)
     before = b.groupBy("col_name", "b").agg(F.sum("m").alias("bm")).withColumn(
         "bb", F.coalesce(F.sum("bm").over(W.partitionBy("col_name").orderBy("b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     run = W.partitionBy("col_name", "b").orderBy("v")
@@ -127,6 +125,21 @@ def describe_points(points: DataFrame, cols=("x", "y", "z", "intensity")) -> Dat
         .select("col_name", "s.stat", F.round("s.value", 6).alias("value"))
 
 
+def value_buckets(values: DataFrame, dev: DataFrame) -> DataFrame:
+    """Distinct values (col_name, v, ...) with their column's ``dev`` row and
+    a bucket ``b`` that grows with v: pieces between approximate quantiles,
+    each cut at equal widths. Whatever the outliers, a bucket holds no more
+    than about one piece, 1/256 of a column's distinct values."""
+    cuts = values.groupBy("col_name").agg(F.percentile_approx("v", [i / (_COARSE * _FINE) for i in range(1, _COARSE * _FINE)], 10_000).alias("cuts"))
+    b = values.join(dev.join(cuts, "col_name"), "col_name")
+    # how many cuts lie at or below v, found in two steps
+    b = b.withColumn("_p", F.expr(f"size(filter(transform(sequence(1, {_COARSE - 1}), i -> cuts[i * {_FINE} - 1]), c -> c <= v)) * {_FINE}"))
+    b = b.withColumn("_p", F.expr(f"_p + size(filter(slice(cuts, _p + 1, {_FINE - 1}), c -> c <= v))"))
+    low, high = F.coalesce(F.get("cuts", F.col("_p") - 1), F.col("lo")), F.coalesce(F.get("cuts", F.col("_p")), F.col("hi"))
+    share = F.when(high > low, F.nanvl((F.col("v") - low) / (high - low), F.lit(1.0))).otherwise(0.0)
+    return b.withColumn("b", (F.col("_p") * _WIDTHS + F.least(F.floor(share * _WIDTHS), F.lit(_WIDTHS - 1))).cast("int")).drop("cuts", "_p")
+
+
 def describe_points_approx(points: DataFrame, cols=("x", "y", "z", "intensity"),
                            accuracy: int = 10000) -> DataFrame:
     """Same summary with bounded-memory quantile sketches."""
@@ -142,7 +155,7 @@ def describe_points_approx(points: DataFrame, cols=("x", "y", "z", "intensity"),
 
 
 #: Buckets of the value range in the running count of ``describe_points``.
-_VALUE_BUCKETS = 4096
+_COARSE, _FINE, _WIDTHS = 16, 16, 64
 _STATS = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 

@@ -157,3 +157,20 @@ def test_approx_counts_and_describe_approx(spark):
     assert r.n_rows == 20000 and abs(r.approx_distinct - 20000) / 20000 < 0.05   # (x, y) pairs are all distinct
     out = {(row.col_name, row.stat): row.value for row in A.describe_points_approx(df, ("x",)).collect()}
     assert out[("x", "count")] == 20000.0 and abs(out[("x", "p50")] - 2500) <= 5
+
+
+def test_buckets_of_values_with_outliers(spark):
+    """Far values don't gather the others in one bucket; buckets grow with
+    the values, so the quartiles stay exact."""
+    from punktwerk.operators import aggs as A
+    v = [i / 7 for i in range(3000)] + [1e9, 1e12, -1e15, 2e9] + [5.0] * 500
+    df = spark.createDataFrame([(x,) for x in v], "z double")
+    values = df.groupBy("z").agg(F.count("*").alias("m")).select(F.lit("z").alias("col_name"), F.col("z").alias("v"), "m")
+    dev = values.groupBy("col_name").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    rows = sorted((r.v, r.b) for r in A.value_buckets(values, dev).collect())
+    assert [b for _, b in rows] == sorted(b for _, b in rows) and len(rows) == 3004
+    assert max(np.bincount([b for _, b in rows])) <= 2 * 3004 / 256
+    out = {r.stat: r.value for r in A.describe_points(df, ("z",)).collect()}
+    assert [out[k] for k in ("min", "p25", "p50", "p75", "max")] == [round(float(q), 6) for q in np.quantile(v, [0, 0.25, 0.5, 0.75, 1])]
+    some = spark.createDataFrame([(float("inf"),), (1.0,), (2.0,), (float("-inf"),)], "z double")
+    assert A.describe_points(some, ("z",)).count() == 8
