@@ -86,7 +86,7 @@ def test_bounded_search(spark, tmpdir_path):
     for k, x, y in ((10, 500.0, 100.0), (3, -500.0, 50.0), (5000, 1.0, 1.0)):
         out = N.knn_bounded(stored, k, x, y, "id", boxes)
         assert [r.id for r in out.collect()] == [p for _, p, _ in sorted(brute([(0, x, y)], points, k), key=lambda t: t[2])]
-    plan = N.knn_bounded(stored, 10, 500.0, 100.0, "id", boxes)._jdf.queryExecution().toString()
+    plan = spark._jvm.PythonSQLUtils.explainString(N.knn_bounded(stored, 10, 500.0, 100.0, "id", boxes)._jdf.queryExecution(), "formatted")
     assert "GreaterThanOrEqual(x," in plan and "LessThanOrEqual(y," in plan
 
 
