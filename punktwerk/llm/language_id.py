@@ -45,7 +45,9 @@ UND = "und"
 # Letters and the marks that combine with them (Unicode categories L and M)
 # make words; signs such as superscript digits or circled numbers don't.
 _SIGNS, _MARKS = ("".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in kinds) for kinds in (("No", "Nl"), ("Mn", "Mc", "Me")))
-_SPECIAL = re.compile(f"[{_SIGNS}{_MARKS}]")
+# Python looks characters of the first plane up in a table, others one by one.
+_SPECIAL = re.compile("[" + "".join(c for c in _SIGNS + _MARKS if c < "\U00010000") + "]")
+_ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")                       # right for texts without special signs
 _NOT_LETTERS_OR_MARKS = re.compile(f"(?:[\\d_{_SIGNS}]|(?![{_MARKS}])\\W)+")
 
@@ -53,7 +55,7 @@ _NOT_LETTERS_OR_MARKS = re.compile(f"(?:[\\d_{_SIGNS}]|(?![{_MARKS}])\\W)+")
 def letters(text: str | None) -> str:
     """The words of a text, lower-cased; empty if it has no letter."""
     t = (text or "").lower()
-    plain = t.isascii() or not _SPECIAL.search(t)
+    plain = t.isascii() or not (_SPECIAL.search(t) or _ASTRAL.search(t))
     t = (_NOT_LETTERS if plain else _NOT_LETTERS_OR_MARKS).sub(" ", t).strip()
     return t if any(map(str.isalpha, t)) else ""
 
