@@ -943,8 +943,7 @@ def q_stream_ingest(spark, sf):
     (availableNow, at most 8 files per micro-batch, 3 files a tile) into the
     table partitioned by tile; a second run of the same stream finds nothing new."""
     src, table, ckpt = (scratch_path(spark, n) for n in ("stream-src", "stream-table", "stream-ckpt"))
-    X.pts(spark, sf, with_source=True).repartition(3).write.partitionBy("source_file") \
-        .option("header", True).csv(src)
+    X.write_parts(X.pts(spark, sf, with_source=True), src, 3)
     for _ in range(2):   # rerun from the checkpoint: no file is ingested twice
         q = ST.stream_points(spark, src, table, ckpt, max_files=8)
         q.awaitTermination()

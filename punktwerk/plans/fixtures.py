@@ -8,6 +8,7 @@ as double)`` is spelled out because a bare ``280000.0`` is DECIMAL in Spark.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # The derivation formulas of the test views (must equal the
 # fixture definitions used by the oracle).
@@ -107,6 +108,13 @@ def tile_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"'{lit['Hoehenanomalie']}' as Hoehenanomalie")
 
 
+def write_parts(df: DataFrame, path: str, files: int) -> None:
+    """CSV files with a header in a folder a tile, ``files`` of each tile:
+    its rows by turns. Every file is a task's own share, so many tasks write."""
+    df.withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(files)).cast("int")) \
+        .repartition("source_file", "part").write.partitionBy("part", "source_file").option("header", True).csv(path)
+
+
 # ---- oracle text (DuckDB) -------------------------------------------------
 
 def _sel(exprs, src):
