@@ -87,7 +87,7 @@ def _per_tile(df):
 def _deliver(spark, df, name: str, src: str, files: int) -> None:
     """CSV files, a folder a tile, that land in ``src`` at once."""
     there = scratch_path(spark, name)
-    df.repartition(files).write.partitionBy("source_file").option("header", True).csv(there)
+    X.write_parts(df, there, files)
     new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = new(src).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(new(src))
