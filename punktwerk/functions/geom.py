@@ -451,6 +451,11 @@ def parse_wkt_literal(text: str) -> Shape:
     return Shape(gtype, parts)
 
 
+def shape_of(row) -> Shape:
+    """The driver-side shape of a collected shape value."""
+    return Shape(row.gtype, tuple(tuple(tuple((v.x, v.y) for v in r) for r in p) for p in row.parts))
+
+
 def shape_literal(shape: Shape | str) -> Column:
     """A driver-side shape as a struct literal column."""
     if isinstance(shape, str):

@@ -249,9 +249,8 @@ FUNCTIONS = {
                 "0d, (s, v) -> s + v) / 2 else 0d end"),
     "st_locate": (f"g {G}, px DOUBLE, py DOUBLE", "STRUCT<n: INT, on: BOOLEAN>", _LOCATE),
     "st_contains": (f"g {G}, p {G}", "BOOLEAN",
-                    "g.gtype in ('POLYGON', 'MULTIPOLYGON') and "
-                    "not st_locate(g, p.parts[0][0][0].x, p.parts[0][0][0].y).on and "
-                    "st_locate(g, p.parts[0][0][0].x, p.parts[0][0][0].y).n % 2 = 1"),
+                    "g.gtype in ('POLYGON', 'MULTIPOLYGON') and exists(array("
+                    "st_locate(g, p.parts[0][0][0].x, p.parts[0][0][0].y)), l -> not l.on and l.n % 2 = 1)"),
     "st_covers": (f"g {G}, p {G}", "BOOLEAN",
                   "g.gtype in ('POLYGON', 'MULTIPOLYGON') and "
                   "(st_locate(g, p.parts[0][0][0].x, p.parts[0][0][0].y).on or "

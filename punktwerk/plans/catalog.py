@@ -1130,11 +1130,13 @@ def q_sql_region_stats(spark, sf):
     """Region statistics as one SQL statement over ST_* functions, with a
     polygon that cuts through the data."""
     register_sql_functions(spark)
-    v = _temp_view(X.pts(spark, sf), "pts")
+    # the text is read once, by a statement of its own, not once a point
+    poly = spark.sql(f"select st_geomfromtext('{X.POLY2_WKT}') as g").first().g
+    v = _temp_view(X.pts(spark, sf).withColumn("poly", G.shape_literal(G.shape_of(poly))), "pts")
     return spark.sql(
         "select count(*) as total_points, count(case when classification = 2 then 1 end) as ground_points, min(z) as min_z, "
         f"max(z) as max_z, round(avg(z), 6) as avg_z from {v} "
-        f"where st_contains(st_geomfromtext('{X.POLY2_WKT}'), st_point(x, y))")
+        "where st_contains(poly, st_point(x, y))")
 
 
 # A rectangle that shapes are measured against.
