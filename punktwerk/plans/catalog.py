@@ -1173,8 +1173,11 @@ def q_sql_distance_shapes(spark, sf):
     f"order by {_gap_sql('minx', 'miny', 'maxx', 'maxy')}, rect_id limit 20", **RECTS))
 def q_knn_shapes(spark, sf):
     """The 20 rectangles nearest to a polygon: polygon objects, polygon query."""
-    r = X.rects(spark, sf).withColumn("geom", G.st_rect("minx", "miny", "maxx", "maxy"))
-    out = J.knn(r, 20, G.st_distance("geom", G.st_geomfromtext(F.lit(_BOX_WKT))), "rect_id")
+    # the text is read once; a small file's rows are measured by all tasks
+    box = G.shape_literal(G.shape_of(spark.range(1).select(G.st_geomfromtext(F.lit(_BOX_WKT)).alias("g")).first().g))
+    r = X.rects(spark, sf).repartition(2 * spark.sparkContext.defaultParallelism)
+    r = r.withColumn("geom", G.st_rect("minx", "miny", "maxx", "maxy"))
+    out = J.knn(r, 20, G.st_distance("geom", box), "rect_id")
     return out.select("rect_id", F.round("dist", 6).alias("dist"))
 
 
