@@ -91,6 +91,19 @@ def _statistics(points: DataFrame) -> DataFrame:
         F.map_from_entries(F.filter(F.collect_list(F.struct("classification", "n")), lambda e: e["classification"].isNotNull())).alias("classes"))
 
 
+def _along_curve(rows: DataFrame) -> DataFrame:
+    """Rows dealt by tile and sorted along the curve in each. The curve's key
+    is a column meanwhile: a sort expression is worked out anew for each
+    comparison."""
+    return rows.hint("rebalance", "tile").withColumn("_z", z_order("x", "y")).sortWithinPartitions("tile", "_z").drop("_z")
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    """(tile, delivery): the greatest text of the few distinct ones; that of
+    all rows would sort them. The count keeps the two steps apart."""
+    return rows.groupBy("tile", "delivery").count().filter("count > 0").groupBy("tile").agg(F.max("delivery").alias("delivery"))
+
+
 def commit_points(points: DataFrame, table: str, commit: str | None = None, delivery: str | None = None) -> str:
     """Writes ``points`` (six columns, source_file, optionally ``delivery``) as
     one commit; all its tiles become visible together. Without a delivery the
@@ -104,11 +117,10 @@ def commit_points(points: DataFrame, table: str, commit: str | None = None, deli
     own = F.col("delivery") if "delivery" in points.columns else F.lit(delivery or commit)
     rows = points.select(*POINT_COLUMNS, F.coalesce("source_file", F.lit("")).alias("source_file"), own.alias("delivery"))
     rows = rows.withColumn("tile", tile_folder(F.col("source_file")))
-    (rows.hint("rebalance", "tile").sortWithinPartitions("tile", z_order("x", "y"))
+    (_along_curve(rows)
      .write.mode("overwrite").partitionBy("tile").parquet(folder))
     written = spark.read.schema(DATA + ", delivery string, tile string").parquet(folder)
-    deliveries = written.groupBy("tile").agg(F.max("delivery").alias("delivery"))
-    (_statistics(written).join(deliveries, "tile").select(*[c.split()[0] for c in MANIFEST.split(", ")[:-1]])
+    (_statistics(written).join(_newest(written), "tile").select(*[c.split()[0] for c in MANIFEST.split(", ")[:-1]])
      .write.mode("overwrite").parquet(manifest))
     _publish(spark, table, commit)
     return commit
