@@ -15,6 +15,7 @@ decompressed to LAS first (no codec here).
 
 from __future__ import annotations
 
+import math
 import struct
 
 import numpy as np
@@ -163,6 +164,12 @@ def read_las(spark: SparkSession, path: str, points_per_split: int = 1_000_000,
     return points_of(listing, points_per_split)
 
 
+#: Small splits share a task: at least so many tasks a core, and no more
+#: points in a task, about.
+TASKS_PER_CORE = 8
+TASK_POINTS = 1_000_000
+
+
 def points_of(listing: DataFrame, points_per_split: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """(points, failures) of the LAS files of a listing (path, length)."""
     from punktwerk.session import ensure_checkpoint_dir, ship_package
@@ -175,9 +182,11 @@ def points_of(listing: DataFrame, points_per_split: int = 1_000_000) -> tuple[Da
     splits = ok.withColumn("_n", F.col("n_points")).withColumn(
         "start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(int(points_per_split)).cast("long"))))
     splits = splits.withColumn("count", F.least(F.lit(int(points_per_split)).cast("long"), F.col("_n") - F.col("start")))
-    n_splits = max(splits.count(), 1)   # one small metadata row per split
-    # an explicit partition count: AQE keeps it, so every split is its own task
-    points = splits.repartition(n_splits, "path", "start").mapInArrow(_decode, OUT_SCHEMA)
+    n_splits, n_points = splits.agg(F.count("*"), F.sum("count")).first()   # one small metadata row per split
+    # an explicit partition count, which AQE keeps: every split is a task of its
+    # own, unless they are so many and small that starting tasks would decide
+    tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, math.ceil((n_points or 0) / TASK_POINTS))
+    points = splits.repartition(max(min(n_splits, tasks), 1), "path", "start").mapInArrow(_decode, OUT_SCHEMA)
     return points, failures
 
 
