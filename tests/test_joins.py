@@ -253,3 +253,38 @@ def test_grouped_join_ships_no_pairs(spark, monkeypatch):
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 60
         text = got._jdf.queryExecution().optimizedPlan().toString()
         assert "Aggregate [_kx" in text and "Aggregate [rect_id" not in text
+
+
+def test_wide_shape_join_walks_lists_of_shapes(spark, monkeypatch):
+    monkeypatch.setattr(J, "PAIRS_PER_TASK", 50)
+    rnd = random.Random(8)
+    pts = [(i, float(rnd.randint(0, 40)), float(rnd.randint(0, 40))) for i in range(200)]
+    pts += pts[:5] + [(300, None, 3.0), (301, 3.0, None), (302, float("nan"), 3.0)] + [(400 + i, 90.0, 90.0) for i in range(30)]  # a full cell beside all shapes
+    rects = [(i, x, y, x + 4.0 * (1 + i % 3), y + 6.0) for i in range(40) for x, y in [(float(rnd.randint(0, 35)), float(rnd.randint(0, 35)))]]
+    rects += [rects[0], rects[0], (77, 0.0, 0.0, 40.0, 40.0), (78, -50.0, -50.0, -49.0, -49.0), (None, 1.0, 1.0, 9.0, 9.0)]
+    p = spark.createDataFrame(pts, "id long, x double, y double")
+    s = spark.createDataFrame(rects, "rid long, minx double, miny double, maxx double, maxy double")
+    g = s.withColumn("geom", G.st_geomfromtext(F.format_string(
+        "POLYGON ((%1$s %2$s, %3$s %2$s, %3$s %4$s, %1$s %4$s, %1$s %2$s))", "minx", "miny", "maxx", "maxy")))
+    for predicate, bad in (("covers", 0), ("contains", 1)):
+        def hit(r, q):
+            inside = r[1] <= q[1] <= r[3] and r[2] <= q[2] <= r[4]
+            return inside and not (bad and (q[1] in (r[1], r[3]) or q[2] in (r[2], r[4])))
+        exp = sorted((-1 if r[0] is None else r[0], q[0]) for r in rects for q in pts if None not in q and hit(r, q))
+        for block_rows in (3, 5_000):   # 3: blocks on both sides
+            j = J.spatial_join(s, p, predicate, cell=20.0, max_cells=8, block_rows=block_rows)
+            assert j.columns == [*p.columns, *s.columns]
+            assert sorted((-1 if r.rid is None else r.rid, r.id) for r in j.collect()) == exp
+            plan = j._jdf.queryExecution().executedPlan().toString()
+            # no row is made of a pair before its test
+            assert "inline(" in plan and "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan.split("inline(")[0]
+        j = J.spatial_join(g, p, predicate, cell=20.0, max_cells=8, geom="geom").select("rid", "id")
+        assert sorted((-1 if r.rid is None else r.rid, r.id) for r in j.collect()) == exp
+
+
+def test_wide_shape_join_keeps_equal_names_apart(spark, monkeypatch):
+    monkeypatch.setattr(J, "PAIRS_PER_TASK", 1)
+    p = spark.createDataFrame([(i, i + 0.5, i + 0.5) for i in range(20)], "id long, x double, y double")
+    s = spark.createDataFrame([(100, 0.0, 0.0, 9.0, 9.0)], "id long, minx double, miny double, maxx double, maxy double")
+    rows = [tuple(r)[::3] for r in J.spatial_join(s, p, cell=4.0).collect()]
+    assert sorted(r[:2] for r in rows) == [(i, 100) for i in range(9)]
